@@ -23,6 +23,11 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
 
 
+def filled(value: Column) -> Column:
+    """The value, or null where it is empty; computes the value once."""
+    return F.get(F.filter(F.array(value), lambda v: v != ""), F.lit(0))
+
+
 def word_count(col: Column) -> Column:
     """Number of words separated by white space."""
     return F.regexp_count(col, F.lit(rf"[^{SPACE}]+"))
@@ -41,6 +46,20 @@ def join_notes(sections: Column, separator: str = "\n") -> Column:
     return F.array_join(sections, separator)
 
 
+# The labels that encounter notes carry.
+NOTE_LABELS = (
+    "MRN", "PATIENT", "ENCOUNTER DATE", "CHIEF COMPLAINT:", "SUBJECTIVE:", "OBJECTIVE:",
+    "ASSESSMENT:", "PLAN:", "IMPRESSION:", "REASON FOR REFERRAL:", "page_id",
+)
+PAGE_LABELS = ("MRN", "PATIENT", "ENCOUNTER DATE")
+
+# Other headings that end a value in front of them.
+NOTE_HEADINGS = (
+    "DATE", "SYMPTOMS", "HISTORY OF PRESENT ILLNESS", "PAST MEDICAL HISTORY", "MEDICATIONS",
+    "ALLERGIES", "VITAL SIGNS", "PHYSICAL EXAM", "SOCIAL HISTORY", "DIAGNOSES", "FOLLOW-UP",
+)
+
+
 def field_name(label: str) -> str:
     """Column name of a label: ``ENCOUNTER DATE`` -> ``ENCOUNTER_DATE``."""
     return re.sub(r"\W+", "_", label.strip().rstrip(":").strip())
@@ -51,22 +70,15 @@ def _label_pattern(label: str) -> str:
     return r"\s+".join(re.escape(w) for w in words)
 
 
-def labelled_value(text: Column, label: str, labels: Sequence[str]) -> Column:
+def labelled_value(text: Column, label: str, others: Sequence[str] = ()) -> Column:
     """Value written after ``label:``, up to the next known label or line end.
 
     Null when the label is absent or its value is empty.
     """
-    stops = "|".join(_label_pattern(o) for o in sorted(labels, key=len, reverse=True))
+    known = {label, *others, *NOTE_LABELS, *NOTE_HEADINGS}
+    stops = "|".join(_label_pattern(o) for o in sorted(known, key=lambda o: (-len(o), o)))
     pattern = (
         rf"(?i)\b{_label_pattern(label)}\s*[:#][ \t]*"
         rf"([^\n]*?)[ \t]*(?:\b(?:{stops})\s*[:#]|\n|\z)"
     )
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
-
-
-# The labels that encounter notes carry.
-NOTE_LABELS = (
-    "MRN", "PATIENT", "ENCOUNTER DATE", "CHIEF COMPLAINT:", "SUBJECTIVE:", "OBJECTIVE:",
-    "ASSESSMENT:", "PLAN:", "IMPRESSION:", "REASON FOR REFERRAL:", "page_id",
-)
-PAGE_LABELS = ("MRN", "PATIENT", "ENCOUNTER DATE")
+    return filled(F.regexp_extract(text, pattern, 1))

@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from chartloom.config import PROMPT_TEXT_CHARS
 from chartloom.functions.jsonval import array_size, read_path, to_json
-from chartloom.functions.text import is_short, labelled_value, truncate
+from chartloom.functions.text import filled, is_short, labelled_value, truncate
+from chartloom.operators import settle
 from chartloom.operators.infer import Backend, infer, infer_distinct, render_prompt, reply_document
 from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS, PATCHED
 
@@ -68,19 +69,15 @@ def extract_with_model(
     prompt = F.when(~is_short(F.col(text)), render_prompt(EXTRACTION_PROMPT, note=note))
     call = infer_distinct if distinct else infer
     asked = call(df.withColumn("_prompt", prompt), "_prompt", backend, "_inference", **options)
-    return asked.withColumn(
+    answered = asked.withColumn(
         output,
         F.when(F.col("_prompt").isNull(), F.lit(SHORT_TEXT_ENTITIES)).otherwise(
             reply_document(F.col("_inference"))
         ),
     ).drop("_prompt", "_inference")
+    return settle(answered, output)
 
 
-NOTE_HEADINGS = (
-    "PATIENT", "MRN", "DATE", "ENCOUNTER DATE", "CHIEF COMPLAINT", "SYMPTOMS",
-    "HISTORY OF PRESENT ILLNESS", "PAST MEDICAL HISTORY", "MEDICATIONS", "ALLERGIES",
-    "VITAL SIGNS", "PHYSICAL EXAM", "SOCIAL HISTORY", "ASSESSMENT", "PLAN",
-)
 MEDICATION = r"^(.*?)(?:\s+(\d[\d.]*\s?(?:mcg|mg|g|ml|units?)))?(?:\s+(QD|BID|TID|QID|PRN|daily))?$"
 ORDERED = r"(?i)^(.*?)\s+(?:ordered|done|performed)$|^(.*)$"
 
@@ -91,18 +88,18 @@ def _listed(value: Column, separator: str) -> Column:
 
 
 def _vital(text: Column, pattern: str) -> Column:
-    return F.nullif(F.regexp_extract(text, pattern, 1), F.lit(""))
+    return filled(F.regexp_extract(text, pattern, 1))
 
 
 def _entities_of_note(text: Column, complaint: Column, assessed: Column) -> Column:
     """Entities that a labelled note states, as a struct."""
     def value(label: str) -> Column:
-        return labelled_value(text, label, NOTE_HEADINGS)
+        return labelled_value(text, label)
 
     null = F.lit(None).cast("string")
 
     def part(item: Column, group: int) -> Column:
-        return F.nullif(F.regexp_extract(item, MEDICATION, group), F.lit(""))
+        return filled(F.regexp_extract(item, MEDICATION, group))
 
     return F.struct(
         complaint.alias("chief_complaint"),
@@ -168,14 +165,15 @@ def extract_by_rules(df: DataFrame, text: str = "text", output: str = "entities"
     note = F.col(text)
     labelled = df.withColumns(
         {
-            "_complaint": labelled_value(note, "CHIEF COMPLAINT", NOTE_HEADINGS),
-            "_assessed": labelled_value(note, "ASSESSMENT", NOTE_HEADINGS),
+            "_complaint": labelled_value(note, "CHIEF COMPLAINT"),
+            "_assessed": labelled_value(note, "ASSESSMENT"),
         }
     )
     found = _entities_of_note(note, F.col("_complaint"), F.col("_assessed"))
-    return labelled.withColumn(
+    extracted = labelled.withColumn(
         output, F.when(is_short(note), F.lit(SHORT_TEXT_ENTITIES)).otherwise(to_json(found))
     ).drop("_complaint", "_assessed")
+    return settle(extracted, output)
 
 
 def _normalised(doc: Column) -> Column:
@@ -231,7 +229,7 @@ def entity_counts(df: DataFrame, *keys: str, entities: str = "entities") -> Data
 
 
 def flatten_leaves(
-    df: DataFrame, *keys: str, entities: str = "entities", max_depth: int = 6
+    df: DataFrame, *keys: str, entities: str = "entities", max_depth: int = 4
 ) -> DataFrame:
     """One row per scalar leaf: ``keys, path, value, is_empty``.
 

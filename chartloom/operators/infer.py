@@ -82,7 +82,8 @@ def infer_udf(
                 rows = list(pool.map(one, prompts))
                 yield pd.DataFrame(rows, columns=INFERENCE.fieldNames())
 
-    return run
+    # A call to a service: never repeated or moved by the optimiser.
+    return run.asNondeterministic()
 
 
 def infer(

@@ -11,6 +11,7 @@ from pyspark.sql.types import ArrayType
 from chartloom.config import AMBIGUITY_TEXT_CHARS, MAX_QUESTIONS, QUEUE_TEXT_CHARS, QualityFloors
 from chartloom.functions.jsonval import completeness, number_or, reply_or_default, to_json
 from chartloom.functions.text import truncate
+from chartloom.operators import settle
 from chartloom.operators.entities import apply_patches
 from chartloom.operators.infer import render_prompt
 from chartloom.schemas import AMBIGUITY, CHANGE, QUESTION, QUESTIONS_DOC
@@ -262,7 +263,8 @@ AUTO, QUEUED, COMPLETED = "completed_auto", "pending_review", "completed"
 def route(df: DataFrame, enable_human_review: bool = True) -> DataFrame:
     """Add ``status``: straight to a note, or to the review queue."""
     review = F.coalesce(F.col("requires_review"), F.lit(False)) & F.lit(enable_human_review)
-    return df.withColumn("status", F.when(review, QUEUED).otherwise(AUTO))
+    routed = df.withColumn("status", F.when(review, QUEUED).otherwise(AUTO))
+    return settle(routed, "status")
 
 
 def queue_rows(df: DataFrame, now: Column, text: str = "text") -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from chartloom.config import PARSE_QUALITY_MIN
 from chartloom.functions.jsonval import array_size, to_json
 from chartloom.functions.scores import parse_quality
+from chartloom.operators import settle
 from chartloom.operators.elements import LIST_ITEM, NARRATIVE, TABLE, TITLE
 
 
@@ -99,8 +100,15 @@ def structure_as_json(df: DataFrame) -> DataFrame:
     )
 
 
-def quality_gate(df: DataFrame, minimum: float = PARSE_QUALITY_MIN) -> DataFrame:
-    """Documents whose parse quality is strictly above the minimum."""
+def quality_gate(
+    df: DataFrame, minimum: float = PARSE_QUALITY_MIN, computed: bool = False
+) -> DataFrame:
+    """Documents whose parse quality is strictly above the minimum.
+
+    On a stored score the filter reaches the scan; say ``computed`` when the score was
+    made in the same run, so that it is not made twice.
+    """
+    df = settle(df, "parse_quality_score") if computed else df
     return df.filter(F.col("parse_quality_score") > F.lit(float(minimum)))
 
 

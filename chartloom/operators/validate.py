@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from chartloom.config import QualityFloors
 from chartloom.functions.jsonval import to_json
+from chartloom.operators import settle
 from chartloom.functions.scores import grade, recommendation, reject_reasons, weighted_quality
 
 
@@ -146,10 +147,11 @@ def verdict(accuracy: Column, issues: Column, passed: Column) -> Column:
 def validate_entities(df: DataFrame, text: str = "text", entity: str = "entity") -> DataFrame:
     """Add the ``validation`` verdict computed by grounding."""
     checked = grounding(df, text, entity)
-    return checked.withColumn(
+    judged = checked.withColumn(
         "validation",
         verdict(F.col("accuracy_score"), F.col("hallucinations"), F.col("pass")),
     ).drop("total_values", "grounded_values", "hallucinations", "accuracy_score", "pass")
+    return settle(judged, "validation")
 
 
 def coherence(df: DataFrame, entity: str = "entity") -> DataFrame:
@@ -209,7 +211,7 @@ def overall_quality(
         weighted_quality(F.col(accuracy), F.col(coherence), F.col(completeness)),
     )
     score = F.col("overall_score")
-    return scored.withColumns(
+    return settle(scored, "overall_score").withColumns(
         {
             "grade": grade(score),
             "overall_pass": score >= floors.overall_quality,
@@ -226,7 +228,8 @@ def threshold_gate(
     ``scores`` maps floor names to score columns.
     """
     limits = {name: getattr(floors, name) for name in scores}
-    return df.withColumn(
+    gated = df.withColumn(
         "reject_reasons",
         reject_reasons({name: F.col(c) for name, c in scores.items()}, limits),
     )
+    return settle(gated, "reject_reasons")

@@ -13,22 +13,22 @@ from chartloom.operators import elements as el
 from chartloom.operators import pages as pg
 from chartloom.operators import structure as st
 from chartloom.operators.parse import parse_documents, parser_chain, tree_parts
-from chartloom.queries.inputs import BLOCKS, LINES, paged_documents, table
+from chartloom.queries.inputs import BLOCKS, LINES, paged_documents, table, texts
 from chartloom.sources.files import scan_documents
 
 
 def _structured_pages(spark: SparkSession, sf: str) -> DataFrame:
-    return st.add_structure(el.html_to_elements(table(spark, sf, "pages").select("page_id", "html")))
+    return st.add_structure(el.html_to_elements(texts(spark, sf, "pages", "page_id", "html")))
 
 
 def _structured_documents(spark: SparkSession, sf: str) -> DataFrame:
     return st.add_structure(
-        el.text_to_elements(table(spark, sf, "documents").select("doc_id", "text"))
+        el.text_to_elements(texts(spark, sf, "documents", "doc_id", "text"))
     )
 
 
 def page_elements(spark, sf):
-    pages = el.html_to_elements(table(spark, sf, "pages").select("page_id", "html"))
+    pages = el.html_to_elements(texts(spark, sf, "pages", "page_id", "html"))
     return el.explode_elements(pages, "page_id").select(
         "page_id", F.col("pos").cast("bigint").alias("pos"), "type", "text"
     )
@@ -94,7 +94,7 @@ def parse_quality_gate(spark, sf):
         docs.withColumnRenamed("doc_id", "id").select(
             "kind", "id", "text", "sections", "tables", "parse_quality_score")
     )
-    return st.quality_gate(both).select(
+    return st.quality_gate(both, computed=True).select(
         "kind",
         "id",
         F.length("text").cast("bigint").alias("chars"),
@@ -107,7 +107,7 @@ def parse_quality_gate(spark, sf):
 def _page_files(spark, sf) -> DataFrame:
     """Pages as files: every fifth one is cut short inside a character."""
     html = F.encode("html", "UTF-8")
-    return table(spark, sf, "pages").select(
+    return texts(spark, sf, "pages", "page_id", "url", "html").select(
         F.col("url").alias("path"),
         F.lit(None).cast("timestamp").alias("modificationTime"),
         F.length(html).cast("bigint").alias("length"),
@@ -153,7 +153,7 @@ def _plain_parser():
 
 
 def fallback_parse(spark, sf):
-    files = table(spark, sf, "documents").select(
+    files = texts(spark, sf, "documents", "doc_id", "text").select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"),
         F.length(F.encode("text", "UTF-8")).cast("bigint").alias("length"),
         F.encode("text", "UTF-8").alias("content"),
@@ -220,7 +220,7 @@ def notes_by_page(spark, sf):
 
 def text_guard_truncate(spark, sf):
     text = F.col("text")
-    return table(spark, sf, "documents").select(
+    return texts(spark, sf, "documents", "doc_id", "text").select(
         "doc_id",
         is_short(text).alias("is_short"),
         F.md5(truncate(text, 4000)).alias("prompt_md5"),

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from chartloom.functions.jsonval import to_json
 from chartloom.operators.elements import element_tree, text_elements
+from chartloom.sources.tables import spread
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def texts(spark: SparkSession, sf_dir: str, name: str, key: str, *columns: str) -> DataFrame:
+    """Columns of a text table, spread for work that is heavy per row."""
+    return spread(table(spark, sf_dir, name).select(key, *columns), key)
+
+
 def lit_null() -> Column:
     return F.lit(None).cast("string")
 
@@ -108,7 +114,10 @@ def _note(e: Column, k: Column) -> Column:
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a visit: identity, entity struct and JSON, and the note."""
-    orders = table(spark, sf_dir, "orders")
+    orders = texts(
+        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
+        "o_orderdate", "o_orderpriority",
+    )
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
     k = F.col("o_orderkey")
     visits = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
@@ -204,7 +213,7 @@ def paged_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         lambda line, n: F.when((n > 0) & (n % 10 == 0), F.concat(F.lit("\f"), line)).otherwise(line),
     )
     paged = F.array_join(lines, "\n")
-    return table(spark, sf_dir, "documents").select(
+    return texts(spark, sf_dir, "documents", "doc_id", "text").select(
         F.concat(F.lit("doc/"), F.col("doc_id").cast("string")).alias("path"),
         element_tree(text_elements(paged)).alias("parsed_content"),
     )

@@ -1,2 +1,506 @@
-QUERIES = {}
-ORACLES = {}
+"""Ambiguities, questions, review, answers and notes."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chartloom.operators import measures
+from chartloom.operators import review as rv
+from chartloom.operators import soap
+from chartloom.plans import gold
+from chartloom.queries.entities import LEAVES
+from chartloom.queries.inputs import ENC, encounters, table
+
+STAMP = "2024-06-01 12:00:00"
+
+
+def _now():
+    return F.lit(STAMP).cast("timestamp_ntz").cast("timestamp")
+
+
+def _detected(spark, sf) -> DataFrame:
+    return rv.detect_ambiguities(encounters(spark, sf))
+
+
+def ambiguity_rules(spark, sf):
+    return _detected(spark, sf).select("document_id", F.explode("ambiguities").alias("a")).select(
+        "document_id", "a.id", "a.category", "a.field", "a.clinical_importance"
+    )
+
+
+def ambiguity_scores(spark, sf):
+    return _detected(spark, sf).select(
+        "document_id",
+        F.size("ambiguities").cast("bigint").alias("ambiguities"),
+        F.col("critical_fields_missing").cast("bigint").alias("critical_fields_missing"),
+        F.round("confidence_score", 6).alias("confidence_score"),
+        F.round("completeness_before", 6).alias("completeness_before"),
+        "requires_review",
+    )
+
+
+def top_questions(spark, sf):
+    asked = rv.make_questions(_detected(spark, sf))
+    return asked.select("document_id", F.explode("questions").alias("q")).select(
+        "document_id", "q.id", F.col("q.priority").cast("bigint").alias("priority"),
+        "q.ambiguity_id", "q.field_to_update", "q.text", "q.input_type",
+        F.array_join("q.options", ",").alias("options"),
+    )
+
+
+def top_ambiguities(spark, sf):
+    rows = _detected(spark, sf).select(
+        "document_id", F.posexplode("ambiguities").alias("pos", "a")
+    ).select("document_id", "pos", "a.field", "a.clinical_importance")
+    return rv.by_importance(rows).select(
+        "document_id", "field", F.col("priority").cast("bigint").alias("priority")
+    )
+
+
+def routes(spark, sf):
+    routed = rv.route(_detected(spark, sf))
+    return measures.status_tally(routed).withColumnRenamed("count", "documents")
+
+
+def _queue(spark, sf) -> DataFrame:
+    return gold.review_queue(gold.assessed(encounters(spark, sf).drop("entity")), _now())
+
+
+def review_queue(spark, sf):
+    return _queue(spark, sf).select(
+        "mrn", "patient_name", "visit_date", "document_id", "entities", "source_text", "status",
+        F.get_json_object("questions", "$.total_questions").cast("bigint").alias("questions"),
+        F.get_json_object("questions", "$.estimated_review_time_seconds")
+        .cast("bigint").alias("seconds"),
+        F.json_array_length(F.get_json_object("ambiguities", "$.ambiguities"))
+        .cast("bigint").alias("ambiguities"),
+        F.round(F.col("completeness_before").cast("double"), 4).alias("completeness_before"),
+    )
+
+
+def _answers(spark, sf) -> DataFrame:
+    """Line items as answers: many per question, some empty, some to unknown documents."""
+    return table(spark, sf, "lineitem").select(
+        F.concat(F.lit("enc-"), F.col("l_orderkey").cast("string")).alias("document_id"),
+        F.concat(F.lit("q"), F.col("l_linenumber").cast("string")).alias("question_id"),
+        F.when(F.col("l_returnflag") == "N", "")
+        .otherwise(F.concat_ws(" ", "l_returnflag", F.col("l_partkey").cast("string")))
+        .alias("answer"),
+        F.col("l_shipdate").cast("timestamp").alias("answered_at"),
+    )
+
+
+def _merged(spark, sf) -> DataFrame:
+    return gold.merged_answers(_queue(spark, sf), _answers(spark, sf))
+
+
+def feedback_changes(spark, sf):
+    return _merged(spark, sf).select("document_id", F.explode("changes").alias("c")).select(
+        "document_id", "c.question_id", "c.field", "c.old_value", "c.new_value", "c.source"
+    )
+
+
+def feedback_metrics(spark, sf):
+    return _merged(spark, sf).select(
+        "document_id",
+        F.round("completeness_before", 6).alias("before"),
+        F.round("completeness_after", 6).alias("after"),
+        F.round("improvement_delta", 6).alias("delta"),
+        F.col("fields_attempted").cast("bigint").alias("attempted"),
+        F.col("fields_improved").cast("bigint").alias("improved"),
+    )
+
+
+def validated_entities(spark, sf):
+    queue, answers = _queue(spark, sf), _answers(spark, sf)
+    done = gold.reviewed(queue, answers, _now())
+    return done.validated_entities.select(
+        "document_id",
+        F.round(F.col("validation_score").cast("double"), 4).alias("validation_score"),
+        F.col("human_verified_fields").cast("bigint").alias("human_verified_fields"),
+        F.date_format("human_review_timestamp", "yyyy-MM-dd HH:mm:ss").alias("reviewed_at"),
+    )
+
+
+def unknown_documents(spark, sf):
+    """Answers to documents that went straight to a note."""
+    return rv.unknown_documents(_answers(spark, sf), _queue(spark, sf))
+
+
+def unprocessed(spark, sf):
+    docs = table(spark, sf, "documents").select(F.col("doc_id").alias("document_id"), "source")
+    done = table(spark, sf, "labels").select(F.col("doc_id").alias("document_id"))
+    return rv.unprocessed(docs, done)
+
+
+def latest_status(spark, sf):
+    log = table(spark, sf, "events").select(
+        F.col("user_id").alias("document_id"),
+        F.col("event_type").alias("status"),
+        F.col("ts").alias("updated_timestamp"),
+        "event_id",
+    )
+    return rv.latest_status(log, "event_id").select("document_id", "status", "event_id")
+
+
+def queue_status(spark, sf):
+    """Queue entries and their completion as one log, newest state per document."""
+    queue = _queue(spark, sf)
+    waiting = queue.select(
+        "document_id", "status", F.col("created_timestamp").alias("updated_timestamp"))
+    later = _now() + F.expr("INTERVAL 1 DAY")
+    answered = rv.latest_answers(_answers(spark, sf)).select("document_id").distinct()
+    finished = rv.advance_status(
+        queue.select("document_id").join(answered, "document_id", "left_semi"),
+        rv.COMPLETED, later,
+    )
+    return rv.latest_status(waiting.unionByName(finished)).select("document_id", "status")
+
+
+def rendered_notes(spark, sf):
+    return encounters(spark, sf).select(
+        "document_id", soap.render_soap(F.col("entity"), F.lit(0)).alias("soap_note")
+    )
+
+
+def note_sections(spark, sf):
+    """Notes with a preamble, repeated sections, empty ones and text behind markers."""
+    k = F.col("k")
+    note = F.concat(
+        F.when(k % 3 == 0, "Preamble\n").otherwise(""),
+        F.lit("**SUBJECTIVE** dropped\n "), F.coalesce(F.col("entity.chief_complaint"), F.lit("")),
+        F.lit("\n\n**OBJECTIVE**"),
+        F.when(k % 4 == 0, "\n**OBJECTIVE**\nsecond").when(k % 4 == 1, "\nfirst").otherwise(""),
+        F.lit("\n**PLAN**\nrest\n"),
+        F.when(k % 5 == 0, "**PLAN**").when(k % 5 == 1, "**PLAN**\n\nlast  ").otherwise(""),
+    )
+    split = soap.split_soap(encounters(spark, sf).select("document_id", note.alias("soap_note")))
+    return split.select(
+        "document_id",
+        "sections.*",
+        soap.sections_document(F.col("sections")).alias("document"),
+    )
+
+
+def auto_summaries(spark, sf):
+    decided = gold.assessed(encounters(spark, sf).drop("entity"))
+    return _summary_columns(gold.auto_summaries(decided, _now()))
+
+
+def _summary_columns(summaries: DataFrame) -> DataFrame:
+    return summaries.select(
+        "document_id", "mrn",
+        F.md5("soap_note").alias("note_md5"),
+        F.get_json_object("quality_metrics", "$.word_count").cast("bigint").alias("words"),
+        F.get_json_object("quality_metrics", "$.human_verified_fields")
+        .cast("bigint").alias("verified"),
+        F.json_array_length("human_feedback").cast("bigint").alias("feedback"),
+        F.round(F.col("completeness_before").cast("double"), 4).alias("before"),
+        F.round(F.col("completeness_after").cast("double"), 4).alias("after"),
+    )
+
+
+def all_summaries(spark, sf):
+    """Automatic and reviewed notes in one table: how many, and their measures."""
+    decided = gold.assessed(encounters(spark, sf).drop("entity"))
+    queue = gold.review_queue(decided, _now())
+    done = gold.reviewed(queue, _answers(spark, sf), _now())
+    both = rv.union_all(
+        gold.auto_summaries(decided, _now()).withColumn("kind", F.lit("auto")),
+        done.clinical_summaries.withColumn("kind", F.lit("reviewed")),
+    )
+    return both.groupBy("kind").agg(
+        F.count(F.lit(1)).alias("notes"),
+        F.round(F.avg(F.col("completeness_before").cast("double")), 4).alias("before"),
+        F.round(F.avg(F.col("completeness_after").cast("double")), 4).alias("after"),
+        F.sum(F.json_array_length("human_feedback")).cast("bigint").alias("changes"),
+    )
+
+
+def visit_notes(spark, sf):
+    """Page fields of every visit to notes; one in nine extractions fails."""
+    def extract(df: DataFrame) -> DataFrame:
+        visits = df.withColumn("_n", F.substring("mrn", 4, 8).cast("int"))
+        return visits.withColumn(
+            "entities",
+            F.when(F.col("_n") % 9 == 0, '{"error": "API timeout"}').otherwise(
+                F.concat(F.lit('{"chief_complaint": "visit of '), F.col("visit_date"), F.lit('"}'))
+            ),
+        ).drop("_n")
+
+    visits = encounters(spark, sf).select(
+        "mrn", "patient_name", "visit_date", F.split("text", "\n").alias("sections")
+    )
+    return gold.visit_notes(visits, _now(), extract).select(
+        "mrn", "visit_date", "document_id",
+        F.substring_index("soap_note", "\n", 3).alias("opening"),
+        F.round(F.col("completeness_after").cast("double"), 4).alias("completeness"),
+        "human_feedback", "status",
+    )
+
+
+QUERIES: dict[str, Callable] = {
+    fn.__name__: fn
+    for fn in (
+        ambiguity_rules, ambiguity_scores, top_questions, top_ambiguities, routes, review_queue,
+        feedback_changes, feedback_metrics, validated_entities, unknown_documents, unprocessed,
+        latest_status, queue_status, rendered_notes, note_sections, auto_summaries,
+        all_summaries, visit_notes,
+    )
+}
+
+
+def _finding(condition: str, category: str, field: str, importance: str) -> str:
+    return (f"CASE WHEN {condition} THEN {{'category': '{category}', 'field': {field}, "
+            f"'importance': '{importance}'}} END")
+
+
+def _of_items(items: str, findings: list[tuple[str, str, str]]) -> str:
+    cases = ", ".join(
+        _finding(f"coalesce(e.{items}[i].{leaf}, '') = ''", category,
+                 f"'{items}[' || (i - 1) || '].{leaf}'", importance)
+        for leaf, category, importance in findings
+    )
+    return f"flatten([[{cases}] FOR i IN range(1, len(e.{items}) + 1)])"
+
+
+AMB = f"""
+found AS (
+  SELECT *, list_filter(list_concat([
+      {_finding("coalesce(e.chief_complaint, '') = ''", "missing_information",
+                "'chief_complaint'", "high")},
+      {_finding("len(e.diagnoses) = 0", "missing_information", "'diagnoses'", "high")},
+      {_finding("len(e.medications) = 0", "missing_information", "'medications'", "medium")},
+      {_finding("len(e.medications) > 0 AND len(e.diagnoses) = 0", "logic_gap",
+                "'medications'", "high")}],
+    {_of_items("symptoms", [("severity", "insufficient_detail", "high"),
+                            ("location", "insufficient_detail", "medium"),
+                            ("onset", "temporal_inconsistency", "medium")])},
+    {_of_items("medications", [("dosage", "insufficient_detail", "high"),
+                               ("frequency", "insufficient_detail", "low")])}),
+    lambda a: a IS NOT NULL) AS amb
+  FROM leaves
+), judged AS (
+  SELECT *, len(list_filter(amb, lambda a: a.category = 'missing_information')) AS critical,
+    greatest(1::DOUBLE - 0.05::DOUBLE * len(amb), 0::DOUBLE) AS confidence,
+    filled::DOUBLE / total AS before
+  FROM found
+), routed AS (
+  SELECT *, critical > 0 OR confidence < 0.75::DOUBLE AS review FROM judged
+), arows AS (
+  SELECT document_id, review, i, a.category AS category, a.field AS field, a.importance AS importance,
+    row_number() OVER (PARTITION BY document_id ORDER BY
+      CASE a.importance WHEN 'high' THEN 1 WHEN 'medium' THEN 2 ELSE 3 END, i) AS rn
+  FROM (SELECT document_id, review, unnest(amb) AS a, generate_subscripts(amb, 1) AS i FROM routed)
+)"""
+BASE = f"WITH {ENC}, {LEAVES}, {AMB}"
+
+FEEDBACK = """
+ans AS (
+  SELECT document_id, question_id, answer FROM (
+    SELECT 'enc-' || l_orderkey AS document_id, 'q' || l_linenumber AS question_id,
+      CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag || ' ' || l_partkey END AS answer,
+      row_number() OVER (PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC,
+        CASE WHEN l_returnflag = 'N' THEN '' ELSE l_returnflag || ' ' || l_partkey END DESC) AS rn
+    FROM lineitem) WHERE rn = 1 AND answer <> ''
+), hit AS (
+  SELECT a.document_id, a.rn, a.field, 'q' || a.rn AS question_id, ans.answer
+  FROM arows a JOIN ans ON ans.document_id = a.document_id AND ans.question_id = 'q' || a.rn
+  WHERE a.review AND a.rn <= 5
+), chg AS (
+  SELECT h.*, lag(answer) OVER (PARTITION BY h.document_id, field ORDER BY rn) AS previous, enc.e AS e,
+    CASE WHEN field LIKE '%[%' THEN regexp_extract(field, '\\[(\\d+)', 1)::INT END AS item
+  FROM hit h JOIN enc USING (document_id)
+), changes AS (
+  SELECT *, coalesce(previous, CASE
+    WHEN field = 'chief_complaint' THEN e.chief_complaint
+    WHEN field = 'diagnoses' THEN '[]'
+    WHEN field = 'medications' THEN CASE WHEN len(e.medications) = 0 THEN '[]' ELSE
+      '[{"name": "' || e.medications[1].name || '", "dosage": '
+      || coalesce('"' || e.medications[1].dosage || '"', 'null') || ', "frequency": '
+      || coalesce('"' || e.medications[1].frequency || '"', 'null') || ', "route": null}]' END
+    WHEN field LIKE '%.severity' THEN e.symptoms[item + 1].severity
+    WHEN field LIKE '%.location' THEN e.symptoms[item + 1].location
+    WHEN field LIKE '%.onset' THEN e.symptoms[item + 1].onset
+    WHEN field LIKE '%.dosage' THEN e.medications[item + 1].dosage
+    ELSE e.medications[item + 1].frequency END) AS old_value
+  FROM chg
+)"""
+REVIEWED = f"{BASE}, {FEEDBACK}"
+
+# A reviewer's text in place of the medication list takes that list's leaves away; a
+# later answer about one of its items then finds nothing to write to.
+EFFECT = """
+gone AS (
+  SELECT document_id, min(rn) AS gone_at FROM changes
+  WHERE field = 'medications' AND len(e.medications) > 0 GROUP BY document_id
+), fit AS (
+  SELECT c.*, NOT coalesce(c.field LIKE 'medications[%' AND c.rn > g.gone_at, false) AS fits,
+    g.gone_at
+  FROM changes c LEFT JOIN gone g USING (document_id)
+), eff AS (
+  SELECT document_id, count(*) AS attempted,
+    count(*) FILTER (WHERE fits AND coalesce(old_value, '') <> answer) AS improved,
+    count(DISTINCT field) FILTER (WHERE fits AND field IN ('diagnoses', 'medications')) AS added,
+    count(DISTINCT field) FILTER (WHERE fits AND previous IS NULL
+      AND NOT (field LIKE 'medications[%' AND gone_at IS NOT NULL)) AS newly_filled,
+    max(gone_at) IS NOT NULL AS list_gone
+  FROM fit GROUP BY document_id
+), meas AS (
+  SELECT r.document_id, r.e, r.before, attempted, improved,
+    (filled + newly_filled - CASE WHEN list_gone THEN 1 + CASE WHEN e.medications[1].dosage IS NULL
+       THEN 0 ELSE 1 END + CASE WHEN e.medications[1].frequency IS NULL THEN 0 ELSE 1 END ELSE 0 END
+    )::DOUBLE / (total + added - CASE WHEN list_gone THEN 4 ELSE 0 END) AS after
+  FROM eff JOIN routed r USING (document_id)
+)"""
+
+_QUESTION = """
+CASE regexp_extract(field, '([^.]+)$', 1)
+  WHEN 'chief_complaint' THEN 'What is the chief complaint?'
+  WHEN 'diagnoses' THEN 'Which diagnosis applies?'
+  WHEN 'medications' THEN 'Which medications does the patient take, and why?'
+  WHEN 'severity' THEN 'How severe is the symptom?'
+  WHEN 'location' THEN 'Where is the symptom located?'
+  WHEN 'onset' THEN 'When did the symptom start?'
+  WHEN 'dosage' THEN 'What is the dosage?'
+  ELSE 'How often is it taken?' END"""
+
+
+def _note(e: str, verified: str) -> str:
+    def gap(value: str) -> str:
+        return f"coalesce(nullif({value}, ''), 'Not documented')"
+
+    def part(value: str, prefix: str = "", suffix: str = "") -> str:
+        return f"coalesce('{prefix}' || nullif({value}, '') || '{suffix}', '')"
+
+    history = (f"[s.symptom || {part('s.onset', ', onset ')} || {part('s.severity', ', ')} || "
+               f"{part('s.location', ', location ')} FOR s IN {e}.symptoms]")
+    drugs = (f"[concat_ws(' ', m.name, nullif(m.dosage, ''), nullif(m.frequency, '')) "
+             f"FOR m IN {e}.medications]")
+    assessed = (f"[i || '. ' || {e}.diagnoses[i].diagnosis || "
+                f"{part(f'{e}.diagnoses[i].icd10_code', ' (', ')')} || "
+                f"{part(f'{e}.diagnoses[i].status', ' - ')} "
+                f"FOR i IN range(1, len({e}.diagnoses) + 1)]")
+    v, s = f"{e}.vital_signs", f"{e}.social_history"
+    signs = (f"concat_ws(', ', 'BP: ' || {v}.blood_pressure, 'HR: ' || {v}.heart_rate, "
+             f"'Temp: ' || {v}.temperature, 'SpO2: ' || {v}.oxygen_saturation)")
+    nl = "chr(10)"
+    pieces = [
+        "'**SUBJECTIVE**'", nl, nl, "'Chief Complaint: '", gap(f"{e}.chief_complaint"),
+        nl, nl, "'History of Present Illness:'", nl, gap(f"array_to_string({history}, {nl})"),
+        nl, nl, "'Medications: '", gap(f"array_to_string({drugs}, '; ')"),
+        nl, nl, "'Allergies: '", gap(f"array_to_string({e}.allergies, ', ')"),
+        nl, nl, "'Social History: '", gap(f"coalesce('smoking: ' || {s}.smoking, '')"),
+        nl, nl, "'**OBJECTIVE**'", nl, nl, "'Vital Signs:'", nl, gap(signs),
+        nl, nl, "'Physical Examination:'", nl, "'Not documented'",
+        nl, nl, "'**ASSESSMENT**'", nl, nl, gap(f"array_to_string({assessed}, {nl})"),
+        nl, nl, "'**PLAN**'", nl, nl, "'Diagnostics:'", nl,
+        gap(f"array_to_string([p.procedure FOR p IN {e}.procedures], {nl})"),
+        nl, nl, "'Treatment:'", nl, gap(f"array_to_string({drugs}, {nl})"),
+        nl, nl, "'Follow-up:'", nl, "'Not documented'",
+        nl, nl, "'Human-verified fields: '", verified,
+    ]
+    return " || ".join(pieces)
+
+
+ORACLES: dict[str, str] = {
+    "ambiguity_rules": f"""
+{BASE}
+SELECT document_id, 'amb_' || i AS id, category, field, importance AS clinical_importance
+FROM arows""",
+    "ambiguity_scores": f"""
+{BASE}
+SELECT document_id, len(amb) AS ambiguities, critical AS critical_fields_missing,
+  round(confidence, 6) AS confidence_score, round(before, 6) AS completeness_before,
+  review AS requires_review
+FROM routed""",
+    "top_questions": f"""
+{BASE}
+SELECT document_id, 'q' || rn AS id, rn AS priority, 'amb_' || i AS ambiguity_id,
+  field AS field_to_update, {_QUESTION} AS text,
+  CASE WHEN field LIKE '%.severity' OR field LIKE '%.frequency' THEN 'select' ELSE 'text' END
+    AS input_type,
+  CASE WHEN field LIKE '%.severity' THEN 'mild,moderate,severe'
+    WHEN field LIKE '%.frequency' THEN 'daily,BID,TID,PRN' ELSE '' END AS options
+FROM arows WHERE rn <= 5""",
+    "top_ambiguities": f"""
+{BASE} SELECT document_id, field, rn AS priority FROM arows WHERE rn <= 5""",
+    "routes": f"""
+{BASE}
+SELECT CASE WHEN review THEN 'pending_review' ELSE 'completed_auto' END AS status,
+  count(*) AS documents FROM routed GROUP BY review""",
+    "review_queue": f"""
+{BASE}
+SELECT mrn, patient_name, visit_date, document_id, entities, text[1:5000] AS source_text,
+  'pending_review' AS status, least(len(amb), 5) AS questions, 18 * least(len(amb), 5) AS seconds,
+  len(amb) AS ambiguities, round(before::FLOAT::DOUBLE, 4) AS completeness_before
+FROM routed WHERE review""",
+    "feedback_changes": f"""
+{REVIEWED}, {EFFECT}
+SELECT document_id, question_id, field, CASE WHEN fits THEN old_value END AS old_value,
+  CASE WHEN fits THEN answer END AS new_value, 'human_review' AS source
+FROM fit""",
+    "feedback_metrics": f"""
+{REVIEWED}, {EFFECT}
+SELECT document_id, round(before, 6) AS before, round(after, 6) AS after,
+  round(after - before, 6) AS delta, attempted, improved FROM meas""",
+    "validated_entities": f"""
+{REVIEWED}, {EFFECT}
+SELECT document_id, round(after::FLOAT::DOUBLE, 4) AS validation_score,
+  attempted AS human_verified_fields, '{STAMP}' AS reviewed_at FROM meas""",
+    "unknown_documents": f"""
+{BASE}
+SELECT document_id, 'error' AS status,
+  'Document ' || document_id || ' not found in review queue' AS message
+FROM (SELECT DISTINCT 'enc-' || l_orderkey AS document_id FROM lineitem)
+WHERE document_id NOT IN (SELECT document_id FROM routed WHERE review)""",
+    "unprocessed": """
+SELECT doc_id AS document_id, source FROM documents
+WHERE doc_id NOT IN (SELECT doc_id FROM labels)""",
+    "latest_status": """
+SELECT user_id AS document_id, event_type AS status, event_id FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_type DESC,
+    event_id DESC) AS rn FROM events) WHERE rn = 1""",
+    "queue_status": f"""
+{REVIEWED}
+SELECT document_id, CASE WHEN document_id IN (SELECT document_id FROM ans) THEN 'completed'
+  ELSE 'pending_review' END AS status
+FROM routed WHERE review""",
+    "rendered_notes": f"""
+WITH {ENC} SELECT document_id, {_note("e", "'0'")} AS soap_note FROM enc""",
+    "note_sections": f"""
+WITH {ENC}, s AS (
+  SELECT document_id, trim(coalesce(e.chief_complaint, ''), ' ') AS subjective,
+    CASE k % 4 WHEN 0 THEN 'second' WHEN 1 THEN 'first' END AS objective,
+    CASE k % 5 WHEN 1 THEN 'last' ELSE 'rest' END AS plan
+  FROM enc)
+SELECT document_id, subjective, objective, NULL AS assessment, plan,
+  '{{"subjective":"' || subjective || '"' || coalesce(',"objective":"' || objective || '"', '')
+  || ',"plan":"' || plan || '"}}' AS document
+FROM s""",
+    "auto_summaries": f"""
+{BASE}, n AS (SELECT *, {_note("e", "'0'")} AS note FROM routed WHERE NOT review)
+SELECT document_id, mrn, md5(note) AS note_md5,
+  len(regexp_extract_all(note, '\\S+')) AS words, 0 AS verified, 0 AS feedback,
+  round(before::FLOAT::DOUBLE, 4) AS before, round(before::FLOAT::DOUBLE, 4) AS after
+FROM n""",
+    "all_summaries": f"""
+{REVIEWED}, {EFFECT}
+SELECT 'auto' AS kind, count(*) AS notes, round(avg(before::FLOAT::DOUBLE), 4) AS before,
+  round(avg(before::FLOAT::DOUBLE), 4) AS after, 0 AS changes
+FROM routed WHERE NOT review
+UNION ALL
+SELECT 'reviewed', count(*), round(avg(before::FLOAT::DOUBLE), 4),
+  round(avg(after::FLOAT::DOUBLE), 4), sum(attempted)::BIGINT FROM meas""",
+    "visit_notes": f"""
+WITH {ENC}, v AS (SELECT *, substr(mrn, 4)::INT % 9 = 0 AS bad FROM enc)
+SELECT mrn, visit_date, CASE WHEN bad THEN 'error' ELSE mrn || '_' || visit_date END AS document_id,
+  CASE WHEN bad THEN 'Error: API timeout' ELSE '**SUBJECTIVE**' || chr(10) || chr(10)
+    || 'Chief Complaint: visit of ' || visit_date END AS opening,
+  CASE WHEN bad THEN 0::DOUBLE ELSE 1::DOUBLE END AS completeness, '[]' AS human_feedback,
+  CASE WHEN bad THEN 'error' ELSE 'success' END AS status
+FROM v""",
+}

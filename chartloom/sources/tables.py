@@ -42,6 +42,15 @@ def materialise(df: DataFrame, name: str = "stage") -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Input of few partitions over all cores, ahead of work that is heavy per row.
+
+    A scan that already has a partition per core, as any large one has, stays as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
+
+
 def conform(df: DataFrame, contract: StructType) -> DataFrame:
     """Exactly the contract's columns, in its order and types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])
