@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.jsonval import to_json
+from chartloom.operators import unnest
 from chartloom.schemas import ELEMENT_TREE, ELEMENTS
 
 # Element categories.
@@ -95,9 +96,7 @@ def text_to_elements(documents: DataFrame, text: str = "text") -> DataFrame:
 
 def explode_elements(df: DataFrame, *keys: str) -> DataFrame:
     """One row per element, with its position; documents without elements drop out."""
-    return df.select(*keys, F.posexplode("elements").alias("pos", "element")).select(
-        *keys, "pos", "element.*"
-    )
+    return unnest(df, "elements", *keys).select(*keys, "pos", "item.*")
 
 
 def element_tree(elements: Column) -> Column:

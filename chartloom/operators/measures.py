@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.config import HIGH_SOAP_QUALITY
+from chartloom.operators import unnest
 
 
 def extraction_stats(df: DataFrame, entities: str = "entities") -> DataFrame:
@@ -119,7 +120,8 @@ def run_metrics(df: DataFrame, stage: str, metrics: dict[str, Column], start: Co
         *[F.struct(F.lit(n).alias("metric"), v.cast("double").alias("value"))
           for n, v in metrics.items()]
     )
-    return df.select("document_id", F.explode(pairs).alias("m"), start.alias("start_time")).select(
+    timed = df.withColumn("start_time", start)
+    return unnest(timed, pairs, "document_id", "start_time", item="m").select(
         "document_id", F.lit(stage).alias("stage"), "m.metric", "m.value", "start_time"
     )
 

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.text import PAGE_LABELS, field_name, labelled_value
+from chartloom.operators import unnest
 from chartloom.operators.elements import first_page, read_element_tree
 
 
@@ -19,7 +20,7 @@ def tree_rows(docs_parsed: DataFrame, *keep: str) -> DataFrame:
     tree = docs_parsed.select(
         "path", *keep, read_element_tree(F.col("parsed_content")).alias("pc")
     )
-    return tree.select("path", *keep, F.explode("pc.document.elements").alias("e")).select(
+    return unnest(tree, "pc.document.elements", "path", *keep, item="e").select(
         "path", *keep, first_page(F.col("e.bbox")).alias("page_id"), "e.id", "e.type", "e.content"
     )
 
@@ -80,9 +81,8 @@ def pages_of_tree(docs_parsed: DataFrame) -> DataFrame:
             F.array_compact(contents).alias("Notes"),
         )
 
-    return df.select("path", F.explode(F.transform(F.col("starts"), page)).alias("p")).select(
-        "path", "p.*"
-    )
+    pages = df.select("path", F.transform(F.col("starts"), page).alias("pages"))
+    return unnest(pages, "pages", "path", item="p").select("path", "p.*")
 
 
 def notes_by_page(
@@ -136,4 +136,4 @@ def flat_fields(docs_parsed: DataFrame, labels: Sequence[str], *keep: str) -> Da
 def explode_matches(df: DataFrame, col: str, pattern: str, group: int = 1) -> DataFrame:
     """One row per match of a regular expression."""
     found = F.regexp_extract_all(F.col(col).cast("string"), F.lit(pattern), F.lit(group))
-    return df.withColumn("comments", F.explode(found))
+    return unnest(df, found, *df.columns, item="comments").drop("pos")

@@ -11,7 +11,7 @@ from pyspark.sql.types import ArrayType
 from chartloom.config import AMBIGUITY_TEXT_CHARS, MAX_QUESTIONS, QUEUE_TEXT_CHARS, QualityFloors
 from chartloom.functions.jsonval import completeness, number_or, reply_or_default, to_json
 from chartloom.functions.text import truncate
-from chartloom.operators import settle
+from chartloom.operators import settle, unnest
 from chartloom.operators.entities import apply_patches
 from chartloom.operators.infer import render_prompt
 from chartloom.schemas import AMBIGUITY, CHANGE, QUESTION, QUESTIONS_DOC
@@ -340,9 +340,7 @@ def answered_questions(queue: DataFrame, answers: DataFrame) -> DataFrame:
     document.  Answers meet their questions on document and question together, so no
     document gathers more answers than it has questions, however many were sent.
     """
-    asked = queue.select(
-        "document_id", F.posexplode("questions").alias("pos", "q")
-    ).select(
+    asked = unnest(queue, "questions", "document_id", item="q").select(
         "document_id", "pos", F.col("q.id").alias("question_id"),
         F.col("q.field_to_update").alias("field"),
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chartloom.functions import ids
 from chartloom.functions.text import is_short, truncate, word_count
 from chartloom.operators import elements as el
+from chartloom.operators import unnest
 from chartloom.operators import pages as pg
 from chartloom.operators import structure as st
 from chartloom.operators.parse import parse_documents, parser_chain, tree_parts
@@ -36,9 +37,7 @@ def page_elements(spark, sf):
 
 def page_sections(spark, sf):
     pages = _structured_pages(spark, sf)
-    return pages.select(
-        "page_id", F.posexplode("sections").alias("section", "s")
-    ).select(
+    return unnest(pages, "sections", "page_id", pos="section", item="s").select(
         "page_id",
         F.col("section").cast("bigint").alias("section"),
         "s.title",
@@ -49,7 +48,7 @@ def page_sections(spark, sf):
 
 def document_sections(spark, sf):
     docs = _structured_documents(spark, sf)
-    return docs.select("doc_id", F.posexplode("sections").alias("section", "s")).select(
+    return unnest(docs, "sections", "doc_id", pos="section", item="s").select(
         "doc_id",
         F.col("section").cast("bigint").alias("section"),
         "s.title",
@@ -60,7 +59,7 @@ def document_sections(spark, sf):
 
 def document_tables(spark, sf):
     docs = _structured_documents(spark, sf)
-    return docs.select("doc_id", F.posexplode("tables").alias("n", "t")).select(
+    return unnest(docs, "tables", "doc_id", pos="n", item="t").select(
         "doc_id", F.col("n").cast("bigint").alias("n"), "t.data", "t.type", "t.text"
     )
 

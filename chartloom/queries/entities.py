@@ -177,7 +177,7 @@ def gold_validated(spark, sf):
     )
 
 
-def _documents_as_parsed(spark, sf) -> DataFrame:
+def documents_as_parsed(spark, sf) -> DataFrame:
     return table(spark, sf, "documents").select(
         F.col("doc_id").cast("string").alias("document_id"),
         F.col("source").alias("path"),
@@ -187,7 +187,7 @@ def _documents_as_parsed(spark, sf) -> DataFrame:
     )
 
 
-def _odd_extraction(df: DataFrame) -> DataFrame:
+def odd_extraction(df: DataFrame) -> DataFrame:
     """Entities with every kind of trouble, by document id."""
     number = F.col("document_id").cast("bigint")
     return df.withColumn(
@@ -200,24 +200,24 @@ def _odd_extraction(df: DataFrame) -> DataFrame:
 
 
 def silver_entities(spark, sf):
-    kept = silver.extracted_entities(_documents_as_parsed(spark, sf), _odd_extraction)
+    kept = silver.extracted_entities(documents_as_parsed(spark, sf), odd_extraction)
     return kept.select("document_id", "path", "extracted_entities")
 
 
 def silver_entities_legacy(spark, sf):
     kept = silver.extracted_entities(
-        _documents_as_parsed(spark, sf), _odd_extraction, legacy_error_match=True
+        documents_as_parsed(spark, sf), odd_extraction, legacy_error_match=True
     )
     return kept.select("document_id", "path", "extracted_entities")
 
 
 def expectation_counts(spark, sf):
-    made = silver.candidates(_documents_as_parsed(spark, sf), _odd_extraction)
+    made = silver.candidates(documents_as_parsed(spark, sf), odd_extraction)
     return va.expectation_counts(made, va.extraction_rules("extracted_entities"))
 
 
 def quarantine(spark, sf):
-    marked = silver.with_quarantine(_documents_as_parsed(spark, sf), _odd_extraction)
+    marked = silver.with_quarantine(documents_as_parsed(spark, sf), odd_extraction)
     return marked.filter(~F.col("kept")).select(
         "document_id", F.array_join("failed_rules", ";").alias("failed_rules")
     )
@@ -311,7 +311,7 @@ def _leaf_union() -> str:
     return " UNION ALL ".join(parts)
 
 
-_ODD = """
+ODD = """
 odd AS (
   SELECT doc_id, source, CASE WHEN doc_id % 13 = 0 THEN NULL
     WHEN doc_id % 11 = 0 THEN '{"error": "API timeout"}'
@@ -384,15 +384,15 @@ FROM scored""",
 SELECT document_id AS path, round(accuracy, 6) AS accuracy_score, len(missing) AS issues
 FROM scored WHERE accuracy >= 0.75""",
     "silver_entities": f"""
-WITH {_ODD}
+WITH {ODD}
 SELECT doc_id::VARCHAR AS document_id, source AS path, x AS extracted_entities
 FROM odd WHERE x IS NOT NULL AND json_extract_string(x, '$.error') IS NULL""",
     "silver_entities_legacy": f"""
-WITH {_ODD}
+WITH {ODD}
 SELECT doc_id::VARCHAR AS document_id, source AS path, x AS extracted_entities
 FROM odd WHERE x IS NOT NULL AND x NOT LIKE '%error%'""",
     "expectation_counts": f"""
-WITH {_ODD}
+WITH {ODD}
 SELECT count(*) AS total,
   count(*) FILTER (WHERE x IS NOT NULL AND json_extract_string(x, '$.error') IS NULL) AS kept,
   count(*) FILTER (WHERE x IS NULL) AS failed_has_entities,
@@ -400,7 +400,7 @@ SELECT count(*) AS total,
     AS failed_no_extraction_errors
 FROM odd""",
     "quarantine": f"""
-WITH {_ODD}
+WITH {ODD}
 SELECT doc_id::VARCHAR AS document_id,
   CASE WHEN x IS NULL THEN 'has_entities' ELSE 'no_extraction_errors' END AS failed_rules
 FROM odd WHERE x IS NULL OR json_extract_string(x, '$.error') IS NOT NULL""",

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from chartloom.operators import measures
 from chartloom.operators import review as rv
-from chartloom.operators import soap
+from chartloom.operators import soap, unnest
 from chartloom.plans import gold
 from chartloom.queries.entities import LEAVES
 from chartloom.queries.inputs import ENC, encounters, table
@@ -26,7 +26,7 @@ def _detected(spark, sf) -> DataFrame:
 
 
 def ambiguity_rules(spark, sf):
-    return _detected(spark, sf).select("document_id", F.explode("ambiguities").alias("a")).select(
+    return unnest(_detected(spark, sf), "ambiguities", "document_id", item="a").select(
         "document_id", "a.id", "a.category", "a.field", "a.clinical_importance"
     )
 
@@ -44,7 +44,7 @@ def ambiguity_scores(spark, sf):
 
 def top_questions(spark, sf):
     asked = rv.make_questions(_detected(spark, sf))
-    return asked.select("document_id", F.explode("questions").alias("q")).select(
+    return unnest(asked, "questions", "document_id", item="q").select(
         "document_id", "q.id", F.col("q.priority").cast("bigint").alias("priority"),
         "q.ambiguity_id", "q.field_to_update", "q.text", "q.input_type",
         F.array_join("q.options", ",").alias("options"),
@@ -52,9 +52,7 @@ def top_questions(spark, sf):
 
 
 def top_ambiguities(spark, sf):
-    rows = _detected(spark, sf).select(
-        "document_id", F.posexplode("ambiguities").alias("pos", "a")
-    ).select("document_id", "pos", "a.field", "a.clinical_importance")
+    rows = unnest(_detected(spark, sf), "ambiguities", "document_id", item="a").select("document_id", "pos", "a.field", "a.clinical_importance")
     return rv.by_importance(rows).select(
         "document_id", "field", F.col("priority").cast("bigint").alias("priority")
     )
@@ -98,7 +96,7 @@ def _merged(spark, sf) -> DataFrame:
 
 
 def feedback_changes(spark, sf):
-    return _merged(spark, sf).select("document_id", F.explode("changes").alias("c")).select(
+    return unnest(_merged(spark, sf), "changes", "document_id", item="c").select(
         "document_id", "c.question_id", "c.field", "c.old_value", "c.new_value", "c.source"
     )
 
