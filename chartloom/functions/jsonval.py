@@ -11,9 +11,14 @@ from chartloom.functions.text import strip
 
 KEEP_NULLS = {"ignoreNullFields": "false"}
 
-# One JSON token that is not punctuation.  A key keeps its colon.  Possessive
-# loops match long strings without growing the matcher's stack.
-_TOKEN = r'"(?:[^"\\]++|\\.)*+"\s*:?|null|true|false|-?[0-9][0-9.eE+-]*'
+# One step through a JSON text: an optional key, then a scalar (the group) or the
+# opening of a container.  Possessive loops match long strings without growing the
+# matcher's stack.
+_STRING = r'"(?:[^"\\]++|\\.)*+"'
+_STEP = (
+    rf"(?:{_STRING}\s*+:\s*+)?+"
+    rf"(?:[\[{{]|({_STRING}|null|true|false|-?[0-9][0-9.eE+-]*+))"
+)
 
 
 def to_json(col: Column) -> Column:
@@ -64,20 +69,12 @@ def array_size(doc: Column, path: str | None = None) -> Column:
 
 
 def _leaves(doc: Column) -> Column:
-    tokens = F.regexp_extract_all(doc, F.lit(_TOKEN), F.lit(0))
-    return F.filter(tokens, lambda t: ~F.endswith(t, F.lit(":")))
+    """Scalar leaves of a valid JSON text, as they are written."""
+    return F.array_remove(F.regexp_extract_all(doc, F.lit(_STEP), F.lit(1)), "")
 
 
-def _count_leaf(acc: Column, token: Column) -> Column:
-    empty = token.isin("null", '""')
-    return F.struct(
-        (acc["total"] + 1).alias("total"),
-        (acc["filled"] + F.when(empty, 0).otherwise(1)).alias("filled"),
-    )
-
-
-def _none_counted() -> Column:
-    return F.struct(F.lit(0).alias("total"), F.lit(0).alias("filled"))
+def _count_filled(leaves: Column) -> Column:
+    return F.size(F.array_remove(F.array_remove(leaves, "null"), '""'))
 
 
 def leaf_counts(doc: Column) -> Column:
@@ -86,17 +83,20 @@ def leaf_counts(doc: Column) -> Column:
     Null and ``""`` are not filled; ``0`` and ``false`` are.  An empty object or
     array has no leaf.  Works at any depth, inside the row.
     """
-    return F.aggregate(_leaves(doc), _none_counted(), _count_leaf)
+    return let(
+        _leaves(doc),
+        lambda leaves: F.struct(
+            F.size(leaves).alias("total"), _count_filled(leaves).alias("filled")
+        ),
+    )
 
 
 def completeness(doc: Column) -> Column:
     """Share of filled leaves; 0.0 for a document without leaves."""
-    return F.aggregate(
+    return let(
         _leaves(doc),
-        _none_counted(),
-        _count_leaf,
-        lambda acc: F.when(
-            acc["total"] > 0, acc["filled"].cast("double") / acc["total"].cast("double")
+        lambda leaves: F.when(
+            F.size(leaves) > 0, _count_filled(leaves).cast("double") / F.size(leaves)
         ).otherwise(F.lit(0.0)),
     )
 

@@ -50,72 +50,84 @@ def _blank(value: Column) -> Column:
     return F.coalesce(value, F.lit("")) == ""
 
 
-def _finding(when: Column, category: str, field: Column | str, importance: str,
-             description: str, reasoning: str) -> Column:
-    """An ambiguity where the condition holds, else null."""
-    where = F.lit(field) if isinstance(field, str) else field
-    return F.when(
-        when,
-        F.struct(
-            F.lit(category).alias("category"),
-            where.alias("field"),
-            F.lit(description).alias("description"),
-            F.lit(importance).alias("clinical_importance"),
-            F.lit(reasoning).alias("clinical_reasoning"),
-        ),
-    )
+# What each rule reports: category, clinical importance, description, reasoning.
+RULES = {
+    "no_complaint": (MISSING, "high", "Chief complaint is missing",
+                     "The reason for the visit directs the work-up"),
+    "no_diagnosis": (MISSING, "high", "No diagnosis is recorded",
+                     "Assessment and plan rest on the diagnosis"),
+    "no_medication": (MISSING, "medium", "No medication is recorded",
+                      "Current medication matters for every order"),
+    "no_indication": (LOGIC, "high", "Medication without a matching diagnosis",
+                      "Each medication needs an indication"),
+    "severity": (DETAIL, "high", "Symptom severity is missing", "Severity decides urgency"),
+    "location": (DETAIL, "medium", "Symptom location is missing",
+                 "Location narrows the differential"),
+    "onset": (TEMPORAL, "medium", "Symptom onset is unclear",
+              "Onset separates acute from chronic"),
+    "dosage": (DETAIL, "high", "Medication dosage is missing",
+               "A dose is needed to prescribe safely"),
+    "frequency": (DETAIL, "low", "Medication frequency is missing",
+                  "Frequency completes the order"),
+}
+
+
+def _rule_details() -> Column:
+    """The rules as one constant map column."""
+    pairs = []
+    for rule, (category, importance, description, reasoning) in RULES.items():
+        pairs += [F.lit(rule), F.struct(
+            F.lit(category).alias("category"), F.lit(importance).alias("importance"),
+            F.lit(description).alias("description"), F.lit(reasoning).alias("reasoning"))]
+    return F.create_map(*pairs)
+
+
+def _finding(when: Column, rule: str, field: Column) -> Column:
+    """Rule and place where the condition holds, else null."""
+    return F.when(when, F.struct(F.lit(rule).alias("rule"), field.alias("field")))
 
 
 def ambiguity_list(entity: Column) -> Column:
     """Ambiguities of one document in rule order, with ids ``amb_1`` and up."""
-    def at(name: str, index: Column, leaf: str) -> Column:
-        return F.concat(F.lit(f"{name}["), index.cast("string"), F.lit(f"].{leaf}"))
-
+    no_diagnosis = F.size(entity["diagnoses"]) == 0
+    no_medication = F.size(entity["medications"]) == 0
     critical = F.array(
-        _finding(_blank(entity["chief_complaint"]), MISSING, "chief_complaint", "high",
-                 "Chief complaint is missing", "The reason for the visit directs the work-up"),
-        _finding(F.size(entity["diagnoses"]) == 0, MISSING, "diagnoses", "high",
-                 "No diagnosis is recorded", "Assessment and plan rest on the diagnosis"),
-        _finding(F.size(entity["medications"]) == 0, MISSING, "medications", "medium",
-                 "No medication is recorded", "Current medication matters for every order"),
-        _finding((F.size(entity["medications"]) > 0) & (F.size(entity["diagnoses"]) == 0),
-                 LOGIC, "medications", "high", "Medication without a matching diagnosis",
-                 "Each medication needs an indication"),
-    )
-    symptoms = F.flatten(
-        F.transform(
-            entity["symptoms"],
-            lambda s, i: F.array(
-                _finding(_blank(s["severity"]), DETAIL, at("symptoms", i, "severity"), "high",
-                         "Symptom severity is missing", "Severity decides urgency"),
-                _finding(_blank(s["location"]), DETAIL, at("symptoms", i, "location"), "medium",
-                         "Symptom location is missing", "Location narrows the differential"),
-                _finding(_blank(s["onset"]), TEMPORAL, at("symptoms", i, "onset"), "medium",
-                         "Symptom onset is unclear", "Onset separates acute from chronic"),
-            ),
-        )
+        _finding(_blank(entity["chief_complaint"]), "no_complaint", F.lit("chief_complaint")),
+        _finding(no_diagnosis, "no_diagnosis", F.lit("diagnoses")),
+        _finding(no_medication, "no_medication", F.lit("medications")),
+        _finding(~no_medication & no_diagnosis, "no_indication", F.lit("medications")),
     )
-    medications = F.flatten(
-        F.transform(
-            entity["medications"],
-            lambda m, i: F.array(
-                _finding(_blank(m["dosage"]), DETAIL, at("medications", i, "dosage"), "high",
-                         "Medication dosage is missing", "A dose is needed to prescribe safely"),
-                _finding(_blank(m["frequency"]), DETAIL, at("medications", i, "frequency"), "low",
-                         "Medication frequency is missing", "Frequency completes the order"),
-            ),
+
+    def gaps(name: str, *leaves: str) -> Column:
+        def of_item(item: Column, i: Column) -> Column:
+            place = F.concat(F.lit(f"{name}["), i.cast("string"), F.lit("]."))
+            return F.array(
+                *[_finding(_blank(item[x]), x, F.concat(place, F.lit(x))) for x in leaves]
+            )
+
+        return F.flatten(F.transform(entity[name], of_item))
+
+    found = F.array_compact(
+        F.concat(
+            critical,
+            gaps("symptoms", "severity", "location", "onset"),
+            gaps("medications", "dosage", "frequency"),
         )
     )
-    found = F.array_compact(F.concat(critical, symptoms, medications))
-    return F.transform(
-        found,
-        lambda a, i: F.struct(
+    details = _rule_details()
+
+    def described(a: Column, i: Column) -> Column:
+        rule = F.element_at(details, a["rule"])
+        return F.struct(
             F.concat(F.lit("amb_"), (i + 1).cast("string")).alias("id"),
-            *[a[n].alias(n) for n in (
-                "category", "field", "description", "clinical_importance",
-                "clinical_reasoning")],
-        ),
-    )
+            rule["category"].alias("category"),
+            a["field"].alias("field"),
+            rule["description"].alias("description"),
+            rule["importance"].alias("clinical_importance"),
+            rule["reasoning"].alias("clinical_reasoning"),
+        )
+
+    return F.transform(found, described)
 
 
 def detect_ambiguities(
@@ -196,6 +208,16 @@ QUESTION_TEMPLATES = {
 }
 
 
+def _templates() -> Column:
+    """The templates as one constant map column."""
+    pairs = []
+    for leaf, (text, input_type, options) in QUESTION_TEMPLATES.items():
+        pairs += [F.lit(leaf), F.struct(
+            F.lit(text).alias("text"), F.lit(input_type).alias("input_type"),
+            F.array(*map(F.lit, options)).cast("array<string>").alias("options"))]
+    return F.create_map(*pairs)
+
+
 def make_questions(
     df: DataFrame, ambiguities: str = "ambiguities", limit: int = MAX_QUESTIONS
 ) -> DataFrame:
@@ -209,27 +231,22 @@ def make_questions(
     )
     ranked = F.slice(ranked, 1, limit)
 
-    def pick(leaf: Column, part) -> Column:
-        cases = [F.when(leaf == name, part(t)) for name, t in QUESTION_TEMPLATES.items()]
-        return F.coalesce(*cases)
+    templates = _templates()
 
     def question(item: Column, i: Column) -> Column:
         a = item["a"]
-        leaf = F.regexp_extract(a["field"], r"([^.]+)$", 1)
-        options = pick(leaf, lambda t: F.array(*map(F.lit, t[2])) if t[2] else
-                       F.array().cast("array<string>"))
+        template = F.try_element_at(templates, F.substring_index(a["field"], ".", -1))
         return F.struct(
             F.concat(F.lit("q"), (i + 1).cast("string")).alias("id"),
             (i + 1).cast("int").alias("priority"),
             a["id"].alias("ambiguity_id"),
             a["field"].alias("field_to_update"),
             F.coalesce(
-                pick(leaf, lambda t: F.lit(t[0])),
-                F.concat(F.lit("What is the value of "), a["field"], F.lit("?")),
+                template["text"], F.concat(F.lit("What is the value of "), a["field"], F.lit("?"))
             ).alias("text"),
             a["description"].alias("context"),
-            F.coalesce(pick(leaf, lambda t: F.lit(t[1])), F.lit("text")).alias("input_type"),
-            F.coalesce(options, F.array().cast("array<string>")).alias("options"),
+            F.coalesce(template["input_type"], F.lit("text")).alias("input_type"),
+            F.coalesce(template["options"], F.array().cast("array<string>")).alias("options"),
             F.lit("").alias("placeholder"),
             a["clinical_reasoning"].alias("clinical_note"),
         )

@@ -74,6 +74,8 @@ def vector_topk(
 ) -> DataFrame:
     """``query_id, vec_id, score, rank`` of the k nearest by cosine, over all vectors.
 
+    Scores are rounded to six digits; equal ones rank by the lower vector id.
+
     The corpus is scanned where it lies; only every task's k best per query are
     shuffled.  Queries are sent in blocks no larger than ``block_bytes``; a larger
     query table takes one scan of the corpus per block.

@@ -104,8 +104,7 @@ def nearest_vectors(spark, sf):
         vectors, prototypes.withColumnRenamed("label", "query_id"), 10
     )
     return found.select(
-        "query_id", "vec_id", F.round("score", 5).alias("score"),
-        F.col("rank").cast("bigint").alias("rank"),
+        "query_id", "vec_id", "score", F.col("rank").cast("bigint").alias("rank"),
     )
 
 
@@ -227,7 +226,7 @@ WITH q AS (
 ), r AS (
   SELECT *, row_number() OVER (PARTITION BY label ORDER BY score DESC, vec_id) AS rank FROM s
 )
-SELECT label AS query_id, vec_id, round(score, 5) AS score, rank FROM r WHERE rank <= 10""",
+SELECT label AS query_id, vec_id, score, rank FROM r WHERE rank <= 10""",
     "stream_monitor": f"""
 WITH {_SCORES}
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {_FIGURES}

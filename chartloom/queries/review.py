@@ -13,6 +13,7 @@ from chartloom.operators import soap, unnest
 from chartloom.plans import gold
 from chartloom.queries.entities import LEAVES
 from chartloom.queries.inputs import ENC, encounters, table
+from chartloom.sources.tables import materialise
 
 STAMP = "2024-06-01 12:00:00"
 
@@ -63,8 +64,17 @@ def routes(spark, sf):
     return measures.status_tally(routed).withColumnRenamed("count", "documents")
 
 
+def _assessed(spark, sf) -> DataFrame:
+    return gold.assessed(encounters(spark, sf).drop("entity"))
+
+
 def _queue(spark, sf) -> DataFrame:
-    return gold.review_queue(gold.assessed(encounters(spark, sf).drop("entity")), _now())
+    return gold.review_queue(_assessed(spark, sf), _now())
+
+
+def _stored_queue(spark, sf) -> DataFrame:
+    """The queue as reviewers find it: written once, read by everything after it."""
+    return materialise(_queue(spark, sf), "queue")
 
 
 def review_queue(spark, sf):
@@ -92,7 +102,7 @@ def _answers(spark, sf) -> DataFrame:
 
 
 def _merged(spark, sf) -> DataFrame:
-    return gold.merged_answers(_queue(spark, sf), _answers(spark, sf))
+    return gold.merged_answers(_stored_queue(spark, sf), _answers(spark, sf))
 
 
 def feedback_changes(spark, sf):
@@ -113,7 +123,7 @@ def feedback_metrics(spark, sf):
 
 
 def validated_entities(spark, sf):
-    queue, answers = _queue(spark, sf), _answers(spark, sf)
+    queue, answers = _stored_queue(spark, sf), _answers(spark, sf)
     done = gold.reviewed(queue, answers, _now())
     return done.validated_entities.select(
         "document_id",
@@ -146,7 +156,7 @@ def latest_status(spark, sf):
 
 def queue_status(spark, sf):
     """Queue entries and their completion as one log, newest state per document."""
-    queue = _queue(spark, sf)
+    queue = _stored_queue(spark, sf)
     waiting = queue.select(
         "document_id", "status", F.col("created_timestamp").alias("updated_timestamp"))
     later = _now() + F.expr("INTERVAL 1 DAY")
@@ -184,7 +194,7 @@ def note_sections(spark, sf):
 
 
 def auto_summaries(spark, sf):
-    decided = gold.assessed(encounters(spark, sf).drop("entity"))
+    decided = _assessed(spark, sf)
     return _summary_columns(gold.auto_summaries(decided, _now()))
 
 
@@ -203,7 +213,7 @@ def _summary_columns(summaries: DataFrame) -> DataFrame:
 
 def all_summaries(spark, sf):
     """Automatic and reviewed notes in one table: how many, and their measures."""
-    decided = gold.assessed(encounters(spark, sf).drop("entity"))
+    decided = materialise(_assessed(spark, sf), "assessed")
     queue = gold.review_queue(decided, _now())
     done = gold.reviewed(queue, _answers(spark, sf), _now())
     both = rv.union_all(
