@@ -13,6 +13,9 @@ from pyspark.sql.types import StructType
 from chartloom.config import StreamSettings
 
 
+_OWN_DIRS: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as the session's ``spark.checkpoint.dir`` names it.
 
@@ -25,9 +28,10 @@ def shared_dir(spark: SparkSession) -> str:
         return named
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    own = tempfile.mkdtemp(prefix="chartloom-")
-    spark.conf.set("spark.checkpoint.dir", own)
-    return own
+    app = spark.sparkContext.applicationId
+    if app not in _OWN_DIRS:
+        _OWN_DIRS[app] = tempfile.mkdtemp(prefix="chartloom-")
+    return _OWN_DIRS[app]
 
 
 def fresh_dir(spark: SparkSession, name: str) -> str:
