@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from chartloom.config import RAW_REPLY_CHARS, RetrySettings
 from chartloom.functions.jsonval import clean_reply
 from chartloom.schemas import INFERENCE
+from chartloom.sources.tables import materialise
 
 Model = Callable[[str], str]
 Backend = Callable[[], Model]
@@ -134,8 +135,8 @@ def infer_cached(
     """Answer from fresh rows of ``cache`` first, call the model for the rest.
 
     Returns the answered rows and the rows to append to the cache
-    (``prompt_hash, reply, cached_at``), which should be written before the answers
-    are used, so that the calls run once.
+    (``prompt_hash, reply, cached_at``).  New answers are written down at once, so that
+    each open prompt is sent once, whichever of the two results are used.
     """
     fresh = (
         cache.filter(
@@ -148,9 +149,12 @@ def infer_cached(
         fresh, "prompt_hash", "left"
     )
     open_prompts = keyed.filter(F.col("_cached").isNull() & F.col(prompt).isNotNull())
-    answers = infer(
-        open_prompts.groupBy("prompt_hash").agg(F.first(prompt).alias(prompt)),
-        prompt, backend, "_answer", **options,
+    answers = materialise(
+        infer(
+            open_prompts.groupBy("prompt_hash").agg(F.first(prompt).alias(prompt)),
+            prompt, backend, "_answer", **options,
+        ),
+        "answers",
     )
     hit = F.struct(
         F.col("_cached").alias("reply"),

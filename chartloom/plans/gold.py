@@ -24,7 +24,7 @@ from chartloom.schemas import (
     VALIDATED_ENTITIES,
     with_identity,
 )
-from chartloom.sources.tables import conform
+from chartloom.sources.tables import conform, materialise
 
 IDENTITY = ("mrn", "patient_name", "visit_date")
 
@@ -83,11 +83,10 @@ class Reviewed:
 def reviewed(queue: DataFrame, answers: DataFrame, now: Column) -> Reviewed:
     """Merge answers into queued documents.
 
-    ``queue`` is the stored review queue, one row per document.  Give
-    ``merged_answers`` through ``materialise`` when all four results are written, so
-    that the merge runs once.
+    ``queue`` is the stored review queue, one row per document.  The merge is written
+    down once and the four results read it; :func:`outcomes` alone stays lazy.
     """
-    merged = merged_answers(queue, answers)
+    merged = materialise(merged_answers(queue, answers), "merged")
     return outcomes(merged, queue, answers, now)
 
 

@@ -124,7 +124,7 @@ def feedback_metrics(spark, sf):
 
 def validated_entities(spark, sf):
     queue, answers = _stored_queue(spark, sf), _answers(spark, sf)
-    done = gold.reviewed(queue, answers, _now())
+    done = gold.outcomes(gold.merged_answers(queue, answers), queue, answers, _now())
     return done.validated_entities.select(
         "document_id",
         F.round(F.col("validation_score").cast("double"), 4).alias("validation_score"),
