@@ -12,15 +12,20 @@ from chartloom.config import SHORT_TEXT_CHARS
 
 
 # Every character that counts as white space, Unicode ones included.
-SPACE = (
-    r"\s\x{b}\x{1c}-\x{1f}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}"
-    r"\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+SPACES = "".join(
+    chr(c)
+    for c in (
+        *range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B),
+        0x2028, 0x2029, 0x202F, 0x205F, 0x3000,
+    )
 )
+# A word: runs of plain characters, matched by the quick class, and of any others.
+WORD = rf"(?:[!-~]++|[^!-~{SPACES}]++)++"
 
 
 def strip(col: Column) -> Column:
     """Drop white space (line breaks too) at both ends."""
-    return F.regexp_replace(col, rf"^[{SPACE}]+|[{SPACE}]+\z", "")
+    return F.btrim(col, F.lit(SPACES))
 
 
 def filled(value: Column) -> Column:
@@ -30,7 +35,7 @@ def filled(value: Column) -> Column:
 
 def word_count(col: Column) -> Column:
     """Number of words separated by white space."""
-    return F.regexp_count(col, F.lit(rf"[^{SPACE}]+"))
+    return F.regexp_count(col, F.lit(WORD))
 
 
 def truncate(col: Column, chars: int) -> Column:
