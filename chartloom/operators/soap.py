@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.jsonval import to_json
-from chartloom.functions.text import strip, word_count
+from chartloom.functions.text import filled, strip, word_count
 from chartloom.operators.infer import change_summary, render_prompt
 
 # Note sections in order, their markers, and the word for a gap.
@@ -24,7 +24,7 @@ SOAP_PROMPT = (
 
 
 def _or_gap(value: Column) -> Column:
-    return F.when(F.coalesce(value, F.lit("")) == "", NOT_DOCUMENTED).otherwise(value)
+    return F.coalesce(filled(value), F.lit(NOT_DOCUMENTED))
 
 
 def _filled(value: Column, prefix: str = "", suffix: str = "") -> Column:
