@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import arrow_pass, text_bytes
+from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 
 #: White space as Unicode names it, which is what the pattern's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -239,21 +239,28 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
         return work
 
     key = docs.schema[id_col].dataType.simpleString()
-    kind = pa.int64() if key == "bigint" else pa.int32() if key == "int" else pa.string()
     return arrow_pass(
         docs.select(F.col(id_col), F.col(text_col).cast("string")), make,
         f"doc_id {key}, n_tokens long, ids binary",
-        pa.schema([("doc_id", kind), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
+        pa.schema([("doc_id", arrow_type(key)), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
-    """The given rows with ``decoded``, the bytes their ids stand for."""
+    """The rows of :func:`encode` with ``decoded``, the bytes their ids stand for."""
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
-    @F.pandas_udf("binary")
-    def spelt(ids):
+    def make():
         token = _spelling(shared.value)
-        return ids.map(lambda raw: b"".join(
-            map(token.__getitem__, np.frombuffer(raw, "<u4").tolist())))
 
-    return encoded.withColumn("decoded", spelt("ids"))
+        def work(batch):
+            spelt = [b"".join(map(token.__getitem__, np.frombuffer(raw, "<u4").tolist()))
+                     for raw in batch.column(2).to_pylist()]
+            return *batch.columns, spelt
+        return work
+
+    key = encoded.schema["doc_id"].dataType.simpleString()
+    return arrow_pass(
+        encoded.select("doc_id", "n_tokens", "ids"), make,
+        f"doc_id {key}, n_tokens long, ids binary, decoded binary",
+        pa.schema([("doc_id", arrow_type(key)), ("n_tokens", pa.int64()), ("ids", pa.binary()),
+                   ("decoded", pa.binary())]))

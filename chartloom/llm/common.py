@@ -6,17 +6,16 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.sources.tables import fresh_dir, materialise
 
-__all__ = ["fresh_dir", "materialise"]
-
 ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Words in a text, as bytes: ``bytes.split`` cuts at exactly x20 and x09-x0D, and
-#: ``bytes.lower`` changes exactly A-Z.
+#: Texts that a Python worker holds at once, and the most ids that are broadcast.
+BATCH_BYTES, BROADCAST_ROWS = 4_000_000, 2_000_000
 #: The remembered hashes of words, per Python worker.
 REMEMBERED = 400_000
 
@@ -36,6 +35,8 @@ class WordHashes(dict):
 
 
 def text_bytes(value: str | None) -> bytes:
+    """UTF-8, in which ``split()`` cuts at exactly x20 and x09-x0D and ``lower()`` changes
+    exactly A-Z."""
     return b"" if value is None else value.encode("utf-8", "surrogatepass")
 
 
@@ -70,26 +71,54 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
         size *= 2
 
 
+def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
+    """The batch in runs of rows of about ``most`` bytes, a row at least."""
+    size = np.full(batch.num_rows, 16, np.int64)
+    for column in batch.columns:
+        if pa.types.is_string(column.type) or pa.types.is_binary(column.type):
+            size += pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False)
+    ends = np.cumsum(size)
+    start = 0
+    while start < batch.num_rows:
+        past = ends[start - 1] if start else 0
+        stop = max(start + 1, int(np.searchsorted(ends, past + most, "right")))
+        yield batch.slice(start, stop - start)
+        start = stop
+
+
 def arrow_pass(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], schema: str,
     types: pa.Schema,
 ) -> DataFrame:
-    """``mapInArrow`` by a function from a batch to columns of ``types``.
+    """``mapInArrow`` by a function from rows of a few MB to columns of ``types``.
 
     ``make`` runs once in each task and returns that function.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            columns = work(batch) if batch.num_rows else None
-            if columns is not None:
-                arrays = [c if isinstance(c, pa.Array) else pa.array(c, t.type)
-                          for c, t in zip(columns, types)]
-                yield pa.RecordBatch.from_arrays(arrays, schema=types)
+            for part in slices(batch):
+                columns = work(part)
+                if columns is not None:
+                    arrays = [c if isinstance(c, pa.Array) else pa.array(c, t.type)
+                              for c, t in zip(columns, types)]
+                    yield pa.RecordBatch.from_arrays(arrays, schema=types)
 
     return df.mapInArrow(run, schema)
 
 
+def arrow_type(spark_type: str) -> pa.DataType:
+    return {"bigint": pa.int64(), "int": pa.int32()}.get(spark_type, pa.string())
+
+
+def rows_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is in ``ids``, a written table of distinct ids in a column
+    of the same name.  Ids of up to ``BROADCAST_ROWS`` are broadcast, so that no text is
+    shuffled; more of them meet the rows in a shuffle."""
+    small = ids.count() <= BROADCAST_ROWS
+    return docs.join(F.broadcast(ids) if small else ids.hint("shuffle_hash"), id_col, "left_semi")
+
+
 def training_rows(key: Column, modulus: int, out: int) -> Column:
     """True where crc32 of the key as text leaves another remainder than ``out``; a null
     key counts as empty text."""
