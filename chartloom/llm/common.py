@@ -115,8 +115,16 @@ def rows_of(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFram
     """The rows of ``docs`` whose id is in ``ids``, a written table of distinct ids in a column
     of the same name.  Ids of up to ``BROADCAST_ROWS`` are broadcast, so that no text is
     shuffled; more of them meet the rows in a shuffle."""
-    small = ids.count() <= BROADCAST_ROWS
-    return docs.join(F.broadcast(ids) if small else ids.hint("shuffle_hash"), id_col, "left_semi")
+    return docs.join(_sent(ids), id_col, "left_semi")
+
+
+def rows_without(docs: DataFrame, ids: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """The rows of ``docs`` whose id is not in ``ids``, by the same two ways."""
+    return docs.join(_sent(ids), id_col, "left_anti")
+
+
+def _sent(ids: DataFrame) -> DataFrame:
+    return F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids.hint("shuffle_merge")
 
 
 def training_rows(key: Column, modulus: int, out: int) -> Column:

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact
+from chartloom.llm import bpe, exact, nearmin
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -29,6 +29,36 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return nearmin.near_groups(table(spark, sf, "documents"))
+
+
+OP8_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w
+  FROM documents),
+sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN []
+    ELSE list_distinct(list_transform(range(1, greatest(len(w) - 4, 1) + 1),
+                                      lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+  FROM words),
+items AS (SELECT doc_id, unnest(s) AS item FROM sets),
+common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+  FROM items a JOIN items b ON a.item = b.item AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM common JOIN sets x ON x.doc_id = a JOIN sets y ON y.doc_id = b
+  WHERE 100 * n >= 75 * (len(x.s) + len(y.s) - n)),
+edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+          UNION SELECT r.a, e.b FROM reach r JOIN edges e ON e.a = r.b)
+SELECT doc_id, len(s) AS n_shingles, component_id, doc_id = component_id AS kept
+FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a) USING (doc_id)
+"""
+
+
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
     ids = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
@@ -39,8 +69,10 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES = {
     "op4_exact_dedup": OP4_SQL,
+    "op8_near_dedup": OP8_SQL,
 }
