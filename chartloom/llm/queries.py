@@ -6,12 +6,40 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, nearmin
+from chartloom.llm import bpe, exact, nearmin, substring
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 
 
+def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    rows = substring.drop_repeats(table(spark, sf, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "n_removed",
+        F.coalesce(F.sha2("kept_text", 256), "whole").alias("kept_sha256"))
+
+
+OP1_SQL = r"""
+WITH words AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'),
+                             lambda x: x <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS text
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)),
+gone AS (
+  SELECT doc_id, i FROM windows
+  JOIN (SELECT text, min(doc_id) AS source FROM windows GROUP BY text) USING (text)
+  WHERE doc_id > source),
+covered AS (SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM gone),
+cut AS (SELECT doc_id, list(i) AS gone FROM covered GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, coalesce(len(gone), 0) AS n_removed,
+       sha256(coalesce(array_to_string(
+         list_filter(w, lambda x, i: NOT list_contains(coalesce(gone, []), i)), ' '), '')) AS kept_sha256
+FROM words LEFT JOIN cut USING (doc_id)
+"""
+
+
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     rows = exact.exact_copies(table(spark, sf, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept",
@@ -68,11 +96,13 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES = {
+    "op1_substring_dedup": OP1_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op8_near_dedup": OP8_SQL,
 }
