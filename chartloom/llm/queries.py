@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, nearmin, substring
+from chartloom.llm import bpe, exact, katz, nearmin, substring
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -57,6 +57,11 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 
+def op5_katz_lm(spark: SparkSession, sf: str) -> DataFrame:
+    rows = katz.katz_scores(table(spark, sf, "documents"))
+    return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
+
+
 def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return nearmin.near_groups(table(spark, sf, "documents"))
 
@@ -98,6 +103,7 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_katz_lm": op5_katz_lm,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
