@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, katz, nearmin, substring
+from chartloom.llm import bpe, exact, katz, nearmin, quality, substring, toxicity
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,13 @@ FROM words LEFT JOIN cut USING (doc_id)
 """
 
 
+def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    chain = toxicity.learn(docs, table(spark, sf, "labels"))
+    return toxicity.score(docs, chain).withColumn(
+        "toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
 def op4_exact_dedup(spark: SparkSession, sf: str) -> DataFrame:
     rows = exact.exact_copies(table(spark, sf, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept",
@@ -62,6 +69,10 @@ def op5_katz_lm(spark: SparkSession, sf: str) -> DataFrame:
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
+def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
+    return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
+
+
 def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return nearmin.near_groups(table(spark, sf, "documents"))
 
@@ -102,8 +113,10 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_katz_lm": op5_katz_lm,
+    "op6_quality": op6_quality,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
