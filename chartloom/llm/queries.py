@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, katz, nearmin, quality, substring, toxicity
+from chartloom.llm import bpe, exact, katz, nearmin, quality, substring, toxicity, warc
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -73,6 +73,33 @@ def op6_quality(spark: SparkSession, sf: str) -> DataFrame:
     return quality.quality_scores(table(spark, sf, "documents"), table(spark, sf, "labels"))
 
 
+def op7_warc(spark: SparkSession, sf: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+OP7_SQL = """
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS html, strlen(coalesce(html, '')) AS n,
+         max(page_id) OVER (PARTITION BY coalesce(html, '')) AS winner,
+         upper(sha1(coalesce(html, ''))) AS h
+  FROM pages),
+digits AS (
+  SELECT page_id, n, winner,
+         list_transform(range(0, 32), lambda i: (
+           list_reduce(list_transform(range(0, 5), lambda j:
+             ((strpos('0123456789ABCDEF', h[((i * 5 + j) // 4 + 1)::INT]) - 1)
+              >> (3 - (i * 5 + j) % 4)::INT) & 1), lambda a, b: a * 2 + b))) AS d
+  FROM p)
+SELECT page_id, n AS payload_bytes,
+       list_aggregate(list_transform(d, lambda x: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(x + 1)::INT]),
+                      'string_agg', '') AS payload_digest,
+       CASE WHEN page_id = winner THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> winner THEN winner END AS refers_to
+FROM digits
+"""
+
+
 def op8_near_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return nearmin.near_groups(table(spark, sf, "documents"))
 
@@ -117,11 +144,13 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_katz_lm": op5_katz_lm,
     "op6_quality": op6_quality,
+    "op7_warc": op7_warc,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
 }
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
     "op4_exact_dedup": OP4_SQL,
+    "op7_warc": OP7_SQL,
     "op8_near_dedup": OP8_SQL,
 }
