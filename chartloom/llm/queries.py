@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, katz, nearmin, quality, substring, toxicity, warc
+from chartloom.llm import bpe, exact, katz, nearmin, quality, secrets, substring, toxicity, warc
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -138,6 +138,16 @@ def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
 
+def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
+    rows = secrets.find_secrets(table(spark, sf, "documents"))
+    of = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    base = F.filter("spans", lambda s: s["kind"] < 3)
+    return rows.select(
+        "doc_id", of(0).alias("n_assign"), of(1).alias("n_access"), of(2).alias("n_hex"),
+        F.sha2(secrets.spelt(base), 256).alias("base_sha256"),
+        secrets.spelt(F.col("spans")).alias("spans"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_toxicity": op3_toxicity,
@@ -147,6 +157,7 @@ QUERIES = {
     "op7_warc": op7_warc,
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
+    "op10_secrets": op10_secrets,
 }
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
