@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import materialise
+from chartloom.llm.common import materialise, rows_without
 
 #: Digests with at least this share of all rows are handled on the map side.
 SHARE = 0.001
@@ -104,19 +104,20 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
-    stays = materialise(
-        exact_copies(docs, id_col, text_col, share).filter("kept")
-        .select(F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest")), "stays")
+    decided = materialise(exact_copies(docs, id_col, text_col, share), "decided")
+    gone = decided.filter(~F.col("kept"))
+    repeated = decided.groupBy("doc_id").count().filter("count > 1")
+    if repeated.isEmpty() and gone.filter("doc_id IS NULL").isEmpty():
+        return rows_without(docs, gone.select(F.col("doc_id").alias(id_col)), id_col)
+    # ids that are null or repeated: rows are told apart by id and text, equal ones by nothing
+    stays = decided.filter("kept").select(
+        F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
     ours = docs.withColumn("_d", text_digest(F.col(text_col)))
     same = (F.col("_d") == F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_keep"))
     left = ours.join(stays, same, "left_semi")
-    # rows that repeat both id and text pass the join together; all but one must go
-    twice = (
-        docs.groupBy(F.col(id_col).alias("_keep"), text_digest(F.col(text_col)).alias("_digest"))
-        .count().filter("count > 1").drop("count"))
-    twice = materialise(twice, "repeated")
-    if twice.isEmpty():
-        return left.drop("_d")
+    twice = materialise(
+        decided.groupBy(F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
+        .count().filter("count > 1").select("_keep", "_digest"), "repeated")
     once = left.join(twice, same, "left_anti")
     again = left.join(twice, same, "left_semi").dropDuplicates(["_d"])
     return once.unionByName(again).drop("_d")

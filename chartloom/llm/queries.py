@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, exact, katz, nearmin, quality, secrets, substring, toxicity, warc
+from chartloom.llm import bpe, decontaminate, exact, katz, nearmin, quality, secrets, substring, toxicity, warc
 from chartloom.queries.inputs import table
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
@@ -40,6 +40,57 @@ FROM words LEFT JOIN cut USING (doc_id)
 """
 
 
+def op2_decontaminate(spark: SparkSession, sf: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf, "documents"), table(spark, sf, "benchmark"))
+
+
+OP2_SQL = r"""
+WITH marked AS (
+  SELECT kind, id, regexp_replace(regexp_replace(coalesce(text, ''), '(\p{N})[\x20\x09-\x0D]*((?i:%s))\b',
+           '\1 ' || chr(2) || '\2', 'g'),
+         '(^|[.!?:]["'')\]]*[\x20\x09-\x0D]+)(\p{Lu})', '\1' || chr(1) || '\2', 'g') AS t
+  FROM (SELECT 'doc' AS kind, doc_id AS id, text FROM documents
+        UNION ALL SELECT 'item', item_id, text FROM benchmark)),
+tokens AS (
+  SELECT kind, id, regexp_extract_all(t,
+    '[\x01\x02]?(?:\p{N}+(?:[.,:/]\p{N}+)*|[\p{L}\p{M}'']+)') AS w FROM marked),
+templates AS (
+  SELECT kind, id, w, list_transform(w, lambda x: CASE
+      WHEN starts_with(x, chr(2)) THEN '<unit>'
+      WHEN regexp_matches(x, '^\p{N}') THEN '<num>'
+      WHEN regexp_matches(x, '^\p{Lu}[\p{Ll}\p{M}'']+$') THEN '<name>'
+      ELSE ltrim(lower(x), chr(1)) END) AS t FROM tokens),
+windows AS (
+  SELECT kind, id, i, array_to_string(t[i + 1:i + n], chr(31)) AS text, n
+  FROM (SELECT *, unnest(range(0, len(t) - n + 1)) AS i
+        FROM (SELECT kind, id, t, unnest(CASE WHEN kind = 'doc' THEN range(1, 9)
+                ELSE [least(len(t), 8)] END) AS n FROM templates WHERE len(t) > 0))),
+counted AS (SELECT id, count(*) AS windows FROM windows WHERE kind = 'item' GROUP BY id),
+aligned AS (
+  SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS start, count(DISTINCT b.i) AS matched
+  FROM windows d JOIN windows b ON d.kind = 'doc' AND b.kind = 'item' AND d.text = b.text AND d.n = b.n
+  GROUP BY ALL),
+slots AS (
+  SELECT doc_id, item_id, start, matched, q, b.t[q + 1] AS type,
+         ltrim(lower(b.w[q + 1]), chr(1) || chr(2)) AS own,
+         ltrim(lower(d.w[q + start + 1]), chr(1) || chr(2)) AS other
+  FROM (SELECT a.*, unnest(range(0, len(b.t))) AS q
+        FROM aligned a JOIN counted ON id = item_id AND matched >= windows * 0.5
+        JOIN templates b ON b.kind = 'item' AND b.id = item_id) x
+  JOIN templates b ON b.kind = 'item' AND b.id = item_id
+  JOIN templates d ON d.kind = 'doc' AND d.id = doc_id),
+judged AS (
+  SELECT doc_id, item_id, start, matched,
+         count(*) FILTER (slot) AS slots, count(*) FILTER (slot AND own <> other) AS changed,
+         count(DISTINCT (type, own)) FILTER (slot) = count(DISTINCT (type, own, other)) FILTER (slot) AS agree
+  FROM (SELECT *, type IN ('<num>', '<unit>', '<name>') AND other IS NOT NULL AND q + start >= 0 AS slot FROM slots)
+  GROUP BY ALL)
+SELECT doc_id, item_id, start, matched, windows, slots, changed
+FROM judged JOIN counted ON id = item_id WHERE agree
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) = 1
+""".replace("%s", decontaminate._UNIT)
+
+
 def op3_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     docs = table(spark, sf, "documents")
     chain = toxicity.learn(docs, table(spark, sf, "labels"))
@@ -150,6 +201,7 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_decontaminate": op2_decontaminate,
     "op3_toxicity": op3_toxicity,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_katz_lm": op5_katz_lm,
@@ -161,6 +213,7 @@ QUERIES = {
 }
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
+    "op2_decontaminate": OP2_SQL,
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op8_near_dedup": OP8_SQL,
