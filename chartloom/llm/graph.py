@@ -34,8 +34,7 @@ def components(links: DataFrame) -> DataFrame:
     Self links and repeated links are allowed.
     """
     ids = links.select(F.col("a").alias("id")).unionByName(links.select(F.col("b").alias("id")))
-    now = materialise(links.filter("a != b").select("a", "b").distinct(), "links")
-    mark = None
+    now, mark = links.filter("a != b").select("a", "b"), None
     while True:
         now = materialise(_small_star(_large_star(now)), "links")
         row = now.agg(

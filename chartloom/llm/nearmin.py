@@ -21,7 +21,6 @@ part.
 from __future__ import annotations
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -173,28 +172,53 @@ def pairs_within(nodes: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     )
 
 
+def _bits(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """A row of 128 zeros and ones for each sketch."""
+    both = np.column_stack([first, second]).astype("<i8").view(np.uint8)
+    return np.unpackbits(both, axis=1, bitorder="little")
+
+
+def majorities(members: DataFrame) -> DataFrame:
+    """(group, c1, c2): the majority of each sketch bit among the members (group, sk1, sk2).
+
+    Votes are summed per batch, then in 32 parts of a group, then per group."""
+    def make():
+        def work(batch):
+            groups, at = np.unique(batch.column(0).to_numpy(), return_inverse=True)
+            votes = np.zeros((len(groups), 128), np.int64)
+            np.add.at(votes, at, 2 * _bits(batch.column(1).to_numpy(), batch.column(2).to_numpy())
+                      .astype(np.int64) - 1)
+            part = xxhash.xxh32_intdigest(votes.tobytes()) % 32
+            return groups, [part] * len(groups), votes.tolist()
+        return work
+
+    def added(table: pa.Table) -> pa.Table:
+        votes = np.array(table["votes"].to_pylist()).sum(0)
+        return pa.table({"group": table["group"][:1], "votes": pa.array([votes.tolist()])})
+
+    def decided(table: pa.Table) -> pa.Table:
+        votes = np.array(table["votes"].to_pylist()).sum(0)
+        c1, c2 = np.packbits(votes > 0, bitorder="little").view("<i8").tolist()
+        return pa.table({"group": table["group"][:1], "c1": pa.array([c1]), "c2": pa.array([c2])})
+
+    votes = arrow_pass(
+        members.select("group", "sk1", "sk2"), make, "group long, part long, votes array<long>",
+        pa.schema([("group", pa.int64()), ("part", pa.int64()), ("votes", pa.list_(pa.int64()))]))
+    return (
+        votes.groupBy("group", "part").applyInArrow(added, "group long, votes array<long>")
+        .groupBy("group").applyInArrow(decided, "group long, c1 long, c2 long")
+    )
+
+
 def central_pairs(members: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
     """Pairs of each group's most central member, the one nearest to the majority of each
     sketch bit, with all other members that may be linked to it."""
-    facts = members.join(reps.select("id", "n_shingles", "sk1", "sk2"), "id")
-    votes = [
-        F.sum(F.when(F.shiftrightunsigned(s, j).bitwiseAND(F.lit(1)) == 1, 1).otherwise(-1))
-        .alias(f"{s}_{j}") for s in ("sk1", "sk2") for j in range(64)]
-
-    def majority(sketch: str) -> Column:
-        bits = [F.when(F.col(f"{sketch}_{j}") > 0, F.lit(1 << j if j < 63 else -(1 << 63))
-                       .cast("long")).otherwise(F.lit(0).cast("long")) for j in range(64)]
-        whole = bits[0]
-        for bit in bits[1:]:
-            whole = whole.bitwiseOR(bit)
-        return whole
-
-    centre = facts.groupBy("group").agg(*votes).select(
-        "group", majority("sk1").alias("c1"), majority("sk2").alias("c2"))
+    facts = materialise(
+        members.join(reps.select("id", "n_shingles", "sk1", "sk2"), "id"), "facts")
     near = 128 - F.bit_count(F.col("sk1").bitwiseXOR(F.col("c1"))) - F.bit_count(
         F.col("sk2").bitwiseXOR(F.col("c2")))
     chosen = (
-        facts.join(centre, "group")
+        facts.join(majorities(facts), "group")
         .groupBy("group").agg(F.max_by(F.struct("id", "n_shingles", "sk1", "sk2"),
                                        F.struct(near, -F.col("id"))).alias("p"))
         .select("group", "p.*")
@@ -231,9 +255,9 @@ def outsiders_against_all(members: DataFrame, sets: DataFrame, percent: int) ->
         "group", "id", "label", every.alias("i"), j.alias("j"), F.lit(False).alias("outside"))
     cells = outside.unionByName(inside).join(sets, "id")
 
-    def compare(cell: pd.DataFrame) -> pd.DataFrame:
-        own = [np.frombuffer(x, np.uint64) for x in cell["items"]]
-        ids, labels, outside = cell["id"].tolist(), cell["label"].tolist(), cell["outside"].tolist()
+    def compare(cell: pa.Table) -> pa.Table:
+        own = [np.frombuffer(x, np.uint64) for x in cell["items"].to_pylist()]
+        ids, labels, outside = (cell[c].to_pylist() for c in ("id", "label", "outside"))
         links = []
         for x in (k for k, out in enumerate(outside) if out):
             for y in (k for k, out in enumerate(outside) if not out):
@@ -241,9 +265,10 @@ def outsiders_against_all(members: DataFrame, sets: DataFrame, percent: int) ->
                 if labels[x] != labels[y] and 100 * min(n, m) >= percent * max(n, m) and alike(
                         own[x], own[y], percent):
                     links.append((min(ids[x], ids[y]), max(ids[x], ids[y])))
-        return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
+        return pa.table({"a": pa.array([a for a, _ in links], pa.int64()),
+                         "b": pa.array([b for _, b in links], pa.int64())})
 
-    return cells.groupBy("group", "i", "j").applyInPandas(compare, "a long, b long").distinct()
+    return cells.groupBy("group", "i", "j").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _labels(links: DataFrame, ids: DataFrame) -> DataFrame:
@@ -277,33 +302,39 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     small, large = chosen_paths(reps, percent, trees)
     pairs = materialise(pairs_within(small, reps, percent), "pairs")
-    least = large.groupBy("node").agg(F.min("id").alias("b"))
-    groups = components(large.join(least, "node").select(F.col("id").alias("a"), "b"))
-    groups = materialise(groups.select("id", F.col("label").alias("group")), "groups")
-
-    wanted = materialise(
-        pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
-        .union(groups.select("id")).distinct(), "wanted")
+    wanted = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    grouped = not large.isEmpty()
+    if grouped:
+        least = large.groupBy("node").agg(F.min("id").alias("b"))
+        groups = components(large.join(least, "node").select(F.col("id").alias("a"), "b"))
+        groups = materialise(groups.select("id", F.col("label").alias("group")), "groups")
+        wanted = wanted.union(groups.select("id"))
+    wanted = materialise(wanted.distinct(), "wanted")
     texts = rows_of(given.withColumnRenamed("doc_id", "id"), wanted, "id")
     sets = materialise(
         shingle_sets(texts.select("id", "text"), size).dropDuplicates(["id", "items"]), "sets")
 
     # one pair per document and the groups' centres first: most others then lie within a component
-    nearest = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
-    first = nearest.unionByName(central_pairs(groups, reps, percent)).distinct()
+    first = pairs.groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+    if grouped:
+        first = first.unionByName(central_pairs(groups, reps, percent)).distinct()
     links = materialise(confirmed(first, sets, percent), "links")
     labels = materialise(_labels(links, wanted), "labels")
-    more = _apart(pairs, labels).unionByName(_apart(
-        central_pairs(_outside(groups, labels), reps, percent), labels)).distinct()
+    more = _apart(pairs, labels)
+    if grouped:
+        more = more.unionByName(_apart(
+            central_pairs(_outside(groups, labels), reps, percent), labels)).distinct()
     links = links.unionByName(materialise(confirmed(more, sets, percent), "links"))
-    labels = materialise(_labels(links, wanted), "labels")
-    rest = materialise(
-        outsiders_against_all(groups.join(labels, "id"), sets, percent), "links")
-    links = links.unionByName(rest)
+    by_class = materialise(_labels(links, wanted), "labels")
+    if grouped:
+        rest = materialise(
+            outsiders_against_all(groups.join(by_class, "id"), sets, percent), "links")
+        if not rest.isEmpty():
+            links = links.unionByName(rest)
+            by_class = components(links)
 
     classed = member.filter("doc_id != rep").select(
         F.col("rep").alias("a"), F.col("doc_id").alias("b"))
-    by_class = components(links.select("a", "b"))
     # an id may stand in several classes, when rows repeat it with another text
     several = member.groupBy("doc_id").agg(
         F.min("rep").alias("low"), F.max("rep").alias("high")).filter("low != high")

@@ -18,6 +18,7 @@ that outcome, 0 without rows; repeated rows are scored each; other columns play
 from __future__ import annotations
 
 import zlib
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import arrow_pass, materialise, text_bytes
+from chartloom.llm.common import arrow_pass, materialise, slices, text_bytes
 
 SAMPLE, FEATURES, FOLDS = 16_000, 128, 5
 LEAST_DOCS, PENALTY, THRESHOLD = 3, 1.0, 0.5
@@ -242,16 +243,14 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
     chain = learn(docs, labels, id_col, text_col)
     at = chain.names.index("toxic")
 
-    @F.pandas_udf("double")
-    def toxic(texts):
+    column = docs.columns.index(text_col)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = Remembered(chain.chosen)
-        values = texts.tolist()
-        out = np.empty(len(values))
-        for lo in range(0, len(values), 500):
-            out[lo:lo + 500] = chain.predict(
-                _matrix(values[lo:lo + 500], known, len(chain.chosen)))[:, at]
-        import pandas as pd
-        return pd.Series(out)
-
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    return docs.filter(toxic(text) < threshold)
+        for batch in batches:
+            for rows in slices(batch):
+                texts = rows.column(column).cast(pa.string()).to_pylist()
+                p = chain.predict(_matrix(texts, known, len(chain.chosen)))[:, at]
+                yield rows.filter(pa.array(p < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
