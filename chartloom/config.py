@@ -6,13 +6,8 @@ from dataclasses import dataclass, field
 
 # Limits, thresholds, weights and grade bands that decide results.
 SHORT_TEXT_CHARS = 50
-PROMPT_TEXT_CHARS = 4000
-AMBIGUITY_TEXT_CHARS = 1500
-QUEUE_TEXT_CHARS = 5000
-RAW_REPLY_CHARS = 200
 PARSE_QUALITY_MIN = 0.7
 PARSE_TEXT_CHARS = 100
-MAX_QUESTIONS = 5
 HIGH_SOAP_QUALITY = 0.8
 GRADES = (("excellent", 0.90), ("good", 0.75), ("fair", 0.60))
 WEIGHTS = {"accuracy": 0.5, "coherence": 0.3, "completeness": 0.2}
@@ -50,7 +45,7 @@ class RetrySettings:
 
 @dataclass(frozen=True)
 class StreamSettings:
-    max_files_per_trigger: int = 5
+    max_files_per_trigger: int | None = None
     processing_time: str = "10 seconds"
     continuous: bool = False
 
@@ -82,5 +77,5 @@ class PipelineSettings:
         )
     )
     enable_human_review: bool = True
-    max_questions: int = MAX_QUESTIONS
+    max_questions: int | None = None
     cache_ttl_seconds: int = 3600

@@ -38,8 +38,14 @@ def word_count(col: Column) -> Column:
     return F.regexp_count(col, F.lit(WORD))
 
 
-def truncate(col: Column, chars: int) -> Column:
-    return F.substring(col, 1, chars)
+def truncate(col: Column, chars: int | None) -> Column:
+    """The first characters; all of them without a number."""
+    return col if chars is None else F.substring(col, 1, chars)
+
+
+def is_blank(col: Column) -> Column:
+    """True for null and for white space only."""
+    return strip(F.coalesce(col, F.lit(""))) == ""
 
 
 def is_short(col: Column, minimum: int = SHORT_TEXT_CHARS) -> Column:
@@ -58,6 +64,9 @@ NOTE_LABELS = (
 )
 PAGE_LABELS = ("MRN", "PATIENT", "ENCOUNTER DATE")
 
+# Values of these labels stand on one line.
+ONE_LINE = (*PAGE_LABELS, "page_id")
+
 # Other headings that end a value in front of them.
 NOTE_HEADINGS = (
     "DATE", "SYMPTOMS", "HISTORY OF PRESENT ILLNESS", "PAST MEDICAL HISTORY", "MEDICATIONS",
@@ -76,14 +85,18 @@ def _label_pattern(label: str) -> str:
 
 
 def labelled_value(text: Column, label: str, others: Sequence[str] = ()) -> Column:
-    """Value written after ``label:``, up to the next known label or line end.
+    """Value written after ``label:``, up to the next known label, over line ends.
 
-    Null when the label is absent or its value is empty.
+    A label that occurs again adds its value on a new line.  Values of identity labels end
+    with their line, and the first one counts.  Null when the label is absent or without a value.
     """
     known = {label, *others, *NOTE_LABELS, *NOTE_HEADINGS}
     stops = "|".join(_label_pattern(o) for o in sorted(known, key=lambda o: (-len(o), o)))
-    pattern = (
-        rf"(?i)\b{_label_pattern(label)}\s*[:#][ \t]*"
-        rf"([^\n]*?)[ \t]*(?:\b(?:{stops})\s*[:#]|\n|\z)"
-    )
-    return filled(F.regexp_extract(text, pattern, 1))
+    begin = rf"(?i)\b{_label_pattern(label)}\s*[:#][ \t]*"
+    if label in ONE_LINE:
+        pattern = rf"{begin}([^\n]*?)[ \t]*(?:\b(?:{stops})\s*[:#]|\n|\z)"
+        return filled(F.regexp_extract(text, pattern, 1))
+    # a run of characters of which none begins a known label
+    pattern = rf"{begin}((?:(?!\b(?:{stops})\s*[:#])[\s\S])*+)"
+    values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), strip)
+    return filled(F.array_join(F.array_remove(values, ""), "\n"))

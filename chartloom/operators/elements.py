@@ -23,7 +23,7 @@ HTML_BLOCK = (
 LINE_TABLE = r"\||\t"
 LINE_ITEM = r"^\s*(?:[-*•]|\d+[.)])\s"
 LINE_LABEL = r"^\s*[A-Z][A-Z /]+:\s*\S"
-LINE_TITLE = r"^\s*\p{Lu}[^.!?]{0,78}$"
+LINE_TITLE = r"^\s*\p{Lu}[^.!?]*$"
 
 
 def _element(kind: Column, text: Column, page: Column, html: Column) -> Column:

@@ -9,14 +9,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.config import PROMPT_TEXT_CHARS
 from chartloom.functions.jsonval import array_size, read_path, to_json
-from chartloom.functions.text import filled, is_short, labelled_value, truncate
+from chartloom.functions.text import filled, is_blank, labelled_value, strip, truncate
 from chartloom.operators import settle
 from chartloom.operators.infer import Backend, infer, infer_distinct, render_prompt, reply_document
 from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS, PATCHED
 
-# Fixed value: what a text too short to hold a note extracts to.
+# Fixed value: what a text without a note extracts to.
 SHORT_TEXT_ENTITIES = json.dumps(
     {
         "chief_complaint": "",
@@ -59,14 +58,16 @@ def extract_with_model(
     text: str = "text",
     output: str = "entities",
     distinct: bool = False,
+    limit: int | None = None,
     **options,
 ) -> DataFrame:
-    """Entity JSON per document from a model; short texts are not sent.
+    """Entity JSON per document from a model; blank texts are not sent.
 
-    The cheap guard runs first; failures come back as error documents.
+    The whole text is sent, or its first ``limit`` characters.  The cheap guard runs first;
+    failures come back as error documents.
     """
-    note = truncate(F.col(text), PROMPT_TEXT_CHARS)
-    prompt = F.when(~is_short(F.col(text)), render_prompt(EXTRACTION_PROMPT, note=note))
+    note = truncate(F.col(text), limit)
+    prompt = F.when(~is_blank(F.col(text)), render_prompt(EXTRACTION_PROMPT, note=note))
     call = infer_distinct if distinct else infer
     asked = call(df.withColumn("_prompt", prompt), "_prompt", backend, "_inference", **options)
     answered = asked.withColumn(
@@ -83,7 +84,7 @@ ORDERED = r"(?i)^(.*?)\s+(?:ordered|done|performed)$|^(.*)$"
 
 
 def _listed(value: Column, separator: str) -> Column:
-    items = F.transform(F.split(value, separator), lambda v: F.trim(v))
+    items = F.transform(F.split(value, separator), strip)
     return F.coalesce(F.filter(items, lambda v: v != ""), F.array().cast("array<string>"))
 
 
@@ -116,7 +117,6 @@ def _entities_of_note(text: Column, complaint: Column, assessed: Column) -> Colu
                 d.alias("diagnosis"), null.alias("icd10_code"),
                 F.when(d.rlike("(?i)^rule out"), "differential")
                 .when(d.rlike("(?i)likely|suspected|possible"), "suspected")
-                .otherwise("confirmed")
                 .alias("status"),
             ),
         ).alias("diagnoses"),
@@ -171,7 +171,7 @@ def extract_by_rules(df: DataFrame, text: str = "text", output: str = "entities"
     )
     found = _entities_of_note(note, F.col("_complaint"), F.col("_assessed"))
     extracted = labelled.withColumn(
-        output, F.when(is_short(note), F.lit(SHORT_TEXT_ENTITIES)).otherwise(to_json(found))
+        output, F.when(is_blank(note), F.lit(SHORT_TEXT_ENTITIES)).otherwise(to_json(found))
     ).drop("_complaint", "_assessed")
     return settle(extracted, output)
 
@@ -229,15 +229,17 @@ def entity_counts(df: DataFrame, *keys: str, entities: str = "entities") -> Data
 
 
 def flatten_leaves(
-    df: DataFrame, *keys: str, entities: str = "entities", max_depth: int = 4
+    df: DataFrame, *keys: str, entities: str = "entities", max_depth: int | None = None
 ) -> DataFrame:
     """One row per scalar leaf: ``keys, path, value, is_empty``.
 
-    Each level is a lateral unnesting of the one above, in one pass without a
-    shuffle.  Something nested deeper than ``max_depth`` is kept as one row that
-    holds its JSON text.
+    Each level is a lateral unnesting of the one above, without a shuffle, as many of them as
+    the deepest document has; that depth is counted first.  With ``max_depth``, something
+    nested deeper is kept as one row that holds its JSON text.
     """
     spark = df.sparkSession
+    if max_depth is None:
+        max_depth = df.agg(F.max(_depth(F.col(entities)))).first()[0] or 0
     level = df.select(
         *keys, F.lit("").alias("path"), F.try_parse_json(entities).alias("node"),
     ).filter(F.col("node").isNotNull())
@@ -271,6 +273,19 @@ def flatten_leaves(
     )
 
 
+def _depth(doc: Column) -> Column:
+    """How deep the brackets of a JSON text are nested."""
+    bare = F.regexp_replace(doc, r'"(?:[^"\\]++|\\.)*+"|[^\[\]{}]', "")
+    brackets = F.split(bare, "")
+    start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(held: Column, c: Column) -> Column:
+        now = held["now"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0)
+        return F.struct(now.alias("now"), F.greatest(held["most"], now).alias("most"))
+
+    return F.aggregate(brackets, start, step, lambda held: held["most"])
+
+
 def read_paths(df: DataFrame, entities: str, path: str, output: str = "value") -> DataFrame:
     """Value at a path given by a column; null when nothing is there."""
     return (
@@ -280,51 +295,91 @@ def read_paths(df: DataFrame, entities: str, path: str, output: str = "value") -
     )
 
 
-def _steps(path: str) -> list:
-    return [int(s) if s.isdigit() else s for s in re.split(r"[.\[\]]+", path) if s]
+class Number(str):
+    """A number as the document writes it."""
+
+
+def _dumps(value) -> str:
+    """Compact JSON in which numbers stand as they were written."""
+    if isinstance(value, Number):
+        return str(value)
+    if isinstance(value, dict):
+        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_dumps(v)}"
+                              for k, v in value.items()) + "}"
+    if isinstance(value, list):
+        return "[" + ",".join(map(_dumps, value)) + "]"
+    return json.dumps(value, ensure_ascii=False)
+
+
+def _loads(text: str):
+    """The document, or None if it is no JSON; numbers keep their spelling."""
+    def refused(name: str):
+        raise ValueError(f"{name} is no JSON")
+
+    try:
+        return json.loads(text, parse_float=Number, parse_int=Number, parse_constant=refused)
+    except (ValueError, RecursionError):
+        return None
+
+
+def _steps(path: str | None) -> list:
+    return [int(s) if s.isdigit() else s for s in re.split(r"[.\[\]]+", path or "") if s]
 
 
 def _read(doc, steps: list):
     """Value under the steps as text, None where they lead nowhere."""
+    if not steps:
+        return None
     for step in steps:
+        if isinstance(doc, str):
+            return None
         try:
             doc = doc[step]
         except (IndexError, KeyError, TypeError):
             return None
-    return doc if doc is None or isinstance(doc, str) else json.dumps(doc, ensure_ascii=False)
+    return doc if doc is None or isinstance(doc, str) else json.dumps(
+        json.loads(_dumps(doc)), ensure_ascii=False)
 
 
-def _write(doc, steps: list, value: str) -> None:
+def _write(doc, steps: list, value: str) -> bool:
     """Set one value; leave the document as it is where the steps do not fit."""
-    try:
-        for step in steps[:-1]:
-            if isinstance(doc, dict) and isinstance(step, str):
-                doc = doc.setdefault(step, {})
-            else:
-                doc = doc[step]
-        doc[steps[-1]] = value
-    except (IndexError, KeyError, TypeError):
-        pass
+    here = doc
+    for step in steps[:-1]:  # first see whether all steps fit, then make what is missing
+        if isinstance(here, dict) and isinstance(step, str):
+            here = here.get(step, {})
+        elif isinstance(here, list) and isinstance(step, int) and step < len(here):
+            here = here[step]
+        else:
+            return False
+    last = steps[-1] if steps else None
+    if not (isinstance(here, dict) and isinstance(last, str)
+            or isinstance(here, list) and isinstance(last, int) and last < len(here)):
+        return False
+    for step in steps[:-1]:
+        doc = doc.setdefault(step, {}) if isinstance(doc, dict) else doc[step]
+    doc[last] = value
+    return True
 
 
 @F.pandas_udf(PATCHED)
 def apply_patches(entities: pd.Series, patches: pd.Series) -> pd.DataFrame:
     """Write a list of ``(path, value)`` into an entity JSON, one after the other.
 
-    Missing objects are created; a position out of range leaves the document as it is.
+    Missing objects are created.  A null path or one that does not fit, and any path into a
+    text that is no JSON, leaves the document as it is; numbers keep their spelling.
     Gives ``struct(document, old_values, new_values)`` with the value at each path
     before and after its own write.
     """
     def merged(text: str | None, changes) -> tuple:
         if text is None or changes is None or len(changes) == 0:
             return text, [], []
-        doc, old, new = json.loads(text), [], []
+        doc, old, new, written = _loads(text), [], [], False
         for change in changes:
             steps = _steps(change["path"])
             old.append(_read(doc, steps))
-            _write(doc, steps, change["value"])
+            written |= _write(doc, steps, change["value"])
             new.append(_read(doc, steps))
-        return json.dumps(doc, ensure_ascii=False, separators=(",", ":")), old, new
+        return _dumps(doc) if written else text, old, new
 
     rows = [merged(d, c) for d, c in zip(entities, patches)]
     return pd.DataFrame(rows, columns=PATCHED.fieldNames())

@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.config import RAW_REPLY_CHARS, RetrySettings
+from chartloom.config import RetrySettings
 from chartloom.functions.jsonval import clean_reply
 from chartloom.schemas import INFERENCE
 from chartloom.sources.tables import materialise
@@ -193,7 +193,7 @@ def reply_document(inference: Column) -> Column:
     unreadable = F.to_json(
         F.struct(
             F.lit("JSON parse error: reply is not valid JSON").alias("error"),
-            F.substring(inference["reply"], 1, RAW_REPLY_CHARS).alias("raw_response"),
+            inference["reply"].alias("raw_response"),
             failed,
         )
     )

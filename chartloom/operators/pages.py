@@ -91,23 +91,16 @@ def notes_by_page(
     page: str = "page_id",
     order: str = "id",
     content: str = "content",
-    rows_per_part: int = 10_000,
 ) -> DataFrame:
-    """Notes per page from rows that are already exploded, e.g. a stored element table.
-
-    ``order`` numbers the elements of a document.  A part holds the elements of one
-    stretch of ``rows_per_part`` numbers, so a page of any size is spread over many
-    groups of bounded size and none of it is lost; documents with fewer elements
-    have the single part 0 per page.
-    """
-    part = F.floor(F.col(order) / F.lit(rows_per_part)).cast("long")
-    gathered = rows.groupBy(key, page, part.alias("part")).agg(
+    """Notes per page, a row each, from rows that are already exploded, e.g. a stored element
+    table.  A page is one row's worth of text, so its group is as large as that row."""
+    gathered = rows.groupBy(key, page).agg(
         F.sort_array(F.collect_list(F.struct(F.col(order), F.col(content)))).alias("_n")
     )
     notes = F.transform(
         F.filter(F.col("_n"), lambda n: n[content].isNotNull()), lambda n: n[content]
     )
-    return gathered.select(key, page, "part", notes.alias("Notes"))
+    return gathered.select(key, page, notes.alias("Notes"))
 
 
 def extract_fields(
@@ -126,7 +119,10 @@ def page_fields(pages: DataFrame) -> DataFrame:
 
 
 def flat_fields(docs_parsed: DataFrame, labels: Sequence[str], *keep: str) -> DataFrame:
-    """Fields of every element by itself, each distinct combination once."""
+    """Fields of every element by itself, each distinct combination of a path once.
+
+    Elements are made distinct within their task first, so only those combinations are shuffled.
+    """
     rows = tree_rows(docs_parsed, *keep)
     names = [field_name(label) for label in labels]
     found = extract_fields(rows, F.col("content"), labels)

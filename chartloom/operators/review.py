@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
-from chartloom.config import AMBIGUITY_TEXT_CHARS, MAX_QUESTIONS, QUEUE_TEXT_CHARS, QualityFloors
+from chartloom.config import QualityFloors
 from chartloom.functions.jsonval import completeness, number_or, reply_or_default, to_json
 from chartloom.functions.text import truncate
 from chartloom.operators import settle, unnest
@@ -33,7 +33,7 @@ AMBIGUITY_PROMPT = (
     "completeness_before, critical_fields_missing, reasoning_trace.\n"
 )
 QUESTION_PROMPT = (
-    "Write at most {limit} questions that would settle these ambiguities, the most "
+    "Write {wanted} questions that would settle these ambiguities, the most "
     "important first.\n\nAMBIGUITIES:\n{ambiguities}\n\nENTITIES:\n{entities}\n\n"
     "Answer with one JSON object: questions (id, priority, ambiguity_id, field_to_update, "
     "text, context, input_type, options, placeholder, clinical_note), total_questions, "
@@ -179,15 +179,16 @@ def ambiguities_from_reply(df: DataFrame, reply: str) -> DataFrame:
     ).drop("_doc")
 
 
-def ambiguity_prompt(entities: Column, source: Column) -> Column:
-    return render_prompt(
-        AMBIGUITY_PROMPT, entities=entities, source=truncate(source, AMBIGUITY_TEXT_CHARS)
-    )
+def ambiguity_prompt(entities: Column, source: Column, chars: int | None = None) -> Column:
+    return render_prompt(AMBIGUITY_PROMPT, entities=entities, source=truncate(source, chars))
 
 
-def question_prompt(ambiguities: Column, entities: Column, limit: int = MAX_QUESTIONS) -> Column:
+def question_prompt(
+    ambiguities: Column, entities: Column, limit: int | None = None
+) -> Column:
+    wanted = "the" if limit is None else f"at most {limit}"
     return render_prompt(
-        QUESTION_PROMPT, limit=F.lit(limit), ambiguities=to_json(ambiguities), entities=entities
+        QUESTION_PROMPT, wanted=F.lit(wanted), ambiguities=to_json(ambiguities), entities=entities
     )
 
 
@@ -219,9 +220,9 @@ def _templates() -> Column:
 
 
 def make_questions(
-    df: DataFrame, ambiguities: str = "ambiguities", limit: int = MAX_QUESTIONS
+    df: DataFrame, ambiguities: str = "ambiguities", limit: int | None = None
 ) -> DataFrame:
-    """Add ``questions``: at most ``limit``, by importance, then by ambiguity order."""
+    """Add ``questions``, all or ``limit`` of them, by importance, then by ambiguity order."""
     ranked = F.array_sort(
         F.transform(
             ambiguities,
@@ -229,7 +230,8 @@ def make_questions(
                                   i.alias("pos"), a.alias("a")),
         )
     )
-    ranked = F.slice(ranked, 1, limit)
+    if limit is not None:
+        ranked = F.slice(ranked, 1, limit)
 
     templates = _templates()
 
@@ -267,11 +269,12 @@ def questions_document(questions: Column) -> Column:
     )
 
 
-def questions_from_reply(df: DataFrame, reply: str, limit: int = MAX_QUESTIONS) -> DataFrame:
+def questions_from_reply(df: DataFrame, reply: str, limit: int | None = None) -> DataFrame:
     """``questions`` from a model's reply; an unreadable one counts as no questions."""
     doc = F.from_json(reply_or_default(F.col(reply), QUESTIONS_DEFAULT), QUESTIONS_DOC)
     none = F.array().cast(ArrayType(QUESTION))
-    return df.withColumn("questions", F.slice(F.coalesce(doc["questions"], none), 1, limit))
+    asked = F.coalesce(doc["questions"], none)
+    return df.withColumn("questions", asked if limit is None else F.slice(asked, 1, limit))
 
 
 AUTO, QUEUED, COMPLETED = "completed_auto", "pending_review", "completed"
@@ -284,7 +287,9 @@ def route(df: DataFrame, enable_human_review: bool = True) -> DataFrame:
     return settle(routed, "status")
 
 
-def queue_rows(df: DataFrame, now: Column, text: str = "text") -> DataFrame:
+def queue_rows(
+    df: DataFrame, now: Column, text: str = "text", chars: int | None = None
+) -> DataFrame:
     """Documents that wait for review, under the queue's column names."""
     doc = F.struct(
         "ambiguities", "confidence_score", "requires_review", "completeness_before",
@@ -295,7 +300,7 @@ def queue_rows(df: DataFrame, now: Column, text: str = "text") -> DataFrame:
         *[c for c in ("mrn", "patient_name", "visit_date") if c in df.columns],
         "document_id",
         "entities",
-        truncate(F.col(text), QUEUE_TEXT_CHARS).alias("source_text"),
+        truncate(F.col(text), chars).alias("source_text"),
         to_json(doc).alias("ambiguities"),
         questions_document(F.col("questions")).alias("questions"),
         "status",
@@ -416,7 +421,7 @@ def merge_feedback(answered: DataFrame) -> DataFrame:
     ).drop("_merged", "answered")
 
 
-def by_importance(ambiguities: DataFrame, limit: int = MAX_QUESTIONS) -> DataFrame:
+def by_importance(ambiguities: DataFrame, limit: int) -> DataFrame:
     """Top ambiguities per document from rows that are stored one per ambiguity.
 
     ``row_number`` under a limit is cut to ``limit`` rows per document before the

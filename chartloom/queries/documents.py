@@ -15,7 +15,6 @@ from chartloom.operators import pages as pg
 from chartloom.operators import structure as st
 from chartloom.operators.parse import parse_documents, parser_chain, tree_parts
 from chartloom.queries.inputs import BLOCKS, LINES, paged_documents, table, texts
-from chartloom.sources.files import scan_documents
 
 
 def _structured_pages(spark: SparkSession, sf: str) -> DataFrame:
@@ -213,7 +212,7 @@ def notes_by_page(spark, sf):
         F.col("role").alias("page_id"), F.col("text").alias("content"),
     )
     return pg.notes_by_page(rows).select(
-        "path", "page_id", "part", F.array_join("Notes", " ").alias("notes")
+        "path", "page_id", F.array_join("Notes", " ").alias("notes")
     )
 
 
@@ -243,20 +242,13 @@ def first_documents(spark, sf):
     return docs.orderBy(F.desc("n_chars"), "doc_id").limit(10)
 
 
-def scanned_files(spark, sf):
-    files = scan_documents(spark, sf, "*.parquet").drop("content")
-    return files.select(
-        F.regexp_extract("path", r"([^/]+)$", 1).alias("file"), F.col("length").alias("bytes")
-    )
-
-
 QUERIES: dict[str, Callable] = {
     fn.__name__: fn
     for fn in (
         page_elements, page_sections, document_sections, document_tables, page_metadata,
         document_metadata, page_text, parse_quality_gate, parsed_documents, parse_report,
         fallback_parse, tree_rows, variant_rows, tree_paths, page_notes, notes_by_page,
-        text_guard_truncate, document_ids, first_documents, scanned_files,
+        text_guard_truncate, document_ids, first_documents,
     )
 }
 
@@ -399,9 +391,8 @@ SELECT 'doc/' || doc_id AS path, n // 10 + 1 AS page_id, count(*) AS notes,
   md5(string_agg(text, ' ' ORDER BY n)) AS notes_md5
 FROM lines GROUP BY doc_id, n // 10""",
     "notes_by_page": """
-SELECT conv_id AS path, role AS page_id, turn // 10000 AS part,
-  string_agg(text, ' ' ORDER BY turn) AS notes
-FROM conversations GROUP BY conv_id, role, turn // 10000""",
+SELECT conv_id AS path, role AS page_id, string_agg(text, ' ' ORDER BY turn) AS notes
+FROM conversations GROUP BY conv_id, role""",
     "text_guard_truncate": r"""
 SELECT doc_id, length(text) < 50 AS is_short, md5(text[1:4000]) AS prompt_md5,
   least(length(text), 5000) AS queued_chars,

@@ -290,8 +290,8 @@ def _filled(template: str, **slots: str) -> str:
 
 _MODEL = """
 m AS (
-  SELECT doc_id, text, length(text[1:4000]) AS n,
-    length(text) < 50 AS short FROM documents
+  SELECT doc_id, text, length(text) AS n,
+    length(trim(text)) = 0 AS short FROM documents
 ), f AS (
   SELECT *, NOT short AND n % 7 = 0 AS late, NOT short AND n % 7 <> 0 AND n % 11 = 0 AS refused,
     NOT short AND n % 7 <> 0 AND n % 11 <> 0 AND n % 13 = 0 AS odd FROM m
@@ -354,7 +354,7 @@ FROM enc ORDER BY document_id LIMIT 10""",
 WITH {ENC}
 SELECT document_id, {_CC} AS chief_complaint,
   array_to_string([s.symptom || '/-' FOR s IN e.symptoms], ';') AS symptoms,
-  array_to_string([d.diagnosis || '/confirmed' FOR d IN e.diagnoses], ';') AS diagnoses,
+  array_to_string([d.diagnosis || '/-' FOR d IN e.diagnoses], ';') AS diagnoses,
   CASE WHEN k % 13 = 0 THEN '' ELSE array_to_string([concat_ws('/', m.name,
     coalesce(m.dosage, '-'), coalesce(m.frequency, '-')) FOR m IN e.medications], ';') END
     AS medications,
@@ -401,6 +401,6 @@ FROM asked a LEFT JOIN known k ON a.prompt = k.prompt""",
 WITH {ENC}
 SELECT document_id,
   md5({_filled(EXTRACTION_PROMPT, note="text")}) AS extraction,
-  md5({_filled(AMBIGUITY_PROMPT, entities="entities", source="text[1:1500]")}) AS ambiguity
+  md5({_filled(AMBIGUITY_PROMPT, entities="entities", source="text")}) AS ambiguity
 FROM enc""",
 }

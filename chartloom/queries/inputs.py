@@ -226,7 +226,7 @@ lines AS (
     CASE WHEN regexp_matches(line, '\\||\\t') THEN 'Table'
       WHEN regexp_matches(line, '^\\s*(?:[-*•]|\\d+[.)])\\s') THEN 'ListItem'
       WHEN regexp_matches(line, '^\\s*[A-Z][A-Z /]+:\\s*\\S') THEN 'NarrativeText'
-      WHEN regexp_matches(line, '^\\s*\\p{Lu}[^.!?]{0,78}$') THEN 'Title'
+      WHEN regexp_matches(line, '^\\s*\\p{Lu}[^.!?]*$') THEN 'Title'
       ELSE 'NarrativeText' END AS type
   FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
           generate_subscripts(string_split(text, chr(10)), 1) - 1 AS n FROM documents)

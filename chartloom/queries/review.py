@@ -44,7 +44,7 @@ def ambiguity_scores(spark, sf):
 
 
 def top_questions(spark, sf):
-    asked = rv.make_questions(_detected(spark, sf))
+    asked = rv.make_questions(_detected(spark, sf), limit=5)
     return unnest(asked, "questions", "document_id", item="q").select(
         "document_id", "q.id", F.col("q.priority").cast("bigint").alias("priority"),
         "q.ambiguity_id", "q.field_to_update", "q.text", "q.input_type",
@@ -54,7 +54,7 @@ def top_questions(spark, sf):
 
 def top_ambiguities(spark, sf):
     rows = unnest(_detected(spark, sf), "ambiguities", "document_id", item="a").select("document_id", "pos", "a.field", "a.clinical_importance")
-    return rv.by_importance(rows).select(
+    return rv.by_importance(rows, 5).select(
         "document_id", "field", F.col("priority").cast("bigint").alias("priority")
     )
 
@@ -317,7 +317,7 @@ ans AS (
 ), hit AS (
   SELECT a.document_id, a.rn, a.field, 'q' || a.rn AS question_id, ans.answer
   FROM arows a JOIN ans ON ans.document_id = a.document_id AND ans.question_id = 'q' || a.rn
-  WHERE a.review AND a.rn <= 5
+  WHERE a.review
 ), chg AS (
   SELECT h.*, lag(answer) OVER (PARTITION BY h.document_id, field ORDER BY rn) AS previous, enc.e AS e,
     CASE WHEN field LIKE '%[%' THEN regexp_extract(field, '\\[(\\d+)', 1)::INT END AS item
@@ -442,8 +442,8 @@ SELECT CASE WHEN review THEN 'pending_review' ELSE 'completed_auto' END AS statu
   count(*) AS documents FROM routed GROUP BY review""",
     "review_queue": f"""
 {BASE}
-SELECT mrn, patient_name, visit_date, document_id, entities, text[1:5000] AS source_text,
-  'pending_review' AS status, least(len(amb), 5) AS questions, 18 * least(len(amb), 5) AS seconds,
+SELECT mrn, patient_name, visit_date, document_id, entities, text AS source_text,
+  'pending_review' AS status, len(amb) AS questions, 18 * len(amb) AS seconds,
   len(amb) AS ambiguities, round(before::FLOAT::DOUBLE, 4) AS completeness_before
 FROM routed WHERE review""",
     "feedback_changes": f"""

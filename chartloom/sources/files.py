@@ -28,7 +28,7 @@ def stream_documents(
     spark: SparkSession,
     path: str,
     glob: str = "*.pdf",
-    max_files: int = StreamSettings.max_files_per_trigger,
+    max_files: int | None = StreamSettings.max_files_per_trigger,
 ) -> DataFrame:
     """The same rows as a stream of new files, a few files per micro-batch."""
     return (

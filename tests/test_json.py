@@ -131,12 +131,28 @@ def test_flatten_leaves(spark):
     assert values["vital_signs.oxygen_saturation"] == "96%"
 
 
-def test_deeper_levels_stay_as_text(spark):
+def test_any_depth_or_a_chosen_one(spark):
     df = spark.createDataFrame([(1, '{"a":{"b":{"c":{"d":{"e":1}}}},"z":[]}')], "id int, entities string")
     rows = {r.path: r.value for r in en.flatten_leaves(df, "id").collect()}
+    assert rows == {"a.b.c.d.e": "1"}
+    rows = {r.path: r.value for r in en.flatten_leaves(df, "id", max_depth=4).collect()}
     assert rows == {"a.b.c.d": '{"e":1}'}
 
 
+def test_patches_that_do_not_fit(spark):
+    """Null and misfit paths, broken documents: nothing changes, nothing fails."""
+    kept = '{"a": 1.10, "big": 12345678901234567890.123, "far": 1e400, "t": "x", "l": [1]}'
+    rows = [(kept, [(None, "v")]), (kept, [("t.u.v", "v"), ("l[4].x", "v"), ("", "v"), ("l.k", "v")]),
+            ("oops", [("a", "v")]), ('{"a": NaN}', [("a", "v")]), (kept, [("n", "v"), ("a", None)])]
+    df = spark.createDataFrame(rows, "e string, p array<struct<path:string,value:string>>")
+    got = [r.m for r in df.select(en.apply_patches("e", "p").alias("m")).collect()]
+    assert [g.document for g in got[:4]] == [r[0] for r in rows[:4]]
+    assert [len(g.old_values) for g in got] == [1, 4, 1, 1, 2]
+    assert got[4].document == (
+        '{"a":null,"big":12345678901234567890.123,"far":1e400,"t":"x","l":[1],"n":"v"}')
+    assert got[4].old_values == [None, "1.10"]
+
+
 def test_older_keys(spark):
     old = {"symptoms": [{"name": "cough", "duration": "2 days"}],
            "diagnoses": [{"diagnosis": "flu", "icd10": "J10"}],
