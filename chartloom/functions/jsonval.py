@@ -45,11 +45,16 @@ def clean_reply(reply: Column) -> Column:
     return strip(body)
 
 
+def is_object(text: Column) -> Column:
+    """True for a text that is one JSON object; a key that occurs twice makes it none."""
+    kind = F.schema_of_variant(F.try_parse_json(text))
+    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+
+
 def reply_or_default(reply: Column, default: str) -> Column:
-    """Cleaned reply where it is valid JSON, else the stage's default document."""
+    """Cleaned reply where it is a JSON object, else the stage's default document."""
     return let(
-        clean_reply(reply),
-        lambda text: F.when(F.try_parse_json(text).isNotNull(), text).otherwise(F.lit(default)),
+        clean_reply(reply), lambda text: F.when(is_object(text), text).otherwise(F.lit(default))
     )
 
 
@@ -92,9 +97,9 @@ def leaf_counts(doc: Column) -> Column:
 
 
 def completeness(doc: Column) -> Column:
-    """Share of filled leaves; 0.0 for a document without leaves."""
+    """Share of filled leaves; 0.0 for a document without leaves and for text that is no JSON."""
     return let(
-        _leaves(doc),
+        _leaves(F.when(F.try_parse_json(doc).isNotNull(), doc)),
         lambda leaves: F.when(
             F.size(leaves) > 0, _count_filled(leaves).cast("double") / F.size(leaves)
         ).otherwise(F.lit(0.0)),

@@ -104,17 +104,24 @@ def infer(
     return spread.withColumn(output, infer_udf(backend, **options)(F.col(prompt)))
 
 
+def _prompt_hash(prompt: Column) -> Column:
+    """Hash of a prompt; a number of its own where there is none, which no prompt has."""
+    own = F.concat(F.lit("none-"), F.monotonically_increasing_id().cast("string"))
+    return F.coalesce(F.sha2(prompt, 256), own)
+
+
 def infer_distinct(
     df: DataFrame, prompt: str, backend: Backend, output: str = "inference", **options
 ) -> DataFrame:
     """Like :func:`infer`, but equal prompts are sent once.
 
     Equal prompts collapse before the shuffle; the answers, unique per prompt hash,
-    are joined back, and adaptive execution splits a hash that many rows share.
+    are joined back, and adaptive execution splits a hash that many rows share.  Rows
+    without a prompt get a hash of their own each, so they do not gather anywhere.
     """
-    keyed = df.withColumn("_hash", F.sha2(F.col(prompt), 256))
+    keyed = df.withColumn("_hash", _prompt_hash(F.col(prompt)))
     unique = (
-        keyed.filter(F.col("_hash").isNotNull())
+        keyed.filter(F.col(prompt).isNotNull())
         .groupBy("_hash")
         .agg(F.first(prompt).alias(prompt))
     )
@@ -139,13 +146,12 @@ def infer_cached(
     each open prompt is sent once, whichever of the two results are used.
     """
     fresh = (
-        cache.filter(
-            F.unix_timestamp(now) - F.unix_timestamp(F.col("cached_at")) < ttl_seconds
-        )
+        cache.withColumn("_age", F.unix_timestamp(now) - F.unix_timestamp(F.col("cached_at")))
+        .filter((F.col("_age") >= 0) & (F.col("_age") < ttl_seconds))
         .groupBy("prompt_hash")
-        .agg(F.max_by("reply", "cached_at").alias("_cached"))
+        .agg(F.max_by("reply", F.struct("cached_at", "reply")).alias("_cached"))
     )
-    keyed = df.withColumn("prompt_hash", F.sha2(F.col(prompt), 256)).join(
+    keyed = df.withColumn("prompt_hash", _prompt_hash(F.col(prompt))).join(
         fresh, "prompt_hash", "left"
     )
     open_prompts = keyed.filter(F.col("_cached").isNull() & F.col(prompt).isNotNull())

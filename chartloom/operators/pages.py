@@ -129,6 +129,11 @@ def flat_fields(docs_parsed: DataFrame, labels: Sequence[str], *keep: str) -> Da
     return found.select("path", *keep, "page_id", *names).distinct()
 
 
+def in_order(rows: DataFrame, *order: str) -> DataFrame:
+    """Rows of pages by path, page and further columns, over all partitions."""
+    return rows.orderBy("path", F.asc_nulls_first("page_id"), *order)
+
+
 def explode_matches(df: DataFrame, col: str, pattern: str, group: int = 1) -> DataFrame:
     """One row per match of a regular expression."""
     found = F.regexp_extract_all(F.col(col).cast("string"), F.lit(pattern), F.lit(group))

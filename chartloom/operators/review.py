@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType
 
 from chartloom.config import QualityFloors
-from chartloom.functions.jsonval import completeness, number_or, reply_or_default, to_json
+from chartloom.functions.jsonval import (
+    completeness, is_object, number_or, reply_or_default, to_json)
 from chartloom.functions.text import truncate
 from chartloom.operators import settle, unnest
 from chartloom.operators.entities import apply_patches
@@ -277,7 +278,32 @@ def questions_from_reply(df: DataFrame, reply: str, limit: int | None = None) ->
     return df.withColumn("questions", asked if limit is None else F.slice(asked, 1, limit))
 
 
-AUTO, QUEUED, COMPLETED = "completed_auto", "pending_review", "completed"
+AUTO, QUEUED, COMPLETED, FAILED = "completed_auto", "pending_review", "completed", "error"
+
+
+def extraction_failed(entities: Column) -> Column:
+    """True where an extraction left an error, nothing, or no JSON object."""
+    error = F.get_json_object(entities, "$.error").isNotNull()
+    return error | ~is_object(F.coalesce(entities, F.lit("")))
+
+
+def set_failures_apart(df: DataFrame, entities: str = "entities") -> DataFrame:
+    """Failed extractions get the status ``error``: nothing to ask, nothing complete."""
+    failed = extraction_failed(F.col(entities))
+
+    def instead(column: str, value: Column) -> Column:
+        return F.when(failed, value.cast(df.schema[column].dataType)).otherwise(F.col(column))
+
+    none = F.array()
+    apart = df.withColumns({
+        "ambiguities": instead("ambiguities", none), "questions": instead("questions", none),
+        "critical_fields_missing": instead("critical_fields_missing", F.lit(0)),
+        "confidence_score": instead("confidence_score", F.lit(0.0)),
+        "completeness_before": instead("completeness_before", F.lit(0.0)),
+        "requires_review": instead("requires_review", F.lit(False)),
+        "status": instead("status", F.lit(FAILED)),
+    })
+    return settle(apart, "status")
 
 
 def route(df: DataFrame, enable_human_review: bool = True) -> DataFrame:

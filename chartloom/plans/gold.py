@@ -34,11 +34,23 @@ def _contract(df: DataFrame, plain):
 
 
 def assessed(documents: DataFrame, settings: PipelineSettings = PipelineSettings()) -> DataFrame:
-    """``document_id, text, entities`` to ambiguities, questions and a route."""
+    """``document_id, text, entities`` to ambiguities, questions and a route.
+
+    A failed extraction (an error document, null, or no JSON object) is not routed: its
+    status is ``error``, it gets no question and no note, and its completeness is 0.
+    """
     found = review.detect_ambiguities(normalise_entities(documents), floors=settings.floors)
-    return review.route(
+    routed = review.route(
         review.make_questions(found, limit=settings.max_questions), settings.enable_human_review
     )
+    return review.set_failures_apart(routed)
+
+
+def failures(decided: DataFrame) -> DataFrame:
+    """``document_id, error`` of the documents whose extraction failed."""
+    told = F.coalesce(F.get_json_object("entities", "$.error"), F.lit("no entity document"))
+    return decided.filter(F.col("status") == review.FAILED).select(
+        "document_id", told.alias("error"))
 
 
 def review_queue(decided: DataFrame, now: Column) -> DataFrame:

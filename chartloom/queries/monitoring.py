@@ -14,6 +14,7 @@ from chartloom.operators.search import vector_topk
 from chartloom.queries import entities as ent
 from chartloom.queries.inputs import table, texts
 from chartloom.schemas import PARSED_DOCUMENTS, STATUS_LOG
+from chartloom.sources.files import stream_table
 from chartloom.sources.tables import append_batch, conform, fresh_dir
 from chartloom.streaming import pipelines
 
@@ -109,13 +110,11 @@ def nearest_vectors(spark, sf):
 
 
 def stream_monitor(spark, sf):
-    """Hourly figures from a stream of the events, up to the watermark."""
-    events = spark.readStream.schema(table(spark, sf, "events").schema).option(
-        "pathGlobFilter", "events.parquet"
-    ).parquet(sf)
+    """Hourly figures from a stream of the events."""
+    events = stream_table(spark, f"{sf}/events.parquet", table(spark, sf, "events").schema)
     out = fresh_dir(spark, "monitor")
     pipelines.watch(_scores(events), out, fresh_dir(spark, "monitor-state")).awaitTermination()
-    return _shown(spark.read.parquet(out))
+    return _shown(pipelines.watched(spark, out))
 
 
 def stream_refine(spark, sf):
@@ -230,9 +229,7 @@ SELECT label AS query_id, vec_id, score, rank FROM r WHERE rank <= 10""",
     "stream_monitor": f"""
 WITH {_SCORES}
 SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS window_start, {_FIGURES}
-FROM s GROUP BY date_trunc('hour', ts)
-HAVING date_trunc('hour', ts) + INTERVAL 1 HOUR
-  <= (SELECT date_trunc('millisecond', max(ts)) FROM events) - INTERVAL 10 MINUTE""",
+FROM s GROUP BY date_trunc('hour', ts)""",
     "stream_refine": f"""
 WITH {ent.ODD}
 SELECT doc_id::VARCHAR AS document_id, source AS path, x AS extracted_entities,

@@ -64,6 +64,21 @@ def routes(spark, sf):
     return measures.status_tally(routed).withColumnRenamed("count", "documents")
 
 
+def failed_routes(spark, sf):
+    """One extraction in seventeen has failed: with an error, without a result, unreadable."""
+    k = F.col("k")
+    odd = F.when(k % 3 == 0, '{"error": "API timeout"}').when(k % 3 == 1, "sorry, 42")
+    visits = encounters(spark, sf).drop("entity").withColumn(
+        "entities", F.when(k % 17 == 0, odd).otherwise(F.col("entities")))
+    decided = gold.assessed(visits)
+    told = gold.failures(decided).select("document_id", "error")
+    return decided.join(told, "document_id", "left").groupBy("status", "error").agg(
+        F.count(F.lit(1)).alias("documents"),
+        F.sum(F.size("questions")).alias("questions"),
+        F.round(F.avg("completeness_before"), 6).alias("completeness"),
+    )
+
+
 def _assessed(spark, sf) -> DataFrame:
     return gold.assessed(encounters(spark, sf).drop("entity"))
 
@@ -256,7 +271,7 @@ QUERIES: dict[str, Callable] = {
         ambiguity_rules, ambiguity_scores, top_questions, top_ambiguities, routes, review_queue,
         feedback_changes, feedback_metrics, validated_entities, unknown_documents, unprocessed,
         latest_status, queue_status, rendered_notes, note_sections, auto_summaries,
-        all_summaries, visit_notes,
+        all_summaries, visit_notes, failed_routes,
     )
 }
 
@@ -436,6 +451,14 @@ SELECT document_id, 'q' || rn AS id, rn AS priority, 'amb_' || i AS ambiguity_id
 FROM arows WHERE rn <= 5""",
     "top_ambiguities": f"""
 {BASE} SELECT document_id, field, rn AS priority FROM arows WHERE rn <= 5""",
+    "failed_routes": f"""
+{BASE}
+SELECT CASE WHEN k % 17 = 0 THEN 'error' WHEN review THEN 'pending_review' ELSE 'completed_auto' END
+    AS status,
+  CASE WHEN k % 51 = 0 THEN 'API timeout' WHEN k % 17 = 0 THEN 'no entity document' END AS error,
+  count(*) AS documents, sum(CASE WHEN k % 17 = 0 THEN 0 ELSE len(amb) END)::BIGINT AS questions,
+  round(avg(CASE WHEN k % 17 = 0 THEN 0 ELSE before END), 6) AS completeness
+FROM routed GROUP BY ALL""",
     "routes": f"""
 {BASE}
 SELECT CASE WHEN review THEN 'pending_review' ELSE 'completed_auto' END AS status,

@@ -47,10 +47,11 @@ def stream_table(
     max_files: int | None = None,
     glob: str | None = None,
 ) -> DataFrame:
-    """Rows appended to a parquet folder, as a stream."""
+    """Rows appended to a parquet folder, as a stream; a table of a single file works too."""
     reader = spark.readStream.format("parquet").schema(schema)
     if max_files is not None:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if glob is not None:
         reader = reader.option("pathGlobFilter", glob)
-    return reader.load(path)
+    # as a pattern, for a stream's plain path must be a folder
+    return reader.load(f"{path[:-1]}[{path[-1]}]")

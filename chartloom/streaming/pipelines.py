@@ -75,6 +75,19 @@ def watch(
     delay: str = "10 minutes",
     settings: StreamSettings = StreamSettings(),
 ) -> StreamingQuery:
-    """Monitoring figures per window, each written once the watermark has passed it."""
+    """Monitoring figures per window, appended whenever a micro-batch changes them.
+
+    So the windows behind the last watermark are there too when a bounded run ends;
+    :func:`watched` reads the newest figures of each window.
+    """
     timed = scores.withColumn(ts, F.col(ts).cast("timestamp")).withWatermark(ts, delay)
-    return run_stream(monitor(timed, granularity, ts), checkpoint, path=path, settings=settings)
+    return run_batches(
+        monitor(timed, granularity, ts), checkpoint, path, settings=settings, output_mode="update")
+
+
+def watched(spark: SparkSession, path: str) -> DataFrame:
+    """The newest figures of each window that :func:`watch` has written."""
+    rows = spark.read.parquet(path)
+    figures = [c for c in rows.columns if c not in ("window_start", "batch_id")]
+    newest = F.max_by(F.struct(*figures), "batch_id").alias("newest")
+    return rows.groupBy("window_start").agg(newest).select("window_start", "newest.*")
