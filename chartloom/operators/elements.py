@@ -6,6 +6,8 @@
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,10 +18,16 @@ from chartloom.schemas import ELEMENT_TREE, ELEMENTS
 # Element categories.
 TITLE, NARRATIVE, LIST_ITEM, TABLE = "Title", "NarrativeText", "ListItem", "Table"
 
-HTML_HIDDEN = r"(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->"
-HTML_BLOCK = (
-    r"(?is)<(?:h[1-6]|p|li|table)(?:\s[^>]*)?>.*?</(?:h[1-6]|p|li|table)>"
+HTML_HIDDEN = (
+    r"(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->"
 )
+# Tags, opening or closing, at which a block ends and the next one begins.
+HTML_BLOCKS = (
+    "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset "
+    "figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol "
+    "option p pre section select summary table tbody td textarea tfoot th thead title tr ul"
+).split()
+HTML_BREAK = rf"(?i)<(/?(?:{'|'.join(HTML_BLOCKS)}))(?:\s[^>]*)?/?>"
 LINE_TABLE = r"\||\t"
 LINE_ITEM = r"^\s*(?:[-*•]|\d+[.)])\s"
 LINE_LABEL = r"^\s*[A-Z][A-Z /]+:\s*\S"
@@ -35,36 +43,72 @@ def _element(kind: Column, text: Column, page: Column, html: Column) -> Column:
     )
 
 
+def decode_entities(text: Column) -> Column:
+    """Named and numeric character references, each decoded once; others stay as they are."""
+    names = F.create_map(*[F.lit(v) for name, code in sorted(name2codepoint.items())
+                           for v in (name, chr(code))])
+
+    def character(code: Column) -> Column:
+        fits = (code > 0) & (code <= 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(fits, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+
+    def decoded(piece: Column) -> Column:
+        name = F.regexp_extract(
+            piece, "^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});", 1)
+        digits = F.regexp_replace(name, "^#[xX]?", "")
+        value = (
+            F.when(name == "", None)
+            .when(name.rlike("^#[xX]"), character(F.conv(digits, 16, 10).cast("long")))
+            .when(name.startswith("#"), character(digits.try_cast("long")))
+            .when(name == "apos", "'")
+            .otherwise(F.try_element_at(names, name))
+        )
+        return F.coalesce(
+            F.concat(value, F.substring(piece, F.length(name) + 2, F.length(piece))),
+            F.concat(F.lit("&"), piece))
+
+    pieces = F.split(text, "&")
+    return F.when(F.contains(text, F.lit("&")), F.array_join(F.transform(
+        pieces, lambda piece, i: F.when(i == 0, piece).otherwise(decoded(piece))), "")
+    ).otherwise(text)
+
+
 def _plain(fragment: Column) -> Column:
     """Text of an HTML fragment: tags out, entities decoded, spaces collapsed."""
-    text = F.regexp_replace(fragment, r"<[^>]*>", " ")
-    for entity, char in (
-        ("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"),
-        ("&amp;", "&"),
-    ):
-        text = F.replace(text, F.lit(entity), F.lit(char))
-    return F.trim(F.regexp_replace(text, r"\s+", " "))
+    text = decode_entities(F.regexp_replace(fragment, r"<[^>]*>", " "))
+    return F.trim(F.regexp_replace(text, r"[\s\xa0]+", " "))
 
 
 def html_elements(html: Column, page: Column | None = None) -> Column:
-    """Headings, paragraphs, list items and tables of an HTML text."""
+    """The visible text of an HTML text, every word of it in one element.
+
+    A block ends where any other begins or ends, whether it was closed or not.  A table is
+    one element, up to its own end; headings and list items are told by their tag, all else
+    is narrative.
+    """
     page = F.lit(1) if page is None else page
-    visible = F.regexp_replace(html, HTML_HIDDEN, "")
-    blocks = F.regexp_extract_all(visible, F.lit(HTML_BLOCK), F.lit(0))
+    visible = F.regexp_replace(F.translate(html, "\x01\x02\x03", "   "), HTML_HIDDEN, " ")
+    apart = F.regexp_replace(visible, r"(?i)<table\b", "\x03$0")
+    apart = F.regexp_replace(apart, r"(?i)</table\s*>", "$0\x03")
 
     def typed(block: Column) -> Column:
-        opening = F.lower(F.substring(block, 1, 3))
+        tag = F.lower(F.substring_index(block, "\x02", 1))
         kind = (
-            F.when(F.startswith(opening, F.lit("<h")), TITLE)
-            .when(F.startswith(opening, F.lit("<li")), LIST_ITEM)
-            .when(F.startswith(opening, F.lit("<ta")), TABLE)
+            F.when(~F.contains(block, F.lit("\x02")), NARRATIVE)
+            .when(tag.rlike("^h[1-6]$"), TITLE)
+            .when(tag == "li", LIST_ITEM)
             .otherwise(NARRATIVE)
         )
-        return _element(
-            kind, _plain(block), page, F.when(F.startswith(opening, F.lit("<ta")), block)
-        )
+        return _element(kind, _plain(F.substring_index(block, "\x02", -1)), page, F.lit(None))
+
+    def blocks(part: Column) -> Column:
+        table = F.array(_element(F.lit(TABLE), _plain(part), page, part))
+        marked = F.regexp_replace(part, HTML_BREAK, "\x01$1\x02")
+        rest = F.transform(F.split(marked, "\x01"), typed)
+        return F.when(part.rlike(r"(?i)^<table\b"), table).otherwise(rest)
 
-    return F.filter(F.transform(blocks, typed), lambda e: e["text"] != "")
+    found = F.flatten(F.transform(F.split(apart, "\x03"), blocks))
+    return F.filter(found, lambda e: e["text"] != "")
 
 
 def text_elements(text: Column) -> Column:

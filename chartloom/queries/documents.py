@@ -34,6 +34,13 @@ def page_elements(spark, sf):
     )
 
 
+def page_words(spark, sf):
+    """Words that the elements of a page hold, against all words outside its tags."""
+    pages = el.html_to_elements(texts(spark, sf, "pages", "page_id", "html"))
+    words = F.aggregate("elements", F.lit(0), lambda n, e: n + word_count(e["text"]))
+    return pages.select("page_id", words.cast("bigint").alias("words"))
+
+
 def page_sections(spark, sf):
     pages = _structured_pages(spark, sf)
     return unnest(pages, "sections", "page_id", pos="section", item="s").select(
@@ -245,7 +252,7 @@ def first_documents(spark, sf):
 QUERIES: dict[str, Callable] = {
     fn.__name__: fn
     for fn in (
-        page_elements, page_sections, document_sections, document_tables, page_metadata,
+        page_elements, page_words, page_sections, document_sections, document_tables, page_metadata,
         document_metadata, page_text, parse_quality_gate, parsed_documents, parse_report,
         fallback_parse, tree_rows, variant_rows, tree_paths, page_notes, notes_by_page,
         text_guard_truncate, document_ids, first_documents,
@@ -329,6 +336,11 @@ WITH {BLOCKS}, {_PAGE_SECTIONS}, sect AS (
 
 ORACLES: dict[str, str] = {
     "page_elements": f"WITH {BLOCKS} SELECT page_id, pos, type, text FROM blocks",
+    "page_words": r"""
+SELECT page_id, len(regexp_extract_all(regexp_replace(regexp_replace(html,
+    '(?is)<head.*?</head>|<script.*?</script>|<style.*?</style>|<!--.*?-->', ' ', 'g'),
+    '<[^>]*>', ' ', 'g'), '\S+')) AS words
+FROM pages""",
     "page_sections": _sections_sql(BLOCKS, _PAGE_SECTIONS, "page_id", "pos"),
     "document_sections": _sections_sql(LINES, _DOC_SECTIONS, "doc_id", "n"),
     "document_tables": f"""

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.functions.jsonval import to_json
-from chartloom.operators.elements import element_tree, text_elements
+from chartloom.operators.elements import HTML_BLOCKS, element_tree, text_elements
 from chartloom.sources.tables import spread
 
 
@@ -233,25 +233,37 @@ lines AS (
   WHERE trim(line, ' ') <> ''
 )"""
 
-# Blocks of HTML pages with their element category.
+# Visible blocks of HTML pages with their element category.
 BLOCKS = r"""
+visible AS (
+  SELECT page_id, regexp_replace(html,
+    '(?is)<head\b.*?</head>|<script\b.*?</script>|<style\b.*?</style>|<!--.*?-->', ' ', 'g') AS v
+  FROM pages),
+parts AS (
+  SELECT page_id, unnest(ps) AS part, generate_subscripts(ps, 1) AS m
+  FROM (SELECT page_id, string_split(regexp_replace(regexp_replace(v,
+      '(?i)<table\b', chr(3) || '\0', 'g'), '(?i)</table\s*>', '\0' || chr(3), 'g'), chr(3)) AS ps
+    FROM visible)),
+pieces AS (
+  SELECT page_id, m, unnest(bs) AS piece, generate_subscripts(bs, 1) AS n
+  FROM (SELECT page_id, m, CASE WHEN regexp_matches(part, '(?i)^<table\b') THEN ['table' || chr(2) || part]
+      ELSE string_split(regexp_replace(part, '(?i)<(/?(?:%s))(?:\s[^>]*)?/?>',
+        chr(1) || '\1' || chr(2), 'g'), chr(1)) END AS bs
+    FROM parts)),
 blocks AS (
-  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY n) - 1 AS pos, type, text,
-    CASE WHEN type = 'Table' THEN block END AS html
+  SELECT page_id, row_number() OVER (PARTITION BY page_id ORDER BY m, n) - 1 AS pos, type, text,
+    CASE WHEN type = 'Table' THEN string_split(piece, chr(2))[2] END AS html
   FROM (
-    SELECT page_id, n, block,
-      CASE WHEN lower(block[1:2]) = '<h' THEN 'Title' WHEN lower(block[1:3]) = '<li' THEN 'ListItem'
-        WHEN lower(block[1:3]) = '<ta' THEN 'Table' ELSE 'NarrativeText' END AS type,
-      trim(regexp_replace(replace(replace(replace(replace(replace(replace(
-        regexp_replace(block, '<[^>]*>', ' ', 'g'), '&nbsp;', ' '), '&lt;', '<'), '&gt;', '>'),
-        '&quot;', '"'), '&#39;', ''''), '&amp;', '&'), '\s+', ' ', 'g'), ' ') AS text
-    FROM (
-      SELECT page_id, unnest(bs) AS block, generate_subscripts(bs, 1) AS n
-      FROM (SELECT page_id, regexp_extract_all(
-          regexp_replace(html,
-            '(?is)<script[^>]*>.*?</script>|<style[^>]*>.*?</style>|<!--.*?-->', '', 'g'),
-          '(?is)<(?:h[1-6]|p|li|table)(?:\s[^>]*)?>.*?</(?:h[1-6]|p|li|table)>') AS bs
-        FROM pages)
-    )
-  ) WHERE text <> ''
-)"""
+    SELECT page_id, m, n, piece,
+      CASE WHEN NOT contains(piece, chr(2)) THEN 'NarrativeText'
+        WHEN regexp_matches(piece, '(?i)^h[1-6]' || chr(2)) THEN 'Title'
+        WHEN regexp_matches(piece, '(?i)^li' || chr(2)) THEN 'ListItem'
+        WHEN regexp_matches(piece, '^table' || chr(2) || '(?i)<table') THEN 'Table'
+        ELSE 'NarrativeText' END AS type,
+      trim(regexp_replace(replace(replace(replace(replace(replace(replace(replace(replace(
+        regexp_replace(string_split(piece, chr(2))[-1], '<[^>]*>', ' ', 'g'), '&nbsp;', ' '),
+        '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#39;', chr(39)), '&copy;', '©'),
+        '&middot;', '·'), '&amp;', '&'), '\s+', ' ', 'g'), ' ') AS text
+    FROM pieces)
+  WHERE text <> ''
+)""" % "|".join(HTML_BLOCKS)

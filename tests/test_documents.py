@@ -165,6 +165,19 @@ def test_notes_by_page_of_any_size(spark):
     assert page.Notes == [str(i) for i in range(25_000)]
 
 
+def test_html_without_loss(spark):
+    html = ("<head><title>t</title></head>lead <div>a<p>b<p>c<h2>d</h2>e<ul><li>f<ol><li>g</li></ol>tail"
+            "<li>h</ul><pre>i</pre><table><tr><td><p>j</p></td><td>k</table>l &eacute;&#8212;&#x41; &nope; "
+            "&amp;lt; AT&T <!-- no --><script>no</script>end")
+    row = spark.createDataFrame([(html,)], "html string").select(
+        el.html_elements(F.col("html")).alias("e")).first()
+    assert [(e.type, e.text) for e in row.e] == [
+        ("NarrativeText", "lead"), ("NarrativeText", "a"), ("NarrativeText", "b"), ("NarrativeText", "c"),
+        ("Title", "d"), ("NarrativeText", "e"), ("ListItem", "f"), ("ListItem", "g"),
+        ("NarrativeText", "tail"), ("ListItem", "h"), ("NarrativeText", "i"), ("Table", "j k"),
+        ("NarrativeText", "l \u00e9\u2014A &nope; &lt; AT&T end")]
+
+
 def test_labels_of_a_note(spark):
     df = spark.createDataFrame([(NOTE,)], "text string")
     labels = ("PATIENT", "CHIEF COMPLAINT:", "ASSESSMENT:", "MRN", "PLAN:")
