@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -62,6 +63,39 @@ def _scan_block(corpus: DataFrame, block, width: int, k: int) -> DataFrame:
     return corpus.mapInArrow(scan, "query_id bigint, vec_id bigint, score double")
 
 
+def _scan_cells(corpus: DataFrame, asked: DataFrame, width: int, k: int, chunks: int,
+                blocks: int) -> DataFrame:
+    """The k best of each chunk of the corpus per query, a task for each chunk and block."""
+    null = F.lit(None).cast("bigint")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.lit(n - 1)))
+    vectors = corpus.select(
+        F.pmod(F.xxhash64("vec_id"), F.lit(chunks)).cast("int").alias("chunk"),
+        every(blocks).alias("block"), null.alias("query_id"), "vec_id", "vector")
+    queries = asked.select(
+        every(chunks).alias("chunk"), F.col("block").cast("int"), "query_id", null.alias("vec_id"),
+        F.col("query").alias("vector"))
+
+    def best(cell: pa.Table) -> pa.Table:
+        rows = cell.combine_chunks()
+        mine = pa.compute.is_valid(rows["query_id"])
+        queries, vectors = rows.filter(mine), rows.filter(pa.compute.invert(mine))
+        ids = vectors["vec_id"].to_numpy()
+        out = ([], [], [])
+        if len(ids) and queries.num_rows:
+            scores = np.round(
+                _unit(_dense(queries["vector"], width)) @ _unit(_dense(vectors["vector"], width)).T,
+                SCORE_DIGITS)
+            for query_id, row in zip(queries["query_id"].to_pylist(), scores):
+                top, top_ids = _best(row, ids, k)
+                for column, values in zip(out, ([query_id] * len(top), top_ids.tolist(), top.tolist())):
+                    column.extend(values)
+        return pa.table({"query_id": pa.array(out[0], pa.int64()),
+                         "vec_id": pa.array(out[1], pa.int64()), "score": pa.array(out[2], pa.float64())})
+
+    return vectors.unionByName(queries).groupBy("chunk", "block").applyInArrow(
+        best, "query_id bigint, vec_id bigint, score double")
+
+
 def vector_topk(
     corpus: DataFrame,
     queries: DataFrame,
@@ -74,34 +108,37 @@ def vector_topk(
 ) -> DataFrame:
     """``query_id, vec_id, score, rank`` of the k nearest by cosine, over all vectors.
 
-    Scores are rounded to six digits; equal ones rank by the lower vector id.
+    Scores are rounded to six digits; equal ones rank by the lower vector id.  Queries must
+    have one width; vectors of another width cannot be compared with them and drop out.
 
-    The corpus is scanned where it lies; only every task's k best per query are
-    shuffled.  Queries are sent in blocks no larger than ``block_bytes``; a larger
-    query table takes one scan of the corpus per block.
+    Queries of up to ``block_bytes`` are broadcast and the corpus is scanned where it lies;
+    only every task's k best per query are shuffled.  More of them are dealt to blocks, the
+    corpus to chunks, both of about that size, and each task compares one with the other;
+    nothing goes through the driver.
     """
-    shape = queries.agg(F.count(F.lit(1)).alias("n"), F.max(F.size(query_vector)).alias("w")).first()
+    shape = queries.agg(
+        F.count(F.lit(1)).alias("n"), F.min(F.size(query_vector)).alias("least"),
+        F.max(F.size(query_vector)).alias("w")).first()
     count, width = shape["n"], shape["w"] or 1
+    if shape["least"] != shape["w"]:
+        raise ValueError(f"queries of widths {shape['least']} to {shape['w']}: search each by itself")
     per_block = max(1, block_bytes // (8 * width))
-    # Hash blocks are about equal; half-full ones on average leave room for the spread.
-    blocks = 1 if count <= per_block else -(-2 * count // per_block)
-    vectors = corpus.select(F.col(vec_id).cast("bigint"), F.col(vector)).filter(
-        F.size(vector) == width
-    )
-    asked = queries.filter(F.size(query_vector) == width).select(
-        F.col(query_id).cast("bigint"), F.col(query_vector).cast("array<double>"),
+    vectors = corpus.select(
+        F.col(vec_id).cast("bigint").alias("vec_id"),
+        F.col(vector).cast("array<double>").alias("vector"),
+    ).filter(F.size("vector") == width)
+    blocks = max(1, -(-count // per_block))
+    asked = queries.select(
+        F.col(query_id).cast("bigint").alias("query_id"),
+        F.col(query_vector).cast("array<double>").alias("query"),
         F.pmod(F.xxhash64(query_id), F.lit(blocks)).alias("block"),
     )
-    found = None
-    for number in range(blocks):
-        table = asked.filter(F.col("block") == number).orderBy(query_id).toArrow()
-        if table.num_rows == 0 and blocks > 1:
-            continue
-        block = (
-            table.column(0).to_numpy(),
-            _unit(_dense(table.column(1), width)),
-        )
-        part = _scan_block(vectors, block, width, k)
-        found = part if found is None else found.unionByName(part)
+    if blocks == 1:
+        table = asked.orderBy("query_id").toArrow()
+        block = (table.column(0).to_numpy(), _unit(_dense(table.column(1), width)))
+        found = _scan_block(vectors, block, width, k)
+    else:
+        chunks = max(1, -(-vectors.count() // per_block))
+        found = _scan_cells(vectors, asked, width, k, chunks, blocks)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), F.asc("vec_id"))
     return found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
