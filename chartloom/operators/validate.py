@@ -102,6 +102,12 @@ def stated_values(entity: Column) -> Column:
     return F.filter(F.concat(*groups), lambda v: v.isNotNull() & (v != ""))
 
 
+def unfounded(values: Column, source: Column) -> Column:
+    """Those of the values that a lower-cased source text does not hold, whatever their case."""
+    held = F.coalesce(source, F.lit(""))
+    return F.filter(values, lambda v: ~F.contains(held, F.lower(v)))
+
+
 def grounding(
     df: DataFrame,
     text: str = "text",
@@ -116,10 +122,7 @@ def grounding(
     staged = df.withColumns(
         {"_values": stated_values(F.col(entity)), "_source": F.lower(F.col(text))}
     )
-    missing = F.filter(
-        F.col("_values"),
-        lambda v: ~F.contains(F.coalesce(F.col("_source"), F.lit("")), F.lower(v)),
-    )
+    missing = unfounded(F.col("_values"), F.col("_source"))
     checked = staged.withColumn("hallucinations", missing).withColumns(
         {
             "total_values": F.size("_values"),

@@ -110,10 +110,9 @@ def document_passages(spark, sf):
         F.array(F.substring("text", 1, 40), F.substring("text", 11, 50),
                 F.concat("lang", F.lit("-"), "source")).alias("values"),
     )
-    text = F.lower("text")
-    found = docs.withColumn("_t", text)
-    grounded = F.filter("values", lambda v: F.contains(F.col("_t"), F.lower(v)))
-    return found.select("doc_id", F.size(grounded).cast("bigint").alias("grounded"))
+    missing = va.unfounded(F.col("values"), F.col("source"))
+    return docs.withColumn("source", F.lower("text")).select(
+        "doc_id", (F.size("values") - F.size(missing)).cast("bigint").alias("grounded"))
 
 
 def coherence(spark, sf):
