@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from chartloom.llm.common import arrow_pass, materialise, slices, text_bytes
 
 SAMPLE, FEATURES, FOLDS = 16_000, 128, 5
-LEAST_DOCS, PENALTY, THRESHOLD = 3, 1.0, 0.5
+LEAST_DOCS, PENALTY, THRESHOLD = 3, 0.2, 0.4
 EDGES = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 #: The categories in the order of the chain, from the marks of a label.
