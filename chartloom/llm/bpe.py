@@ -27,7 +27,7 @@ from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 #: White space as Unicode names it, which is what the pattern's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 #: Remembered pieces and their bytes, per Python worker.
-PIECES, PIECE_BYTES = 300_000, 24_000_000
+PIECES, PIECE_BYTES = 200_000, 16_000_000
 LARGEST_VOCABULARY = 64_000_000
 
 

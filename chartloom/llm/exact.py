@@ -59,7 +59,6 @@ def heavy_digests(keys: DataFrame, rows: int, share: float) -> DataFrame:
         .groupBy("digest").agg(F.sum("n").alias("n"))
         .filter(F.col("n") >= least / 2)
         .select("digest")
-        .limit(counters + 1)
     )
     counted = (
         keys.join(F.broadcast(candidates), "digest")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import arrow_pass, materialise, slices, text_bytes
+from chartloom.llm.common import arrow_pass, materialise, slices, small_batches, text_bytes
 
 SAMPLE, FEATURES, FOLDS = 16_000, 128, 5
 LEAST_DOCS, PENALTY, THRESHOLD = 3, 0.2, 0.4
@@ -253,4 +253,5 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                 p = chain.predict(_matrix(texts, known, len(chain.chosen)))[:, at]
                 yield rows.filter(pa.array(p < threshold))
 
+    small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
