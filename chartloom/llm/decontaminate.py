@@ -3,9 +3,10 @@
 Texts are cut into words and numbers; numbers, units behind them and names (capitalised words
 within a sentence) become typed placeholders, all else is lower-cased.  Windows of the items'
 templates are hashed and joined with those of the documents.  Windows of one item that lie at
-one distance in a document form an alignment; one that holds the stated share of the item's
-windows is a candidate, and stands if its slots agree: a value that the item repeats must be
-replaced by one value throughout.  So copies and re-parameterised copies are found, and texts
+one distance in a document, or at distances that differ by up to half of the item's words, form
+an alignment; one that holds the stated share of the item's windows is a candidate, and stands if
+its slots agree: a value that the item repeats must be replaced by one value throughout.  Slots
+are compared within matched windows only, each at the distance of its window.  So copies and re-parameterised copies are found, and texts
 that only share the frame of a question, with values put in anyhow, are not.
 
 The items' windows are broadcast while there are at most ``BROADCAST_ROWS`` of them; more meet
@@ -18,7 +19,9 @@ by nothing; rows that repeat an id are judged together; other columns play no pa
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import BROADCAST_ROWS, materialise, rows_of, rows_without
@@ -87,11 +90,44 @@ def _window_rows(templated: DataFrame, key: str, sizes: list[int], only_own: boo
     return out
 
 
+def _let(value: Column, of: Callable[[Column], Column]) -> Column:
+    """``of(value)``, with the value computed once."""
+    return F.get(F.transform(F.array(value), of), 0)
+
+
+def _nearest(places: Column) -> Column:
+    """Of some distances the one next to ``at``, the smaller of two."""
+    return F.array_min(F.transform(places, lambda a: F.struct(
+        F.abs(a - F.col("at")).alias("off"), a.alias("at"))))["at"]
+
+
+def _places() -> Column:
+    """For each window of the item the distance at which it matches, null if at none."""
+    return F.transform(F.sequence(F.lit(0), F.col("windows") - 1), lambda q: _nearest(F.transform(
+        F.filter("near", lambda x: F.array_contains(x["qs"], q)), lambda x: x["at"])))
+
+
+def _slots(places: Column) -> Column:
+    """array<struct<type, item, doc>> of the item's slots that lie in matched windows, each
+    with the document's value at the distance of its window."""
+    def one(token: Column, j: Column) -> Column:
+        first = F.greatest(j - F.col("size") + 1, F.lit(0))
+        over = F.slice(places, first + 1, F.least(j, F.col("windows") - 1) - first + 1)
+        place = _nearest(F.filter(over, lambda a: a.isNotNull()))
+        return F.struct(
+            template_of(token).alias("type"), value_of(token).alias("item"),
+            value_of(F.get("tokens", (place + j).cast("int"))).alias("doc"))
+
+    return F.filter(F.transform("own", one), lambda s: s["type"].isin(
+        "<num>", "<unit>", "<name>") & s["doc"].isNotNull())
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
                  text_col: str = "text", item_col: str = "item_id", item_text: str = "text",
                  window: int = WINDOW, share: float = SHARE) -> DataFrame:
-    """A row per document and item: doc_id, item_id, start (the word where the item begins),
-    matched and windows (of the item), slots, changed (slots with another value)."""
+    """A row per document and item: doc_id, item_id, start (the word where the item begins, by
+    its first matched window), matched and windows (of the item), slots (in matched windows),
+    changed (slots with another value)."""
     items = materialise(_templated(benchmark, item_col, item_text, "item_id"), "items")
     items = items.filter(F.size("tokens") > 0)
     sizes = sorted(r[0] for r in items.select(
@@ -100,37 +136,45 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         "item_id", F.col("at").alias("q"), "hash"), "windows")
     given = _templated(docs, id_col, text_col, "doc_id")
     side = wanted.hint("broadcast") if wanted.count() <= BROADCAST_ROWS else wanted
-    counted = wanted.groupBy("item_id").agg(F.count("*").alias("windows"))
-    aligned = (
+    lengths = items.select("item_id", F.size("tokens").alias("n"))
+    hits = (
         _window_rows(given, "doc_id", sizes, False, window).join(side, "hash")
         .groupBy("doc_id", "item_id", (F.col("at") - F.col("q")).alias("at"))
-        .agg(F.count_distinct("q").alias("matched"))
-        .join(counted, "item_id")
-        .filter(F.col("matched") >= F.col("windows") * share)
+        .agg(F.collect_set("q").alias("qs"))
+        .join(lengths, "item_id")
     )
-    aligned = materialise(aligned, "aligned")
+    near = Window.partitionBy("doc_id", "item_id").orderBy(
+        F.col("at") / (F.floor(F.col("n") / 2) + 0.5)).rangeBetween(-1, 1)
+    size = F.least(F.col("n"), F.lit(window))
+    aligned = hits.withColumn("near", F.collect_list(F.struct("at", "qs")).over(near)).select(
+        "doc_id", "item_id", "at", F.size("qs").alias("own_windows"), "near", size.alias("size"),
+        (F.col("n") - size + 1).alias("windows"))
+    aligned = materialise(aligned.filter(
+        F.size(F.array_distinct(F.flatten("near.qs"))) >= F.col("windows") * share), "aligned")
     found = materialise(aligned.select("doc_id").distinct(), "ids")
     texts = rows_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), found)
     both = (
         _templated(texts, "doc_id", "_text", "doc_id").join(aligned, "doc_id")
         .join(items.select("item_id", F.col("tokens").alias("own")), "item_id")
     )
-    slots = F.transform("own", lambda t, q: F.struct(
-        template_of(t).alias("type"), value_of(t).alias("item"),
-        value_of(F.get("tokens", (q + F.col("at")).cast("int"))).alias("doc")))
-    checked = both.withColumn("slots", F.filter(
-        slots, lambda s: s["type"].isin("<num>", "<unit>", "<name>") & s["doc"].isNotNull()))
+    checked = both.select(
+        "doc_id", "item_id", "at", "own_windows", "windows",
+        _let(_places(), lambda places: F.struct(
+            F.size(F.filter(places, lambda a: a.isNotNull())).alias("matched"),
+            F.get(F.filter(places, lambda a: a.isNotNull()), 0).alias("start"),
+            _slots(places).alias("slots"))).alias("x")).select("*", "x.*").drop("x")
     values = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"])))
     pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"], s["doc"])))
-    rows = checked.filter(F.size(values) == F.size(pairs)).select(
-        "doc_id", "item_id", "at", "matched", "windows", F.size("slots").alias("slots"),
+    rows = checked.filter(
+        (F.col("matched") >= F.col("windows") * share) & (F.size(values) == F.size(pairs))).select(
+        "doc_id", "item_id", "at", "start", "matched", "own_windows", "windows",
+        F.size("slots").alias("slots"),
         F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("changed"))
-    best = F.max(F.struct("matched", (-F.col("at")).alias("back"), "windows", "slots", "changed"))
+    best = F.max(F.struct(
+        "matched", "own_windows", (-F.col("at")).alias("back"), "start", "windows", "slots", "changed"))
     return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
-        "doc_id", "item_id", (-F.col("b.back")).cast("long").alias("start"),
-        F.col("b.matched").cast("long").alias("matched"),
-        F.col("b.windows").cast("long").alias("windows"),
-        F.col("b.slots").cast("long").alias("slots"), F.col("b.changed").cast("long").alias("changed"))
+        "doc_id", "item_id", *[F.col(f"b.{c}").cast("long").alias(c) for c in (
+            "start", "matched", "windows", "slots", "changed")])
 
 
 def drop_contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",

@@ -63,3 +63,25 @@ def test_template(spark):
     assert row.t == ["he", "saw", "<name>", "run", "<num>", "<unit>", "then", "<num>", "<unit>",
                      "naïve", "abc", "x", "<num>"]
     assert row.v[2:9] == ["bob", "run", "5", "km", "then", "3.5", "miles"]
+
+
+LONG = ("A farmer named Alice has 12 apples in 3 kg boxes and gives 5 of the 12 apples to a friend "
+        "called Robert who then eats 3 of them, so how many of the 12 apples are left for Alice now?")
+
+
+def test_copies_that_go_on_differently(spark):
+    cut = " ".join(LONG.split()[:32]) + " old Berta ran 77 miles with 99 dogs over the hills at night"
+    [row] = found(spark, [(1, cut)], [(1, LONG)]).values()
+    assert row.matched < row.windows and row.changed == 0 and row.start == 0
+
+
+def test_inserted_and_left_out_words(spark):
+    w = LONG.replace("Alice", "Berta").replace("12", "40").split()
+    uneven = " ".join(w).replace("of the 40 apples are", "of the 41 apples are")
+    docs = [(1, " ".join([*w[:19], "really", *w[19:]])), (2, " ".join([*w[:19], *w[20:]])),
+            (3, "Well: " + " ".join([*w[:19], "and", "so", "forth", *w[19:]])), (4, uneven),
+            (5, " ".join(w) + " " + LONG)]
+    got = found(spark, docs, [(1, LONG)])
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (5, 1)}
+    assert [got[i, 1].start for i in (1, 2, 3, 5)] == [0, 0, 1, 0]
+    assert got[1, 1].matched == got[1, 1].windows - 7 and got[1, 1].changed == 5
