@@ -1,19 +1,23 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
 Texts are cut into words and numbers; numbers, units behind them and names (capitalised words
-within a sentence) become typed placeholders, all else is lower-cased.  Windows of the items'
+within a sentence) become typed placeholders, all else is lower-cased.  A capitalised word that
+begins a sentence may be either, so a full window is hashed in each reading of such words, as the
+word itself and as a name.  Windows of the items'
 templates are hashed and joined with those of the documents.  Windows of one item that lie at
 one distance in a document, or at distances that differ by up to half of the item's words, form
 an alignment; one that holds the stated share of the item's windows is a candidate, and stands if
 its slots agree: a value that the item repeats must be replaced by one value throughout.  Slots
-are compared within matched windows only, each at the distance of its window.  So copies and re-parameterised copies are found, and texts
+are compared within matched windows only, each at the distance of its window.  A sentence's first
+word is a slot if it has another value or is a name elsewhere in its item; where that value does
+not agree with the others, it was no name, and the windows over it do not match.  So copies and re-parameterised copies are found, and texts
 that only share the frame of a question, with values put in anyhow, are not.
 
 The items' windows are broadcast while there are at most ``BROADCAST_ROWS`` of them; more meet
 the documents' windows in a shuffle.  Documents are shuffled only if they hold a candidate.
 
 Rows and cases: null and empty texts, and items without a word, match nothing; items shorter
-than a window are one window; repeated items are matched each; rows with a null id are matched
+than a window are one window, in which first words stand for themselves; repeated items are matched each; rows with a null id are matched
 by nothing; rows that repeat an id are judged together; other columns play no part.
 """
 
@@ -65,25 +69,55 @@ def _templated(rows: DataFrame, key: str, text: str, name: str) -> DataFrame:
         F.col(name).isNotNull())
 
 
-def _windows(hashes: Column, size: int) -> Column:
-    """The hash of each window of ``size`` token hashes."""
+def begins(token: Column) -> Column:
+    """True for a capitalised word that begins a sentence."""
+    return token.rlike("^\\x01\\p{Lu}[\\p{Ll}\\p{M}']+$")
+
+
+def _windows(hashes: Column, first: Column, size: int, window: int) -> Column:
+    """array<struct<hash, turns>> of the windows of ``size`` token hashes; a window reads
+    differently for each choice of ``turns``, combined by exclusive or."""
     last = F.size(hashes) - size
+    name = F.xxhash64(F.lit("<name>"))
+
+    def at(hash: Column, k: int) -> Column:
+        return F.xxhash64(hash, F.lit(k))
+
+    def one(i: Column) -> Column:
+        whole = F.xxhash64(F.lit(size))
+        for k in range(size):
+            whole = whole.bitwiseXOR(at(F.get(hashes, i + k), k))
+        turns = F.array().cast("array<bigint>")
+        if size == window:
+            turns = F.when(F.exists(F.slice(first, i + 1, size), lambda f: f), F.filter(F.array(*[
+                F.when(F.get(first, i + k), at(F.get(hashes, i + k), k).bitwiseXOR(at(name, k)))
+                for k in range(size)]), lambda t: t.isNotNull())).otherwise(turns)
+        return F.struct(whole.alias("hash"), turns.alias("turns"))
+
     return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))),
-        lambda i: F.xxhash64(F.lit(size), *[F.get(hashes, i + k) for k in range(size)]))
-    ).otherwise(F.array().cast("array<bigint>"))
+        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)
+    ).otherwise(F.array().cast("array<struct<hash:bigint,turns:array<bigint>>>"))
+
+
+def _readings(window: Column) -> Column:
+    """The hashes of a window by all choices of its turns."""
+    return F.aggregate(window["turns"], F.array(window["hash"]), lambda held, turn: F.concat(
+        held, F.transform(held, lambda h: h.bitwiseXOR(turn))))
 
 
 def _window_rows(templated: DataFrame, key: str, sizes: list[int], only_own: bool,
                  window: int) -> DataFrame:
     """(key, at, hash) of all windows; ``only_own``: of the size that the text itself has."""
     hashed = templated.select(
-        key, F.transform("tokens", lambda t: F.xxhash64(template_of(t))).alias("hashes"))
+        key, F.transform("tokens", lambda t: F.xxhash64(template_of(t))).alias("hashes"),
+        F.transform("tokens", begins).alias("first"))
     parts = []
     for size in sizes:
         own = F.least(F.size("hashes"), F.lit(window)) == size
         rows = hashed.filter(own) if only_own else hashed
-        parts.append(rows.select(key, F.posexplode(_windows(F.col("hashes"), size)).alias("at", "hash")))
+        rows = rows.select(key, F.posexplode(
+            _windows(F.col("hashes"), F.col("first"), size, window)).alias("at", "window"))
+        parts.append(rows.select(key, "at", F.explode(_readings(F.col("window"))).alias("hash")))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -107,19 +141,36 @@ def _places() -> Column:
         F.filter("near", lambda x: F.array_contains(x["qs"], q)), lambda x: x["at"])))
 
 
-def _slots(places: Column) -> Column:
-    """array<struct<type, item, doc>> of the item's slots that lie in matched windows, each
-    with the document's value at the distance of its window."""
-    def one(token: Column, j: Column) -> Column:
+def _slots(places: Column, window: int) -> Column:
+    """array<struct<at, type, item, doc, turned>> of the item's slots that lie in matched windows,
+    each with the document's value at the distance of its window; ``turned`` are first words of
+    sentences with another value."""
+    names = F.transform(F.filter("own", lambda t: template_of(t) == "<name>"), value_of)
+
+    def one(token: Column, j: Column, names: Column) -> Column:
         first = F.greatest(j - F.col("size") + 1, F.lit(0))
         over = F.slice(places, first + 1, F.least(j, F.col("windows") - 1) - first + 1)
         place = _nearest(F.filter(over, lambda a: a.isNotNull()))
+        value = value_of(F.get("tokens", (place + j).cast("int")))
+        opens = begins(token) & (F.col("size") == window)
+        turned = opens & (value != value_of(token))
+        named = turned | (opens & F.array_contains(names, value_of(token)))
         return F.struct(
-            template_of(token).alias("type"), value_of(token).alias("item"),
-            value_of(F.get("tokens", (place + j).cast("int"))).alias("doc"))
+            j.alias("at"), F.when(named, "<name>").otherwise(template_of(token)).alias("type"),
+            value_of(token).alias("item"), value.alias("doc"), turned.alias("turned"))
+
+    return F.filter(
+        _let(names, lambda names: F.transform("own", lambda t, j: one(t, j, names))),
+        lambda s: s["type"].isin("<num>", "<unit>", "<name>") & s["doc"].isNotNull())
+
 
-    return F.filter(F.transform("own", one), lambda s: s["type"].isin(
-        "<num>", "<unit>", "<name>") & s["doc"].isNotNull())
+def _agreeing(places: Column, slots: Column) -> Column:
+    """``places`` without the windows over first words whose new value disagrees with that of
+    another slot of the same word."""
+    wrong = F.transform(F.filter(slots, lambda s: s["turned"] & F.exists(slots, lambda o: (
+        o["type"] == s["type"]) & (o["item"] == s["item"]) & (o["doc"] != s["doc"]))), lambda s: s["at"])
+    return _let(wrong, lambda wrong: F.transform(places, lambda a, q: F.when(
+        ~F.exists(wrong, lambda j: (j >= q) & (j < q + F.col("size"))), a)))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -159,10 +210,11 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     )
     checked = both.select(
         "doc_id", "item_id", "at", "own_windows", "windows",
-        _let(_places(), lambda places: F.struct(
-            F.size(F.filter(places, lambda a: a.isNotNull())).alias("matched"),
-            F.get(F.filter(places, lambda a: a.isNotNull()), 0).alias("start"),
-            _slots(places).alias("slots"))).alias("x")).select("*", "x.*").drop("x")
+        _let(_places(), lambda given: _let(_let(_slots(given, window), lambda slots: _agreeing(
+            given, slots)), lambda places: F.struct(
+                F.size(F.filter(places, lambda a: a.isNotNull())).alias("matched"),
+                F.get(F.filter(places, lambda a: a.isNotNull()), 0).alias("start"),
+                _slots(places, window).alias("slots")))).alias("x")).select("*", "x.*").drop("x")
     values = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"])))
     pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"], s["doc"])))
     rows = checked.filter(

@@ -85,3 +85,38 @@ def test_inserted_and_left_out_words(spark):
     assert set(got) == {(1, 1), (2, 1), (3, 1), (5, 1)}
     assert [got[i, 1].start for i in (1, 2, 3, 5)] == [0, 0, 1, 0]
     assert got[1, 1].matched == got[1, 1].windows - 7 and got[1, 1].changed == 5
+
+
+MARIA = ("Maria bought 12 pencils and 3 notebooks for school. Maria then gave 4 pencils to Tom. Tom lost 2 "
+         "of them on the way home. How many pencils does Maria have left?")
+FIRST_ONLY = MARIA.replace("to Tom. Tom lost", "away. Bob lost").replace("does Maria have", "are")
+
+
+def renamed(text, *pairs):
+    for old, new in pairs:
+        text = text.replace(old, new)
+    return text
+
+
+def test_names_that_begin_sentences(spark):
+    new = (("Maria", "Elena"), ("Tom", "Oscar"), ("12", "15"), ("3 ", "6 "))
+    docs = [
+        (1, renamed(MARIA, *new)), (2, MARIA), (3, "Before it. " + renamed(MARIA, *new) + " After it."),
+        (4, renamed(MARIA, *new).replace("does Elena", "does Clara").replace("to Oscar", "to Felix")),
+        (5, renamed(FIRST_ONLY, ("Maria", "Elena"), ("Bob", "Oscar"))),
+        (6, "in one go: " + MARIA.lower()),
+    ]
+    got = found(spark, docs, [(1, MARIA), (2, FIRST_ONLY)])
+    assert {1, 2, 3, 5} <= {d for d, _ in got} and (4, 1) not in got
+    assert got[1, 1].matched == got[1, 1].windows and got[1, 1].changed == 7
+    assert got[2, 1].matched == got[2, 1].windows and got[2, 1].changed == 0
+    assert got[3, 1].start == 2
+    assert got[5, 2].matched == got[5, 2].windows and got[5, 2].changed == 3
+
+
+def test_first_words_that_are_no_names(spark):
+    item = ("The river runs to the sea by day and night. The people of the old town never ask why it does. "
+            "The boats lie on the sand and wait for the tide to come in again.")
+    docs = [(1, item.replace("night. The", "night. Those")), (2, item)]
+    got = found(spark, docs, [(1, item)])
+    assert set(got) == {(1, 1), (2, 1)} and got[2, 1].slots == 0
