@@ -29,10 +29,16 @@ HEX = r"([0-9a-f]+)()"
 KINDS = ("assign", "access", "hex", "random")
 
 RUN = r"([A-Za-z0-9+/_-]{20,})()"
-#: (name, pattern, size of the alphabet, its characters in order)
+#: (name, pattern, size of the alphabet, its characters in order); a run has the first that holds it
 ENCODINGS = (
     ("hex", "^[0-9a-f]+$|^[0-9A-F]+$", 16, "0123456789abcdef"),
     ("base32", "^[A-Z2-7]+$", 32, "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"),
+    ("base32 lower", "^[a-z2-7]+$", 32, "abcdefghijklmnopqrstuvwxyz234567"),
+    ("base36", "^[A-Z0-9]+$", 36, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
+    ("base36 lower", "^[a-z0-9]+$", 36, "0123456789abcdefghijklmnopqrstuvwxyz"),
+    ("base58", "^[1-9A-HJ-NP-Za-km-z]+$", 58,
+     "123456789ABCDEFGHJKLMNPQRSTUVWXYZabcdefghijkmnopqrstuvwxyz"),
+    ("base62", "^[0-9A-Za-z]+$", 62, "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"),
     ("base64", "", 64, "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/"),
 )
 REJECTED = 0.001  # a run is no random string if a test's p-value is below this
@@ -133,8 +139,8 @@ def _judged(spans: Column) -> Column:
     """The runs with length class, bin of their p-value, and whether all tests pass."""
     def one(span: Column) -> Column:
         run = span["text"]
-        tests = battery(run, 64, ENCODINGS[2][3])
-        for _, pattern, size, alphabet in reversed(ENCODINGS[:2]):
+        tests = battery(run, *ENCODINGS[-1][2:])
+        for _, pattern, size, alphabet in reversed(ENCODINGS[:-1]):
             tests = F.when(run.rlike(pattern), battery(run, size, alphabet)).otherwise(tests)
         return F.struct(span["start"].alias("start"), span["end"].alias("end"),
                         F.length(run).alias("n"), tests.alias("tests"))

@@ -63,3 +63,16 @@ def test_digest(spark):
     row = secrets.find_secrets(docs).select(secrets.spelt(F.col("spans")).alias("s")).first()
     assert row.s == "assign:0:25"
     assert hashlib.sha256(row.s.encode()).hexdigest()
+
+
+def test_smaller_alphabets(spark):
+    rng = random.Random(11)
+    digits, lower = "0123456789", "abcdefghijklmnopqrstuvwxyz"
+    kinds = [(lower + digits, 128), (lower + "234567", 128), (lower.upper() + digits, 128),
+             ("".join(c for c in digits + lower.upper() + lower if c not in "0OIl"), 1024),
+             (digits + lower.upper() + lower, 4096)]
+    for number, (alphabet, n) in enumerate(kinds):
+        rows = [(i, "see " + "".join(rng.choice(alphabet) for _ in range(n)) + " there") for i in range(40)]
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        spans = [[tuple(s) for s in r.spans] for r in secrets.find_secrets(docs).collect()]
+        assert sum(x == [(4, 3, 4 + n)] for x in spans) >= 38, number
