@@ -231,6 +231,14 @@ def rows_in_order(spark, sf):
         F.col("id").cast("bigint").alias("id"), "type")
 
 
+def rows_in_full_order(spark, sf):
+    """All rows of all pages by path, page and element."""
+    rows = pg.tree_rows(paged_documents(spark, sf))
+    return pg.in_order(rows, "id").select(
+        "path", F.col("page_id").cast("bigint").alias("page_id"),
+        F.col("id").cast("bigint").alias("id"), "type")
+
+
 def text_guard_truncate(spark, sf):
     text = F.col("text")
     return texts(spark, sf, "documents", "doc_id", "text").select(
@@ -263,7 +271,7 @@ QUERIES: dict[str, Callable] = {
         page_elements, page_words, page_sections, document_sections, document_tables, page_metadata,
         document_metadata, page_text, parse_quality_gate, parsed_documents, parse_report,
         fallback_parse, tree_rows, variant_rows, tree_paths, page_notes, notes_by_page, rows_in_order,
-        text_guard_truncate, document_ids, first_documents,
+        rows_in_full_order, text_guard_truncate, document_ids, first_documents,
     )
 }
 
@@ -415,6 +423,11 @@ WITH {LINES}
 SELECT 'doc/' || doc_id AS path, n // 10 + 1 AS page_id,
   row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS id, type
 FROM lines ORDER BY 'doc/' || doc_id, n // 10, n LIMIT 200""",
+    "rows_in_full_order": f"""
+WITH {LINES}
+SELECT 'doc/' || doc_id AS path, n // 10 + 1 AS page_id,
+  row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS id, type
+FROM lines ORDER BY 'doc/' || doc_id, n // 10, n""",
     "notes_by_page": """
 SELECT conv_id AS path, role AS page_id, string_agg(text, ' ' ORDER BY turn) AS notes
 FROM conversations GROUP BY conv_id, role""",

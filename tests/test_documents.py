@@ -189,3 +189,13 @@ def test_labels_of_a_note(spark):
             "Calf swelling, possible vein thrombosis. Rule out cellulitis.".split())
         assert row.PLAN.split() == (
             "1. Ultrasound ordered. 2. Compression stocking. Return in two days.".split())
+
+
+def test_all_rows_in_order(spark):
+    import __spark_entry__ as entry
+    from tools import compare
+
+    sf = "/root/testdata/sf0.001"
+    got = [tuple(r) for r in entry.queries()["rows_in_full_order"](spark, sf).collect()]
+    want = compare.connect(sf).execute(entry.oracle_sql()["rows_in_full_order"]).fetchall()
+    assert len(got) > 200 and got == want
