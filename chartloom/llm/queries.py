@@ -6,10 +6,12 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chartloom.llm import bpe, decontaminate, exact, katz, nearmin, quality, secrets, substring, toxicity, warc
+from chartloom.llm import (
+    bpe, decontaminate, exact, katz, nearmin, quality, secrets, substring, tokenfile, toxicity,
+    warc)
 from chartloom.queries.inputs import table
 
-VOCABULARY = "byte_bpe_50k.tiktoken"
+VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
 
 
 def op1_substring_dedup(spark: SparkSession, sf: str) -> DataFrame:
@@ -199,6 +201,12 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
         secrets.spelt(F.col("spans")).alias("spans"))
 
 
+def op13_token_file(spark: SparkSession, sf: str) -> DataFrame:
+    path = public_tokenizers.path(WORD_VOCABULARY)
+    return tokenfile.round_trip(table(spark, sf, "documents"), path).select(
+        "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_decontaminate": op2_decontaminate,
@@ -210,6 +218,7 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secrets": op10_secrets,
+    "op13_token_file": op13_token_file,
 }
 ORACLES = {
     "op1_substring_dedup": OP1_SQL,
