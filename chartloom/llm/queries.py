@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from chartloom.llm import (
-    bpe, decontaminate, exact, katz, nearmin, quality, secrets, substring, tokenfile, toxicity,
-    warc)
+    bpe, decontaminate, divergence, exact, katz, nearmin, phrases, quality, secrets, substring,
+    tokenfile, toxicity, warc)
 from chartloom.queries.inputs import table
 
 VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
@@ -201,6 +201,78 @@ def op10_secrets(spark: SparkSession, sf: str) -> DataFrame:
         secrets.spelt(F.col("spans")).alias("spans"))
 
 
+def op11_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf, "documents"))
+
+
+OP11_SQL = r"""
+WITH pieces AS (
+  SELECT coalesce(lang, 'und') AS lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w
+  FROM (SELECT lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents)),
+spans AS (SELECT lang, w, unnest([1, 2, 3]) AS size FROM pieces),
+grams AS (SELECT lang, size, array_to_string(w[i:i + size - 1], ' ') AS phrase
+          FROM (SELECT lang, w, size, unnest(range(1, len(w) - size + 2)) AS i FROM spans)),
+f AS (SELECT lang, size, phrase, count(*)::HUGEINT AS f FROM grams GROUP BY ALL),
+totals AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE size = 1 GROUP BY ALL),
+candidates AS (SELECT lang, phrase, size, f AS a, string_split(phrase, ' ') AS w FROM f WHERE size > 1 AND f >= 10),
+cuts AS (SELECT *, unnest(range(1, size)) AS k FROM candidates),
+scored AS (
+  SELECT c.lang, c.phrase, c.size, a, k, x.f AS l, y.f AS r, 1000000 * a * a // (x.f * y.f) AS score
+  FROM cuts c
+  JOIN f x ON x.lang = c.lang AND x.phrase = array_to_string(w[1:k], ' ')
+  JOIN f y ON y.lang = c.lang AND y.phrase = array_to_string(w[k + 1:], ' ')
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY score, k) = 1),
+holders AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase
+        FROM candidates WHERE size = 3) GROUP BY ALL)
+SELECT s.lang, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank,
+       s.phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n, score::BIGINT AS score
+FROM scored s JOIN totals USING (lang) LEFT JOIN holders h ON h.lang = s.lang AND h.phrase = s.phrase
+WHERE longer IS NULL OR 100 * longer < 50 * a
+QUALIFY rank <= 2000
+"""
+
+
+def op12_divergence(spark: SparkSession, sf: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf, "documents"))
+
+
+OP12_SQL = r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+           'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+words AS (SELECT d, lang, source, unnest(w) AS term FROM docs),
+kept AS (SELECT lang, term, count(*) AS lang_n FROM words GROUP BY ALL HAVING count(DISTINCT d) >= 10),
+kinds AS (SELECT lang, count(*) AS v, sum(lang_n)::BIGINT AS lang_total FROM kept GROUP BY ALL),
+counts AS (SELECT lang, source, term, count(*) AS n FROM words JOIN kept USING (lang, term) GROUP BY ALL),
+groups AS (SELECT DISTINCT lang, source FROM docs),
+totals AS (
+  SELECT lang, source, coalesce(sum(n), 0)::BIGINT AS total
+  FROM groups LEFT JOIN counts USING (lang, source) GROUP BY ALL),
+shares AS (
+  SELECT lang, source, term, coalesce(n, 0) AS n,
+         1 + (1000000000::HUGEINT * (coalesce(n, 0) + 2)) // (total + 2 * v) AS p,
+         1 + (1000000000::HUGEINT * (lang_n + 2)) // (lang_total + 2 * v) AS q
+  FROM totals JOIN kinds USING (lang) JOIN kept USING (lang) LEFT JOIN counts USING (lang, source, term)),
+pairs AS (
+  SELECT a.lang, a.source, b.source AS item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) AS value
+  FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+every AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  LEFT JOIN pairs ON pairs.lang = a.lang AND pairs.source = a.source AND pairs.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q) * (p - q) // (p + q) FROM shares WHERE n > 0 AND p > q)
+SELECT lang, source, part, item, value::BIGINT AS value,
+       row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item)::INTEGER AS rank
+FROM every QUALIFY part = 'pair' OR rank <= 10
+"""
+
+
 def op13_token_file(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(WORD_VOCABULARY)
     return tokenfile.round_trip(table(spark, sf, "documents"), path).select(
@@ -218,6 +290,8 @@ QUERIES = {
     "op8_near_dedup": op8_near_dedup,
     "op9_byte_bpe": op9_byte_bpe,
     "op10_secrets": op10_secrets,
+    "op11_phrases": op11_phrases,
+    "op12_divergence": op12_divergence,
     "op13_token_file": op13_token_file,
 }
 ORACLES = {
@@ -226,4 +300,6 @@ ORACLES = {
     "op4_exact_dedup": OP4_SQL,
     "op7_warc": OP7_SQL,
     "op8_near_dedup": OP8_SQL,
+    "op11_phrases": OP11_SQL,
+    "op12_divergence": OP12_SQL,
 }
