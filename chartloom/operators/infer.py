@@ -1,14 +1,21 @@
 """Calling a model over a column of prompts.
 
 The model itself is outside: ``backend`` is a factory, run once per task, that
-returns a callable from one prompt to one reply.  Spark partitions the prompts;
-the number of calls in flight is the number of running tasks times ``threads``.
+returns a callable from one prompt to one reply; a factory with a parameter is given the
+stage's ``ModelSettings``.  Spark partitions the prompts; the number of calls in flight is the
+number of running tasks times ``threads``.
+
+With settings every call has a deadline.  It runs in a thread of its own, and a call that is late
+counts as an attempt that timed out: the task goes on, whatever the call does.  With a budget of
+calls per second each task has its share of it, and waits for its turn before each attempt.
 """
 
 from __future__ import annotations
 
+import inspect
 import json
 import re
+import threading
 import time
 from collections.abc import Callable, Iterator
 from concurrent.futures import ThreadPoolExecutor
@@ -17,13 +24,13 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.config import RetrySettings
+from chartloom.config import ModelSettings, PipelineSettings, RetrySettings
 from chartloom.functions.jsonval import clean_reply
 from chartloom.schemas import INFERENCE
 from chartloom.sources.tables import materialise
 
 Model = Callable[[str], str]
-Backend = Callable[[], Model]
+Backend = Callable[[], Model] | Callable[[ModelSettings], Model]
 
 
 def _error_kind(error: Exception) -> str:
@@ -36,22 +43,91 @@ def _error_kind(error: Exception) -> str:
     return "other"
 
 
-def _call(model: Model, prompt: str, name: str, retry: RetrySettings) -> tuple:
-    """Reply of one prompt after at most ``max_attempts`` tries, never an exception."""
+class Budget:
+    """Calls per second of one task: a bucket that fills at ``rate`` and holds ``burst``."""
+
+    def __init__(self, rate: float, burst: float = 1.0):
+        if rate <= 0 or burst < 1:
+            raise ValueError("a budget has a positive rate and holds a call at least")
+        self.rate, self.burst = rate, burst
+        self.held, self.at = burst, time.monotonic()
+        self.lock = threading.Lock()
+
+    def take(self) -> float:
+        """Wait for a call's turn; the seconds waited."""
+        with self.lock:
+            now = time.monotonic()
+            self.held = min(self.burst, self.held + (now - self.at) * self.rate)
+            self.at = now
+            self.held -= 1
+            wait = max(0.0, -self.held / self.rate)
+        time.sleep(wait)
+        return wait
+
+
+def _within(model: Model, prompt: str, seconds: float) -> str:
+    """The reply, or ``TimeoutError`` after ``seconds``; a late call is left to itself."""
+    done, outcome = threading.Event(), []
+
+    def run() -> None:
+        try:
+            outcome.append((model(prompt), None))
+        except BaseException as error:  # handed over to the caller, below
+            outcome.append((None, error))
+        done.set()
+
+    threading.Thread(target=run, daemon=True).start()
+    if not done.wait(max(0.0, seconds)):
+        raise TimeoutError(f"no reply in {seconds:g} s")
+    reply, error = outcome[0]
+    if error is not None:
+        raise error
+    return reply
+
+
+def _call(
+    model: Model, prompt: str, name: str, retry: RetrySettings,
+    deadline: float | None = None, budget: Budget | None = None,
+) -> tuple:
+    """Reply of one prompt after at most ``max_attempts`` tries, never an exception.
+
+    An attempt may take ``deadline`` seconds, and no longer than what is left of the retry
+    settings' total.  Waiting for the budget takes time, but is no attempt.
+    """
     wait, started = retry.initial_wait_seconds, time.monotonic()
+
+    def left() -> float:
+        return retry.timeout_seconds - (time.monotonic() - started)
+
     for attempt in range(1, retry.max_attempts + 1):
+        if budget is not None:
+            budget.take()
         try:
-            return model(prompt), None, None, attempt, name
+            if deadline is None:
+                reply = model(prompt)
+            else:  # the first attempt is made even if its turn came late
+                reply = _within(model, prompt, min(deadline, left()) if attempt > 1 else deadline)
+            return reply, None, None, attempt, name
         except Exception as error:
             failure = (None, str(error), _error_kind(error), attempt, name)
-        left = retry.timeout_seconds - (time.monotonic() - started)
-        if attempt == retry.max_attempts or left <= wait:
+        if attempt == retry.max_attempts or left() <= wait:
             break
         time.sleep(wait)
         wait *= retry.backoff_factor
     return failure
 
 
+def _started(backend: Backend, settings: ModelSettings | None) -> Model:
+    if settings is not None and inspect.signature(backend).parameters:
+        return backend(settings)
+    return backend()
+
+
+def stage_options(stage: str, settings: PipelineSettings = PipelineSettings()) -> dict:
+    """What :func:`infer` takes for a stage of the pipeline: its model settings and retries."""
+    return {"settings": getattr(settings, stage), "retry": settings.retry}
+
+
 def infer_udf(
     backend: Backend,
     name: str = "primary",
@@ -59,23 +135,30 @@ def infer_udf(
     fallback_name: str = "fallback",
     retry: RetrySettings = RetrySettings(),
     threads: int = 1,
+    settings: ModelSettings | None = None,
+    calls_per_second: float | None = None,
+    burst: float = 1.0,
 ):
     """Column function from prompt to ``struct(reply, error, error_kind, attempts, model)``.
 
     A null prompt is not sent and gives a null reply.  Prompts that fail on the
-    primary go to the fallback, no others.
+    primary go to the fallback, no others.  ``settings`` bring each call's deadline,
+    ``calls_per_second`` is what one task may use, retries and fallback included.
     """
+    deadline = None if settings is None else settings.timeout_seconds
+
     @F.pandas_udf(INFERENCE)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        primary = backend()
-        second = fallback() if fallback is not None else None
+        primary = _started(backend, settings)
+        second = _started(fallback, settings) if fallback is not None else None
+        budget = None if calls_per_second is None else Budget(calls_per_second, burst)
 
         def one(prompt: str | None) -> tuple:
             if prompt is None:
                 return None, None, None, 0, None
-            result = _call(primary, prompt, name, retry)
+            result = _call(primary, prompt, name, retry, deadline, budget)
             if result[2] is not None and second is not None:
-                result = _call(second, prompt, fallback_name, retry)
+                result = _call(second, prompt, fallback_name, retry, deadline, budget)
             return result
 
         with ThreadPoolExecutor(max_workers=threads) as pool:
@@ -93,15 +176,23 @@ def infer(
     backend: Backend,
     output: str = "inference",
     max_concurrency: int | None = None,
+    calls_per_second: float | None = None,
     **options,
 ) -> DataFrame:
     """Add the model's answer to every row; rows and keys stay as they are.
 
     ``max_concurrency`` spreads the rows evenly over that many tasks, for services
-    with a rate limit.
+    with a limit; ``calls_per_second`` is a limit for all of them, of which each task gets an
+    equal share (a task that runs twice, as a speculative copy does, uses its share twice).
     """
+    share = None
+    if calls_per_second is not None:
+        if max_concurrency is None:
+            raise ValueError("calls_per_second needs max_concurrency, which it is shared by")
+        share = calls_per_second / max_concurrency
     spread = df if max_concurrency is None else df.repartition(max_concurrency)
-    return spread.withColumn(output, infer_udf(backend, **options)(F.col(prompt)))
+    answer = infer_udf(backend, calls_per_second=share, **options)
+    return spread.withColumn(output, answer(F.col(prompt)))
 
 
 def _prompt_hash(prompt: Column) -> Column:
@@ -242,6 +333,6 @@ def render_prompt(template: str, **values: Column) -> Column:
 
 
 __all__ = [
-    "Backend", "Model", "change_summary", "infer", "infer_cached", "infer_distinct",
-    "infer_udf", "render_prompt", "reply_document",
+    "Backend", "Budget", "Model", "change_summary", "infer", "infer_cached", "infer_distinct",
+    "infer_udf", "render_prompt", "reply_document", "stage_options",
 ]

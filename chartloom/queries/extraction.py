@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import json
+import threading
+import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chartloom.config import RetrySettings
+from chartloom.config import ModelSettings, PipelineSettings, RetrySettings
 from chartloom.functions.jsonval import reply_or_default
 from chartloom.functions.text import NOTE_LABELS, field_name
 from chartloom.operators import measures
@@ -21,9 +23,11 @@ from chartloom.operators.entities import (
     extract_with_model,
     normalise_entities,
 )
-from chartloom.operators.infer import infer_cached, infer_distinct, render_prompt, reply_document
+from chartloom.operators.infer import (
+    infer_cached, infer_distinct, infer_udf, render_prompt, reply_document, stage_options)
 from chartloom.operators.review import AMBIGUITY_PROMPT, ambiguity_prompt
 from chartloom.queries.inputs import ENC, encounters, table, texts
+from chartloom.sources.tables import materialise
 
 NO_WAIT = RetrySettings(max_attempts=2, initial_wait_seconds=0.0)
 FLAT_LABELS = (
@@ -201,6 +205,62 @@ def model_fallback(spark, sf):
     )
 
 
+#: Every call may take a second; hanging ones would take a minute.
+IN_TIME = PipelineSettings(
+    extraction=ModelSettings(timeout_seconds=1.0),
+    retry=RetrySettings(max_attempts=2, initial_wait_seconds=0.0))
+
+
+def hanging_model(settings: ModelSettings):
+    """A hosted model that now and then does not answer at all."""
+    def answer(prompt: str) -> str:
+        chars = len(_note_in(prompt))
+        if chars % 50 == 0:
+            time.sleep(60 * settings.timeout_seconds)
+        if chars % 11 == 0:
+            raise ConnectionError("endpoint refused")
+        return json.dumps({"chief_complaint": str(chars), "extraction_confidence": "high"})
+
+    return answer
+
+
+def model_deadlines(spark, sf):
+    """Calls that hang end at their stage's time limit; their rows come back as timed out."""
+    docs = texts(spark, sf, "documents", "doc_id", "text")
+    return _model_fields(extract_with_model(
+        docs, hanging_model, threads=32, **stage_options("extraction", IN_TIME)))
+
+
+CALLS_PER_SECOND, CALLERS = 40.0, 4
+
+
+def stamped_model():
+    def answer(prompt: str) -> str:
+        return json.dumps({"at": time.time(), "caller": threading.get_ident()})
+
+    return answer
+
+
+def rate_limited_calls(spark, sf):
+    """One call per language and source, under a budget for all tasks; ``in_budget`` tells that
+    a task's k-th call came no sooner after its first one than its share allows."""
+    asked = table(spark, sf, "documents").select("lang", "source").distinct().withColumn(
+        "prompt", render_prompt("Describe {s} in {l}.", s=F.col("source"), l=F.col("lang")))
+    numbered = asked.repartition(CALLERS).withColumn("task", F.spark_partition_id())
+    answered = numbered.withColumn("inference", infer_udf(
+        stamped_model, threads=8, retry=NO_WAIT, calls_per_second=CALLS_PER_SECOND / CALLERS)(
+            F.col("prompt")))
+    stored = materialise(answered.select(
+        "lang", "source", "task", F.get_json_object("inference.reply", "$.at").cast("double").alias("at"),
+        F.col("inference.attempts").alias("attempts")), "calls")
+    own = Window.partitionBy("task").orderBy("at")
+    soonest = (F.row_number().over(own) - 1) * CALLERS / CALLS_PER_SECOND
+    late = 0.25  # seconds by which the first call itself may be late
+    return stored.select(
+        "lang", "source", F.col("attempts").cast("bigint").alias("attempts"),
+        (F.col("at") - F.min("at").over(own) >= soonest - late).alias("in_budget"))
+
+
 def echo_model():
     def answer(prompt: str) -> str:
         return json.dumps({"length": len(prompt)})
@@ -260,7 +320,7 @@ QUERIES: dict[str, Callable] = {
     for fn in (
         page_fields, named_fields, flat_fields, regex_matches, extraction_stats,
         confidence_totals, success_counts, reply_cleaning, entity_samples, rule_extraction,
-        model_extraction, model_fallback, distinct_prompts, cached_replies, rendered_prompts,
+        model_extraction, model_fallback, model_deadlines, rate_limited_calls, distinct_prompts, cached_replies, rendered_prompts,
     )
 }
 
@@ -385,6 +445,18 @@ SELECT doc_id,
   CASE WHEN odd THEN 'JSON parse error: reply is not valid JSON' END AS error,
   CASE WHEN odd THEN 'I cannot answer that.' END AS raw_response
 FROM f""",
+    "model_deadlines": f"""
+WITH {_MODEL}
+SELECT doc_id,
+  CASE WHEN short THEN '' WHEN n % 50 = 0 OR n % 11 = 0 THEN NULL ELSE n::VARCHAR END AS chief_complaint,
+  CASE WHEN short THEN 'low' WHEN n % 50 = 0 OR n % 11 = 0 THEN 'failed' ELSE 'high' END
+    AS extraction_confidence,
+  CASE WHEN short THEN NULL WHEN n % 50 = 0 THEN 'API timeout'
+    WHEN n % 11 = 0 THEN 'API error: endpoint refused' END AS error,
+  NULL::VARCHAR AS raw_response
+FROM f""",
+    "rate_limited_calls": """
+SELECT DISTINCT lang, source, 1 AS attempts, true AS in_budget FROM documents""",
     "distinct_prompts": """
 SELECT event_id, length('Explain ' || event_type || '.') AS length, 1 AS attempts FROM events""",
     "cached_replies": """

@@ -1,9 +1,10 @@
 import json
+import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from chartloom.config import RetrySettings
+from chartloom.config import ModelSettings, RetrySettings
 from chartloom.operators import infer as inf
 from chartloom.operators.entities import extract_by_rules, extract_with_model
 from tests.test_documents import NOTE
@@ -126,3 +127,79 @@ def test_change_summary(spark, changes, want):
 
     df = spark.createDataFrame([(changes,)], f"c array<{CHANGE.simpleString()}>")
     assert df.select(inf.change_summary(F.col("c"))).first()[0] == want
+
+
+def hangs():
+    def answer(prompt):
+        if "hang" in prompt:
+            time.sleep(30)
+        if "slow start" in prompt and not seen.setdefault(prompt, 0):
+            seen[prompt] = 1
+            time.sleep(30)
+        return json.dumps({"p": prompt})
+
+    seen = {}
+    return answer
+
+
+def test_hanging_calls_end_at_their_deadline(spark):
+    words = ["fine", "hang 1", "slow start", None] + [f"hang {i}" for i in range(2, 12)]
+    df = spark.createDataFrame(list(enumerate(words)), "id int, prompt string").coalesce(1)
+    settings = ModelSettings(timeout_seconds=0.4)
+    start = time.monotonic()
+    rows = {r.prompt: r.inference for r in inf.infer(
+        df, "prompt", hangs, retry=FAST, threads=4, settings=settings).collect()}
+    assert time.monotonic() - start < 25
+    assert len(rows) == len(words) and rows["fine"].error_kind is None
+    assert (rows["slow start"].attempts, rows["slow start"].error_kind) == (2, None)
+    assert all((r.error_kind, r.attempts, r.reply) == ("timeout", 3, None)
+               for p, r in rows.items() if p and p.startswith("hang"))
+
+
+def test_deadline_respects_the_total():
+    retry = RetrySettings(max_attempts=50, initial_wait_seconds=0.0, timeout_seconds=0.5)
+    start = time.monotonic()
+    result = inf._call(lambda p: time.sleep(5), "x", "m", retry, 0.2)
+    assert result[2] == "timeout" and 2 <= result[3] <= 4
+    assert time.monotonic() - start < 2
+
+
+def test_late_calls_reach_the_fallback(spark):
+    df = spark.createDataFrame([("fine",), ("hang",)], "prompt string")
+    out = inf.infer(df, "prompt", hangs, fallback=steady, retry=RetrySettings(max_attempts=1),
+                    settings=ModelSettings(timeout_seconds=0.3))
+    assert {r.prompt: r.inference.model for r in out.collect()} == {
+        "fine": "primary", "hang": "fallback"}
+
+
+def test_settings_reach_the_backend(spark):
+    def told(settings):
+        return lambda prompt: json.dumps([settings.max_tokens, settings.timeout_seconds])
+
+    df = spark.createDataFrame([("x",)], "prompt string")
+    for stage, want in (("scoring", [800, 15.0]), ("summary", [2500, 40.0])):
+        row = inf.infer(df, "prompt", told, **inf.stage_options(stage)).first()
+        assert json.loads(row.inference.reply) == want
+
+
+def test_budget_spaces_calls():
+    budget, start = inf.Budget(50.0, burst=3), time.monotonic()
+    waits = [budget.take() for _ in range(13)]
+    assert waits[:3] == [0.0] * 3 and 0.18 <= time.monotonic() - start < 1.0
+    with pytest.raises(ValueError):
+        inf.Budget(0)
+
+
+def test_budget_counts_retries_and_waits_as_time(spark):
+    def stamps():
+        def answer(prompt):
+            raise ConnectionError(str(time.time()))
+        return answer
+
+    df = spark.range(6).select(F.col("id").cast("string").alias("prompt"))
+    start = time.monotonic()
+    rows = inf.infer(df, "prompt", stamps, retry=RetrySettings(2, 1.0, 0.0), threads=6,
+                     max_concurrency=2, calls_per_second=20.0).collect()
+    assert time.monotonic() - start >= 0.5 and all(r.inference.attempts == 2 for r in rows)
+    with pytest.raises(ValueError):
+        inf.infer(df, "prompt", stamps, calls_per_second=1.0)
