@@ -3,17 +3,16 @@
 from __future__ import annotations
 
 import json
-import re
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.functions.jsonedit import patched
 from chartloom.functions.jsonval import array_size, read_path, to_json
 from chartloom.functions.text import filled, is_blank, labelled_value, strip, truncate
 from chartloom.operators import settle
 from chartloom.operators.infer import Backend, infer, infer_distinct, render_prompt, reply_document
-from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS, PATCHED
+from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS
 
 # Fixed value: what a text without a note extracts to.
 SHORT_TEXT_ENTITIES = json.dumps(
@@ -295,91 +294,6 @@ def read_paths(df: DataFrame, entities: str, path: str, output: str = "value") -
     )
 
 
-class Number(str):
-    """A number as the document writes it."""
-
-
-def _dumps(value) -> str:
-    """Compact JSON in which numbers stand as they were written."""
-    if isinstance(value, Number):
-        return str(value)
-    if isinstance(value, dict):
-        return "{" + ",".join(f"{json.dumps(k, ensure_ascii=False)}:{_dumps(v)}"
-                              for k, v in value.items()) + "}"
-    if isinstance(value, list):
-        return "[" + ",".join(map(_dumps, value)) + "]"
-    return json.dumps(value, ensure_ascii=False)
-
-
-def _loads(text: str):
-    """The document, or None if it is no JSON; numbers keep their spelling."""
-    def refused(name: str):
-        raise ValueError(f"{name} is no JSON")
-
-    try:
-        return json.loads(text, parse_float=Number, parse_int=Number, parse_constant=refused)
-    except (ValueError, RecursionError):
-        return None
-
-
-def _steps(path: str | None) -> list:
-    return [int(s) if s.isdigit() else s for s in re.split(r"[.\[\]]+", path or "") if s]
-
-
-def _read(doc, steps: list):
-    """Value under the steps as text, None where they lead nowhere."""
-    if not steps:
-        return None
-    for step in steps:
-        if isinstance(doc, str):
-            return None
-        try:
-            doc = doc[step]
-        except (IndexError, KeyError, TypeError):
-            return None
-    return doc if doc is None or isinstance(doc, str) else json.dumps(
-        json.loads(_dumps(doc)), ensure_ascii=False)
-
-
-def _write(doc, steps: list, value: str) -> bool:
-    """Set one value; leave the document as it is where the steps do not fit."""
-    here = doc
-    for step in steps[:-1]:  # first see whether all steps fit, then make what is missing
-        if isinstance(here, dict) and isinstance(step, str):
-            here = here.get(step, {})
-        elif isinstance(here, list) and isinstance(step, int) and step < len(here):
-            here = here[step]
-        else:
-            return False
-    last = steps[-1] if steps else None
-    if not (isinstance(here, dict) and isinstance(last, str)
-            or isinstance(here, list) and isinstance(last, int) and last < len(here)):
-        return False
-    for step in steps[:-1]:
-        doc = doc.setdefault(step, {}) if isinstance(doc, dict) else doc[step]
-    doc[last] = value
-    return True
-
-
-@F.pandas_udf(PATCHED)
-def apply_patches(entities: pd.Series, patches: pd.Series) -> pd.DataFrame:
-    """Write a list of ``(path, value)`` into an entity JSON, one after the other.
-
-    Missing objects are created.  A null path or one that does not fit, and any path into a
-    text that is no JSON, leaves the document as it is; numbers keep their spelling.
-    Gives ``struct(document, old_values, new_values)`` with the value at each path
-    before and after its own write.
-    """
-    def merged(text: str | None, changes) -> tuple:
-        if text is None or changes is None or len(changes) == 0:
-            return text, [], []
-        doc, old, new, written = _loads(text), [], [], False
-        for change in changes:
-            steps = _steps(change["path"])
-            old.append(_read(doc, steps))
-            written |= _write(doc, steps, change["value"])
-            new.append(_read(doc, steps))
-        return _dumps(doc) if written else text, old, new
-
-    rows = [merged(d, c) for d, c in zip(entities, patches)]
-    return pd.DataFrame(rows, columns=PATCHED.fieldNames())
+def apply_patches(entities: Column | str, patches: Column | str) -> Column:
+    """Write a list of ``(path, value)`` into an entity JSON, as of :func:`jsonedit.patched`."""
+    return patched(*[F.col(c) if isinstance(c, str) else c for c in (entities, patches)])
