@@ -36,6 +36,7 @@ _MEMBER = rf"\G[\[{{,](?:{_STRING}:)?+{_VALUE}"
 _KEY = rf"^[{{,]({_STRING}):"
 _HEAD = rf"^[\[{{,](?:{_STRING}:)?+"
 _SPACE = rf"({_STRING})|\s++"
+_MARKED = rf'((?:{_STRING}|[^",:]++)*+)([,:])'
 
 _STATE = ("struct<head:string,node:string,tail:string,fits:boolean>")
 
@@ -58,13 +59,13 @@ def quoted(value: Column) -> Column:
 
 
 def unquoted(value: Column) -> Column:
-    """What a JSON value stands for, as text: strings without quotes, null as null, all else as
-    it is spelt."""
+    """What a JSON value stands for, as text: strings without quotes, null as null, containers
+    with a blank behind each comma and colon, all else as it is spelt."""
     return (
         F.when(value == "null", None)
         .when(value.startswith('"'), F.from_json(
             F.concat(F.lit("["), value, F.lit("]")), "array<string>")[0])
-        .otherwise(value))
+        .otherwise(F.regexp_replace(value, _MARKED, "$1$2 ")))
 
 
 def _members(node: Column) -> Column:

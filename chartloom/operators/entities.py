@@ -232,37 +232,34 @@ def flatten_leaves(
 ) -> DataFrame:
     """One row per scalar leaf: ``keys, path, value, is_empty``.
 
-    Each level is a lateral unnesting of the one above, without a shuffle, as many of them as
-    the deepest document has; that depth is counted first.  With ``max_depth``, something
-    nested deeper is kept as one row that holds its JSON text.
+    A document is opened level by level within its row, as often as it is deep itself; nothing
+    is counted beforehand and nothing shuffled, so it works on streams too.  With
+    ``max_depth``, something nested deeper is kept as one row that holds its JSON text.
     """
-    spark = df.sparkSession
-    if max_depth is None:
-        max_depth = df.agg(F.max(_depth(F.col(entities)))).first()[0] or 0
-    level = df.select(
-        *keys, F.lit("").alias("path"), F.try_parse_json(entities).alias("node"),
-    ).filter(F.col("node").isNotNull())
-    done = F.lit(False)
-    level = level.withColumn("done", done)
-
-    for _ in range(max_depth):
-        kind = F.schema_of_variant("node")
-        nested = kind.startswith("OBJECT") | kind.startswith("ARRAY")
-        # A finished leaf passes through unchanged as the single item of its level.
-        open_node = F.when(nested & ~F.col("done"), F.col("node"))
-        staged = level.withColumn("_open", open_node)
-        child = spark.tvf.variant_explode_outer(F.col("_open").outer())
-        out = staged.lateralJoin(child)
-        is_open = F.col("_open").isNotNull()
-        step = F.when(F.col("key").isNotNull(), F.concat(F.lit("."), F.col("key"))).otherwise(
-            F.concat(F.lit("["), F.col("pos").cast("string"), F.lit("]"))
-        )
-        level = out.filter(~is_open | F.col("pos").isNotNull()).select(
-            *keys,
-            F.when(is_open, F.concat("path", step)).otherwise(F.col("path")).alias("path"),
-            F.when(is_open, F.col("value")).otherwise(F.col("node")).alias("node"),
-            (~is_open).alias("done"),
+    depth = _depth(F.col(entities))
+    levels = depth if max_depth is None else F.least(depth, F.lit(max_depth))
+
+    def item(path: Column, node: Column) -> Column:
+        return F.struct(path.alias("path"), node.alias("node"))
+
+    def opened(held: Column) -> Column:
+        """The children of a container, a leaf itself."""
+        path, node = held["path"], held["node"]
+        fields = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
+        items = F.try_variant_get(node, "$", "array<variant>")
+        place = lambda i: F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
+        return F.coalesce(
+            F.transform(fields, lambda f: item(F.concat(path, F.lit("."), f["key"]), f["value"])),
+            F.transform(items, lambda v, i: item(place(i), v)),
+            F.array(held),
         )
+
+    root = F.array(item(F.lit(""), F.try_parse_json(entities)))
+    rounds = F.when(levels > 0, F.sequence(F.lit(1), levels)).otherwise(F.array().cast("array<int>"))
+    leaves = F.aggregate(
+        rounds, root, lambda held, _: F.flatten(F.transform(held, opened)))
+    readable = df.filter(F.try_parse_json(entities).isNotNull())
+    level = readable.select(*keys, F.explode(leaves).alias("leaf")).select(*keys, "leaf.*")
     value = F.try_variant_get("node", "$", "string")
     return level.select(
         *keys,

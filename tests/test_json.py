@@ -139,6 +139,25 @@ def test_any_depth_or_a_chosen_one(spark):
     assert rows == {"a.b.c.d": '{"e":1}'}
 
 
+def test_deep_and_mixed_documents(spark):
+    """Each row is opened as often as it is deep, without a job of its own."""
+    deep = '{"a":[' * 30 + '{"x":null,"y":[1.50,"s",{}],"z":[]}' + "]}" * 30
+    rows = [(1, deep), (2, "[1,[2]]"), (3, '"alone"'), (4, None), (5, '{"a":1}{'), (6, "{}"),
+            (7, json.dumps({f"k{i}": list(range(50)) for i in range(200)}))]
+    df = spark.createDataFrame(rows, "id int, entities string")
+    jobs = spark.sparkContext.statusTracker().getJobIdsForGroup()
+    leaves = en.flatten_leaves(df, "id")
+    assert len(spark.sparkContext.statusTracker().getJobIdsForGroup()) == len(jobs)
+    got = {}
+    for r in leaves.collect():
+        got.setdefault(r.id, {})[r.path] = (r.value, r.is_empty)
+    base = ".".join(["a[0]"] * 30)
+    assert got[1] == {f"{base}.x": (None, True), f"{base}.y[0]": ("1.5", False), f"{base}.y[1]": ("s", False)}
+    assert got[2] == {"[0]": ("1", False), "[1][0]": ("2", False)}
+    assert got[3] == {"": ("alone", False)} and set(got) == {1, 2, 3, 5, 7}
+    assert len(got[7]) == 10_000 and got[7]["k199[49]"] == ("49", False)
+
+
 def test_patches_that_do_not_fit(spark):
     """Null and misfit paths, broken documents: nothing changes, nothing fails."""
     kept = '{"a": 1.10, "big": 12345678901234567890.123, "far": 1e400, "t": "x", "l": [1]}'
