@@ -94,6 +94,24 @@ def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.Record
         start = stop
 
 
+def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
+    """Of a string column: its different words between ASCII white space, the number of each word
+    in order, and where each row's words end."""
+    parts = pc.ascii_split_whitespace(pc.fill_null(texts, ""))
+    flat = parts.values.slice(parts.offsets[0].as_py(), parts.offsets[-1].as_py() - parts.offsets[0].as_py())
+    coded = flat.cast(pa.binary()).dictionary_encode()
+    words, numbers = coded.dictionary.to_pylist(), coded.indices.to_numpy()
+    ends = parts.offsets.to_numpy()[1:] - parts.offsets[0].as_py()
+    if b"" in words:  # around white space at a text's ends
+        at = words.index(b"")
+        kept = numbers != at
+        ends = np.append(0, np.cumsum(kept))[ends]
+        numbers = numbers[kept]
+        numbers = numbers - (numbers > at)
+        del words[at]
+    return words, numbers, ends
+
+
 def arrow_pass(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], schema: str,
     types: pa.Schema,

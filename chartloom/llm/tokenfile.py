@@ -34,18 +34,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import fresh_dir, slices, small_batches, text_bytes
+from chartloom.llm.common import fresh_dir, numbered_words, slices, small_batches
 from chartloom.llm.warc import file_system
 
 #: Ids per file and bytes of text per task; a single document may exceed either.
 FILE_TOKENS, PART_BYTES = 4_000_000, 32_000_000
-#: Remembered words and their bytes, per Python worker.
-WORDS, WORD_BYTES = 400_000, 16_000_000
+#: Remembered words and pieces of words, and the bytes of each, per Python worker.
+WORDS, PIECES, HELD_BYTES = 800_000, 1_200_000, 24_000_000
+ASCII_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LARGEST_VOCABULARY = 64_000_000
 MAGIC, HEAD, RANKED = b"DAC1", struct.Struct("<4sIQQ"), 512
 
 
-class Words(dict):
+class Numbered(dict):
     """word -> its number, in order of appearance."""
 
     def __missing__(self, word: bytes) -> int:
@@ -53,51 +54,93 @@ class Words(dict):
         return number
 
 
+def _gathered(flat: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The ids of some entries, one after the other, and how many each has."""
+    first = starts[numbers]
+    lengths = starts[numbers + 1] - first
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(first - (ends - lengths), lengths) + np.arange(lengths.sum())], lengths
+
+
 class Encoder:
-    """Ids of texts by their words; what a worker has met is kept in flat arrays."""
+    """Ids of texts by their words, and of words by their pieces: a last mark behind a letter is
+    a piece of its own where the tokenizer cuts there, ASCII pieces are in lower case where it
+    lowers them.  What a worker has met is kept in flat arrays."""
 
     def __init__(self, vocabulary: bytes):
         from tokenizers import Tokenizer
-        self.tokenizer = Tokenizer.from_buffer(vocabulary)
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers, self.known, self.bytes = Words(), 0, 0
+        self.tokenizer = tokenizer = Tokenizer.from_buffer(vocabulary)
+        cut, normal = tokenizer.pre_tokenizer, tokenizer.normalizer
+        self.lowers = normal is not None and normal.normalize_str(ASCII_LETTERS) == ASCII_LETTERS.lower()
+        self.marks = bytes(m for m in b".,;:!?" if cut is not None and all(
+            [at for _, at in cut.pre_tokenize_str(f"x{c}{chr(m)}")] == [(0, 2), (2, 3)]
+            for c in ASCII_LETTERS))
+        added = tokenizer.get_added_tokens_decoder().values()
+        self.added = [t.content.encode().lower() for t in added if t.content]
+        self.shortest = min(map(len, self.added), default=1 << 30)
+        self._forget_words()
+        self._forget_pieces()
+
+    def _forget_words(self) -> None:
+        self.words, self.known, self.bytes = Numbered(), 0, 0
         self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def learn(self) -> None:
-        """Ids of the words that were numbered since the last call."""
-        count = len(self.numbers) - self.known
-        if not count:
-            return
-        new = list(self.numbers)[self.known:]
+    def _forget_pieces(self) -> None:
+        self.pieces, self.encoded, self.piece_bytes = Numbered(), 0, 0
+        self.piece_ids, self.piece_starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def _parts(self, word: bytes) -> tuple[bytes, ...]:
+        lower = word.lower()
+        if len(word) >= self.shortest and any(t in lower for t in self.added):
+            return (word,)
+        own = lower if self.lowers and word.isascii() else word
+        if word[-1] in self.marks and word[-2:-1].isalpha():
+            return own[:-1], own[-1:]
+        return (own,)
+
+    def _learn_pieces(self) -> None:
+        new = list(self.pieces)[self.encoded:]
         ids, lengths = [], []
-        for at in range(0, count, 5_000):
+        for at in range(0, len(new), 5_000):
             words = [w.decode("utf-8", "replace") for w in new[at:at + 5_000]]
             ends = np.cumsum([len(w) + 1 for w in words])
             found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
             places = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
             ids.append(np.array(found.ids, np.uint32))
             lengths.append(np.diff(np.searchsorted(places, ends), prepend=0))
-        self.flat = np.concatenate([self.flat, *ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(np.concatenate(lengths))])
-        self.known += count
+        if new:
+            self.piece_ids = np.concatenate([self.piece_ids, *ids])
+            self.piece_starts = np.concatenate(
+                [self.piece_starts, self.piece_starts[-1] + np.cumsum(np.concatenate(lengths))])
+            self.encoded += len(new)
+            self.piece_bytes += sum(map(len, new))
+
+    def learn(self) -> None:
+        """Ids of the words that were numbered since the last call."""
+        new = list(self.words)[self.known:]
+        if not new:
+            return
+        parts = [self._parts(w) for w in new]
+        numbers = np.fromiter((self.pieces[p] for own in parts for p in own), np.int64)
+        self._learn_pieces()
+        ids, lengths = _gathered(self.piece_ids, self.piece_starts, numbers)
+        first = np.cumsum([0, *map(len, parts[:-1])])
+        self.flat = np.concatenate([self.flat, ids])
+        self.starts = np.concatenate(
+            [self.starts, self.starts[-1] + np.cumsum(np.add.reduceat(lengths, first))])
+        self.known += len(new)
         self.bytes += sum(map(len, new))
 
-    def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if self.known > WORDS or self.bytes > WORD_BYTES:
-            self.forget()
-        number = self.numbers.__getitem__
-        words = [text_bytes(t).split() for t in texts]
-        numbered = [np.fromiter(map(number, w), np.int64, len(w)) for w in words]
+    def encode(self, texts: pa.Array) -> list[np.ndarray]:
+        if self.known > WORDS or self.bytes > HELD_BYTES:
+            self._forget_words()
+        if self.encoded > PIECES or self.piece_bytes > HELD_BYTES:
+            self._forget_pieces()
+        words, numbers, ends = numbered_words(texts)
+        known = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         self.learn()
-        return [self._gather(n) for n in numbered]
-
-    def _gather(self, numbers: np.ndarray) -> np.ndarray:
-        starts = self.starts[numbers]
-        lengths = self.starts[numbers + 1] - starts
-        ends = np.cumsum(lengths)
-        return self.flat[np.repeat(starts - (ends - lengths), lengths) + np.arange(lengths.sum())]
+        ids, lengths = _gathered(self.flat, self.starts, known[numbers])
+        return np.split(ids, np.append(0, np.cumsum(lengths))[ends[:-1]])
 
 
 _ENCODERS: dict[int, Encoder] = {}
@@ -247,7 +290,7 @@ def write_tokens(docs: DataFrame, vocabulary: str, folder: str, end_id: int = 1,
         for batch in batches:
             for piece in slices(batch):
                 for key, ids in zip(piece.column(0).to_pylist(),
-                                    encoder.encode(piece.column(1).to_pylist())):
+                                    encoder.encode(piece.column(1))):
                     if keys and tokens + len(ids) >= file_tokens:
                         yield close()
                         keys, held, tokens, number = [], [], 0, number + 1
@@ -305,8 +348,9 @@ def _documents(path: str, before: int) -> Iterator[pa.RecordBatch]:
     step = 0
     while step < len(keys):  # runs of documents of about a million ids
         stop = max(step + 1, int(np.searchsorted(starts, starts[step] + 1_000_000, "right")) - 1)
-        ids = [file.span(int(a), int(b)).astype("<u4").tobytes()
-               for a, b in zip(starts[step:stop], starts[step + 1:stop + 1])]
+        run = file.span(int(starts[step]), int(starts[stop])).astype("<u4").tobytes()
+        places = ((starts[step:stop + 1] - starts[step]) * 4).tolist()
+        ids = [run[a:b] for a, b in zip(places, places[1:])]
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys[step:stop], pa.int64()), pa.array(starts[step:stop] + before),
              pa.array(np.diff(starts[step:stop + 1])), pa.array(ids, pa.binary())],

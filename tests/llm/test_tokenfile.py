@@ -14,7 +14,7 @@ VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 HARD = [
     "It's THE cat's, we'LL see'm 'S 'tis don't", "áb e ́x ́", "ΣΑΣ σας Σ ΟΔΟΣ.", "İstanbul İx",
     "x y\u0085z w​q　", "12 1234 ½ ² ٣٤ Ⅷ", "汉字テスト 한국어 한", "👩‍👩‍👧 🎉🎉 ok", "\x1c\x1d a\x1fb \x00 c",
-    "<|endoftext|> a<|startoftext|>b <|endoftext |>", "ﬁn ﬂ ǅ ß ẞ", "a,b;c!!...?? -- __ $%^", "� \U0010ffff", "x" * 5000,
+    "<|endoftext|> a<|startoftext|>b <|endoftext |> <|ENDOFTEXT|> x<|endoftext|>y. Hi. Hi Hi, É. é. e\u0301. T\u0308. A.. a.b, T. t.", "ﬁn ﬂ ǅ ß ẞ", "a,b;c!!...?? -- __ $%^", "� \U0010ffff", "x" * 5000,
     "'ll", "''s's", " lead", "trail ", "\t\n\x0b\x0c\r ", "Ａｂｃ １２", "ȩ́ ̧́e q̣̇",
 ]
 
