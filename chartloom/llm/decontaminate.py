@@ -1,31 +1,38 @@
 """Benchmark decontamination by templates, in DataFrame functions only.
 
-Texts are cut into words and numbers; numbers, units behind them and names (capitalised words
-within a sentence) become typed placeholders, all else is lower-cased.  A capitalised word that
-begins a sentence may be either, so a full window is hashed in each reading of such words, as the
-word itself and as a name.  Windows of the items'
-templates are hashed and joined with those of the documents.  Windows of one item that lie at
-one distance in a document, or at distances that differ by up to half of the item's words, form
-an alignment; one that holds the stated share of the item's windows is a candidate, and stands if
-its slots agree: a value that the item repeats must be replaced by one value throughout.  Slots
-are compared within matched windows only, each at the distance of its window.  A sentence's first
-word is a slot if it has another value or is a name elsewhere in its item; where that value does
-not agree with the others, it was no name, and the windows over it do not match.  So copies and re-parameterised copies are found, and texts
-that only share the frame of a question, with values put in anyhow, are not.
-
-The items' windows are broadcast while there are at most ``BROADCAST_ROWS`` of them; more meet
-the documents' windows in a shuffle.  Documents are shuffled only if they hold a candidate.
+Texts are cut into words and numbers; numbers, units behind them and names (capitalised words)
+become typed placeholders, all else is lower-cased.  A capitalised word that begins a sentence
+may be either: the documents' windows take it for a name, and each full window of an item is
+looked for with every choice of name or word for those it holds.  So a document's window has one
+hash, and what is chosen from is the small side.
+
+Windows of one item that lie in a document at distances of one band form an alignment.  Bands are
+as wide as the item is long and overlap by half, so distances that differ by up to half of the
+item's words always share one.  A band that holds the stated share of the item's windows is a
+candidate; its main distance is the one with most windows, each window of the item stands at its
+distance nearest to that, and each slot at the nearest of the windows over it.  The candidate
+stands if its slots agree: a value that the item repeats must be replaced by one value throughout.
+A sentence's first word is a slot if it has another value or is a name elsewhere in its item; where
+that value does not agree with the others, it was no name, and the windows over it do not match.
+So copies and re-parameterised copies are found, and texts that only share the frame of a question,
+with values put in anyhow, are not.
+
+All of it is joins and sums over flat rows, one for a window and its place: nothing is gathered
+into arrays, whatever repeats within a text.  The items' windows are broadcast while there are at
+most ``BROADCAST_ROWS`` of them; more meet the documents' windows in a shuffle.  Of the documents,
+only those that hold a candidate are shuffled.
 
 Rows and cases: null and empty texts, and items without a word, match nothing; items shorter
-than a window are one window, in which first words stand for themselves; repeated items are matched each; rows with a null id are matched
-by nothing; rows that repeat an id are judged together; other columns play no part.
+than a window are one window, in which first words stand for themselves; repeated items are
+matched each; rows with a null id are matched by nothing; rows that repeat an id are judged
+together, by the smallest of their values at a place; other columns play no part.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import BROADCAST_ROWS, materialise, rows_of, rows_without
@@ -74,103 +81,93 @@ def begins(token: Column) -> Column:
     return token.rlike("^\\x01\\p{Lu}[\\p{Ll}\\p{M}']+$")
 
 
-def _windows(hashes: Column, first: Column, size: int, window: int) -> Column:
-    """array<struct<hash, turns>> of the windows of ``size`` token hashes; a window reads
-    differently for each choice of ``turns``, combined by exclusive or."""
-    last = F.size(hashes) - size
-    name = F.xxhash64(F.lit("<name>"))
+def _hashed(token: Column, as_name: Column) -> Column:
+    return F.when(as_name, F.xxhash64(F.lit("<name>"))).otherwise(F.xxhash64(template_of(token)))
+
+
+def _at(hash: Column, k: int) -> Column:
+    return F.xxhash64(hash, F.lit(k))
 
-    def at(hash: Column, k: int) -> Column:
-        return F.xxhash64(hash, F.lit(k))
+
+def _window_hashes(hashes: Column, size: int) -> Column:
+    """array of the hashes of all windows of ``size`` tokens."""
+    last = F.size(hashes) - size
 
     def one(i: Column) -> Column:
         whole = F.xxhash64(F.lit(size))
         for k in range(size):
-            whole = whole.bitwiseXOR(at(F.get(hashes, i + k), k))
-        turns = F.array().cast("array<bigint>")
-        if size == window:
-            turns = F.when(F.exists(F.slice(first, i + 1, size), lambda f: f), F.filter(F.array(*[
-                F.when(F.get(first, i + k), at(F.get(hashes, i + k), k).bitwiseXOR(at(name, k)))
-                for k in range(size)]), lambda t: t.isNotNull())).otherwise(turns)
-        return F.struct(whole.alias("hash"), turns.alias("turns"))
+            whole = whole.bitwiseXOR(_at(F.get(hashes, i + k), k))
+        return whole
 
-    return F.when(last >= 0, F.transform(
-        F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)
-    ).otherwise(F.array().cast("array<struct<hash:bigint,turns:array<bigint>>>"))
+    return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)
+                  ).otherwise(F.array().cast("array<bigint>"))
 
 
-def _readings(window: Column) -> Column:
-    """The hashes of a window by all choices of its turns."""
-    return F.aggregate(window["turns"], F.array(window["hash"]), lambda held, turn: F.concat(
-        held, F.transform(held, lambda h: h.bitwiseXOR(turn))))
+def _document_windows(templated: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """(doc_id, d, hash) of all windows of the given sizes."""
+    parts = []
+    for size in sizes:
+        full = F.lit(size == window)
+        hashes = templated.select("doc_id", F.transform(
+            "tokens", lambda t: _hashed(t, full & begins(t))).alias("hashes"))
+        parts.append(hashes.select("doc_id", F.posexplode(
+            _window_hashes(F.col("hashes"), size)).alias("d", "hash")))
+    return reduce(DataFrame.unionByName, parts)
 
 
-def _window_rows(templated: DataFrame, key: str, sizes: list[int], only_own: bool,
-                 window: int) -> DataFrame:
-    """(key, at, hash) of all windows; ``only_own``: of the size that the text itself has."""
-    hashed = templated.select(
-        key, F.transform("tokens", lambda t: F.xxhash64(template_of(t))).alias("hashes"),
-        F.transform("tokens", begins).alias("first"))
+def _item_windows(items: DataFrame, sizes: list[int], window: int) -> DataFrame:
+    """(item_id, q, hash) of the items' windows, a full one by all choices for its first words."""
     parts = []
     for size in sizes:
-        own = F.least(F.size("hashes"), F.lit(window)) == size
-        rows = hashed.filter(own) if only_own else hashed
-        rows = rows.select(key, F.posexplode(
-            _windows(F.col("hashes"), F.col("first"), size, window)).alias("at", "window"))
-        parts.append(rows.select(key, "at", F.explode(_readings(F.col("window"))).alias("hash")))
-    out = parts[0]
-    for part in parts[1:]:
-        out = out.unionByName(part)
-    return out
-
-
-def _let(value: Column, of: Callable[[Column], Column]) -> Column:
-    """``of(value)``, with the value computed once."""
-    return F.get(F.transform(F.array(value), of), 0)
-
-
-def _nearest(places: Column) -> Column:
-    """Of some distances the one next to ``at``, the smaller of two."""
-    return F.array_min(F.transform(places, lambda a: F.struct(
-        F.abs(a - F.col("at")).alias("off"), a.alias("at"))))["at"]
-
-
-def _places() -> Column:
-    """For each window of the item the distance at which it matches, null if at none."""
-    return F.transform(F.sequence(F.lit(0), F.col("windows") - 1), lambda q: _nearest(F.transform(
-        F.filter("near", lambda x: F.array_contains(x["qs"], q)), lambda x: x["at"])))
-
-
-def _slots(places: Column, window: int) -> Column:
-    """array<struct<at, type, item, doc, turned>> of the item's slots that lie in matched windows,
-    each with the document's value at the distance of its window; ``turned`` are first words of
-    sentences with another value."""
-    names = F.transform(F.filter("own", lambda t: template_of(t) == "<name>"), value_of)
-
-    def one(token: Column, j: Column, names: Column) -> Column:
-        first = F.greatest(j - F.col("size") + 1, F.lit(0))
-        over = F.slice(places, first + 1, F.least(j, F.col("windows") - 1) - first + 1)
-        place = _nearest(F.filter(over, lambda a: a.isNotNull()))
-        value = value_of(F.get("tokens", (place + j).cast("int")))
-        opens = begins(token) & (F.col("size") == window)
-        turned = opens & (value != value_of(token))
-        named = turned | (opens & F.array_contains(names, value_of(token)))
-        return F.struct(
-            j.alias("at"), F.when(named, "<name>").otherwise(template_of(token)).alias("type"),
-            value_of(token).alias("item"), value.alias("doc"), turned.alias("turned"))
-
-    return F.filter(
-        _let(names, lambda names: F.transform("own", lambda t, j: one(t, j, names))),
-        lambda s: s["type"].isin("<num>", "<unit>", "<name>") & s["doc"].isNotNull())
-
-
-def _agreeing(places: Column, slots: Column) -> Column:
-    """``places`` without the windows over first words whose new value disagrees with that of
-    another slot of the same word."""
-    wrong = F.transform(F.filter(slots, lambda s: s["turned"] & F.exists(slots, lambda o: (
-        o["type"] == s["type"]) & (o["item"] == s["item"]) & (o["doc"] != s["doc"]))), lambda s: s["at"])
-    return _let(wrong, lambda wrong: F.transform(places, lambda a, q: F.when(
-        ~F.exists(wrong, lambda j: (j >= q) & (j < q + F.col("size"))), a)))
+        own = items.filter(F.least(F.size("tokens"), F.lit(window)) == size)
+        hashes = own.select("item_id", F.transform("tokens", lambda t: F.struct(
+            _hashed(t, F.lit(False)).alias("word"), begins(t).alias("first"))).alias("t"))
+        name = F.xxhash64(F.lit("<name>"))
+
+        def turns(q: Column) -> Column:
+            """For each first word of a window what turns its hash into that with a name."""
+            return F.filter(F.array(*[
+                F.when(F.get("t", q + k)["first"], _at(F.get("t", q + k)["word"], k).bitwiseXOR(_at(name, k)))
+                for k in range(size)]), lambda t: t.isNotNull())
+
+        rows = hashes.select("item_id", "t", F.posexplode(_window_hashes(
+            F.transform("t", lambda t: t["word"]), size)).alias("q", "hash"))
+        if size == window:
+            rows = rows.withColumn("hash", F.explode(F.aggregate(
+                turns(F.col("q")), F.array("hash"), lambda held, turn: F.concat(
+                    held, F.transform(held, lambda h: h.bitwiseXOR(turn))))))
+        parts.append(rows.select("item_id", "q", "hash").distinct())
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _slot_tokens(items: DataFrame, window: int) -> DataFrame:
+    """(item_id, j, type, item, opens, named) of the items' tokens that may be slots: ``opens`` for a
+    first word, ``named`` for one that is a name elsewhere in its item."""
+    names = F.transform(F.filter("tokens", lambda t: template_of(t) == "<name>"), value_of)
+    full = F.size("tokens") >= window
+    tokens = items.select("item_id", names.alias("names"), full.alias("full"), F.posexplode("tokens").alias("j", "t"))
+    opens = F.col("full") & begins(F.col("t"))
+    return tokens.select(
+        "item_id", "j", F.when(opens, "<name>").otherwise(template_of(F.col("t"))).alias("type"),
+        value_of(F.col("t")).alias("item"), opens.alias("opens"),
+        F.array_contains("names", value_of(F.col("t"))).alias("named"),
+    ).filter(F.col("type").isin("<num>", "<unit>", "<name>"))
+
+
+KEYS = ["doc_id", "item_id", "band"]
+
+
+def _slots(places: DataFrame, tokens: DataFrame, words: DataFrame) -> DataFrame:
+    """(KEYS, j, type, item, turned, doc) of the slots in windows ``places``, each with the
+    document's value at the nearest distance of the windows over it."""
+    inside = (F.col("j") >= F.col("q")) & (F.col("j") < F.col("q") + F.col("size"))
+    at = F.min(F.struct(F.abs(F.col("at") - F.col("main")).alias("off"), "at"))
+    placed = places.join(tokens, "item_id").filter(inside).groupBy(
+        *KEYS, "j", "type", "item", "opens", "named").agg(at["at"].alias("at"))
+    met = placed.withColumn("d", F.col("at") + F.col("j")).join(words, ["doc_id", "d"])
+    turned = F.col("opens") & (F.col("doc") != F.col("item"))
+    return met.select(*KEYS, "j", "type", "item", "doc", turned.alias("turned")).filter(
+        ~F.col("opens") | turned | F.col("named"))
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
@@ -179,52 +176,60 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """A row per document and item: doc_id, item_id, start (the word where the item begins, by
     its first matched window), matched and windows (of the item), slots (in matched windows),
     changed (slots with another value)."""
-    items = materialise(_templated(benchmark, item_col, item_text, "item_id"), "items")
-    items = items.filter(F.size("tokens") > 0)
+    items = materialise(_templated(benchmark, item_col, item_text, "item_id").filter(
+        F.size("tokens") > 0), "items")
     sizes = sorted(r[0] for r in items.select(
         F.least(F.size("tokens"), F.lit(window)).alias("s")).distinct().collect()) or [window]
-    wanted = materialise(_window_rows(items, "item_id", sizes, True, window).select(
-        "item_id", F.col("at").alias("q"), "hash"), "windows")
+    wanted = materialise(_item_windows(items, sizes, window), "windows")
     given = _templated(docs, id_col, text_col, "doc_id")
     side = wanted.hint("broadcast") if wanted.count() <= BROADCAST_ROWS else wanted
-    lengths = items.select("item_id", F.size("tokens").alias("n"))
-    hits = (
-        _window_rows(given, "doc_id", sizes, False, window).join(side, "hash")
-        .groupBy("doc_id", "item_id", (F.col("at") - F.col("q")).alias("at"))
-        .agg(F.collect_set("q").alias("qs"))
-        .join(lengths, "item_id")
-    )
-    near = Window.partitionBy("doc_id", "item_id").orderBy(
-        F.col("at") / (F.floor(F.col("n") / 2) + 0.5)).rangeBetween(-1, 1)
-    size = F.least(F.col("n"), F.lit(window))
-    aligned = hits.withColumn("near", F.collect_list(F.struct("at", "qs")).over(near)).select(
-        "doc_id", "item_id", "at", F.size("qs").alias("own_windows"), "near", size.alias("size"),
-        (F.col("n") - size + 1).alias("windows"))
-    aligned = materialise(aligned.filter(
-        F.size(F.array_distinct(F.flatten("near.qs"))) >= F.col("windows") * share), "aligned")
-    found = materialise(aligned.select("doc_id").distinct(), "ids")
+    size = F.least(F.size("tokens"), F.lit(window))
+    lengths = items.groupBy("item_id").agg(F.max(F.struct(
+        F.size("tokens").alias("n"), size.alias("size"))).alias("x")).select(
+        "item_id", "x.size", (F.col("x.n") - F.col("x.size") + 1).alias("windows"),
+        (F.floor(F.col("x.n") / 2) + 1).alias("step"))
+    hits = _document_windows(given, sizes, window).join(side, "hash").select(
+        "doc_id", "item_id", "q", (F.col("d") - F.col("q")).alias("at")).distinct()
+    band = F.floor(F.col("at") / F.col("step"))
+    banded = materialise(hits.join(lengths, "item_id").select(
+        "doc_id", "item_id", F.explode(F.array(band, band - 1)).alias("band"), "q", "at", "size", "windows"), "hits")
+    enough = banded.groupBy(*KEYS, "windows").agg(F.countDistinct("q").alias("found")).filter(
+        F.col("found") >= F.col("windows") * share).select(*KEYS)
+    held = banded.join(enough, KEYS, "left_semi")
+    best = F.max(F.struct(F.col("own"), (-F.col("at")).alias("back")))
+    main = held.groupBy(*KEYS, "at").agg(F.count("*").alias("own")).groupBy(*KEYS).agg(best.alias("b")).select(
+        *KEYS, F.col("b.own").alias("own"), (-F.col("b.back")).alias("main"))
+    near = F.min(F.struct(F.abs(F.col("at") - F.col("main")).alias("off"), "at"))
+    places = materialise(held.join(main, KEYS).groupBy(
+        *KEYS, "q", "size", "windows", "own", "main").agg(near["at"].alias("at")), "places")
+
+    found = materialise(places.select("doc_id").distinct(), "ids")
     texts = rows_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("_text")), found)
-    both = (
-        _templated(texts, "doc_id", "_text", "doc_id").join(aligned, "doc_id")
-        .join(items.select("item_id", F.col("tokens").alias("own")), "item_id")
-    )
-    checked = both.select(
-        "doc_id", "item_id", "at", "own_windows", "windows",
-        _let(_places(), lambda given: _let(_let(_slots(given, window), lambda slots: _agreeing(
-            given, slots)), lambda places: F.struct(
-                F.size(F.filter(places, lambda a: a.isNotNull())).alias("matched"),
-                F.get(F.filter(places, lambda a: a.isNotNull()), 0).alias("start"),
-                _slots(places, window).alias("slots")))).alias("x")).select("*", "x.*").drop("x")
-    values = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"])))
-    pairs = F.array_distinct(F.transform("slots", lambda s: F.struct(s["type"], s["item"], s["doc"])))
-    rows = checked.filter(
-        (F.col("matched") >= F.col("windows") * share) & (F.size(values) == F.size(pairs))).select(
-        "doc_id", "item_id", "at", "start", "matched", "own_windows", "windows",
-        F.size("slots").alias("slots"),
-        F.size(F.filter("slots", lambda s: s["item"] != s["doc"])).alias("changed"))
-    best = F.max(F.struct(
-        "matched", "own_windows", (-F.col("at")).alias("back"), "start", "windows", "slots", "changed"))
-    return rows.groupBy("doc_id", "item_id").agg(best.alias("b")).select(
+    words = materialise(
+        _templated(texts, "doc_id", "_text", "doc_id")
+        .select("doc_id", F.posexplode("tokens").alias("d", "t"))
+        .groupBy("doc_id", "d").agg(F.min(value_of(F.col("t"))).alias("doc")), "words")
+    tokens = materialise(_slot_tokens(items, window).distinct(), "slots")
+    given_slots = _slots(places, tokens, words)
+    disagree = given_slots.groupBy(*KEYS, "type", "item").agg(
+        F.countDistinct("doc").alias("values"), F.collect_set(F.when(F.col("turned"), F.col("j"))).alias("js")
+    ).filter(F.col("values") > 1).select(*KEYS, F.explode("js").alias("j"))
+    over = (F.col("j") >= F.col("q")) & (F.col("j") < F.col("q") + F.col("size"))
+    gone = places.join(disagree, KEYS).filter(over).select(*KEYS, "q").distinct()
+    left = materialise(places.join(gone, [*KEYS, "q"], "left_anti"), "left")
+    slots = materialise(_slots(left, tokens, words), "judged")
+    uneven = slots.groupBy(*KEYS, "type", "item").agg(F.countDistinct("doc").alias("values")).filter("values > 1")
+    sums = slots.groupBy(*KEYS).agg(
+        F.count("*").alias("slots"), F.count_if(F.col("item") != F.col("doc")).alias("changed"))
+    rows = (
+        left.groupBy(*KEYS, "windows", "own", "main")
+        .agg(F.count("*").alias("matched"), F.min_by("at", "q").alias("start"))
+        .filter(F.col("matched") >= F.col("windows") * share)
+        .join(uneven, KEYS, "left_anti").join(sums, KEYS, "left"))
+    chosen = F.max(F.struct(
+        "matched", "own", (-F.col("main")).alias("back"), (-F.col("band")).alias("low"), "start", "windows",
+        F.coalesce("slots", F.lit(0)).alias("slots"), F.coalesce("changed", F.lit(0)).alias("changed")))
+    return rows.groupBy("doc_id", "item_id").agg(chosen.alias("b")).select(
         "doc_id", "item_id", *[F.col(f"b.{c}").cast("long").alias(c) for c in (
             "start", "matched", "windows", "slots", "changed")])
 

@@ -57,39 +57,91 @@ tokens AS (
   SELECT kind, id, regexp_extract_all(t,
     '[\x01\x02]?(?:\p{N}+(?:[.,:/]\p{N}+)*|[\p{L}\p{M}'']+)') AS w FROM marked),
 templates AS (
-  SELECT kind, id, w, list_transform(w, lambda x: CASE
+  SELECT kind, id, w, list_transform(w, lambda x: regexp_matches(x, '^\x01\p{Lu}[\p{Ll}\p{M}'']+$')) AS first,
+    list_transform(w, lambda x: CASE
       WHEN starts_with(x, chr(2)) THEN '<unit>'
       WHEN regexp_matches(x, '^\p{N}') THEN '<num>'
       WHEN regexp_matches(x, '^\p{Lu}[\p{Ll}\p{M}'']+$') THEN '<name>'
-      ELSE ltrim(lower(x), chr(1)) END) AS t FROM tokens),
-windows AS (
-  SELECT kind, id, i, array_to_string(t[i + 1:i + n], chr(31)) AS text, n
-  FROM (SELECT *, unnest(range(0, len(t) - n + 1)) AS i
-        FROM (SELECT kind, id, t, unnest(CASE WHEN kind = 'doc' THEN range(1, 9)
-                ELSE [least(len(t), 8)] END) AS n FROM templates WHERE len(t) > 0))),
-counted AS (SELECT id, count(*) AS windows FROM windows WHERE kind = 'item' GROUP BY id),
-aligned AS (
-  SELECT d.id AS doc_id, b.id AS item_id, d.i - b.i AS start, count(DISTINCT b.i) AS matched
-  FROM windows d JOIN windows b ON d.kind = 'doc' AND b.kind = 'item' AND d.text = b.text AND d.n = b.n
-  GROUP BY ALL),
+      ELSE ltrim(lower(x), chr(1)) END) AS t
+  FROM tokens WHERE len(w) > 0),
+items AS (
+  SELECT id AS item_id, w, t, first, least(len(t), 8) AS size, len(t) - least(len(t), 8) + 1 AS windows,
+         len(t) // 2 + 1 AS step FROM templates WHERE kind = 'item'),
+item_windows AS (
+  SELECT item_id, q, size, array_to_string([CASE WHEN size = 8 AND first[q + k] THEN '<first>' ELSE t[q + k] END
+           FOR k IN range(1, size + 1)], chr(31)) AS text, t[q + 1:q + size] AS words, first[q + 1:q + size] AS first
+  FROM (SELECT *, unnest(range(0, windows)) AS q FROM items)),
+choices AS (
+  SELECT item_id, q, size, array_to_string([CASE WHEN size = 8 AND first[k] AND (mask >> (k - 1)::INT) & 1 = 1
+           THEN '<name>' ELSE words[k] END FOR k IN range(1, size + 1)], chr(31)) AS text
+  FROM (SELECT *, unnest(range(0, CASE WHEN size = 8 AND list_contains(first, true) THEN 256 ELSE 1 END)) AS mask
+        FROM item_windows)),
+wanted AS (SELECT DISTINCT item_id, q, size, text FROM choices),
+doc_windows AS (
+  SELECT id AS doc_id, d, n, array_to_string(CASE WHEN n = 8 THEN named[d + 1:d + n] ELSE t[d + 1:d + n] END, chr(31)) AS text
+  FROM (SELECT id, t, named, n, unnest(range(0, len(t) - n + 1)) AS d
+        FROM (SELECT id, t, [CASE WHEN first[k] THEN '<name>' ELSE t[k] END FOR k IN range(1, len(t) + 1)] AS named,
+                     unnest(range(1, 9)) AS n FROM templates WHERE kind = 'doc'))),
+hits AS (
+  SELECT DISTINCT doc_id, item_id, q, d - q AS pos
+  FROM doc_windows JOIN wanted ON doc_windows.text = wanted.text AND n = size),
+banded AS (
+  SELECT doc_id, item_id, unnest([floor(pos / step)::BIGINT, floor(pos / step)::BIGINT - 1]) AS band, q, pos, size, windows
+  FROM hits JOIN items USING (item_id)),
+held AS (
+  SELECT * FROM banded
+  JOIN (SELECT doc_id, item_id, band FROM banded GROUP BY doc_id, item_id, band, windows HAVING count(DISTINCT q) >= windows * 0.5)
+  USING (doc_id, item_id, band)),
+mains AS (
+  SELECT doc_id, item_id, band, pos AS main, count(*) AS own FROM held GROUP BY doc_id, item_id, band, pos
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, band ORDER BY own DESC, main) = 1),
+places AS (
+  SELECT * FROM held JOIN mains USING (doc_id, item_id, band)
+  QUALIFY row_number() OVER (PARTITION BY doc_id, item_id, band, q ORDER BY abs(pos - main), pos) = 1),
+slot_tokens AS (
+  SELECT item_id, j, ltrim(lower(w[j + 1]), chr(1) || chr(2)) AS item, size = 8 AND first[j + 1] AS opens,
+         CASE WHEN size = 8 AND first[j + 1] THEN '<name>' ELSE t[j + 1] END AS type,
+         list_contains([lower(w[k]) FOR k IN range(1, len(t) + 1) IF t[k] = '<name>'],
+                       ltrim(lower(w[j + 1]), chr(1) || chr(2))) AS named
+  FROM (SELECT *, unnest(range(0, len(t))) AS j FROM items)),
 slots AS (
-  SELECT doc_id, item_id, start, matched, q, b.t[q + 1] AS type,
-         ltrim(lower(b.w[q + 1]), chr(1) || chr(2)) AS own,
-         ltrim(lower(d.w[q + start + 1]), chr(1) || chr(2)) AS other
-  FROM (SELECT a.*, unnest(range(0, len(b.t))) AS q
-        FROM aligned a JOIN counted ON id = item_id AND matched >= windows * 0.5
-        JOIN templates b ON b.kind = 'item' AND b.id = item_id) x
-  JOIN templates b ON b.kind = 'item' AND b.id = item_id
-  JOIN templates d ON d.kind = 'doc' AND d.id = doc_id),
+  SELECT doc_id, item_id, band, j, type, item, opens, named, opens AND other <> item AS turned, other
+  FROM (SELECT p.doc_id, p.item_id, band, j, type, item, opens, named,
+               ltrim(lower(d.w[j + pos + 1]), chr(1) || chr(2)) AS other
+        FROM places p JOIN slot_tokens s ON s.item_id = p.item_id AND j >= q AND j < q + size
+          AND type IN ('<num>', '<unit>', '<name>')
+        JOIN templates d ON d.kind = 'doc' AND d.id = p.doc_id
+        QUALIFY row_number() OVER (PARTITION BY p.doc_id, p.item_id, band, j ORDER BY abs(pos - main), pos) = 1)
+  WHERE NOT opens OR other <> item OR named),
+wrong AS (
+  SELECT DISTINCT s.doc_id, s.item_id, s.band, s.j FROM slots s
+  JOIN (SELECT doc_id, item_id, band, type, item FROM slots GROUP BY ALL HAVING count(DISTINCT other) > 1) x
+  ON s.doc_id = x.doc_id AND s.item_id = x.item_id AND s.band = x.band AND s.type = x.type AND s.item = x.item
+  WHERE s.turned),
+remaining AS (
+  SELECT * FROM places p WHERE NOT EXISTS (
+    SELECT 1 FROM wrong x WHERE x.doc_id = p.doc_id AND x.item_id = p.item_id AND x.band = p.band
+      AND x.j >= p.q AND x.j < p.q + p.size)),
+last_slots AS (
+  SELECT * FROM (
+    SELECT p.doc_id, p.item_id, band, j, type, item, opens, named,
+           ltrim(lower(d.w[j + pos + 1]), chr(1) || chr(2)) AS other
+    FROM remaining p JOIN slot_tokens s ON s.item_id = p.item_id AND j >= q AND j < q + size
+      AND type IN ('<num>', '<unit>', '<name>')
+    JOIN templates d ON d.kind = 'doc' AND d.id = p.doc_id
+    QUALIFY row_number() OVER (PARTITION BY p.doc_id, p.item_id, band, j ORDER BY abs(pos - main), pos) = 1)
+  WHERE NOT opens OR other <> item OR named),
 judged AS (
-  SELECT doc_id, item_id, start, matched,
-         count(*) FILTER (slot) AS slots, count(*) FILTER (slot AND own <> other) AS changed,
-         count(DISTINCT (type, own)) FILTER (slot) = count(DISTINCT (type, own, other)) FILTER (slot) AS agree
-  FROM (SELECT *, type IN ('<num>', '<unit>', '<name>') AND other IS NOT NULL AND q + start >= 0 AS slot FROM slots)
-  GROUP BY ALL)
-SELECT doc_id, item_id, start, matched, windows, slots, changed
-FROM judged JOIN counted ON id = item_id WHERE agree
-QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, start) = 1
+  SELECT doc_id, item_id, band, count(*) AS slots, count(*) FILTER (item <> other) AS changed,
+         count(DISTINCT (type, item)) = count(DISTINCT (type, item, other)) AS agree
+  FROM last_slots GROUP BY ALL),
+standing AS (
+  SELECT doc_id, item_id, band, windows, own, main, count(*) AS matched, arg_min(pos, q) AS start
+  FROM remaining GROUP BY ALL HAVING count(*) >= windows * 0.5)
+SELECT doc_id, item_id, start::BIGINT AS start, matched, windows::BIGINT AS windows,
+       coalesce(slots, 0) AS slots, coalesce(changed, 0) AS changed
+FROM standing LEFT JOIN judged USING (doc_id, item_id, band) WHERE coalesce(agree, true)
+QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, own DESC, main, band) = 1
 """.replace("%s", decontaminate._UNIT)
 
 

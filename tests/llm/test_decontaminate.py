@@ -1,5 +1,9 @@
 """Templates and slots of benchmark items."""
 
+import random
+import time
+
+import regex
 from pyspark.sql import functions as F
 
 from chartloom.llm import decontaminate
@@ -120,3 +124,103 @@ def test_first_words_that_are_no_names(spark):
     docs = [(1, item.replace("night. The", "night. Those")), (2, item)]
     got = found(spark, docs, [(1, item)])
     assert set(got) == {(1, 1), (2, 1)} and got[2, 1].slots == 0
+
+
+def brute(docs, items, share=0.5):
+    """The rule by loops over all places; windows are compared token by token."""
+    units = "|".join(sorted(decontaminate.UNITS, key=lambda u: (-len(u), u)))
+
+    def tokens(text):
+        text = regex.sub(rf"(\p{{N}})[\x20\x09-\x0D]*((?i:{units}))\b", "\\1 \x02\\2", text or "")
+        text = regex.sub(r"(^|[.!?:][\"')\]]*[\x20\x09-\x0D]+)(\p{Lu})", "\\1\x01\\2", text)
+        out = []
+        for t in regex.findall(r"[\x01\x02]?(?:\p{N}+(?:[.,:/]\p{N}+)*|[\p{L}\p{M}']+)", text):
+            cap = regex.match(r"\x01?\p{Lu}[\p{Ll}\p{M}']+$", t)
+            kind = ("<unit>" if t[0] == "\x02" else "<num>" if regex.match(r"\p{N}", t) else
+                    "<name>" if cap and t[0] != "\x01" else None)
+            out.append((kind, t.lower().lstrip("\x01\x02"), bool(cap) and t[0] == "\x01"))
+        return out
+
+    def same(own, other, full):
+        kind = other[0] or ("<name>" if full and other[2] else other[1])
+        return kind == (own[0] or own[1]) or full and own[2] and kind == "<name>"
+
+    best = {}
+    for d, text in docs:
+        doc = tokens(text)
+        for i, body in items:
+            item = tokens(body)
+            if d is None or not item:
+                continue
+            size = min(len(item), 8)
+            windows, step = len(item) - size + 1, len(item) // 2 + 1
+            hits = [(q, p - q) for q in range(windows) for p in range(len(doc) - size + 1)
+                    if all(same(item[q + k], doc[p + k], size == 8) for k in range(size))]
+            names = {t[1] for t in item if t[0] == "<name>"}
+            for band in {b for _, a in hits for b in (a // step, a // step - 1)}:
+                own = [(q, a) for q, a in hits if band in (a // step, a // step - 1)]
+                if len({q for q, _ in own}) < windows * share:
+                    continue
+                number = {a: sum(x == a for _, x in own) for _, a in own}
+                main = min(number, key=lambda a: (-number[a], a))
+                places = {q: min((a for x, a in own if x == q), key=lambda a: (abs(a - main), a)) for q, _ in own}
+
+                def slots(places):
+                    out = []
+                    for j, (kind, value, first) in enumerate(item):
+                        over = [a for q, a in places.items() if q <= j < q + size]
+                        opens = first and size == 8
+                        if not over or not (kind or opens):
+                            continue
+                        at = min(over, key=lambda a: (abs(a - main), a))
+                        other = doc[j + at][1]
+                        if not opens or other != value or value in names:
+                            out.append((j, "<name>" if opens else kind, value, other, opens and other != value))
+                    return out
+
+                def uneven(found):
+                    values = {}
+                    for _, kind, value, other, _ in found:
+                        values.setdefault((kind, value), set()).add(other)
+                    return {k for k, v in values.items() if len(v) > 1}
+
+                found = slots(places)
+                wrong = [s[0] for s in found if s[4] and s[1:3] in uneven(found)]
+                places = {q: a for q, a in places.items() if not any(q <= j < q + size for j in wrong)}
+                found = slots(places)
+                if len(places) < windows * share or uneven(found):
+                    continue
+                row = (len(places), number[main], -main, -band, places[min(places)], windows, len(found),
+                       sum(s[2] != s[3] for s in found))
+                best[d, i] = max(best.get((d, i), row), row)
+    return {k: (v[4], v[0], *v[5:]) for k, v in best.items()}
+
+
+def test_against_brute_force(spark):
+    rng = random.Random(11)
+    items = [(1, ITEMS[0][1]), (2, LONG), (3, MARIA), (4, FIRST_ONLY), (5, "Short item here"),
+             (6, " ".join(str(n % 7) for n in range(20))), (7, "Eight words make one window of this item.")]
+    docs = []
+    for n in range(60):
+        text = rng.choice(items)[1]
+        for _ in range(rng.randint(0, 4)):
+            words = text.split()
+            at = rng.randrange(len(words))
+            words[at:at + rng.randint(0, 1)] = rng.choice([["really"], ["And."], ["Bob"], ["17"], []])
+            text = " ".join(words)
+        for old, new in rng.sample([("Alice", "Berta"), ("12", "9"), ("Maria", "Elena"), ("Tom", "Bob"), ("kg", "lb")], 2):
+            text = text.replace(old, new)
+        docs.append((n, rng.choice(["", "Before it. ", "some words and "]) + text + rng.choice(["", " After. " + text])))
+    got = {k: (r.start, r.matched, r.windows, r.slots, r.changed) for k, r in found(spark, docs, items).items()}
+    want = brute(docs, items)
+    assert got == want and len(want) > 20
+
+
+def test_lists_of_numbers(spark):
+    """All windows are alike: no place is compared with all others."""
+    numbers = " ".join(str(n * 37 % 1000) for n in range(20_000))
+    item = " ".join(str(n * 37 % 1000) for n in range(500, 600))
+    start = time.monotonic()
+    got = found(spark, [(1, numbers), (2, " ".join(["5"] * 3_000))], [(1, item)])
+    assert got[1, 1].matched == got[1, 1].windows == 93
+    assert time.monotonic() - start < 120
