@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chartloom.config import QualityFloors
 from chartloom.functions.jsonval import to_json
 from chartloom.operators import settle
+from chartloom.operators.evidence import contradicted
 from chartloom.functions.scores import grade, recommendation, reject_reasons, weighted_quality
 
 
@@ -157,8 +158,9 @@ def validate_entities(df: DataFrame, text: str = "text", entity: str = "entity")
     return settle(judged, "validation")
 
 
-def coherence(df: DataFrame, entity: str = "entity") -> DataFrame:
-    """Logical consistency of the entities by rule.
+def coherence(df: DataFrame, entity: str = "entity", text: str | None = None) -> DataFrame:
+    """Logical consistency of the entities by rule, and with their source ``text`` if it is named:
+    findings that it negates throughout are a contradiction.
 
     Adds ``contradictions``, ``diagnosis_symptom_alignment``, ``coherence_score``
     and ``risk_level``.
@@ -168,10 +170,12 @@ def coherence(df: DataFrame, entity: str = "entity") -> DataFrame:
     untold_dose = F.exists(
         e["medications"], lambda m: F.coalesce(m["dosage"], F.lit("")) == ""
     )
+    denied = F.lit(False) if text is None else F.size(contradicted(F.col(text), e)) > 0
     contradictions = F.array_compact(
         F.array(
             F.when((F.size(e["medications"]) > 0) & no_diagnosis, F.lit("medication_without_diagnosis")),
             F.when((F.size(e["procedures"]) > 0) & no_diagnosis, F.lit("procedure_without_diagnosis")),
+            F.when(denied, F.lit("negated_finding")),
         )
     )
     alignment = (
