@@ -2,14 +2,20 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import time
+import uuid
+from collections.abc import Callable, Sequence
+from typing import TypeVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from chartloom.config import HIGH_SOAP_QUALITY
 from chartloom.operators import unnest
 
+T = TypeVar("T")
+
 
 def extraction_stats(df: DataFrame, entities: str = "entities") -> DataFrame:
     """Documents per (has_error, confidence)."""
@@ -126,6 +132,29 @@ def run_metrics(df: DataFrame, stage: str, metrics: dict[str, Column], start: Co
     )
 
 
+def observed(df: DataFrame, stage: str, run: Callable[[DataFrame], T], **counts: Column) -> tuple[T, list[tuple]]:
+    """Run an action and measure it in the same pass: its result and ``(stage, metric, value)``.
+
+    ``run`` takes the frame and does all the work (a write, say); ``counts`` are aggregates that are
+    gathered while it does, next to the number of rows and the seconds it took.
+    """
+    watcher = Observation(f"{stage}-{uuid.uuid4().hex}")
+    started = time.monotonic()
+    done = run(df.observe(watcher, F.count(F.lit(1)).alias("rows"), *[c.alias(n) for n, c in counts.items()]))
+    seconds = time.monotonic() - started
+    values = {**watcher.get, "seconds": seconds}
+    return done, [(stage, name, None if v is None else float(v)) for name, v in values.items()]
+
+
+def progress_metrics(query: StreamingQuery, stage: str) -> list[tuple]:
+    """``(stage, metric, value)`` of a streaming run, from its own progress reports."""
+    reports = query.recentProgress
+    milliseconds = sum(r["durationMs"].get("triggerExecution", 0) for r in reports)
+    return [(stage, "rows", float(sum(r["numInputRows"] for r in reports))),
+            (stage, "batches", float(sum(r["numInputRows"] > 0 for r in reports))),
+            (stage, "seconds", milliseconds / 1000)]
+
+
 def stage_summary(metrics: DataFrame) -> DataFrame:
     """Run metrics per stage and metric."""
     return metrics.groupBy("stage", "metric").agg(

@@ -224,9 +224,9 @@ def notes_by_page(spark, sf):
 
 
 def rows_in_order(spark, sf):
-    """The first rows of all pages by path, page and element."""
+    """All rows of all pages, sorted by path, page and element."""
     rows = pg.tree_rows(paged_documents(spark, sf))
-    return pg.in_order(rows, "id").limit(200).select(
+    return pg.in_order(rows, "id").select(
         "path", F.col("page_id").cast("bigint").alias("page_id"),
         F.col("id").cast("bigint").alias("id"), "type")
 
@@ -422,7 +422,7 @@ FROM lines GROUP BY doc_id, n // 10""",
 WITH {LINES}
 SELECT 'doc/' || doc_id AS path, n // 10 + 1 AS page_id,
   row_number() OVER (PARTITION BY doc_id ORDER BY n) - 1 AS id, type
-FROM lines ORDER BY 'doc/' || doc_id, n // 10, n LIMIT 200""",
+FROM lines ORDER BY 'doc/' || doc_id, n // 10, n""",
     "rows_in_full_order": f"""
 WITH {LINES}
 SELECT 'doc/' || doc_id AS path, n // 10 + 1 AS page_id,

@@ -2,7 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Iterator
+from urllib.parse import unquote, urlsplit
+
+import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from chartloom.config import StreamSettings
@@ -14,7 +21,7 @@ def scan_documents(
 ) -> DataFrame:
     """Files under a folder: ``path, modificationTime, length, content``.
 
-    The content is only read when a later step uses it.
+    The content is only read when a later step uses it.  Files without a byte are passed over.
     """
     return (
         spark.read.format("binaryFile")
@@ -55,3 +62,27 @@ def stream_table(
         reader = reader.option("pathGlobFilter", glob)
     # as a pattern, for a stream's plain path must be a folder
     return reader.load(f"{path[:-1]}[{path[-1]}]")
+
+
+def write_files(df: DataFrame, folder: str, name: str, content: str) -> int:
+    """Lay out rows as files in a folder that all executors share; how many were written.
+
+    A file appears under its name when it is whole, so a task may run again.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        if "://" in folder:
+            fs, place = pafs.FileSystem.from_uri(folder)
+        else:
+            parts = urlsplit(folder)
+            fs, place = pafs.LocalFileSystem(), unquote(parts.path) if parts.scheme == "file" else folder
+        fs.create_dir(place, recursive=True)
+        for batch in batches:
+            for own, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                attempt = f"{place}/.{own}.{uuid.uuid4().hex}"
+                with fs.open_output_stream(attempt, compression=None) as out:
+                    out.write(raw or b"")
+                fs.move(attempt, f"{place}/{own}")
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    rows = df.select(F.col(name).cast("string"), F.col(content).cast("binary"))
+    return rows.mapInArrow(run, "n long").agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]

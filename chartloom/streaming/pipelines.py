@@ -30,6 +30,17 @@ def ingest(
     return run_stream(parse_documents(files, parser), checkpoint, path=bronze, settings=settings)
 
 
+def first_arrivals(
+    rows: DataFrame, key: str = "document_id", ts: str = "arrived", delay: str = "1 day"
+) -> DataFrame:
+    """Rows of a stream whose key did not come before, within the delay.
+
+    Keys are kept as state until the watermark has passed them, whichever micro-batch they came
+    in, so nothing is joined with the target and state does not grow with it.
+    """
+    return rows.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+
+
 def refine(
     spark: SparkSession,
     bronze: str,
