@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -94,6 +95,15 @@ def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.Record
         start = stop
 
 
+def release_memory() -> None:
+    """Give back what a finished task has freed: workers live on and serve later stages."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):
+        return  # only some C libraries keep freed memory, and can be told to return it
+
+
 def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Of a string column: its different words between ASCII white space, the number of each word
     in order, and where each row's words end."""
@@ -129,6 +139,8 @@ def arrow_pass(
                     arrays = [c if isinstance(c, pa.Array) else pa.array(c, t.type)
                               for c, t in zip(columns, types)]
                     yield pa.RecordBatch.from_arrays(arrays, schema=types)
+        del work
+        release_memory()
 
     small_batches(df.sparkSession)
     return df.mapInArrow(run, schema)

@@ -14,11 +14,12 @@ rows; a task passes a phrase on once for some millions of counts.
 
 Rows and cases: null texts are empty, null languages are ``und``, empty ones a language of
 their own; rows count each, ids and other columns play no part; texts of any length are read in
-runs of ``RUN`` words; an empty table gives no rows.  Counts may reach 10^13.
+runs of ``RUN_BYTES`` and counted in runs of ``RUN`` words; an empty table gives no rows.  Counts may reach 10^13.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,23 +30,40 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chartloom.llm.bitmaps import Bitmap, bitmap
-from chartloom.llm.common import materialise, mixed, slices, small_batches, text_bytes
+from chartloom.llm.common import (
+    materialise, mixed, numbered_words, release_memory, slices, small_batches, text_bytes)
 
 LEAST, LONGEST, TOP, CONTAINED = 10, 3, 2000, 50
 #: Text of the sample.
 SAMPLE_BYTES = 32_000_000
-#: Different words and counts that a task holds, words that it counts at once.
-WORDS, COUNTS, RUN = 500_000, 4_000_000, 500_000
+#: Different words and counts that a task holds, words that it counts at once, and bytes of text
+#: that it numbers at once.
+WORDS, COUNTS, RUN, RUN_BYTES = 300_000, 1_200_000, 300_000, 4_000_000
 PLACE = 21  # bits of a word's number
-#: A-Z in lower case, a tab as a blank, and one byte that no UTF-8 text has for all ends of pieces.
-BREAK = b"\xff"
-PIECE_BYTES = bytes(
-    255 if b in b".,;:!?\x0a\x0b\x0c\x0d" else b + 32 if 65 <= b <= 90 else b for b in range(256))
+#: A-Z in lower case, a blank for each end of a piece.
+MARKS = b".,;:!?\x0a\x0b\x0c\x0d"
+PIECE_BYTES = bytes(32 if b in MARKS else b + 32 if 65 <= b <= 90 else b for b in range(256))
+ENDS = np.array([b in MARKS for b in range(256)])
+BETWEEN = re.compile(rb"[ \t.,;:!?\x0a-\x0d]")
 
 
-def tokens_of(text: str | None) -> list[bytes]:
-    """Words, with ``BREAK`` between pieces."""
-    return text_bytes(text).translate(PIECE_BYTES).replace(BREAK, b" \xff ").split()
+def pieces_of(raw: bytes) -> pa.Array:
+    """The pieces of a text, in lower case."""
+    cuts = np.flatnonzero(ENDS[np.frombuffer(raw, np.uint8)])
+    offsets = np.concatenate([[0], cuts, [len(raw)]]).astype(np.int32)
+    lowered = pa.py_buffer(raw.translate(PIECE_BYTES))
+    return pa.StringArray.from_buffers(len(offsets) - 1, pa.py_buffer(offsets), lowered)
+
+
+def cut(raw: bytes, most: int) -> Iterator[bytes]:
+    """Runs of about ``most`` bytes that end between words."""
+    at = 0
+    while len(raw) - at > most:
+        found = BETWEEN.search(raw, at + most)
+        stop = found.start() if found else len(raw)
+        yield raw[at:stop]
+        at = stop
+    yield raw[at:]
 
 
 def language_seed(lang: str) -> int:
@@ -78,7 +96,7 @@ class Tally:
         self.clear()
 
     def clear(self) -> None:
-        self.numbers = {BREAK: 0}
+        self.numbers = {b"": 0}  # 0 stands between pieces
         self.hashes = np.zeros(1, np.uint64)
         self.within, self.before = np.zeros(1, bool), np.zeros(1, bool)
         self.held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {k: [] for k in self.sizes}
@@ -87,7 +105,7 @@ class Tally:
     def full(self) -> bool:
         if self.size > COUNTS:
             self.compact()
-        return self.size > COUNTS // 2 or len(self.numbers) > WORDS
+        return self.size > COUNTS * 2 // 3 or len(self.numbers) > WORDS
 
     def compact(self) -> None:
         self.size = 0
@@ -114,11 +132,16 @@ class Tally:
         self.held[size].append((keys, counts))
         self.size += len(keys)
 
-    def add(self, tokens: list[bytes], more: int) -> None:
-        """Count the phrases that begin in ``tokens``, of which the last ``more`` only follow."""
-        numbers = self.numbers
-        word = np.fromiter((numbers.setdefault(t, len(numbers)) for t in tokens), np.uint64, len(tokens))
+    def number(self, raw: bytes) -> np.ndarray:
+        """Numbers of a text's words, 0 between pieces."""
+        words, numbers, ends = numbered_words(pieces_of(raw))
+        held = self.numbers
+        known = np.fromiter((held.setdefault(w, len(held)) for w in words), np.uint64, len(words))
         self._learn()
+        return np.insert(known[numbers], ends[:-1], np.uint64(0))
+
+    def add(self, word: np.ndarray, more: int) -> None:
+        """Count the phrases that begin in ``word``, of which the last ``more`` only follow."""
         own = len(word) - more
         is_word = word > 0
         if 1 in self.sizes:
@@ -146,6 +169,16 @@ class Tally:
         at = np.flatnonzero((proposed[:-1] & proposed[1:] & ~(settled[:-1] & settled[1:]))[:own])
         self._put(3, pair[at] | word[at + 2] << np.uint64(2 * PLACE))
 
+    def named(self, word: np.ndarray) -> list[bytes]:
+        words = list(self.numbers) if len(word) else []
+        return [words[int(w)] for w in word]
+
+    def renumbered(self, words: list[bytes]) -> np.ndarray:
+        held = self.numbers
+        out = np.array([held.setdefault(w, len(held)) for w in words], np.uint64)
+        self._learn()
+        return out
+
     def rows(self) -> Iterator[pa.RecordBatch]:
         """(lang, phrase, f) of all that is held; the words' total goes by an empty phrase."""
         self.compact()
@@ -154,18 +187,23 @@ class Tally:
         mask = np.uint64((1 << PLACE) - 1)
         for size, parts in self.held.items():
             for keys, counts in parts:
-                parts_of = [words.take(pa.array((keys >> np.uint64(PLACE * k) & mask).astype(np.int64) - 1))
-                            for k in range(size)]
-                phrase = parts_of[0] if size == 1 else pc.binary_join_element_wise(*parts_of, " ")
-                columns.append((phrase, counts))
-        if self.total:
-            columns.append((pa.array([""]), np.array([self.total])))
+                columns += [(size, keys[i:i + 100_000], counts[i:i + 100_000])
+                            for i in range(0, len(keys), 100_000)]
+        total = self.total
         self.total = 0
         self.clear()
-        for phrase, counts in columns:
-            table = pa.table({"lang": pa.array([self.lang]).take(pa.array(np.zeros(len(phrase), np.int64))),
-                              "phrase": phrase, "f": pa.array(counts, pa.int64())})
-            yield from table.to_batches(max_chunksize=100_000)
+
+        def batch(phrase: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+            lang = pa.array([self.lang]).take(pa.array(np.zeros(len(phrase), np.int64)))
+            return pa.RecordBatch.from_arrays(
+                [lang, phrase, pa.array(counts, pa.int64())], ["lang", "phrase", "f"])
+
+        for size, keys, counts in columns:
+            own = [words.take(pa.array((keys >> np.uint64(PLACE * k) & mask).astype(np.int64) - 1))
+                   for k in range(size)]
+            yield batch(own[0] if size == 1 else pc.binary_join_element_wise(*own, " "), counts)
+        if total:
+            yield batch(pa.array([""]), np.array([total]))
 
 
 def _counted(docs: DataFrame, new, old, sizes: tuple[int, ...]) -> DataFrame:
@@ -174,28 +212,43 @@ def _counted(docs: DataFrame, new, old, sizes: tuple[int, ...]) -> DataFrame:
         tallies: dict[str, Tally] = {}
         most = max(sizes) - 1
 
-        def counted(lang: str, tokens: list[bytes]) -> Iterator[pa.RecordBatch]:
-            if lang not in tallies:
-                tallies[lang] = Tally(lang, new and new.value, old and old.value, sizes)
-            for at in range(0, len(tokens), RUN):
-                part = tokens[at:at + RUN + most]
-                tallies[lang].add(part, max(0, len(part) - RUN))
-                if tallies[lang].full():
-                    yield from tallies[lang].rows()
-            if len(tallies) > 1 and sum(t.size + len(t.numbers) for t in tallies.values()) > COUNTS:
-                for tally in tallies.values():
+        def flushed(tally: Tally) -> Iterator[pa.RecordBatch]:
+            if tally.full():
+                yield from tally.rows()
+
+        def counted(tally: Tally, raw: bytes) -> Iterator[pa.RecordBatch]:
+            last = np.empty(0, np.uint64)
+            for part in cut(raw, RUN_BYTES):
+                # a flush numbers words anew, so words that reach into the next part go with it
+                word = np.concatenate([last, tally.number(part)])
+                stop = max(0, len(word) - most)
+                for at in range(0, stop, RUN):
+                    tally.add(word[at:min(at + RUN, stop) + most], most)
+                last = word[stop:]
+                if tally.full():
+                    kept = tally.named(last)
                     yield from tally.rows()
-                tallies.clear()
+                    last = tally.renumbered(kept)
+            tally.add(last, 0)
+            yield from flushed(tally)
 
         for batch in batches:
             for part in slices(batch):
                 by_lang: dict[str, list[bytes]] = {}
                 for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist()):
-                    by_lang.setdefault(lang, []).extend([*tokens_of(text), BREAK])
-                for lang, tokens in by_lang.items():
-                    yield from counted(lang, tokens)
+                    by_lang.setdefault(lang, []).append(text_bytes(text))
+                for lang, texts in by_lang.items():
+                    if lang not in tallies:
+                        tallies[lang] = Tally(lang, new and new.value, old and old.value, sizes)
+                    yield from counted(tallies[lang], b"\n".join(texts) + b"\n")
+                if len(tallies) > 1 and sum(t.size + len(t.numbers) for t in tallies.values()) > COUNTS:
+                    for tally in tallies.values():
+                        yield from tally.rows()
+                    tallies.clear()
         for tally in tallies.values():
             yield from tally.rows()
+        tallies.clear()
+        release_memory()
 
     small_batches(docs.sparkSession)
     counts = docs.select("lang", "text").mapInArrow(run, "lang string, phrase string, f long")

@@ -40,7 +40,7 @@ from chartloom.llm.warc import file_system
 #: Ids per file and bytes of text per task; a single document may exceed either.
 FILE_TOKENS, PART_BYTES = 4_000_000, 32_000_000
 #: Remembered words and pieces of words, and the bytes of each, per Python worker.
-WORDS, PIECES, HELD_BYTES = 800_000, 1_200_000, 24_000_000
+WORDS, PIECES, HELD_BYTES = 300_000, 1_000_000, 24_000_000
 ASCII_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LARGEST_VOCABULARY = 64_000_000
 MAGIC, HEAD, RANKED = b"DAC1", struct.Struct("<4sIQQ"), 512

@@ -58,22 +58,45 @@ def test_collocations(spark, options):
 
 
 def test_small_runs_and_flushes(spark, monkeypatch):
-    """In one process: what a task does when it holds little."""
+    """In one process: what a task does when it holds little and reads a few bytes at once."""
+    import pyarrow as pa
     monkeypatch.setattr(phrases, "RUN", 7)
+    monkeypatch.setattr(phrases, "RUN_BYTES", 9)
     monkeypatch.setattr(phrases, "WORDS", 15)
+    held = {}
+    monkeypatch.setattr(phrases, "small_batches", lambda spark: None)
+
+    class Docs:
+        sparkSession = None
+
+        def select(self, *columns):
+            return self
+
+        def mapInArrow(self, run, schema):
+            held["run"] = run
+            return self
+
+        def groupBy(self, *columns):
+            return self
+
+        def agg(self, *columns):
+            return self
+
+    phrases._counted(Docs(), None, None, (1, 2, 3))
+    text = "a b c. A b c d e f g h i j k l m n o, p q r s t u v w x y z a b c"
+    rows = [(0, "en", text), (1, "de", None), (2, "en", ""), (3, "de", text * 3), (4, "en", "longer than nine bytes")]
+    batch = pa.RecordBatch.from_pydict({"lang": [r[1] for r in rows], "text": [r[2] for r in rows]})
     counts = Counter()
-    tally = phrases.Tally("en", None, None, (1, 2, 3))
-    tokens = phrases.tokens_of("a b c. A b c d e f g h i j k l m n o, p q r s t u v w x y z a b c")
-    for at in range(0, len(tokens), phrases.RUN):
-        part = tokens[at:at + phrases.RUN + 2]
-        tally.add(part, max(0, len(part) - phrases.RUN))
-        if tally.full():
-            for batch in tally.rows():
-                counts.update({r["phrase"]: r["f"] for r in batch.to_pylist()})
-    for batch in tally.rows():
-        counts.update({r["phrase"]: r["f"] for r in batch.to_pylist()})
-    assert counts["a b c"] == 3 and counts["b c"] == 3 and counts["c d"] == 1
-    assert counts["c a"] == counts["o p"] == 0 and counts[""] == 32 and counts["x y z"] == 1
+    for out in held["run"](iter([batch, batch])):
+        for r in out.to_pylist():
+            counts[r["lang"], r["phrase"]] += r["f"]
+    want = Counter()
+    for _, lang, t in rows * 2:
+        for piece in re.split("[.,;:!?\x0a-\x0d]", lowered(t)):
+            w = re.findall("[^\x20\x09]+", piece)
+            want[lang, ""] += len(w)
+            want.update((lang, " ".join(w[i:i + k])) for k in (1, 2, 3) for i in range(len(w) - k + 1))
+    assert +counts == +want
 
 
 def test_expansion(spark):
