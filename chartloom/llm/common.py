@@ -75,7 +75,8 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
 
 def small_batches(spark: SparkSession) -> None:
     """Have Spark send texts to Python in batches of a few MB, unless the session has chosen
-    a size of its own.  The usual 64 MB are held several times over, by both sides."""
+    a size of its own.  The usual 64 MB are held several times over, by both sides.  Spark reads
+    the setting when a plan runs, so it stays set for the session."""
     if spark.conf.get(BATCH_SETTING) == USUAL_BATCH:
         spark.conf.set(BATCH_SETTING, str(2 * BATCH_BYTES))
 
