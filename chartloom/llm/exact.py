@@ -100,6 +100,14 @@ def exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return by_map.select(*columns).unionByName(by_shuffle.select(*columns))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """A column name that no column of ``df`` has, in any case."""
+    taken = {c.lower() for c in df.columns}
+    while name in taken:
+        name = f"_{name}"
+    return name
+
+
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                       share: float = SHARE) -> DataFrame:
     """The rows of ``docs`` that stay, with all their columns."""
@@ -109,14 +117,14 @@ def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if repeated.isEmpty() and gone.filter("doc_id IS NULL").isEmpty():
         return rows_without(docs, gone.select(F.col("doc_id").alias(id_col)), id_col)
     # ids that are null or repeated: rows are told apart by id and text, equal ones by nothing
-    stays = decided.filter("kept").select(
-        F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
-    ours = docs.withColumn("_d", text_digest(F.col(text_col)))
-    same = (F.col("_d") == F.col("_digest")) & F.col(id_col).eqNullSafe(F.col("_keep"))
+    keep, digest, own = (free_name(docs, n) for n in ("keep", "digest", "own"))
+    stays = decided.filter("kept").select(F.col("doc_id").alias(keep), F.col("digest").alias(digest))
+    ours = docs.withColumn(own, text_digest(F.col(text_col)))
+    same = (F.col(own) == F.col(digest)) & F.col(id_col).eqNullSafe(F.col(keep))
     left = ours.join(stays, same, "left_semi")
     twice = materialise(
-        decided.groupBy(F.col("doc_id").alias("_keep"), F.col("digest").alias("_digest"))
-        .count().filter("count > 1").select("_keep", "_digest"), "repeated")
+        decided.groupBy(F.col("doc_id").alias(keep), F.col("digest").alias(digest))
+        .count().filter("count > 1").select(keep, digest), "repeated")
     once = left.join(twice, same, "left_anti")
-    again = left.join(twice, same, "left_semi").dropDuplicates(["_d"])
-    return once.unionByName(again).drop("_d")
+    again = left.join(twice, same, "left_semi").dropDuplicates([own])
+    return once.unionByName(again).drop(own)

@@ -39,6 +39,17 @@ def test_exact_repeated_and_null_ids(spark):
     assert left.columns == table(spark, rows).columns
 
 
+@pytest.mark.parametrize("names", [("_d", "_digest", "_keep"), ("own", "Digest", "keep"), ("_own", "own", "__digest")])
+def test_exact_drop_beside_any_columns(spark, names):
+    rows = [(1, "a"), (1, "a"), (2, "b"), (None, "b"), (3, "b")]
+    docs = spark.createDataFrame(
+        [(*r, f"x{i}", "y", "z") for i, r in enumerate(rows)], ["doc_id", "text", *names])
+    left = exact.drop_exact_copies(docs)
+    assert left.columns == docs.columns
+    kept = sorted((r.doc_id, r.text, r[names[0]][0], r[names[1]], r[names[2]]) for r in left.collect())
+    assert kept == [(1, "a", "x", "y", "z"), (3, "b", "x", "y", "z")]
+
+
 def test_exact_drop(spark):
     rows = list(enumerate(odd_texts()))
     left = exact.drop_exact_copies(table(spark, rows)).collect()
