@@ -289,13 +289,14 @@ def extraction_failed(entities: Column) -> Column:
 
 def set_failures_apart(df: DataFrame, entities: str = "entities") -> DataFrame:
     """Failed extractions get the status ``error``: nothing to ask, nothing complete."""
-    failed = extraction_failed(F.col(entities))
+    staged = settle(df.withColumn("_failed", extraction_failed(F.col(entities))), "_failed")
+    failed = F.col("_failed")
 
     def instead(column: str, value: Column) -> Column:
         return F.when(failed, value.cast(df.schema[column].dataType)).otherwise(F.col(column))
 
     none = F.array()
-    apart = df.withColumns({
+    apart = staged.withColumns({
         "ambiguities": instead("ambiguities", none), "questions": instead("questions", none),
         "critical_fields_missing": instead("critical_fields_missing", F.lit(0)),
         "confidence_score": instead("confidence_score", F.lit(0.0)),
@@ -303,7 +304,7 @@ def set_failures_apart(df: DataFrame, entities: str = "entities") -> DataFrame:
         "requires_review": instead("requires_review", F.lit(False)),
         "status": instead("status", F.lit(FAILED)),
     })
-    return settle(apart, "status")
+    return settle(apart.drop("_failed"), "status")
 
 
 def route(df: DataFrame, enable_human_review: bool = True) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -144,6 +146,13 @@ def split_soap(df: DataFrame, note: str = "soap_note", output: str = "sections")
     )
 
 
+def soap_quality(sections: Column) -> Column:
+    """Share of a note's four sections that say something."""
+    said = [F.when(F.coalesce(F.trim(sections[n]), F.lit("")) != "", 1).otherwise(0)
+            for n in ("subjective", "objective", "assessment", "plan")]
+    return reduce(Column.__add__, said) / F.lit(len(said))
+
+
 def sections_document(sections: Column) -> Column:
     """Sections as JSON with only the names that are present."""
     return F.to_json(sections)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from chartloom.operators import measures
 from chartloom.operators import review as rv
 from chartloom.operators import soap, unnest
+from chartloom.operators import validate as va
 from chartloom.plans import gold
 from chartloom.queries.entities import LEAVES
 from chartloom.queries.inputs import ENC, encounters, table
@@ -189,8 +190,8 @@ def rendered_notes(spark, sf):
     )
 
 
-def note_sections(spark, sf):
-    """Notes with a preamble, repeated sections, empty ones and text behind markers."""
+def _odd_notes(spark, sf):
+    """Notes with a preamble, repeated sections, empty ones and text behind markers, in sections."""
     k = F.col("k")
     note = F.concat(
         F.when(k % 3 == 0, "Preamble\n").otherwise(""),
@@ -200,14 +201,29 @@ def note_sections(spark, sf):
         F.lit("\n**PLAN**\nrest\n"),
         F.when(k % 5 == 0, "**PLAN**").when(k % 5 == 1, "**PLAN**\n\nlast  ").otherwise(""),
     )
-    split = soap.split_soap(encounters(spark, sf).select("document_id", note.alias("soap_note")))
-    return split.select(
+    return soap.split_soap(encounters(spark, sf).select("document_id", note.alias("soap_note")))
+
+
+def note_sections(spark, sf):
+    return _odd_notes(spark, sf).select(
         "document_id",
         "sections.*",
         soap.sections_document(F.col("sections")).alias("document"),
     )
 
 
+def soap_quality_gate(spark, sf):
+    """Notes under the floor of the note stage, written ones and odd ones."""
+    written = soap.split_soap(encounters(spark, sf).select(
+        "document_id", soap.render_soap(F.col("entity"), F.lit(0)).alias("soap_note")))
+    kinds = (("written", written), ("odd", _odd_notes(spark, sf)))
+    notes = rv.union_all(*[df.select(
+        F.lit(kind).alias("kind"), "document_id", soap.soap_quality(F.col("sections")).alias("score"))
+        for kind, df in kinds])
+    gated = va.threshold_gate(notes, {"soap_quality": "score"})
+    return gated.select("kind", "document_id", "score", F.array_join("reject_reasons", ";").alias("reasons"))
+
+
 def auto_summaries(spark, sf):
     decided = _assessed(spark, sf)
     return _summary_columns(gold.auto_summaries(decided, _now()))
@@ -270,7 +286,7 @@ QUERIES: dict[str, Callable] = {
     for fn in (
         ambiguity_rules, ambiguity_scores, top_questions, top_ambiguities, routes, review_queue,
         feedback_changes, feedback_metrics, validated_entities, unknown_documents, unprocessed,
-        latest_status, queue_status, rendered_notes, note_sections, auto_summaries,
+        latest_status, queue_status, rendered_notes, note_sections, soap_quality_gate, auto_summaries,
         all_summaries, visit_notes, failed_routes,
     )
 }
@@ -512,6 +528,12 @@ SELECT document_id, subjective, objective, NULL AS assessment, plan,
   '{{"subjective":"' || subjective || '"' || coalesce(',"objective":"' || objective || '"', '')
   || ',"plan":"' || plan || '"}}' AS document
 FROM s""",
+    "soap_quality_gate": f"""
+WITH {ENC}, s AS (
+  SELECT 'odd' AS kind, document_id, (CASE WHEN trim(coalesce(e.chief_complaint, '')) <> '' THEN 1 ELSE 0 END
+    + CASE WHEN k % 4 < 2 THEN 1 ELSE 0 END + 1) / 4.0::DOUBLE AS score FROM enc
+  UNION ALL SELECT 'written', document_id, 1 FROM enc)
+SELECT kind, document_id, score, CASE WHEN score < 0.8 THEN 'soap_quality' ELSE '' END AS reasons FROM s""",
     "auto_summaries": f"""
 {BASE}, n AS (SELECT *, {_note("e", "'0'")} AS note FROM routed WHERE NOT review)
 SELECT document_id, mrn, md5(note) AS note_md5,
