@@ -53,9 +53,8 @@ def compact(doc: Column) -> Column:
 
 def quoted(value: Column) -> Column:
     """A text as a JSON string; null as null."""
-    listed = F.to_json(F.array(value))
-    return F.when(value.isNull(), "null").otherwise(
-        F.substring(listed, F.lit(2), F.length(listed) - 2))
+    return F.when(value.isNull(), "null").otherwise(let(
+        F.to_json(F.array(value)), lambda listed: F.substring(listed, F.lit(2), F.length(listed) - 2)))
 
 
 def unquoted(value: Column) -> Column:
@@ -74,8 +73,8 @@ def _members(node: Column) -> Column:
 
 def _key(member: Column) -> Column:
     """A member's key as compared with a step: quoted, its escapes resolved."""
-    raw = F.regexp_extract(member, _KEY, 1)
-    return F.when(raw.contains("\\"), quoted(unquoted(raw))).otherwise(raw)
+    return let(F.regexp_extract(member, _KEY, 1), lambda raw: F.when(
+        raw.contains("\\"), quoted(unquoted(raw))).otherwise(raw))
 
 
 def _state(head: Column, node: Column, tail: Column, fits: Column) -> Column:
@@ -84,33 +83,38 @@ def _state(head: Column, node: Column, tail: Column, fits: Column) -> Column:
 
 def _open(held: Column, members: Column, at: Column) -> Column:
     """The state inside member ``at`` (from 1) of the node."""
-    member = F.get(members, at - 1)
-    before = F.array_join(F.slice(members, F.lit(1), at - 1), "")
-    mark = F.regexp_extract(member, _HEAD, 0)
-    rest = F.concat(before, member)
-    return _state(
-        F.concat(held["head"], before, mark), F.substring(member, F.length(mark) + 1, F.length(member)),
-        F.concat(F.substring(held["node"], F.length(rest) + 1, F.length(held["node"])), held["tail"]),
-        F.lit(True))
+    def cut(x: Column) -> Column:
+        return let(F.regexp_extract(x["member"], _HEAD, 0), lambda mark: _state(
+            F.concat(held["head"], x["before"], mark),
+            F.substring(x["member"], F.length(mark) + 1, F.length(x["member"])),
+            F.concat(F.substring(held["node"], F.length(x["before"]) + F.length(x["member"]) + 1,
+                                 F.length(held["node"])), held["tail"]),
+            F.lit(True)))
+
+    return let(F.struct(F.get(members, at - 1).alias("member"), F.array_join(
+        F.slice(members, F.lit(1), at - 1), "").alias("before")), cut)
 
 
 def _descend(held: Column, step: Column) -> Column:
     """One step further; a key that an object lacks leads into a null node, to be made."""
-    node, key = held["node"], quoted(step)
+    node = held["node"]
     index = step.try_cast("int")
     is_index = step.rlike(r"^\d+$")
     misfit = _state(held["head"], node, held["tail"], F.lit(False))
-    made = _state(
-        F.concat(held["head"], F.lit("{"), key, F.lit(":")), node, F.concat(F.lit("}"), held["tail"]),
-        F.lit(True))
 
-    def in_object(members: Column) -> Column:
-        at = F.array_position(F.transform(members, _key), key).cast("int")
+    def made(key: Column) -> Column:
+        return _state(
+            F.concat(held["head"], F.lit("{"), key, F.lit(":")), node, F.concat(F.lit("}"), held["tail"]),
+            F.lit(True))
+
+    def in_object(x: Column) -> Column:
+        members, key = x["members"], x["key"]
         added = _state(
             F.concat(held["head"], F.substring(node, F.lit(1), F.length(node) - 1),
                      F.when(F.size(members) > 0, ",").otherwise(""), key, F.lit(":")),
             F.lit(None).cast("string"), F.concat(F.lit("}"), held["tail"]), F.lit(True))
-        return F.when(at > 0, _open(held, members, at)).otherwise(added)
+        place = F.array_position(F.transform(members, _key), key).cast("int")
+        return let(place, lambda at: F.when(at > 0, _open(held, members, at)).otherwise(added))
 
     def in_array(members: Column) -> Column:
         return F.when(index < F.size(members), _open(held, members, index + 1)).otherwise(misfit)
@@ -118,8 +122,9 @@ def _descend(held: Column, step: Column) -> Column:
     return (
         F.when(~held["fits"], misfit)
         .when(is_index, F.when(node.startswith("["), let(_members(node), in_array)).otherwise(misfit))
-        .when(node.isNull(), made)
-        .when(node.startswith("{"), let(_members(node), in_object))
+        .when(node.isNull(), let(quoted(step), made))
+        .when(node.startswith("{"), let(F.struct(
+            _members(node).alias("members"), quoted(step).alias("key")), in_object))
         .otherwise(misfit))
 
 
