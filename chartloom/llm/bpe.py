@@ -1,10 +1,11 @@
 """Byte-level BPE by corpus-level merge replay.
 
-Each task cuts its texts into pieces, numbers the distinct ones and encodes every new piece of
-the batch at once: an inverted index from the rank of a mergeable token pair to the positions
-where the pair stands is emptied in rank order, and a merge updates only the two pairs it
-touches.  Pieces that are remembered from earlier batches are looked up.  The pieces of a text
-never leave their task, so nothing is shuffled.
+Each task cuts its texts into segments (white space with what follows), numbers the distinct ones,
+cuts the new ones into pieces by the pattern and encodes every new piece of the batch at once: an
+inverted index from the rank of a mergeable token pair to the positions where the pair stands is
+emptied in rank order, and a merge updates only the two pairs it touches.  Segments and pieces that
+are remembered from earlier batches are looked up.  The pieces of a text never leave their task, so
+nothing is shuffled.  Decoding gathers bytes by flat arrays.
 
 Rows and cases: a null text counts as empty and gives no ids; repeated rows give repeated
 results; texts of any length are read whole; other columns play no part.
@@ -26,9 +27,10 @@ from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 
 #: White space as Unicode names it, which is what the pattern's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-#: Remembered pieces and their bytes, per Python worker.
-PIECES, PIECE_BYTES = 200_000, 16_000_000
-LARGEST_VOCABULARY = 64_000_000
+BLANK = np.array([b in b"\t\n\x0b\x0c\r " for b in range(256)])
+#: Remembered segments and pieces, and the bytes of each, per Python worker.
+SEGMENTS, PIECES, HELD_BYTES = 300_000, 500_000, 24_000_000
+LARGEST_VOCABULARY, DECODED = 64_000_000, 1_000_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -149,62 +151,112 @@ def replay(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
 class Numbers(dict):
     """piece -> its number, in order of appearance."""
 
-    def __missing__(self, piece: str) -> int:
+    def __missing__(self, piece: bytes | str) -> int:
         number = self[piece] = len(self)
         return number
 
 
+class Spans:
+    """Ids of numbered entries, in flat arrays."""
+
+    def __init__(self):
+        self.numbers, self.known, self.bytes = Numbers(), 0, 0
+        self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+
+    def new(self) -> list:
+        return list(self.numbers)[self.known:]
+
+    def add(self, flat: np.ndarray, lengths: np.ndarray, size: int) -> None:
+        self.flat = np.concatenate([self.flat, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
+        self.known = len(self.numbers)
+        self.bytes += size
+
+    def of(self, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of some entries, one after the other, and how many each has."""
+        return gathered(self.flat, self.starts, numbers)
+
+    def full(self, most: int) -> bool:
+        return self.known > most or self.bytes > HELD_BYTES
+
+
+def gathered(flat: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    first = starts[numbers]
+    lengths = starts[numbers + 1] - first
+    ends = np.cumsum(lengths)
+    return flat[np.repeat(first - (ends - lengths), lengths) + np.arange(lengths.sum())], lengths
+
+
+def segments(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
+    """Runs of white space with what follows, of all texts, and how many each text has.
+
+    No piece reaches from a word into the white space behind it, and how white space is cut
+    depends on nothing beyond the next word's first character.  A cut is made before ASCII white
+    space, unless the character before it might be white space too.
+    """
+    raw = [text_bytes(t) for t in texts]
+    ends = np.cumsum([len(r) for r in raw])
+    whole = b"".join(raw)
+    data = np.frombuffer(whole, np.uint8)
+    blank = BLANK[data]
+    before = np.append(0, data[:-1]) if len(data) else data
+    further = np.concatenate([[0, 0], data[:-2]])[:len(data)]
+    word = (before < 128) & ~BLANK[before] | (before >= 128) & (further >= 0xC3) & (further <= 0xDF)
+    inner = np.flatnonzero(blank & word)
+    cuts = np.unique(np.concatenate([[0], inner, ends]))
+    cuts = cuts[cuts <= len(data)]
+    array = pa.BinaryArray.from_buffers(
+        pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(whole)])
+    return array, np.diff(np.searchsorted(cuts, ends, "left"), prepend=0)
+
+
 class Encoder:
-    """Pieces seen by this worker with their ids, in flat arrays."""
+    """Segments and pieces seen by this worker, with their ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
         self.ranks = ranks
         self.cut = regex.compile(unicode_spaces(pattern))
-        self.forget()
-
-    def forget(self) -> None:
-        self.numbers = Numbers()
-        self.known = 0
-        self.bytes = 0
-        self.flat = np.empty(0, np.uint32)
-        self.starts = np.zeros(1, np.int64)
-
-    def number(self, text: str) -> np.ndarray:
-        if len(text) > 1_000_000:
-            pieces = (m.group() for m in self.cut.finditer(text))
-            return np.fromiter(map(self.numbers.__getitem__, pieces), np.uint32)
-        pieces = self.cut.findall(text)
-        return np.fromiter(map(self.numbers.__getitem__, pieces), np.uint32, len(pieces))
+        self.whole, self.pieces = Spans(), Spans()
 
-    def learn(self) -> None:
-        """Ids of all pieces that were numbered since the last call."""
-        if self.known == len(self.numbers):
-            return
-        every = list(self.numbers)
-        new = [text_bytes(p) for p in every[self.known:]]
-        whole = [self.ranks.get(p) for p in new]
-        merged = iter(replay([p for p, r in zip(new, whole) if r is None], self.ranks))
-        ids = [next(merged) if r is None else [r] for r in whole]
+    def _learn_pieces(self) -> None:
+        new = [text_bytes(p) for p in self.pieces.new()]
+        ranks = [self.ranks.get(p) for p in new]
+        merged = iter(replay([p for p, r in zip(new, ranks) if r is None], self.ranks))
+        ids = [next(merged) if r is None else [r] for r in ranks]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for one in ids for i in one), np.uint32, int(lengths.sum()))
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-        self.flat = np.concatenate([self.flat, flat])
-        self.known = len(self.numbers)
-        self.bytes += sum(map(len, new))
+        self.pieces.add(flat, lengths, sum(map(len, new)))
 
-    def gather(self, numbers: np.ndarray) -> np.ndarray:
-        starts = self.starts[numbers]
-        lengths = self.starts[numbers.astype(np.int64) + 1] - starts
-        total = int(lengths.sum())
-        shift = np.repeat(starts - (np.cumsum(lengths) - lengths), lengths)
-        return self.flat[shift + np.arange(total)]
+    def learn(self) -> None:
+        """Ids of all segments that were numbered since the last call."""
+        new = self.whole.new()
+        if not new:
+            return
+        number, numbers, counts = self.pieces.numbers.__getitem__, [], []
+        for segment in new:
+            text = segment.decode("utf-8", "surrogatepass")
+            own = np.fromiter((number(m.group()) for m in self.cut.finditer(text)), np.int64) if (
+                len(text) > 1_000_000) else [number(p) for p in self.cut.findall(text)]
+            numbers.append(own)
+            counts.append(len(own))
+        self._learn_pieces()
+        every = np.fromiter((n for own in numbers for n in own), np.int64, sum(counts))
+        ids, lengths = self.pieces.of(every)
+        ends = np.append(0, np.cumsum(lengths))[np.cumsum(counts)]
+        self.whole.add(ids, np.diff(ends, prepend=0), sum(map(len, new)))
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if self.known > PIECES or self.bytes > PIECE_BYTES:
-            self.forget()
-        numbered = [self.number(t) if t else np.empty(0, np.uint32) for t in texts]
+        if self.whole.full(SEGMENTS):
+            self.whole = Spans()
+        if self.pieces.full(PIECES):
+            self.pieces = Spans()
+        found, counts = segments(texts)
+        coded = found.dictionary_encode()
+        distinct = coded.dictionary.to_pylist()
+        known = np.fromiter(map(self.whole.numbers.__getitem__, distinct), np.int64, len(distinct))
         self.learn()
-        return [self.gather(n) for n in numbered]
+        ids, lengths = self.whole.of(known[coded.indices.to_numpy()])
+        return np.split(ids, np.append(0, np.cumsum(lengths))[np.cumsum(counts)[:-1]])
 
 
 _ENCODERS: dict[tuple[int, str], Encoder] = {}
@@ -220,8 +272,12 @@ def _encoder(raw: bytes, pattern: str) -> Encoder:
 
 
 @functools.lru_cache(maxsize=2)
-def _spelling(raw: bytes) -> dict[int, bytes]:
-    return {rank: token for token, rank in parse_ranks(raw).items()}
+def _spelling(raw: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all tokens, one after the other by id, and where each starts; ids that the
+    file leaves out have none."""
+    by_id = {rank: token for token, rank in parse_ranks(raw).items()}
+    tokens = [by_id.get(i, b"") for i in range(max(by_id, default=-1) + 1)]
+    return np.frombuffer(b"".join(tokens), np.uint8), np.cumsum([0, *map(len, tokens)])
 
 
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
@@ -250,11 +306,14 @@ def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:
     shared = encoded.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
     def make():
-        token = _spelling(shared.value)
+        flat, starts = _spelling(shared.value)
 
         def work(batch):
-            spelt = [b"".join(map(token.__getitem__, np.frombuffer(raw, "<u4").tolist()))
-                     for raw in batch.column(2).to_pylist()]
+            spelt = []
+            for raw in batch.column(2).to_pylist():
+                ids = np.frombuffer(raw, "<u4")
+                spelt.append(b"".join(gathered(flat, starts, ids[i:i + DECODED].astype(np.int64))[0].tobytes()
+                                      for i in range(0, len(ids), DECODED)))
             return *batch.columns, spelt
         return work
 

@@ -26,7 +26,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.llm.common import arrow_pass, materialise, slices, small_batches, text_bytes
+from chartloom.llm.common import (
+    arrow_pass, materialise, release_memory, slices, small_batches, text_bytes)
 
 SAMPLE, FEATURES, FOLDS = 16_000, 128, 5
 LEAST_DOCS, PENALTY, THRESHOLD = 3, 0.2, 0.4
@@ -50,6 +51,10 @@ def word_features(word: bytes) -> tuple[int, ...]:
     return tuple(map(zlib.crc32, parts))
 
 
+#: Words of which a task remembers the features, some hundred bytes each.
+REMEMBERED = 100_000
+
+
 class Remembered(dict):
     """word -> the features, or only those of a choice by their number."""
 
@@ -58,7 +63,7 @@ class Remembered(dict):
         self.chosen = chosen
 
     def __missing__(self, word: bytes):
-        if len(self) > 200_000:
+        if len(self) > REMEMBERED:
             self.clear()
         found = word_features(word)
         if self.chosen is not None:
@@ -143,7 +148,8 @@ def _matrix(texts: list[str | None], known: Remembered, width: int) -> np.ndarra
 
 def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
              categories: dict[str, str], sample: int) -> DataFrame:
-    """(id, text, marks) of at most ``sample`` labelled documents."""
+    """(id, text, marks) of at most ``sample`` labelled documents, one for each id: that with the
+    smallest text."""
     marks = F.array(*[F.coalesce(F.expr(rule), F.lit(False)).cast("int")
                       for rule in categories.values()])
     key: Column = F.col(id_col)
@@ -154,7 +160,9 @@ def _sampled(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str,
         .orderBy(F.xxhash64("_id"), "_id").limit(sample)
     )
     given = docs.select(key.alias("_id"), F.col(text_col).cast("string").alias("text"))
-    return given.join(F.broadcast(rows), "_id").select(F.col("_id").alias("id"), "text", "marks")
+    least = F.min(F.struct("text", "marks")).alias("row")
+    return given.join(F.broadcast(rows), "_id").groupBy(F.col("_id").alias("id")).agg(least).select(
+        "id", "row.text", "row.marks")
 
 
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -252,6 +260,8 @@ def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD,
                 texts = rows.column(column).cast(pa.string()).to_pylist()
                 p = chain.predict(_matrix(texts, known, len(chain.chosen)))[:, at]
                 yield rows.filter(pa.array(p < threshold))
+        del known
+        release_memory()
 
     small_batches(docs.sparkSession)
     return docs.mapInArrow(run, docs.schema)
