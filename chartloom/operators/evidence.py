@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chartloom.config import QualityFloors
 from chartloom.functions.jsonval import let
 from chartloom.operators import unnest
 
@@ -23,6 +24,9 @@ DOUBTS = ("cannot exclude", "concern for", "likely", "may have", "possible", "po
 NEGATIONS_BEHIND = ("is absent", "is unlikely", "not seen", "was excluded", "was ruled out")
 ENDS = ("although", "aside from", "but", "except", "however", "reports", "though", "yet")
 
+#: Kinds of facts that no extraction may leave out.
+CRITICAL = ("allergy", "chief_complaint", "diagnosis", "medication")
+
 VALUE = "array<struct<kind:string,value:string>>"
 
 
@@ -78,6 +82,32 @@ def nearest_passage(words: Column, value: Column, near: float = NEAR) -> Column:
     return F.array_min(F.filter(runs, lambda r: r["distance"].isNotNull()))
 
 
+def _judged(v: Column, text: Column, words: Column, near: float) -> Column:
+    """``struct(kind, value, status, distance, position, correction)`` of a stated value."""
+    place = F.position(F.lower(v["value"]), text)
+    found = F.when(place == 0, nearest_passage(words, v["value"], near))
+
+    def row(best: Column) -> Column:
+        passage = F.array_join(F.slice(words, best["position"], best["words"]), " ")
+        return F.struct(
+            v["kind"].alias("kind"), v["value"].alias("value"),
+            F.when(place > 0, "stated").when(best.isNotNull(), "near").otherwise("absent").alias("status"),
+            F.when(place > 0, 0).otherwise(best["distance"]).alias("distance"),
+            F.when(place > 0, place).otherwise(best["position"]).alias("position"),
+            F.when(best.isNotNull(), passage).alias("correction"))
+
+    return let(found, row)
+
+
+def _with_judged(df: DataFrame, text: str, entity: str, near: float) -> DataFrame:
+    """``df`` with ``_judged``, the judged values of each row."""
+    staged = df.withColumns({
+        "_text": F.lower(F.coalesce(F.col(text), F.lit(""))), "_words": words_of(F.col(text)),
+        "_values": stated(F.col(entity))})
+    return staged.withColumn("_judged", F.transform(
+        "_values", lambda v: _judged(v, F.col("_text"), F.col("_words"), near))).drop("_text", "_words", "_values")
+
+
 def evidence(df: DataFrame, *keys: str, text: str = "text", entity: str = "entity",
              near: float = NEAR) -> DataFrame:
     """A row per stated value: ``keys, kind, value, status, distance, position, correction``.
@@ -86,27 +116,45 @@ def evidence(df: DataFrame, *keys: str, text: str = "text", entity: str = "entit
     quarter of their characters in edits, which begins at a word and is the correction; the
     others are ``absent``.
     """
-    rows = df.select(
-        *keys, F.lower(F.coalesce(F.col(text), F.lit(""))).alias("_text"), words_of(F.col(text)).alias("_words"),
-        stated(F.col(entity)).alias("_values"))
+    judged = _with_judged(df.select(*keys, text, entity), text, entity, near)
+    return unnest(judged, "_judged", *keys).select(*keys, "item.*")
+
+
+def _lacking(entity: Column, found: Column, near: float) -> Column:
+    """What ``found`` states and no value of that kind in ``entity`` has."""
+    def untold(own: Column) -> Column:
+        return F.array_distinct(F.filter(stated(found), lambda fact: ~F.exists(own, lambda v: (
+            v["kind"] == fact["kind"]) & distance(F.lower(v["value"]), F.lower(fact["value"]), _limit(
+                fact["value"], near)).isNotNull())))
 
-    def judged(v: Column) -> Column:
-        place = F.position(F.lower(v["value"]), F.col("_text"))
-        found = F.when(place == 0, nearest_passage(F.col("_words"), v["value"], near))
+    return let(stated(entity), untold)
 
-        def row(best: Column) -> Column:
-            passage = F.array_join(F.slice(F.col("_words"), best["position"], best["words"]), " ")
-            return F.struct(
-                v["kind"].alias("kind"), v["value"].alias("value"),
-                F.when(place > 0, "stated").when(best.isNotNull(), "near").otherwise("absent").alias("status"),
-                F.when(place > 0, 0).otherwise(best["distance"]).alias("distance"),
-                F.when(place > 0, place).otherwise(best["position"]).alias("position"),
-                F.when(best.isNotNull(), passage).alias("correction"))
 
-        return let(found, row)
+def verdicts(df: DataFrame, text: str = "text", entity: str = "entity", found: str = "found",
+             near: float = NEAR, floors: QualityFloors = QualityFloors()) -> DataFrame:
+    """Add the whole ``verdict`` on a row's entities, as a struct.
 
-    judged_rows = rows.withColumn("_found", F.transform("_values", judged))
-    return unnest(judged_rows, "_found", *keys).select(*keys, "item.*")
+    ``accuracy_score`` is the share of values that the text states (1.0 without any), ``counts`` has
+    the values by status, ``hallucinations`` the absent ones, ``corrections`` the misspelt ones
+    with what the text says, ``missing_critical`` what the text states (``found``, read from it by
+    rule) of a critical kind and the entities leave out.  It passes at the floor of
+    entity validation with nothing critical missing.
+    """
+    staged = _with_judged(df, text, entity, near).withColumn("_missing", F.filter(
+        _lacking(F.col(entity), F.col(found), near), lambda f: f["kind"].isin(*CRITICAL)))
+    of = lambda status: F.filter("_judged", lambda j: j["status"] == status)
+    named = lambda values, *names: F.transform(values, lambda v: F.struct(*[v[n].alias(n) for n in names]))
+    total, held = F.size("_judged"), F.size(of("stated"))
+    accuracy = F.when(total > 0, held.cast("double") / total).otherwise(F.lit(1.0))
+    verdict = F.struct(
+        accuracy.alias("accuracy_score"),
+        F.struct(total.alias("values"), held.alias("stated"), F.size(of("near")).alias("near"),
+                 F.size(of("absent")).alias("absent")).alias("counts"),
+        named(of("absent"), "kind", "value").alias("hallucinations"),
+        named(of("near"), "kind", "value", "correction").alias("corrections"),
+        F.col("_missing").alias("missing_critical"),
+        ((accuracy >= floors.entity_validation) & (F.size("_missing") == 0)).alias("pass"))
+    return staged.withColumn("verdict", verdict).drop("_judged", "_missing")
 
 
 def evidence_counts(rows: DataFrame, *keys: str) -> DataFrame:
@@ -119,14 +167,8 @@ def missing_facts(df: DataFrame, *keys: str, entity: str = "entity", found: str
                   near: float = NEAR) -> DataFrame:
     """``keys, kind, value`` of what the text states (``found``, entities read from it by rule) and
     no value of that kind in ``entity`` has, misspelt ones included."""
-    rows = df.select(*keys, stated(F.col(entity)).alias("_own"), stated(F.col(found)).alias("_found"))
-
-    def told(fact: Column) -> Column:
-        return F.exists("_own", lambda v: (v["kind"] == fact["kind"]) & distance(
-            F.lower(v["value"]), F.lower(fact["value"]), _limit(fact["value"], near)).isNotNull())
-
-    lacking = rows.withColumn("_lacking", F.array_distinct(F.filter("_found", lambda f: ~told(f))))
-    return unnest(lacking, "_lacking", *keys).select(*keys, "item.*")
+    rows = df.select(*keys, _lacking(F.col(entity), F.col(found), near).alias("_lacking"))
+    return unnest(rows, "_lacking", *keys).select(*keys, "item.*")
 
 
 def marked(text: Column) -> Column:

@@ -47,6 +47,24 @@ def missing_facts(spark, sf):
     return ev.missing_facts(docs.withColumn("entity", thinned), "document_id")
 
 
+def validation_verdicts(spark, sf):
+    """The whole verdict on thinned-out entities of misspelt notes."""
+    k = F.col("k")
+    docs = _misspelt(spark, sf).withColumnRenamed("entity", "given")
+    read = normalise_entities(extract_by_rules(docs), "entities", "found")
+    given = F.col("given")
+    thinned = given.withField("medications", F.filter(given["medications"], lambda m: k % 11 != 3))
+    v = F.col("verdict")
+    listed = lambda values, *names: F.array_join(F.transform(
+        values, lambda x: F.concat_ws("=", *[x[n] for n in names])), ";")
+    return ev.verdicts(read.withColumn("entity", thinned)).select(
+        "document_id", F.round(v["accuracy_score"], 6).alias("accuracy_score"),
+        v["counts"]["values"].cast("bigint").alias("values"), v["counts"]["near"].cast("bigint").alias("near"),
+        listed(v["hallucinations"], "kind", "value").alias("hallucinations"),
+        listed(v["corrections"], "value", "correction").alias("corrections"),
+        listed(v["missing_critical"], "kind", "value").alias("missing"), v["pass"].alias("passed"))
+
+
 # Notes by remainder: what they say of the two symptoms.
 REVIEWS = (
     "Patient denies cough, fever and chest pain.",
@@ -77,7 +95,7 @@ def coherence_with_text(spark, sf):
 
 
 QUERIES = {fn.__name__: fn for fn in (
-    evidence_spans, evidence_by_kind, missing_facts, negated_findings, coherence_with_text)}
+    evidence_spans, evidence_by_kind, missing_facts, validation_verdicts, negated_findings, coherence_with_text)}
 
 _VALUES = f"""
 WITH {ENC},
@@ -137,6 +155,26 @@ FROM (SELECT document_id, unnest(
     || [{{'kind': 'medication', 'value': m.name}} FOR m IN e.medications IF k % 7 = 2 AND k % 13 <> 0]
     || [{{'kind': 'dosage', 'value': m.dosage}} FOR m IN e.medications IF k % 7 = 2 AND k % 13 <> 0 AND m.dosage IS NOT NULL]
     || [{{'kind': 'procedure', 'value': p.procedure}} FOR p IN e.procedures IF k % 16 = 0]) AS v FROM enc)""",
+    "validation_verdicts": f"""{_VALUES},
+kept AS (
+  SELECT s.*, e, k FROM spans s JOIN enc USING (document_id)
+  WHERE NOT (kind IN ('medication', 'dosage') AND k % 11 = 3)),
+ranked AS (
+  SELECT *, CASE kind WHEN 'chief_complaint' THEN 0 WHEN 'symptom' THEN 1 WHEN 'diagnosis' THEN 2
+    WHEN 'medication' THEN 3 WHEN 'dosage' THEN 4 WHEN 'procedure' THEN 5 ELSE 6 END AS o FROM kept),
+summed AS (
+  SELECT document_id, count(*) AS n, count(*) FILTER (status = 'stated') AS held, count(*) FILTER (status = 'near') AS near,
+    coalesce(string_agg(kind || '=' || value, ';' ORDER BY o) FILTER (status = 'absent'), '') AS hallucinations,
+    coalesce(string_agg(value || '=' || correction, ';' ORDER BY o) FILTER (status = 'near'), '') AS corrections
+  FROM ranked GROUP BY document_id),
+lost AS (
+  SELECT document_id, CASE WHEN (k % 11 = 3 OR k % 7 = 0) AND k % 13 <> 0 AND len(e.medications) > 0 THEN
+    'medication=' || CASE WHEN k % 7 = 0 THEN replace(e.medications[1].name, 'drug ', 'durg ')
+      ELSE e.medications[1].name END ELSE '' END AS missing FROM enc)
+SELECT document_id, CASE WHEN n > 0 THEN round(held / n, 6) ELSE 1 END AS accuracy_score, coalesce(n, 0) AS values,
+  coalesce(near, 0) AS near, coalesce(hallucinations, '') AS hallucinations, coalesce(corrections, '') AS corrections,
+  missing, (CASE WHEN n > 0 THEN held / n ELSE 1 END) >= 0.75 AND missing = '' AS passed
+FROM lost LEFT JOIN summed USING (document_id)""",
     "negated_findings": f"""
 WITH {ENC}, {_REVIEW_ROWS}
 SELECT document_id, finding, mentions, negated, uncertain, status
