@@ -19,7 +19,7 @@ ODD = np.uint64(0x9E3779B97F4A7C15)
 BATCH_BYTES, BROADCAST_ROWS = 4_000_000, 2_000_000
 BATCH_SETTING, USUAL_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
 #: The remembered hashes of words, per Python worker.
-REMEMBERED = 400_000
+REMEMBERED = 120_000
 
 
 class WordHashes(dict):
@@ -78,7 +78,7 @@ def small_batches(spark: SparkSession) -> None:
     a size of its own.  The usual 64 MB are held several times over, by both sides.  Spark reads
     the setting when a plan runs, so it stays set for the session."""
     if spark.conf.get(BATCH_SETTING) == USUAL_BATCH:
-        spark.conf.set(BATCH_SETTING, str(2 * BATCH_BYTES))
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
 
 
 def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:

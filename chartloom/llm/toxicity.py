@@ -52,7 +52,7 @@ def word_features(word: bytes) -> tuple[int, ...]:
 
 
 #: Words of which a task remembers the features, some hundred bytes each.
-REMEMBERED = 100_000
+REMEMBERED = 60_000
 
 
 class Remembered(dict):
