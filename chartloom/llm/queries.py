@@ -237,8 +237,8 @@ FROM sets JOIN (SELECT a AS doc_id, min(b) AS component_id FROM reach GROUP BY a
 
 def op9_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).select(
+    both = bpe.there_and_back(table(spark, sf, "documents"), path, public_tokenizers.PATTERN)
+    return both.select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 

@@ -26,6 +26,14 @@ def test_round_trip(spark):
         assert got[d].n_tokens == len(ids) and bytes(got[d].decoded) == (text or "").encode()
 
 
+def test_one_pass_is_both(spark):
+    docs = table(spark, list(enumerate(odd_texts())))
+    two = bpe.decode(bpe.encode(docs, PATH, public_tokenizers.PATTERN), PATH)
+    one = bpe.there_and_back(docs, PATH, public_tokenizers.PATTERN)
+    assert one.columns == two.columns
+    assert sorted(map(tuple, one.collect()), key=lambda r: r[0]) == sorted(map(tuple, two.collect()), key=lambda r: r[0])
+
+
 def test_random_texts():
     rng = random.Random(4)
     letters = "aaabst \n\t\x1c\x85　​'sldé1२Ⅷ-.!日🙂"
