@@ -34,8 +34,7 @@ def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(VOCABULARY)
-    ids = bpe.encode(docs, path, public_tokenizers.PATTERN)
-    return bpe.decode(ids, path).select(
+    return bpe.there_and_back(docs, path, public_tokenizers.PATTERN).select(
         "doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"))
 
