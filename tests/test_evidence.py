@@ -1,6 +1,7 @@
 """Evidence spans against all windows, and negation scopes."""
 
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,3 +80,20 @@ def test_missing_facts(spark):
 def test_scopes(spark, text, finding, want):
     df = spark.createDataFrame([(text, finding)], "t string, f string")
     assert df.select(ev.finding_status(ev.marked(F.col("t")), F.col("f"))["status"]).first()[0] == want
+
+
+def test_scopes_of_long_runs_of_words(spark):
+    """Without a mark behind them, words are not cut into pieces in every possible way."""
+    text = " ".join(["immunohistochemical " * 12, "x" * 200, "no cough"])
+    df = spark.createDataFrame([(text, "cough")] * 20, "t string, f string").select(
+        ev.finding_status(ev.marked(F.col("t")), F.col("f"))["status"].alias("s"))
+    began = time.monotonic()
+    assert {r.s for r in df.collect()} == {"negated"} and time.monotonic() - began < 30
+
+
+def test_scopes_behind_reach_six_words(spark):
+    rows = [("one two three four five cough was excluded",), ("cough one two three four five six was excluded",),
+            ("cough,one\ttwo  three four five is absent",), ("rash was excluded, cough is absent",)]
+    df = spark.createDataFrame(rows, "t string")
+    got = df.select(ev.finding_status(ev.marked(F.col("t")), F.lit("cough"))["status"].alias("s")).collect()
+    assert [r.s for r in got] == ["negated", "affirmed", "negated", "negated"]
