@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from chartloom.functions.jsonedit import patched
 from chartloom.functions.jsonval import array_size, read_path, to_json
 from chartloom.functions.text import filled, is_blank, labelled_value, strip, truncate
-from chartloom.operators import settle
+from chartloom.operators import settle, unnest
 from chartloom.operators.infer import Backend, infer, infer_distinct, render_prompt, reply_document
 from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS
 
@@ -239,27 +239,29 @@ def flatten_leaves(
     depth = _depth(F.col(entities))
     levels = depth if max_depth is None else F.least(depth, F.lit(max_depth))
 
-    def item(path: Column, node: Column) -> Column:
-        return F.struct(path.alias("path"), node.alias("node"))
+    def item(path: Column, node: Column, leaf: bool = False) -> Column:
+        return F.struct(path.alias("path"), node.alias("node"), F.lit(leaf).alias("leaf"))
 
     def opened(held: Column) -> Column:
-        """The children of a container, a leaf itself."""
+        """The children of a container, a leaf itself, which is marked and not opened again."""
         path, node = held["path"], held["node"]
         fields = F.map_entries(F.try_variant_get(node, "$", "map<string,variant>"))
         items = F.try_variant_get(node, "$", "array<variant>")
         place = lambda i: F.concat(path, F.lit("["), i.cast("string"), F.lit("]"))
-        return F.coalesce(
+        return F.when(held["leaf"], F.array(held)).otherwise(F.coalesce(
             F.transform(fields, lambda f: item(F.concat(path, F.lit("."), f["key"]), f["value"])),
             F.transform(items, lambda v, i: item(place(i), v)),
-            F.array(held),
-        )
+            F.array(item(path, node, leaf=True)),
+        ))
 
-    root = F.array(item(F.lit(""), F.try_parse_json(entities)))
+    root = F.array(item(F.lit(""), F.col("_doc")))
     rounds = F.when(levels > 0, F.sequence(F.lit(1), levels)).otherwise(F.array().cast("array<int>"))
     leaves = F.aggregate(
         rounds, root, lambda held, _: F.flatten(F.transform(held, opened)))
-    readable = df.filter(F.try_parse_json(entities).isNotNull())
-    level = readable.select(*keys, F.explode(leaves).alias("leaf")).select(*keys, "leaf.*")
+    # parsed once; a text that is no JSON has no leaves
+    read = df.withColumn("_doc", F.try_parse_json(entities))
+    found = F.when(F.col("_doc").isNotNull(), leaves)
+    level = unnest(read.select(*keys, found.alias("_leaves")), "_leaves", *keys, item="leaf").select(*keys, "leaf.path", "leaf.node")
     value = F.try_variant_get("node", "$", "string")
     return level.select(
         *keys,
@@ -271,7 +273,7 @@ def flatten_leaves(
 
 def _depth(doc: Column) -> Column:
     """How deep the brackets of a JSON text are nested."""
-    bare = F.regexp_replace(doc, r'"(?:[^"\\]++|\\.)*+"|[^\[\]{}]', "")
+    bare = F.regexp_replace(doc, r'(?:"(?:[^"\\]++|\\.)*+"|[^\[\]{}"]++|")++', "")
     brackets = F.split(bare, "")
     start = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
 

@@ -44,6 +44,14 @@ def test_cells_of_many_keys_come_as_columns(spark, monkeypatch):
         x for i in range(1, 20, 2) for x in ((i, 0, True, "a"), (i, 1, False, "b & c"))]
 
 
+def test_leaves_parse_a_document_once(spark):
+    rows = [(1, '{"a": [1, {"b": [null, "x"]}], "c": {}, "d": "[{\\"", "e": []}'), (2, "no"), (3, None), (4, "7"), (5, "[]")]
+    leaves = flatten_leaves(spark.createDataFrame(rows, "id int, entities string"), "id")
+    assert plan(leaves).count("parseJson") == 1
+    assert sorted((r.id, r.path, r.value) for r in leaves.collect()) == [
+        (1, "a[0]", "1"), (1, "a[1].b[0]", None), (1, "a[1].b[1]", "x"), (1, "d", '[{"'), (4, "", "7")]
+
+
 def visits(spark, folder):
     orders = [(i, i % 3, "FOP"[i % 3], 1.0, "2024-01-01", "1-URGENT") for i in range(1, 60)] * 2
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
