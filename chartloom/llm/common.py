@@ -9,15 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from chartloom.sources.tables import fresh_dir, materialise
+from chartloom.sources.tables import BATCH_BYTES, fresh_dir, materialise, small_batches
 
 ODD = np.uint64(0x9E3779B97F4A7C15)
-#: Texts that a Python worker holds at once, and the most ids that are broadcast.
-BATCH_BYTES, BROADCAST_ROWS = 4_000_000, 2_000_000
-BATCH_SETTING, USUAL_BATCH = "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+#: The most ids that are broadcast.
+BROADCAST_ROWS = 2_000_000
 #: The remembered hashes of words, per Python worker.
 REMEMBERED = 120_000
 
@@ -73,14 +72,6 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 1) -> np.ndarray:
         size *= 2
 
 
-def small_batches(spark: SparkSession) -> None:
-    """Have Spark send texts to Python in batches of a few MB, unless the session has chosen
-    a size of its own.  The usual 64 MB are held several times over, by both sides.  Spark reads
-    the setting when a plan runs, so it stays set for the session."""
-    if spark.conf.get(BATCH_SETTING) == USUAL_BATCH:
-        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
-
-
 def slices(batch: pa.RecordBatch, most: int = BATCH_BYTES) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows of about ``most`` bytes, a row at least."""
     size = np.full(batch.num_rows, 16, np.int64)

@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from chartloom.config import ModelSettings, PipelineSettings, RetrySettings
 from chartloom.functions.jsonval import clean_reply
 from chartloom.schemas import INFERENCE
-from chartloom.sources.tables import materialise
+from chartloom.sources.tables import materialise, small_batches
 
 Model = Callable[[str], str]
 Backend = Callable[[], Model] | Callable[[ModelSettings], Model]
@@ -191,6 +191,7 @@ def infer(
             raise ValueError("calls_per_second needs max_concurrency, which it is shared by")
         share = calls_per_second / max_concurrency
     spread = df if max_concurrency is None else df.repartition(max_concurrency)
+    small_batches(df.sparkSession)  # prompts hold whole texts
     answer = infer_udf(backend, calls_per_second=share, **options)
     return spread.withColumn(output, answer(F.col(prompt)))
 

@@ -55,6 +55,18 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, key)
 
 
+#: What Spark sends to a Python worker at once, where the session has not chosen a size.
+BATCH_BYTES, BATCH_SETTING, USUAL_BATCH = 4_000_000, "spark.sql.execution.arrow.maxBytesPerBatch", "67108864b"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Have Spark send texts to Python in batches of a few MB, unless the session has chosen
+    a size of its own.  The usual 64 MB are held several times over, by both sides.  Spark reads
+    the setting when a plan runs, so it stays set for the session."""
+    if spark.conf.get(BATCH_SETTING) == USUAL_BATCH:
+        spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+
+
 def conform(df: DataFrame, contract: StructType) -> DataFrame:
     """Exactly the contract's columns, in its order and types."""
     return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in contract.fields])

@@ -75,3 +75,16 @@ def test_arrivals_are_written_by_all_tasks(spark, tmp_path, monkeypatch):
     assert storage.stream_unprocessed(spark, str(tmp_path)).count() == 90
     [source] = Path(tmp_path / "shared").glob("arrivals-*")
     assert len(list(source.glob("*.parquet"))) > 4
+
+
+def test_prompts_travel_in_small_batches(spark):
+    kept = spark.conf.get(tables.BATCH_SETTING)
+    try:
+        spark.conf.set(tables.BATCH_SETTING, tables.USUAL_BATCH)
+        infer(spark.createDataFrame([("p",)], "p string"), "p", lambda: str)
+        assert spark.conf.get(tables.BATCH_SETTING) == str(tables.BATCH_BYTES)
+        spark.conf.set(tables.BATCH_SETTING, "1000000")
+        infer(spark.createDataFrame([("p",)], "p string"), "p", lambda: str)
+        assert spark.conf.get(tables.BATCH_SETTING) == "1000000"
+    finally:
+        spark.conf.set(tables.BATCH_SETTING, kept)
