@@ -45,10 +45,16 @@ def clean_reply(reply: Column) -> Column:
     return strip(body)
 
 
-def is_object(text: Column) -> Column:
-    """True for a text that is one JSON object; a key that occurs twice makes it none."""
-    kind = F.schema_of_variant(F.try_parse_json(text))
-    return F.coalesce(kind.startswith("OBJECT"), F.lit(False))
+def is_json(text: Column) -> Column:
+    """True for a text that is JSON, else false or null; a key that occurs twice makes it none."""
+    return F.try_parse_json(text).isNotNull()
+
+
+def is_object(text: Column, valid: Column | None = None) -> Column:
+    """True for a text that is one JSON object; ``valid`` is :func:`is_json` of it where that has
+    been computed already."""
+    begins = F.ltrim(text, F.lit(" \t\r\n")).startswith("{")
+    return F.coalesce(begins & (is_json(text) if valid is None else valid), F.lit(False))
 
 
 def reply_or_default(reply: Column, default: str) -> Column:
@@ -96,10 +102,11 @@ def leaf_counts(doc: Column) -> Column:
     )
 
 
-def completeness(doc: Column) -> Column:
-    """Share of filled leaves; 0.0 for a document without leaves and for text that is no JSON."""
+def completeness(doc: Column, valid: Column | None = None) -> Column:
+    """Share of filled leaves; 0.0 for a document without leaves and for text that is no JSON.
+    ``valid`` is :func:`is_json` of it where that has been computed already."""
     return let(
-        _leaves(F.when(F.try_parse_json(doc).isNotNull(), doc)),
+        _leaves(F.when(is_json(doc) if valid is None else valid, doc)),
         lambda leaves: F.when(
             F.size(leaves) > 0, _count_filled(leaves).cast("double") / F.size(leaves)
         ).otherwise(F.lit(0.0)),

@@ -136,9 +136,11 @@ def detect_ambiguities(
     entity: str = "entity",
     entities: str = "entities",
     floors: QualityFloors = QualityFloors(),
+    valid: Column | None = None,
 ) -> DataFrame:
     """Add ``ambiguities, critical_fields_missing, confidence_score,
-    completeness_before, requires_review`` by rule.
+    completeness_before, requires_review`` by rule.  ``valid`` is ``is_json`` of the entities where
+    that has been computed already, here and in what follows.
 
     Confidence falls by 0.05 per ambiguity.  A review is required when something
     critical is missing or confidence is under the overall floor.
@@ -152,7 +154,7 @@ def detect_ambiguities(
             "confidence_score": F.greatest(
                 F.lit(1.0) - F.lit(0.05) * F.size("ambiguities"), F.lit(0.0)
             ),
-            "completeness_before": completeness(F.col(entities)),
+            "completeness_before": completeness(F.col(entities), valid),
         }
     )
     return scored.withColumn(
@@ -281,15 +283,17 @@ def questions_from_reply(df: DataFrame, reply: str, limit: int | None = None) ->
 AUTO, QUEUED, COMPLETED, FAILED = "completed_auto", "pending_review", "completed", "error"
 
 
-def extraction_failed(entities: Column) -> Column:
+def extraction_failed(entities: Column, valid: Column | None = None) -> Column:
     """True where an extraction left an error, nothing, or no JSON object."""
     error = F.get_json_object(entities, "$.error").isNotNull()
-    return error | ~is_object(F.coalesce(entities, F.lit("")))
+    return error | ~is_object(F.coalesce(entities, F.lit("")), valid)
 
 
-def set_failures_apart(df: DataFrame, entities: str = "entities") -> DataFrame:
+def set_failures_apart(
+    df: DataFrame, entities: str = "entities", valid: Column | None = None
+) -> DataFrame:
     """Failed extractions get the status ``error``: nothing to ask, nothing complete."""
-    staged = settle(df.withColumn("_failed", extraction_failed(F.col(entities))), "_failed")
+    staged = df.withColumn("_failed", extraction_failed(F.col(entities), valid))  # used often, so not repeated
     failed = F.col("_failed")
 
     def instead(column: str, value: Column) -> Column:
@@ -307,11 +311,12 @@ def set_failures_apart(df: DataFrame, entities: str = "entities") -> DataFrame:
     return settle(apart.drop("_failed"), "status")
 
 
-def route(df: DataFrame, enable_human_review: bool = True) -> DataFrame:
-    """Add ``status``: straight to a note, or to the review queue."""
+def route(df: DataFrame, enable_human_review: bool = True, settled: bool = True) -> DataFrame:
+    """Add ``status``: straight to a note, or to the review queue.  It need not be settled here
+    where a later step does so."""
     review = F.coalesce(F.col("requires_review"), F.lit(False)) & F.lit(enable_human_review)
     routed = df.withColumn("status", F.when(review, QUEUED).otherwise(AUTO))
-    return settle(routed, "status")
+    return settle(routed, "status") if settled else routed
 
 
 def queue_rows(

@@ -10,7 +10,7 @@ from pyspark.sql.types import ArrayType
 
 from chartloom.config import PipelineSettings
 from chartloom.functions.ids import visit_id
-from chartloom.functions.jsonval import completeness, to_json
+from chartloom.functions.jsonval import completeness, is_json, to_json
 from chartloom.functions.text import join_notes
 from chartloom.operators import review, soap
 from chartloom.operators.entities import extract_by_rules, normalise_entities
@@ -39,11 +39,14 @@ def assessed(documents: DataFrame, settings: PipelineSettings = PipelineSettings
     A failed extraction (an error document, null, or no JSON object) is not routed: its
     status is ``error``, it gets no question and no note, and its completeness is 0.
     """
-    found = review.detect_ambiguities(normalise_entities(documents), floors=settings.floors)
+    read = normalise_entities(documents.withColumn("_valid", is_json(F.col("entities"))))
+    valid = F.col("_valid")
+    found = review.detect_ambiguities(read, floors=settings.floors, valid=valid)
     routed = review.route(
-        review.make_questions(found, limit=settings.max_questions), settings.enable_human_review
+        review.make_questions(found, limit=settings.max_questions), settings.enable_human_review,
+        settled=False,
     )
-    return review.set_failures_apart(routed)
+    return review.set_failures_apart(routed, valid=valid).drop("_valid")
 
 
 def failures(decided: DataFrame) -> DataFrame:

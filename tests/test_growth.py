@@ -10,6 +10,7 @@ from chartloom.operators.entities import flatten_leaves
 from chartloom.operators.infer import infer
 from chartloom.plans import gold
 from chartloom.queries import review, storage
+from chartloom.queries.inputs import encounters
 from chartloom.sources import tables
 
 PIECES = (
@@ -52,6 +53,12 @@ def test_leaves_parse_a_document_once(spark):
         (1, "a[0]", "1"), (1, "a[1].b[0]", None), (1, "a[1].b[1]", "x"), (1, "d", '[{"'), (4, "", "7")]
 
 
+def test_assessed_parses_a_document_once(spark):
+    df = spark.createDataFrame([("1", '{"chief_complaint": "x"}', "t")], "document_id string, entities string, text string")
+    decided = gold.assessed(df).filter("status = 'pending_review'")
+    assert plan(decided).count("parseJson") == 1 and plan(decided).count("Generate") == 1
+
+
 def visits(spark, folder):
     orders = [(i, i % 3, "FOP"[i % 3], 1.0, "2024-01-01", "1-URGENT") for i in range(1, 60)] * 2
     spark.createDataFrame(orders, "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, "
