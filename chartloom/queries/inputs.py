@@ -10,6 +10,10 @@ from chartloom.operators.elements import HTML_BLOCKS, element_tree, text_element
 from chartloom.sources.tables import spread
 
 
+#: Tasks on notes for each split of the orders, so that a task stays small whatever the table is.
+TASKS_A_SPLIT = 8
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -36,7 +40,7 @@ def _entity(k: Column) -> Column:
             F.when(n % 4 != 0, F.concat(F.lit("day "), _text(n % 10))).alias("onset"),
             F.when(n % 2 != 0, F.when(n % 3 == 0, "mild").when(n % 3 == 1, "moderate")
                    .otherwise("severe")).alias("severity"),
-            F.when(n % 5 == 0, "").otherwise(F.lower("c_mktsegment")).alias("location"),
+            F.when(n % 5 == 0, "").otherwise(F.col("segment")).alias("location"),
         )
 
     diagnosis = F.struct(
@@ -114,13 +118,17 @@ def _note(e: Column, k: Column) -> Column:
 
 def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order as a visit: identity, entity struct and JSON, and the note."""
-    orders = texts(
-        spark, sf_dir, "orders", "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-        "o_orderdate", "o_orderpriority",
-    )
-    customer = table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_mktsegment")
+    orders = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority")
+    # lower-cased once for a customer, not for each symptom of each order
+    customer = table(spark, sf_dir, "customer").select(
+        "c_custkey", "c_name", F.lower("c_mktsegment").alias("segment"))
     k = F.col("o_orderkey")
-    visits = orders.join(customer, orders.o_custkey == customer.c_custkey).select(
+    # spread behind the join, which would leave a few tasks with all the work on the notes
+    joined = orders.join(customer, orders.o_custkey == customer.c_custkey).drop("c_custkey")
+    cores = spark.sparkContext.defaultParallelism
+    tasks = max(cores, TASKS_A_SPLIT * orders.rdd.getNumPartitions())
+    visits = joined.repartition(tasks, "o_orderkey", "o_custkey", "o_orderdate", "o_totalprice").select(
         k.alias("k"),
         F.concat(F.lit("enc-"), _text(k)).alias("document_id"),
         F.concat(F.lit("MRN"), F.lpad(_text(F.col("o_custkey")), 8, "0")).alias("mrn"),

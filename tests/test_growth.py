@@ -95,3 +95,11 @@ def test_prompts_travel_in_small_batches(spark):
         assert spark.conf.get(tables.BATCH_SETTING) == "1000000"
     finally:
         spark.conf.set(tables.BATCH_SETTING, kept)
+
+
+def test_notes_are_spread_behind_the_join(spark, tmp_path):
+    visits(spark, tmp_path)
+    splits = spark.read.parquet(f"{tmp_path}/orders.parquet").rdd.getNumPartitions()
+    notes = encounters(spark, str(tmp_path))
+    assert splits > 1 and notes.rdd.getNumPartitions() == 8 * splits
+    assert notes.count() == 118 and notes.select("document_id").distinct().count() == 59
