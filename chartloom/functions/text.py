@@ -84,19 +84,43 @@ def _label_pattern(label: str) -> str:
     return r"\s+".join(re.escape(w) for w in words)
 
 
-def labelled_value(text: Column, label: str, others: Sequence[str] = ()) -> Column:
+def _stops(known: Sequence[str]) -> str:
+    return "|".join(_label_pattern(o) for o in sorted(set(known), key=lambda o: (-len(o), o)))
+
+
+def mentions(upper: Column, word: str) -> Column:
+    """Whether a text, given in upper case, holds a word in any case: what a search for a pattern
+    with that word in it needs, at a fraction of its cost."""
+    return F.contains(upper, F.lit(word.upper()))
+
+
+def labelled_value(
+    text: Column, label: str, others: Sequence[str] = (), upper: Column | None = None
+) -> Column:
     """Value written after ``label:``, up to the next known label, over line ends.
 
     A label that occurs again adds its value on a new line.  Values of identity labels end
     with their line, and the first one counts.  Null when the label is absent or without a value.
+    ``upper`` is the text in upper case where that has been computed already; texts without the
+    label's first word are not searched.
     """
-    known = {label, *others, *NOTE_LABELS, *NOTE_HEADINGS}
-    stops = "|".join(_label_pattern(o) for o in sorted(known, key=lambda o: (-len(o), o)))
+    known = (label, *others, *NOTE_LABELS, *NOTE_HEADINGS)
+    stops = _stops(known)
     begin = rf"(?i)\b{_label_pattern(label)}\s*[:#][ \t]*"
     if label in ONE_LINE:
         pattern = rf"{begin}([^\n]*?)[ \t]*(?:\b(?:{stops})\s*[:#]|\n|\z)"
-        return filled(F.regexp_extract(text, pattern, 1))
-    # a run of characters of which none begins a known label
-    pattern = rf"{begin}((?:(?!\b(?:{stops})\s*[:#])[\s\S])*+)"
-    values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), strip)
-    return filled(F.array_join(F.array_remove(values, ""), "\n"))
+        value = filled(F.regexp_extract(text, pattern, 1))
+    else:
+        # a run of characters of which none begins a known label; only the first letters of words
+        # that may be one are looked at, the rest of a word is taken at once
+        first = "".join(sorted({c for o in known for c in (o.strip()[:1].upper(), o.strip()[:1].lower())}))
+        quick = first.isascii() and first.isalpha() and all(o.strip() for o in known)
+        run = (rf"[^{first}]++|(?!\b(?:{stops})\s*[:#])[{first}][A-Za-z0-9_]*+" if quick
+               else rf"(?!\b(?:{stops})\s*[:#])[\s\S]")
+        pattern = rf"{begin}((?:{run})*+)"
+        values = F.transform(F.regexp_extract_all(text, F.lit(pattern), F.lit(1)), strip)
+        value = filled(F.array_join(F.array_remove(values, ""), "\n"))
+    words = label.strip().rstrip(":").split()
+    if not words or not words[0].isascii():
+        return value
+    return F.when(mentions(F.upper(text) if upper is None else upper, words[0]), value)

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import json
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.functions.jsonedit import patched
 from chartloom.functions.jsonval import array_size, read_path, to_json
-from chartloom.functions.text import filled, is_blank, labelled_value, strip, truncate
+from chartloom.functions.text import filled, is_blank, labelled_value, mentions, strip, truncate
 from chartloom.operators import settle, unnest
 from chartloom.operators.infer import Backend, infer, infer_distinct, render_prompt, reply_document
 from chartloom.schemas import ENTITIES, ENTITIES_ANY_KEYS
@@ -87,14 +88,14 @@ def _listed(value: Column, separator: str) -> Column:
     return F.coalesce(F.filter(items, lambda v: v != ""), F.array().cast("array<string>"))
 
 
-def _vital(text: Column, pattern: str) -> Column:
-    return filled(F.regexp_extract(text, pattern, 1))
-
-
-def _entities_of_note(text: Column, complaint: Column, assessed: Column) -> Column:
-    """Entities that a labelled note states, as a struct."""
+def _entities_of_note(text: Column, upper: Column, complaint: Column, assessed: Column) -> Column:
+    """Entities that a labelled note, also given in upper case, states, as a struct."""
     def value(label: str) -> Column:
-        return labelled_value(text, label)
+        return labelled_value(text, label, upper=upper)
+
+    def vital(pattern: str) -> Column:
+        word = re.search(r"\\b(\w+):", pattern)[1]
+        return F.when(mentions(upper, word), filled(F.regexp_extract(text, pattern, 1)))
 
     null = F.lit(None).cast("string")
 
@@ -134,17 +135,17 @@ def _entities_of_note(text: Column, complaint: Column, assessed: Column) -> Colu
             ),
         ).alias("procedures"),
         F.struct(
-            _vital(text, r"\bBP: ?(\d+/\d+)").alias("blood_pressure"),
-            _vital(text, r"\bTemp: ?([\d.]+ ?°?[FC])").alias("temperature"),
-            _vital(text, r"\bHR: ?(\d+)").alias("heart_rate"),
-            _vital(text, r"\bRR: ?(\d+)").alias("respiratory_rate"),
-            _vital(text, r"\bSpO2: ?(\d+%)").alias("oxygen_saturation"),
+            vital(r"\bBP: ?(\d+/\d+)").alias("blood_pressure"),
+            vital(r"\bTemp: ?([\d.]+ ?°?[FC])").alias("temperature"),
+            vital(r"\bHR: ?(\d+)").alias("heart_rate"),
+            vital(r"\bRR: ?(\d+)").alias("respiratory_rate"),
+            vital(r"\bSpO2: ?(\d+%)").alias("oxygen_saturation"),
         ).alias("vital_signs"),
         _listed(value("ALLERGIES"), "[,;]").alias("allergies"),
         F.struct(
-            _vital(text, r"(?i)\bsmoking: ?([^,;.\n]+)").alias("smoking"),
-            _vital(text, r"(?i)\balcohol: ?([^,;.\n]+)").alias("alcohol"),
-            _vital(text, r"(?i)\boccupation: ?([^,;.\n]+)").alias("occupation"),
+            vital(r"(?i)\bsmoking: ?([^,;.\n]+)").alias("smoking"),
+            vital(r"(?i)\balcohol: ?([^,;.\n]+)").alias("alcohol"),
+            vital(r"(?i)\boccupation: ?([^,;.\n]+)").alias("occupation"),
         ).alias("social_history"),
         F.when(complaint.isNotNull() & assessed.isNotNull(), "high")
         .when(complaint.isNotNull() | assessed.isNotNull(), "medium")
@@ -162,16 +163,17 @@ def _entities_of_note(text: Column, complaint: Column, assessed: Column) -> Colu
 def extract_by_rules(df: DataFrame, text: str = "text", output: str = "entities") -> DataFrame:
     """Entity JSON per document from label rules, without a model, wholly in the JVM."""
     note = F.col(text)
-    labelled = df.withColumns(
+    upper = F.col("_upper")
+    labelled = df.withColumn("_upper", F.upper(note)).withColumns(
         {
-            "_complaint": labelled_value(note, "CHIEF COMPLAINT"),
-            "_assessed": labelled_value(note, "ASSESSMENT"),
+            "_complaint": labelled_value(note, "CHIEF COMPLAINT", upper=upper),
+            "_assessed": labelled_value(note, "ASSESSMENT", upper=upper),
         }
     )
-    found = _entities_of_note(note, F.col("_complaint"), F.col("_assessed"))
+    found = _entities_of_note(note, upper, F.col("_complaint"), F.col("_assessed"))
     extracted = labelled.withColumn(
         output, F.when(is_blank(note), F.lit(SHORT_TEXT_ENTITIES)).otherwise(to_json(found))
-    ).drop("_complaint", "_assessed")
+    ).drop("_complaint", "_assessed", "_upper")
     return settle(extracted, output)
 
 

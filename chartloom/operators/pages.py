@@ -107,9 +107,11 @@ def extract_fields(
     df: DataFrame, text: Column, labels: Sequence[str] = PAGE_LABELS
 ) -> DataFrame:
     """One column per label with the value written after it in the text."""
-    return df.withColumn("_text", text).withColumns(
-        {field_name(label): labelled_value(F.col("_text"), label, labels) for label in labels}
-    ).drop("_text")
+    staged = df.withColumn("_text", text).withColumn("_upper", F.upper("_text"))
+    return staged.withColumns({
+        field_name(label): labelled_value(F.col("_text"), label, labels, F.col("_upper"))
+        for label in labels
+    }).drop("_text", "_upper")
 
 
 def page_fields(pages: DataFrame) -> DataFrame:

@@ -5,7 +5,8 @@ from pathlib import Path
 
 from pyspark.sql import functions as F
 
-from chartloom.operators import grids
+from chartloom.functions import text
+from chartloom.operators import evidence, grids
 from chartloom.operators.entities import flatten_leaves
 from chartloom.operators.infer import infer
 from chartloom.plans import gold
@@ -103,3 +104,25 @@ def test_notes_are_spread_behind_the_join(spark, tmp_path):
     notes = encounters(spark, str(tmp_path))
     assert splits > 1 and notes.rdd.getNumPartitions() == 8 * splits
     assert notes.count() == 118 and notes.select("document_id").distinct().count() == 59
+
+
+def test_labels_are_searched_only_in_texts_that_hold_their_word(spark):
+    """Same values as by the plain pattern, which looks at every character."""
+    rng = random.Random(9)
+    pieces = ("PLAN:", "plan #", "Plan", "MRN:", "DATE :", "ENCOUNTER  DATE:", "ASSESSMENT:", "page_id: 7", "xPLAN: y", "é", "\n",
+              "ok", "_PLAN:", "9", " ", "\t", ": ", "dates", "PLAN:PLAN: a", "ſ", "physical exam:", "PHYSICAL", "́plan: ")
+    texts = ["".join(rng.choices(pieces, k=rng.randint(0, 12))) for _ in range(3000)] + [None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for label in ("PLAN:", "ASSESSMENT:", "MEDICATIONS"):
+        stops = text._stops((label, *text.NOTE_LABELS, *text.NOTE_HEADINGS))
+        plain = rf"(?i)\b{text._label_pattern(label)}\s*[:#][ \t]*((?:(?!\b(?:{stops})\s*[:#])[\s\S])*+)"
+        values = F.transform(F.regexp_extract_all("t", F.lit(plain), F.lit(1)), text.strip)
+        both = df.select("t", text.labelled_value(F.col("t"), label).alias("quick"),
+                         text.filled(F.array_join(F.array_remove(values, ""), "\n")).alias("slow"))
+        assert "Contains(upper(" in plan(both)
+        assert both.filter(~F.col("quick").eqNullSafe(F.col("slow"))).collect() == []
+
+
+def test_values_are_looked_up_once(spark):
+    visits = encounters(spark, "/root/testdata/sf0.001")
+    assert plan(evidence.evidence(visits, "document_id")).lower().count("position(") == 1
