@@ -82,30 +82,34 @@ def nearest_passage(words: Column, value: Column, near: float = NEAR) -> Column:
     return F.array_min(F.filter(runs, lambda r: r["distance"].isNotNull()))
 
 
-def _judged(v: Column, text: Column, words: Column, near: float) -> Column:
-    """``struct(kind, value, status, distance, position, correction)`` of a stated value."""
-    place = F.position(F.lower(v["value"]), text)
-    found = F.when(place == 0, nearest_passage(words, v["value"], near))
+def _judged(v: Column, place: Column, words: Column, near: float) -> Column:
+    """``struct(kind, value, status, distance, position, correction)`` of a stated value, which
+    stands at a place of the text or, at 0, nowhere."""
+    def row(kind: Column, status: Column, distance: Column, position: Column, correction: Column) -> Column:
+        return F.struct(
+            kind.alias("kind"), v["value"].alias("value"), status.alias("status"), distance.alias("distance"),
+            position.alias("position"), correction.alias("correction"))
 
-    def row(best: Column) -> Column:
+    def searched(best: Column) -> Column:
         passage = F.array_join(F.slice(words, best["position"], best["words"]), " ")
-        return F.struct(
-            v["kind"].alias("kind"), v["value"].alias("value"),
-            F.when(place > 0, "stated").when(best.isNotNull(), "near").otherwise("absent").alias("status"),
-            F.when(place > 0, 0).otherwise(best["distance"]).alias("distance"),
-            F.when(place > 0, place).otherwise(best["position"]).alias("position"),
-            F.when(best.isNotNull(), passage).alias("correction"))
+        return row(v["kind"], F.when(best.isNotNull(), "near").otherwise("absent"), best["distance"],
+                   best["position"], F.when(best.isNotNull(), passage))
 
-    return let(found, row)
+    none = F.lit(None).cast("string")
+    return F.when(place > 0, row(v["kind"], F.lit("stated"), F.lit(0), place, none)).otherwise(
+        let(nearest_passage(words, v["value"], near), searched))
 
 
 def _with_judged(df: DataFrame, text: str, entity: str, near: float) -> DataFrame:
-    """``df`` with ``_judged``, the judged values of each row."""
-    staged = df.withColumns({
-        "_text": F.lower(F.coalesce(F.col(text), F.lit(""))), "_words": words_of(F.col(text)),
-        "_values": stated(F.col(entity))})
-    return staged.withColumn("_judged", F.transform(
-        "_values", lambda v: _judged(v, F.col("_text"), F.col("_words"), near))).drop("_text", "_words", "_values")
+    """``df`` with ``_judged``, the judged values of each row.  Each value is looked up once, and the
+    words of a text are cut only where it lacks one."""
+    lowered = F.lower(F.coalesce(F.col(text), F.lit("")))
+    staged = df.withColumns({"_text": lowered, "_values": stated(F.col(entity))}).withColumn(
+        "_places", F.transform("_values", lambda v: F.position(F.lower(v["value"]), F.col("_text"))))
+    cut = staged.withColumn("_words", F.when(
+        F.array_contains("_places", F.lit(0)), words_of(F.col(text))))
+    return cut.withColumn("_judged", F.transform("_values", lambda v, i: _judged(
+        v, F.get(F.col("_places"), i), F.col("_words"), near))).drop("_text", "_words", "_values", "_places")
 
 
 def evidence(df: DataFrame, *keys: str, text: str = "text", entity: str = "entity",
@@ -123,9 +127,11 @@ def evidence(df: DataFrame, *keys: str, text: str = "text", entity: str = "entit
 def _lacking(entity: Column, found: Column, near: float) -> Column:
     """What ``found`` states and no value of that kind in ``entity`` has."""
     def untold(own: Column) -> Column:
-        return F.array_distinct(F.filter(stated(found), lambda fact: ~F.exists(own, lambda v: (
-            v["kind"] == fact["kind"]) & distance(F.lower(v["value"]), F.lower(fact["value"]), _limit(
-                fact["value"], near)).isNotNull())))
+        # the same value under the same kind needs no edits to be computed
+        return F.array_distinct(F.filter(stated(found), lambda fact: ~(
+            F.array_contains(own, fact) | F.exists(own, lambda v: (
+                v["kind"] == fact["kind"]) & distance(F.lower(v["value"]), F.lower(fact["value"]), _limit(
+                    fact["value"], near)).isNotNull()))))
 
     return let(stated(entity), untold)
 
