@@ -371,6 +371,20 @@ def latest_answers(answers: DataFrame) -> DataFrame:
     ).filter(F.coalesce("answer", F.lit("")) != "")
 
 
+def answered_documents(answers: DataFrame) -> DataFrame:
+    """``document_id`` of the documents that :func:`latest_answers` has answers of, each once.
+
+    Of equally new answers any text outdoes an empty one, so a question is answered where the newest
+    text is as new as the newest answer.  Times alone are compared, which needs no sorting.
+    """
+    text = F.coalesce("answer", F.lit("")) != ""
+    newest = answers.groupBy("document_id", "question_id").agg(
+        F.max("answered_at").alias("_any"), F.max(F.when(text, F.col("answered_at"))).alias("_text"),
+        F.count_if(text).alias("_texts"))
+    held = newest.filter((F.col("_texts") > 0) & F.col("_text").eqNullSafe(F.col("_any")))
+    return held.select("document_id").distinct()
+
+
 def unknown_documents(answers: DataFrame, queue: DataFrame) -> DataFrame:
     """Error rows for answers to documents that are not in the queue."""
     ids = answers.select("document_id").distinct()

@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType
+from pyspark.sql.types import ArrayType, StringType
 
 from chartloom.config import PipelineSettings
 from chartloom.functions.ids import visit_id
@@ -62,6 +62,16 @@ def review_queue(decided: DataFrame, now: Column) -> DataFrame:
     return conform(rows, _contract(rows, REVIEW_QUEUE))
 
 
+def waiting(decided: DataFrame) -> DataFrame:
+    """The documents of :func:`review_queue` with no more than answers are merged into: identity,
+    ``document_id, entities`` and ``questions`` as an array, not as a JSON document."""
+    rows = decided.filter(F.col("status") == review.QUEUED)
+    asked = F.transform("questions", lambda q: F.struct(
+        q["id"].alias("id"), q["field_to_update"].alias("field_to_update")))
+    return rows.select(
+        *[c for c in IDENTITY if c in decided.columns], "document_id", "entities", asked.alias("questions"))
+
+
 def _summaries(noted: DataFrame, now: Column) -> DataFrame:
     rows = (
         noted.withColumn("quality_metrics", soap.quality_metrics(now))
@@ -98,17 +108,18 @@ class Reviewed:
 def reviewed(queue: DataFrame, answers: DataFrame, now: Column) -> Reviewed:
     """Merge answers into queued documents.
 
-    ``queue`` is the stored review queue, one row per document.  The merge is written
-    down once and the four results read it; :func:`outcomes` alone stays lazy.
+    ``queue`` is the stored review queue, one row per document, or :func:`waiting`.  The merge is
+    written down once and the four results read it; :func:`outcomes` alone stays lazy.
     """
-    merged = materialise(merged_answers(queue, answers), "merged")
+    unread = ("source_text", "ambiguities", "questions", "entities")
+    merged = materialise(merged_answers(queue, answers).drop(*unread), "merged")
     return outcomes(merged, queue, answers, now)
 
 
 def merged_answers(queue: DataFrame, answers: DataFrame) -> DataFrame:
-    asked = queue.withColumn(
-        "questions", F.from_json("questions", QUESTIONS_DOC)["questions"]
-    ).drop("completeness_before")
+    asked = queue.drop("completeness_before")
+    if isinstance(queue.schema["questions"].dataType, StringType):
+        asked = asked.withColumn("questions", F.from_json("questions", QUESTIONS_DOC)["questions"])
     return review.merge_feedback(review.answered_questions(asked, answers))
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chartloom.functions import text
 from chartloom.operators import evidence, grids
+from chartloom.operators import review as rv
 from chartloom.operators.entities import flatten_leaves
 from chartloom.operators.infer import infer
 from chartloom.plans import gold
@@ -126,3 +127,24 @@ def test_labels_are_searched_only_in_texts_that_hold_their_word(spark):
 def test_values_are_looked_up_once(spark):
     visits = encounters(spark, "/root/testdata/sf0.001")
     assert plan(evidence.evidence(visits, "document_id")).lower().count("position(") == 1
+
+
+def test_answered_documents_without_sorting_answers(spark):
+    rng = random.Random(4)
+    rows = [(rng.choice(["a", "b", "c", None, *map(str, range(60))]), rng.choice(["q1", "q2", None]),
+             rng.choice([None, "", "", "x", " "]), rng.choice([None, 1, 2])) for _ in range(400)]
+    answers = spark.createDataFrame(rows, "document_id string, question_id string, answer string, t long").withColumn(
+        "answered_at", F.timestamp_seconds("t")).drop("t")
+    held = rv.answered_documents(answers)
+    assert "SortAggregate" not in plan(held)
+    assert sorted(held.collect(), key=repr) == sorted(
+        rv.latest_answers(answers).select("document_id").distinct().collect(), key=repr)
+
+
+def test_answers_meet_questions_that_were_never_json(spark):
+    df = spark.createDataFrame([("1", '{"chief_complaint": ""}', "t")], "document_id string, entities string, text string")
+    waiting = gold.waiting(gold.assessed(df))
+    assert waiting.columns == ["document_id", "entities", "questions"] and "to_json" not in plan(waiting)
+    answers = spark.createDataFrame([("1", "q1", "pain", 1)], "document_id string, question_id string, answer string, answered_at long")
+    [row] = gold.merged_answers(waiting, answers).collect()
+    assert row.updated_entities == '{"chief_complaint":"pain"}' and row.fields_improved == 1
