@@ -144,7 +144,8 @@ def test_answered_documents_without_sorting_answers(spark):
 def test_answers_meet_questions_that_were_never_json(spark):
     df = spark.createDataFrame([("1", '{"chief_complaint": ""}', "t")], "document_id string, entities string, text string")
     waiting = gold.waiting(gold.assessed(df))
-    assert waiting.columns == ["document_id", "entities", "questions"] and "to_json" not in plan(waiting)
+    assert "StructsToJson" in plan(gold.review_queue(gold.assessed(df), F.current_timestamp()))
+    assert waiting.columns == ["document_id", "entities", "questions"] and "StructsToJson" not in plan(waiting)
     answers = spark.createDataFrame([("1", "q1", "pain", 1)], "document_id string, question_id string, answer string, answered_at long")
     [row] = gold.merged_answers(waiting, answers).collect()
     assert row.updated_entities == '{"chief_complaint":"pain"}' and row.fields_improved == 1
