@@ -1,16 +1,22 @@
-"""Katz backoff scores of whole texts.
+"""Katz backoff scores of whole texts, of any order.
 
 Words are counted over all training texts and numbered by falling count, so that a number
-gives its word's count by a short list of steps.  Texts become (context, word) pairs of numbers
-and meet in buckets by context: a bucket counts its pairs, discounts them by Good-Turing, finds
-each context's backoff weight from the words seen after it, exactly normalised, and scores every
-pair of every text: the discounted bigram where it was seen, else weight times the unigram, else
-the share of unknown words.  Texts get back one partial sum per bucket.
-
-Nothing frequent gathers in one bucket.  Contexts with ``SHARE`` of all tokens, at most
-``1 / SHARE`` of them, are dealt to all buckets by word, their sums gathered beforehand.  Pairs with
-``SHARE`` of all tokens, again at most ``1 / SHARE``, are broadcast with their probability and
-scored where the texts lie; any other pair comes once from each text, with its times.
+gives its word's count by a short list of steps.  Texts are kept in batches.  Order by order, from
+pairs to the highest, each batch asks for its distinct n-grams, in buckets by context.  A bucket
+sums what all batches ask for and is stored as a row of that order's table of counts, with the
+places of each batch's n-grams in it.  Counts of counts over the stored table give the Good-Turing
+discounts; a pass over it answers each batch with the n-grams' counts and their contexts'
+denominators and backoff masses.  With the answers of all orders a batch evaluates its tokens
+recursively: the discounted n-gram where it was seen, else the context's weight, exactly
+normalised, times the same of the order below, down to the unigram and the share of unknown words.
+
+An order asks only for n-grams whose context the order below has seen in training; the others
+back off with weight 1.  The context of a text's n-th token has n words at most, the start of the
+text being the first: its first token is scored by pairs, whatever the order.
+
+Nothing frequent gathers in one bucket.  An n-gram comes once from each batch, with its times.
+Contexts with ``SHARE`` of all tokens, at most ``1 / SHARE`` of them, known from the table of the
+order below, are dealt to all buckets by word, and their sums are gathered before the answers.
 
 Numbers reach the tasks by a sorted array of the vocabulary while it has at most
 ``VOCABULARY`` words; a larger one meets the words in a shuffle, with the same result.
@@ -22,30 +28,39 @@ training token every token is unknown with probability 1; other columns play no
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chartloom.llm.common import (
-    WordHashes, arrow_pass, materialise, mixed, release_memory, text_bytes, training_rows,
-    word_hashes)
+    ODD, WordHashes, arrow_pass, materialise, mixed, numbered_words, release_memory, slices,
+    small_batches, training_rows, word_hashes)
 
 DISCOUNTED = 5  # counts up to this one are discounted
 BUCKET_TOKENS, SHARE, VOCABULARY = 1_000_000, 1 / 2000, 12_000_000
-GROUP_TEXTS = 5_000  # whose partial sums travel together
+GROUP_TEXTS, BATCH_TOKENS = 5_000, 700_000  # of a batch, about; a text may have more tokens
 END = np.uint64(0x5851F42D4C957F2D)  # stands for the end among the words' hashes
 START = np.uint32(2**32 - 1)  # the context of a first token
-LOW = np.uint64(2**32 - 1)  # the word of a pair
 ZSTD, UNZSTD = zstandard.ZstdCompressor(level=3), zstandard.ZstdDecompressor()
 
 
-def text_hashes(text: str | None, known: WordHashes) -> np.ndarray:
-    """Hashes of the lower-cased words and of the end."""
-    return np.append(word_hashes(text_bytes(text).lower().split(), known), END)
+def words_of(texts: pa.Array, known: WordHashes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the distinct lower-cased words of some texts and, last, of the end; which of them
+    each token is, and how many tokens each text has."""
+    words, numbers, ends = numbered_words(pc.ascii_lower(texts.cast(pa.string())))
+    sizes = np.diff(ends, prepend=0) + 1
+    tokens = np.full(int(sizes.sum()), len(words), np.int64)
+    inner = np.ones(len(tokens), bool)
+    inner[np.cumsum(sizes) - 1] = False
+    tokens[inner] = numbers
+    return np.append(word_hashes(words, known), END), tokens, sizes
 
 
 def discounts(counts: list[int], most: int = DISCOUNTED) -> np.ndarray:
@@ -117,9 +132,8 @@ def word_counts(given: DataFrame) -> DataFrame:
         known = WordHashes()
 
         def work(batch):
-            texts = [text_hashes(t, known) for t in batch.column(0).to_pylist()]
-            words, counts = np.unique(np.concatenate(texts), return_counts=True)
-            return words.view(np.int64), counts
+            words, tokens, _ = words_of(batch.column(0), known)
+            return words.view(np.int64), np.bincount(tokens, minlength=len(words))
         return work
 
     counted = arrow_pass(given.filter("train").select("text"), make, "word long, c long",
@@ -154,30 +168,49 @@ class Numbers:
     def of(self, hashes: np.ndarray) -> np.ndarray:
         if not len(self.words):
             return np.zeros(len(hashes), np.uint32)
-        own, back = np.unique(hashes, return_inverse=True)
-        at = np.minimum(np.searchsorted(self.words, own), len(self.words) - 1)
-        number = np.where(self.words[at] == own, self.numbers[at], len(self.words))
-        return number.astype(np.uint32)[back]
+        at = np.minimum(np.searchsorted(self.words, hashes), len(self.words) - 1)
+        return np.where(self.words[at] == hashes, self.numbers[at], len(self.words)).astype(np.uint32)
 
 
-def _numbered_texts(given: DataFrame, words: DataFrame, unigrams: Unigrams) -> DataFrame:
-    """(doc_id, train, row, n_tokens, n_known, base_score, numbers): a row per text, with its
-    numbers as unsigned 32-bit integers, by byte."""
+def _batches_of_texts(given: DataFrame, words: DataFrame, unigrams: Unigrams) -> DataFrame:
+    """A row per batch of texts: its name, and of its texts doc_id, train, lengths, n_known,
+    base_score and, as unsigned 32-bit integers, the numbers of all words."""
     spark = given.sparkSession
     size = unigrams.words
-    kind = ("doc_id string, train boolean, row long, n_tokens long, n_known long, "
-            "base_score double, numbers binary")
+    kind = ("batch long, doc_id array<string>, train array<boolean>, lengths array<long>, "
+            "n_known array<long>, base_score array<double>, numbers binary")
     types = pa.schema([
-        ("doc_id", pa.string()), ("train", pa.bool_()), ("row", pa.int64()),
-        ("n_tokens", pa.int64()), ("n_known", pa.int64()), ("base_score", pa.float64()),
-        ("numbers", pa.binary())])
-
-    def described(ids, train, keys, lengths: list[int], every: np.ndarray) -> list:
-        count = unigrams.count(every)
-        starts = np.cumsum([0, *lengths[:-1]])
-        base = np.log10((count + 1) / (unigrams.total + size + 1))
-        return [ids, train, keys, lengths, np.add.reduceat((count > 0).astype(np.int64), starts),
-                np.add.reduceat(base, starts), [_planes(n) for n in np.split(every, starts[1:])]]
+        ("batch", pa.int64()), ("doc_id", pa.list_(pa.string())), ("train", pa.list_(pa.bool_())),
+        ("lengths", pa.list_(pa.int64())), ("n_known", pa.list_(pa.int64())),
+        ("base_score", pa.list_(pa.float64())), ("numbers", pa.binary())])
+
+    def batched(parts: Iterator[tuple[list, list, np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        """(doc_ids, train flags, lengths, numbers) of some texts after others, put together."""
+        name, held, count = TaskContext.get().partitionId() << 33, [], 0
+
+        def close() -> pa.RecordBatch:
+            ids, train = ([x for part in held for x in part[i]] for i in (0, 1))
+            lengths, own = (np.concatenate([part[i] for part in held]) for i in (2, 3))
+            starts, seen = np.cumsum(lengths) - lengths, unigrams.count(own)
+            base = np.log10((seen + 1) / (unigrams.total + size + 1))
+            values = [name, ids, train, lengths, np.add.reduceat((seen > 0).astype(np.int64), starts),
+                      np.add.reduceat(base, starts), _packed(own)]
+            return pa.RecordBatch.from_arrays([pa.array([v], t.type) for v, t in zip(values, types)], schema=types)
+
+        for ids, train, lengths, own in parts:
+            ends, a = np.append(0, np.cumsum(lengths)), 0
+            while a < len(ids):
+                b = int(np.searchsorted(ends, ends[a] + BATCH_TOKENS - count, "right")) - 1
+                b = min(max(b, a + (not held)), a + GROUP_TEXTS - sum(len(h[0]) for h in held))
+                if b > a:
+                    held.append((ids[a:b], train[a:b], lengths[a:b], own[ends[a]:ends[b]]))
+                    count, a = count + int(ends[b] - ends[a]), b
+                if a < len(ids):
+                    yield close()
+                    name, held, count = name + 1, [], 0
+        if held:
+            yield close()
+        release_memory()
 
     if size <= VOCABULARY:
         table = words.toArrow()
@@ -185,28 +218,28 @@ def _numbered_texts(given: DataFrame, words: DataFrame, unigrams: Unigrams) -> D
         shared = spark.sparkContext.broadcast(
             (hashes[order], table["number"].to_numpy()[order].astype(np.uint32)))
 
-        def make():
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             known, vocabulary = WordHashes(), Numbers(*shared.value)
 
-            def work(batch):
-                hashes = [text_hashes(t, known) for t in batch.column(2).to_pylist()]
-                return described(*batch.columns[:2], batch.column(3), [len(h) for h in hashes],
-                                 vocabulary.of(np.concatenate(hashes)))
-            return work
+            def described(part: pa.RecordBatch):
+                words, tokens, lengths = words_of(part.column(2), known)
+                return (*(c.to_pylist() for c in part.columns[:2]), lengths, vocabulary.of(words)[tokens])
+            return batched(described(part) for batch in batches for part in slices(batch))
 
-        return arrow_pass(given.select("doc_id", "train", "text", "row"), make, kind, types)
+        small_batches(spark)
+        return given.select("doc_id", "train", "text").mapInArrow(run, kind)
 
     def explode():
         known = WordHashes()
 
         def work(batch):
-            ids, train, texts, rows = (c.to_pylist() for c in batch.columns)
-            hashes = [text_hashes(t, known) for t in texts]
-            sizes = [len(h) for h in hashes]
+            texts = batch.column(2)
+            ids, train, rows = (batch.column(i).to_pylist() for i in (0, 1, 3))
+            words, tokens, sizes = words_of(texts, known)
             return (pa.array(ids, pa.string()).take(np.repeat(np.arange(len(ids)), sizes)),
                     np.repeat(np.array(train, bool), sizes), np.repeat(rows, sizes),
                     np.concatenate([np.arange(n) for n in sizes]),
-                    np.concatenate(hashes).view(np.int64))
+                    words[tokens].view(np.int64))
         return work
 
     tokens = arrow_pass(
@@ -218,310 +251,368 @@ def _numbered_texts(given: DataFrame, words: DataFrame, unigrams: Unigrams) -> D
         F.sort_array(F.collect_list(F.struct("at", F.coalesce("number", F.lit(size)).alias("n"))))
         .alias("items")).select("doc_id", "train", "row", F.col("items.n").alias("items"))
 
-    def pack():
-        def work(batch):
-            items = batch.column(3).to_pylist()
-            every = np.concatenate([np.array(x, np.uint32) for x in items])
-            return described(*batch.columns[:3], [len(x) for x in items], every)
-        return work
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def described(batch: pa.RecordBatch):
+            ids, train, items = (c.to_pylist() for c in batch.columns)
+            lengths = np.array([len(x) for x in items], np.int64)
+            return ids, train, lengths, np.concatenate([np.array(x, np.uint32) for x in items])
+        return batched(described(batch) for batch in batches if batch.num_rows)
 
-    return arrow_pass(found, pack, kind, types)
+    return found.select("doc_id", "train", "items").mapInArrow(pack, kind)
 
 
-def _planes(values: np.ndarray) -> bytes:
-    """Unsigned 32-bit values by byte, compressed."""
-    return ZSTD.compress(values.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+def _packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length and without negative values, by byte and compressed."""
+    block = np.stack([c.astype("<u8") for c in columns])
+    size = max(1, -(-int(block.max(initial=0)).bit_length() // 8))
+    planes = block.view(np.uint8).reshape(*block.shape, 8)[:, :, :size].transpose(0, 2, 1)
+    return bytes([size]) + ZSTD.compress(planes.tobytes())
 
 
-def _values(raw: bytes) -> np.ndarray:
-    planes = np.frombuffer(UNZSTD.decompress(raw), np.uint8)
-    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4")[:, 0]
+def _columns(raw: bytes, width: int) -> np.ndarray:
+    planes = np.frombuffer(UNZSTD.decompress(raw[1:]), np.uint8).reshape(width, raw[0], -1)
+    block = np.zeros((width, planes.shape[2], 8), np.uint8)
+    block[:, :, :raw[0]] = planes.transpose(0, 2, 1)
+    return block.view("<i8")[:, :, 0]
 
 
-def _steps(values: np.ndarray) -> bytes:
-    """Values that mostly rise, by what they rise."""
-    return _planes(np.diff(values.astype(np.uint32), prepend=np.uint32(0)))
+def _packed_grams(columns: np.ndarray) -> bytes:
+    """n-grams in order: the first word rises and is kept by what it rises."""
+    return _packed(np.diff(columns[0], prepend=np.uint32(0)), *columns[1:])
 
 
-def _from_steps(raw: bytes) -> np.ndarray:
-    return np.cumsum(_values(raw), dtype=np.uint32)
+def _grams(raw: bytes, order: int) -> np.ndarray:
+    columns = _columns(raw, order)
+    columns[0] = np.cumsum(columns[0])
+    return columns.astype(np.uint32)
 
 
-def _text_pairs(numbers: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs of some texts, context << 32 | word, and which text each is from."""
-    words = [_values(n) for n in numbers]
-    lengths = [len(w) for w in words]
-    word = np.concatenate(words)
-    context = np.concatenate([[START], word[:-1]])
-    context[np.cumsum([0, *lengths[:-1]])] = START
-    return (context.astype(np.uint64) << np.uint64(32) | word,
-            np.repeat(np.arange(len(words), dtype=np.uint32), lengths))
+def _unique(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where one of each distinct value stands, in order, and which of them each is."""
+    order = np.argsort(values)
+    new = np.append(True, np.diff(values[order]) != 0)[:len(values)]
+    at = np.empty(len(values), np.int64)
+    at[order] = np.cumsum(new) - 1
+    return order[new], at
 
 
-def _bucket_of(pair: np.ndarray, buckets: int, hot: int, size: int) -> np.ndarray:
-    """By context; frequent and unknown contexts are spread by word."""
-    context = pair >> np.uint64(32)
-    spread = (context < hot) | (context >= size)
-    return (mixed(np.where(spread, pair + np.uint64(1), context)) % np.uint64(buckets)).astype(np.int64)
+def _distinct(columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of n-grams, a column for each place: where one of each distinct one stands, in the order of
+    their words, and which of them each is."""
+    at = columns[0].astype(np.uint64)
+    for column in columns[1:]:
+        one, at = _unique(at.astype(np.uint64) << np.uint64(32) | column)
+    return one, at
 
 
-def _pair_counts_of(texts: DataFrame, buckets: int, hot: int, size: int) -> DataFrame:
-    """(bucket, context, word, all, trained): how often each pair of some texts stands there, and
-    in those for training."""
-    def make():
-        def work(batch):
-            train, numbers = (c.to_pylist() for c in batch.columns)
-            pair, row = _text_pairs(numbers)
-            trained = np.array(train, bool)[row]
-            pair, at = np.unique(pair, return_inverse=True)
-            every = np.bincount(at, minlength=len(pair))
-            known = np.bincount(at, trained, len(pair))
-            bucket = _bucket_of(pair, buckets, hot, size)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.append(0, np.flatnonzero(np.diff(bucket[order])) + 1)
-            out = [[], [], [], [], []]
-            for own in np.split(order, cuts[1:]):
-                for column, value in zip(out, (
-                        int(bucket[own[0]]), _steps(pair[own] >> np.uint64(32)),
-                        *map(_planes, (pair[own] & LOW, every[own], known[own])))):
-                    column.append(value)
-            return out
-        return work
+def _names(columns: np.ndarray) -> np.ndarray:
+    """Names of contexts: their words, of long ones a hash."""
+    name = columns[0].astype(np.uint64)
+    for n, column in enumerate(columns[1:]):
+        name = name << np.uint64(32) | column if n == 0 else mixed(mixed(name + ODD) + column)
+    return name
 
-    return arrow_pass(
-        texts.select("train", "numbers"), make,
-        "bucket long, context binary, word binary, all binary, trained binary",
-        pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in ("context", "word", "all", "trained"))]))
+
+def _bucket_of(columns: np.ndarray, buckets: int, hot: np.ndarray) -> np.ndarray:
+    """By context; hot ones are spread by word."""
+    name = _names(columns[:-1])
+    spread = np.where(_among(name, hot)[0], mixed(columns[-1].astype(np.uint64) + ODD), np.uint64(0))
+    return (mixed(mixed(name) ^ spread) % np.uint64(buckets)).astype(np.int64)
 
 
-def _pairs_by_row(texts: DataFrame, buckets: int, hot: int, size: int, common) -> DataFrame:
-    """(bucket, rows, train, context, word, more, times): the pairs of some texts, each once for a
-    text with the times it stands there, ``more`` saying which of the texts of (rows, train) it is
-    from.  Pairs in the broadcast ``common`` are left out."""
+def _among(names: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which names are among sorted ones, and where."""
+    if not len(known):
+        return np.zeros(len(names), bool), np.zeros(len(names), np.int64)
+    at = np.minimum(np.searchsorted(known, names), len(known) - 1)
+    return known[at] == names, at
+
+
+@dataclass(frozen=True)
+class Level:
+    """How the n-grams of an order are dealt, and, once its table stands, their discounts."""
+
+    order: int
+    buckets: int
+    hot: np.ndarray  # names of contexts, in order
+    kept: np.ndarray | None = None
+
+
+class Batch:
+    """The tokens of a batch of texts, with what is known of each: probability, count and
+    reciprocal of the context's denominator at the order reached."""
+
+    def __init__(self, words: np.ndarray, lengths: list[int], unigrams: Unigrams):
+        self.words, self.lengths = words, np.array(lengths, np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.place = np.arange(len(words)) - np.repeat(self.starts, self.lengths)
+        self.count = unigrams.count(words)
+        self.chance = unigrams.probability(words)
+        self.share = np.full(len(words), unigrams.scale / max(unigrams.total, 1))
+        self.trained = unigrams.total > 0
+
+    def asked(self, level: Level) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Tokens whose context was seen, the n-grams that end there, by bucket: distinct ones,
+        their buckets, where they first stand, and which of them each token ends."""
+        back = level.order - 1
+        seen = np.append(False, self.count[:-1] > 0)
+        if back == 1:
+            seen[self.starts] = self.trained
+        tokens = np.flatnonzero(seen & (self.place >= back - 1))
+        padded = np.append(self.words, START)
+        columns = np.stack([
+            padded[np.where(self.place[tokens] >= b, tokens - b, len(self.words))]
+            for b in range(back, -1, -1)])
+        first, at = _distinct(columns)
+        grams = columns[:, first]
+        bucket = _bucket_of(grams, level.buckets, level.hot)
+        order = np.sort(bucket << 32 | np.arange(len(bucket))) & (2**32 - 1)
+        rank = np.empty(len(order), np.int64)
+        rank[order] = np.arange(len(order))
+        return tokens, grams[:, order], bucket[order], first[order], rank[at]
+
+    def answer(self, level: Level, answers: list[tuple[int, bytes, bytes]]) -> None:
+        """Raise what is known by one order, by the buckets' answers."""
+        tokens, grams, *_, at = self.asked(level)
+        seen = np.zeros(len(self.words), np.int64)
+        if len(tokens):
+            parts = [_columns(raw, 2) for _, raw, _ in sorted(answers)]
+            count, under = np.concatenate(parts, 1)
+            unseen = np.concatenate([
+                _columns(raw, 2).view(np.float64) for *_, raw in sorted(answers)], 1)
+            left, share = np.zeros((2, grams.shape[1]))
+            left[count == 0], share[count == 0] = unseen
+            count, under, left, share = count[at], under[at], left[at], share[at]
+            cut = level.kept[np.where(count <= DISCOUNTED, count, 0)]
+            weight = left / np.maximum(1 - self.share[tokens] * share, 1e-12)
+            self.chance[tokens] = np.where(
+                count > 0, cut * count / under, weight * self.chance[tokens])
+            self.share[tokens] = 1 / under
+            seen[tokens] = count
+        self.count = seen
+
+
+def _ask(batch: int, texts: Batch, train: list[bool], level: Level) -> list[tuple]:
+    """What a batch asks of an order's buckets: n-grams with their times in texts for training, and
+    the count of each without its first word, which a pair's number tells by itself."""
+    tokens, grams, bucket, first, at = texts.asked(level)
+    known = np.repeat(np.array(train, bool), texts.lengths)[tokens]
+    trained = np.bincount(at[known], minlength=len(bucket))
+    lower = texts.count[tokens[first]] if level.order > 2 else np.zeros(len(bucket), np.int64)
+    edges = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(bucket))
+    return [(int(bucket[a]), batch, _packed_grams(grams[:, a:b]),
+             _packed(trained[a:b], lower[a:b])) for a, b in zip(edges, edges[1:])]
+
+
+ASKED = ("bucket long, batch long, grams binary, times binary", pa.schema([
+    ("bucket", pa.int64()), ("batch", pa.int64()), ("grams", pa.binary()), ("times", pa.binary())]))
+COUNTED = ("bucket long, grams binary, counts binary, batches array<long>, places array<binary>, "
+           "types array<double>, common array<long>, names array<long>, sums array<array<double>>",
+           pa.schema([
+               ("bucket", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary()),
+               ("batches", pa.list_(pa.int64())), ("places", pa.list_(pa.binary())),
+               ("types", pa.list_(pa.float64())), ("common", pa.list_(pa.int64())),
+               ("names", pa.list_(pa.int64())), ("sums", pa.list_(pa.list_(pa.float64())))]))
+
+
+def _context_sums(grams: np.ndarray, counts: np.ndarray, lower: np.ndarray, kept: np.ndarray):
+    """Per context of counted n-grams in order: where it starts, the sum of counts, how many
+    n-grams have each count up to ``DISCOUNTED``, and the discounted sum of ``lower``, their counts
+    one order below, whose discounts are ``kept``."""
+    if not len(counts):
+        return np.zeros(0, np.int64), np.zeros((0, DISCOUNTED + 3))
+    change = (np.diff(grams[:-1], axis=1) != 0).any(0)
+    first = np.append(0, np.flatnonzero(change) + 1)
+    below = lower * kept[np.where(lower <= DISCOUNTED, lower, 0)]
+    columns = [counts, *[counts == r for r in range(DISCOUNTED + 1)], below]
+    return first, np.stack([np.add.reduceat(c.astype(float), first) for c in columns], 1)
+
+
+def backoff(sums: np.ndarray, kept: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(denominator, mass left) of contexts by their sums.  A context of which no count is
+    discounted gives one count away, so that unseen words always have a share."""
+    total = sums[:, 0]
+    lost = (sums[:, 1:-1] * np.arange(DISCOUNTED + 1) * (1 - kept)).sum(1)
+    some = lost > 1e-9 * total
+    return np.where(some, total, total + 1), np.where(some, lost / total, 1 / (total + 1))
+
+
+def _counted(asked: DataFrame, level: Level, below: np.ndarray, often: float,
+             unigrams: Unigrams) -> DataFrame:
+    """The stored table of an order: a row per bucket with its n-grams and counts, and the places
+    in it of what each batch asked for; besides counts of counts, contexts of the next order
+    that are common, and the sums of hot contexts."""
+    def counted(table: pa.Table) -> pa.Table:
+        bucket = table["bucket"][0].as_py()
+        parts = [_grams(raw, level.order) for raw in table["grams"].to_pylist()]
+        grams = np.concatenate(parts, 1)
+        sizes = [p.shape[1] for p in parts]
+        del parts
+        times = np.concatenate([_columns(raw, 2) for raw in table["times"].to_pylist()], 1)
+        first, at = _distinct(grams)
+        grams, lower = grams[:, first], times[1, first]
+        if level.order == 2:
+            lower = unigrams.count(grams[1])
+        counts = np.bincount(at, times[0], len(first)).astype(np.int64)
+        places = [_packed(np.diff(own, prepend=0)) for own in np.split(at, np.cumsum(sizes)[:-1])]
+        known = counts > 0
+        names = _names(grams[:-1])
+        wanted = known & _among(names, level.hot)[0]
+        starts, sums = _context_sums(grams[:, wanted], counts[wanted], lower[wanted], below)
+        row = {
+            "bucket": bucket, "grams": _packed_grams(grams), "counts": _packed(counts, lower if level.order > 2 else 0 * lower),
+            "batches": table["batch"].to_pylist(), "places": places,
+            "types": np.bincount(np.minimum(counts[known], DISCOUNTED + 2), minlength=DISCOUNTED + 3)
+            .astype(float).tolist(),
+            "common": _names(grams[:, counts >= often]).view(np.int64).tolist(),
+            "names": names[wanted][starts].view(np.int64).tolist(), "sums": sums.tolist()}
+        release_memory()
+        return pa.Table.from_pylist([row], schema=COUNTED[1])
+
+    return _stored(asked.groupBy("bucket").applyInArrow(counted, COUNTED[0]), f"counts{level.order}")
+
+
+def _answers(table: DataFrame, level: Level, below: np.ndarray, hot_sums: np.ndarray,
+             unigrams: Unigrams) -> DataFrame:
+    """(level, batch, bucket, seen, unseen): what batches asked for, in their order: counts and
+    denominators, and of n-grams without a count the mass left and the sum of ``_context_sums``."""
     def make():
-        def work(batch):
-            train, keys, numbers = (c.to_pylist() for c in batch.columns)
-            pair, row = _text_pairs(numbers)
-            rest = ~_among(pair, common.value[0])[0]
-            pair, row = pair[rest], row[rest]
-            order = np.lexsort((row, pair))
-            pair, row = pair[order], row[order]
-            first = np.flatnonzero(np.append(True, (np.diff(pair) != 0) | (np.diff(row) != 0))[:len(pair)])
-            times = np.diff(np.append(first, len(pair)))
-            pair, row = pair[first], row[first]
-            bucket = _bucket_of(pair, buckets, hot, size)
-            order = np.argsort(bucket, kind="stable")
-            cuts = np.flatnonzero(np.diff(bucket[order])) + 1
-            rows, flags = np.array(keys, np.int64), np.array(train, np.uint8)
-            out = [[] for _ in range(7)]
-            for own in np.split(order, cuts) if len(order) else []:
-                texts_of, more = np.unique(row[own], return_inverse=True)
-                for column, value in zip(out, (
-                        int(bucket[own[0]]), rows[texts_of].tobytes(), flags[texts_of].tobytes(),
-                        _steps(pair[own] >> np.uint64(32)), *map(_planes, (pair[own] & LOW, more, times[own])))):
-                    column.append(value)
+        def work(rows):
+            out = [[], [], [], [], []]
+            for bucket, raw, numbers, batches, places in zip(*(c.to_pylist() for c in rows.columns)):
+                grams = _grams(raw, level.order)
+                counts, lower = _columns(numbers, 2)
+                if level.order == 2:
+                    lower = unigrams.count(grams[1])
+                change = (np.diff(grams[:-1], axis=1) != 0).any(0)
+                context = np.append(0, np.cumsum(change))
+                first = np.flatnonzero(np.append(True, change))
+                sums = np.zeros((len(first), DISCOUNTED + 3))
+                known = counts > 0
+                starts, own = _context_sums(grams[:, known], counts[known], lower[known], below)
+                sums[context[known][starts]] = own
+                held, at = _among(_names(grams[:-1, first]), level.hot)
+                sums[held] = hot_sums[at[held]]
+                under, left = backoff(sums, level.kept)
+                for batch, raw in zip(batches, places):
+                    place = np.cumsum(_columns(raw, 1)[0])
+                    c, at = counts[place], context[place]
+                    unseen = at[c == 0]
+                    for column, value in zip(out, (
+                            level.order, batch, bucket, _packed(c, under[at]),
+                            _packed(left[unseen].view(np.int64), sums[unseen, -1].view(np.int64)))):
+                        column.append(value)
             return out
         return work
 
     return arrow_pass(
-        texts.select("train", "row", "numbers"), make,
-        "bucket long, rows binary, train binary, context binary, word binary, more binary, times binary",
-        pa.schema([("bucket", pa.int64()), *((c, pa.binary()) for c in (
-            "rows", "train", "context", "word", "more", "times"))]))
+        table.select("bucket", "grams", "counts", "batches", "places"), make,
+        "level int, batch long, bucket long, seen binary, unseen binary",
+        pa.schema([("level", pa.int32()), ("batch", pa.int64()), ("bucket", pa.int64()),
+                   ("seen", pa.binary()), ("unseen", pa.binary())]))
 
 
-def _among(pair: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Which pairs are among sorted ones, and where."""
-    if not len(known):
-        return np.zeros(len(pair), bool), np.zeros(len(pair), np.int64)
-    at = np.minimum(np.searchsorted(known, pair), len(known) - 1)
-    return known[at] == pair, at
+def _batch(row: dict, answers: pa.Table | None, levels: list[Level], unigrams: Unigrams) -> Batch:
+    """A row's batch, raised by the answers of some orders."""
+    batch = Batch(_columns(row["numbers"], 1)[0].astype(np.uint32), row["lengths"], unigrams)
+    found = [] if answers is None else list(zip(*(
+        answers[c].to_pylist() for c in ("level", "bucket", "seen", "unseen"))))
+    for level in levels:
+        batch.answer(level, [a[1:] for a in found if a[0] == level.order])
+    return batch
 
 
-def _common_sums(texts: DataFrame, common, groups: int) -> DataFrame:
-    """(group, rows, parts) of the texts' common pairs, scored where the texts lie."""
+def _asked(texts: DataFrame, answers: DataFrame | None, level: Level, done: list[Level],
+           unigrams: Unigrams) -> DataFrame:
+    """What all batches ask of an order's buckets, by the answers of the orders below."""
     def make():
-        def work(batch):
-            keys, numbers = (c.to_pylist() for c in batch.columns)
-            pair, row = _text_pairs(numbers)
-            held, at = _among(pair, common.value[0])
-            parts = np.bincount(row[held], common.value[1][at[held]], len(keys))
-            return _grouped(np.array(keys, np.int64), parts, groups)
+        def work(rows):
+            asked = []
+            for row in rows.to_pylist():
+                asked += _ask(row["batch"], _batch(row, None, [], unigrams), row["train"], level)
+            return list(zip(*asked)) or None
         return work
 
-    return arrow_pass(texts.select("row", "numbers"), make, "group long, rows binary, parts binary",
-                      pa.schema([("group", pa.int64()), ("rows", pa.binary()), ("parts", pa.binary())]))
-
-
-def _grouped(rows: np.ndarray, parts: np.ndarray, groups: int) -> tuple[list, list, list]:
-    """Partial sums of rows, packed by group of rows."""
-    group = (mixed(rows.view(np.uint64)) % np.uint64(groups)).astype(np.int64)
-    order = np.argsort(group, kind="stable")
-    cut = np.flatnonzero(np.diff(group[order])) + 1
-    return (group[order][np.append(0, cut)].tolist() if len(rows) else [],
-            [r.tobytes() for r in np.split(rows[order], cut)] if len(rows) else [],
-            [x.tobytes() for x in np.split(parts[order], cut)] if len(rows) else [])
-
-
-def _pair_names(table: pa.Table) -> np.ndarray:
-    """The pairs of a bucket, context << 32 | word."""
-    return np.concatenate([
-        _from_steps(context).astype(np.uint64) << np.uint64(32) | _values(word)
-        for context, word in zip(table["context"].to_pylist(), table["word"].to_pylist())])
-
-
-def _pair_counts(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct pairs of a bucket with their counts in all texts and in those for training."""
-    pairs, at = np.unique(_pair_names(table), return_inverse=True)
-    sums = [np.bincount(at, np.concatenate([_values(m) for m in table[c].to_pylist()]), len(pairs))
-            for c in ("all", "trained")]
-    return pairs, sums[0].astype(np.int64), sums[1].astype(np.int64)
-
-
-def _pair_rows(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Row, training flag and times of each entry of a bucket."""
-    keys, flags, times = [], [], []
-    for rows, train, more, n in zip(*(table[c].to_pylist() for c in ("rows", "train", "more", "times"))):
-        at = _values(more)
-        keys.append(np.frombuffer(rows, np.int64)[at])
-        flags.append(np.frombuffer(train, np.uint8)[at].astype(bool))
-        times.append(_values(n))
-    return np.concatenate(keys), np.concatenate(flags), np.concatenate(times)
-
-
-def _context_sums(pairs: np.ndarray, counts: np.ndarray, unigrams: Unigrams):
-    """Per context of distinct counted pairs: its name, the sum of counts, how many pairs have
-    each count up to ``DISCOUNTED``, and the unigram share of its words."""
-    context, first = np.unique(pairs >> np.uint64(32), return_index=True)
-    if not len(context):
-        return context, np.zeros(0), np.zeros((0, DISCOUNTED + 1)), np.zeros(0)
-    total = np.add.reduceat(counts, first).astype(float)
-    by_count = np.stack([np.add.reduceat((counts == r).astype(float), first)
-                         for r in range(DISCOUNTED + 1)], 1)
-    share = np.add.reduceat(unigrams.probability(pairs & np.uint64(0xFFFFFFFF)), first)
-    return context, total, by_count, share
-
-
-def backoff(total: np.ndarray, by_count: np.ndarray, share: np.ndarray, kept: np.ndarray):
-    """(scale, weight) of contexts: what their discounted bigrams are multiplied by, and the
-    backoff weight.  A context of which no count is discounted gives one count away, so that
-    unseen words always have a share."""
-    lost = (by_count * np.arange(DISCOUNTED + 1) * (1 - kept)).sum(1)
-    scale = np.where(lost > 1e-9 * total, 1.0, total / (total + 1))
-    left = np.where(lost > 1e-9 * total, lost / total, 1 / (total + 1))
-    return scale, left / np.maximum(1 - share, 1e-12)
-
-
-class Contexts:
-    """What is known of contexts: names in order, and their sums as of :func:`_context_sums`."""
-
-    def __init__(self, names, totals, by_count, shares):
-        order = np.argsort(names)
-        self.names, self.totals = names[order], totals[order]
-        self.by_count, self.shares = by_count[order], shares[order]
-
-
-def pair_probabilities(pairs: np.ndarray, counts: np.ndarray, contexts: Contexts, unigrams: Unigrams,
-                       kept: np.ndarray) -> np.ndarray:
-    """P(word | context) of pairs that were counted so often: the discounted bigram, or else the
-    weight of the context times the unigram; an unknown context leaves the unigram."""
-    low = unigrams.probability(pairs & LOW)
-    if not len(contexts.names):
-        return low
-    scale, weight = backoff(contexts.totals, contexts.by_count, contexts.shares, kept)
-    held, at = _among(pairs >> np.uint64(32), contexts.names)
-    cut = kept[np.where(counts <= DISCOUNTED, counts, 0)]
-    seen = scale[at] * cut * counts / contexts.totals[at]
-    return np.where(held & (counts > 0), seen, np.where(held, weight[at], 1.0) * low)
+    def ask(own: pa.Table, found: pa.Table) -> pa.Table:
+        [row] = own.to_pylist()
+        asked = _ask(row["batch"], _batch(row, found, done, unigrams), row["train"], level)
+        release_memory()
+        return pa.table(list(zip(*asked)) or [[]] * 4, schema=ASKED[1])
+
+    if answers is None:
+        return arrow_pass(texts, make, *ASKED)
+    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(ask, ASKED[0])
+
+
+def _stored(df: DataFrame, name: str) -> DataFrame:
+    """Written once; the shuffles behind it, which nothing reads again, are given up at once."""
+    spark, setting = df.sparkSession, "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(setting, "false")
+    spark.conf.set(setting, "true")
+    try:
+        return materialise(df, name)
+    finally:
+        spark.conf.set(setting, before)
 
 
 def katz_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-                modulus: int = 7, out: int = 2) -> DataFrame:
+                modulus: int = 7, out: int = 2, order: int = 2) -> DataFrame:
     """A row per input row: doc_id (as text), held_out, n_tokens, n_known, train_tokens,
-    base_score, score."""
-    spark = docs.sparkSession
+    base_score, score, by n-grams of up to ``order`` words."""
+    if order < 2:
+        raise ValueError("an order below 2 leaves nothing to back off from")
     given = docs.select(
         F.col(id_col).cast("string").alias("doc_id"), F.col(text_col).cast("string").alias("text"),
         training_rows(F.col(id_col), modulus, out).alias("train"),
         F.monotonically_increasing_id().alias("row"))
-    words = materialise(word_counts(given), "words")
+    words = _stored(word_counts(given), "words")
     unigrams = Unigrams.of([tuple(r) for r in words.groupBy("c").count().collect()])
-    total, size = unigrams.total, unigrams.words
-    numbers = materialise(numbered(words), "numbers")
-    texts = materialise(_numbered_texts(given, numbers, unigrams), "texts")
-    heads = texts.drop("numbers")
-    tokens = heads.agg(F.coalesce(F.sum("n_tokens"), F.lit(0))).first()[0]
+    total = unigrams.total
+    numbers = _stored(numbered(words), "numbers")
+    texts = _stored(_batches_of_texts(given, numbers, unigrams), "texts")
+    tokens = texts.agg(F.coalesce(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, b: a + b)),
+                                  F.lit(0))).first()[0]
     buckets = max(1, -(-tokens // BUCKET_TOKENS))
-    hot = int((unigrams.steps[unigrams.levels >= SHARE * max(total, 1)].max(initial=0)))
-    often = max(2.0, SHARE * tokens)
-    width = DISCOUNTED + 3
-
-    def tallied(table: pa.Table) -> pa.Table:
-        """Counts of counts, sums of contexts that others need, and common pairs."""
-        pair, every, counts = _pair_counts(table)
-        common = pair[every >= often]
-        known = counts > 0
-        coc = np.bincount(np.minimum(counts[known], DISCOUNTED + 2), minlength=width)
-        context = pair >> np.uint64(32)
-        spread = (context < hot) | (context >= size)
-        wanted = known & (spread | np.isin(context, common >> np.uint64(32)))
-        name, sums, by_count, share = _context_sums(pair[wanted], counts[wanted], unigrams)
-        facts = np.zeros((len(common), width))
-        facts[:, 0] = counts[every >= often]
-        rows = np.vstack([coc[None, :].astype(float), np.column_stack([sums, by_count, share]), facts])
-        kind = np.repeat([0, 1, 2], [1, len(name), len(common)])
-        named = np.concatenate([[0], name.astype(np.int64), common.view(np.int64)])
-        release_memory()
-        return pa.table({"kind": pa.array(kind, pa.int32()), "name": pa.array(named, pa.int64()),
-                         "sums": pa.array(rows.tolist(), pa.list_(pa.float64()))})
-
-    tally = (
-        _pair_counts_of(texts, buckets, hot, size)
-        .groupBy("bucket").applyInArrow(tallied, "kind int, name long, sums array<double>")
-        .groupBy("kind", "name").agg(*[F.sum(F.col("sums")[i]).alias(f"s{i}") for i in range(width)])
-        .collect()  # at most 1 / SHARE contexts and pairs with theirs, and the counts of counts
-    )
-    facts = {kind: {r["name"]: np.array([r[f"s{i}"] for i in range(width)]) for r in tally if r["kind"] == kind}
-             for kind in range(3)}
-    kept = discounts([int(x) for x in facts[0].get(0, np.zeros(width))[: DISCOUNTED + 2]])
-    names = np.array(sorted(facts[1]), np.uint64)
-    sums = np.array([facts[1][int(n)] for n in names]).reshape(len(names), width)
-    shared = Contexts(names, sums[:, 0], sums[:, 1:-1], sums[:, -1])
-    common = np.sort(np.array(list(facts[2]), np.int64).view(np.uint64))
-    counts = np.array([facts[2][int(p)][0] for p in common.view(np.int64)], np.int64)
-    scores_of = np.log10(pair_probabilities(common, counts, shared, unigrams, kept))
-    common = spark.sparkContext.broadcast((common, scores_of))
-
-    def scored(table: pa.Table) -> pa.Table:
-        distinct, at = np.unique(_pair_names(table), return_inverse=True)
-        key, train, times = _pair_rows(table)
-        counts = np.bincount(at, train * times, len(distinct)).astype(np.int64)
-        context = distinct >> np.uint64(32)
-        # contexts that are known from the tally hold pairs that are not here
-        here = (counts > 0) & ~_among(context, shared.names)[0]
-        own = _context_sums(distinct[here], counts[here], unigrams)
-        contexts = Contexts(*[np.concatenate([a, b]) for a, b in zip(own, (
-            shared.names, shared.totals, shared.by_count, shared.shares))])
-        p = np.log10(pair_probabilities(distinct, counts, contexts, unigrams, kept))
-        rows, of = np.unique(key, return_inverse=True)
-        group, rows, parts = _grouped(rows, np.bincount(of, p[at] * times, len(rows)), groups)
+    hot = np.arange(unigrams.steps[unigrams.levels >= SHARE * max(total, 1)].max(initial=0))
+    hot = np.append(hot, START).astype(np.uint64)
+    often = max(2.0, SHARE * total)
+    below, levels, answers = unigrams.kept, [], None
+
+    parts = texts.select("batch", "train", "lengths", "numbers")
+    for n in range(2, order + 1):
+        level = Level(n, buckets, hot)
+        asked = _asked(parts, answers, level, list(levels), unigrams)
+        table = _counted(asked, level, below, often, unigrams)
+        # counts of counts, at most 1 / SHARE contexts, and as many with their sums
+        types = table.select(F.posexplode("types").alias("c", "n")).groupBy("c").agg(F.sum("n")).collect()
+        types = {r[0]: int(r[1]) for r in types}
+        kept = discounts([types.get(c, 0) for c in range(DISCOUNTED + 2)])
+        facts = table.select(F.explode(F.arrays_zip("names", "sums")).alias("x")).groupBy("x.names").agg(
+            *[F.sum(F.col("x.sums")[i]) for i in range(DISCOUNTED + 3)]).collect()
+        sums = np.zeros((len(hot), DISCOUNTED + 3))
+        for r in facts:
+            sums[np.searchsorted(hot, np.int64(r[0]).view(np.uint64))] = r[1:]
+        common = table.select(F.explode("common")).collect()
+        level = Level(n, buckets, hot, kept)
+        found = _answers(table, level, below, sums, unigrams)
+        levels.append(level)
+        answers = found if answers is None else answers.unionByName(found)
+        hot = np.unique(np.array([r[0] for r in common], np.int64).view(np.uint64))
+        below = kept
+
+    kind = ("doc_id string, held_out boolean, n_tokens long, n_known long, train_tokens long, "
+            "base_score double, score double")
+
+    def scored(own: pa.Table, found: pa.Table) -> pa.Table:
+        [row] = own.to_pylist()
+        batch = _batch(row, found, levels, unigrams)
+        scores = np.add.reduceat(np.log10(batch.chance), batch.starts)
         release_memory()
-        return pa.table({"group": pa.array(group, pa.int64()), "rows": pa.array(rows, pa.binary()),
-                         "parts": pa.array(parts, pa.binary())})
-
-    def summed(table: pa.Table) -> pa.Table:
-        rows = np.frombuffer(b"".join(table["rows"].to_pylist()), np.int64)
-        parts = np.frombuffer(b"".join(table["parts"].to_pylist()), np.float64)
-        rows, of = np.unique(rows, return_inverse=True)
-        return pa.table({"row": rows, "score": np.bincount(of, parts, len(rows))})
-
-    groups = max(1, -(-heads.count() // GROUP_TEXTS))
-    scores = (
-        _pairs_by_row(texts, buckets, hot, size, common)
-        .groupBy("bucket").applyInArrow(scored, "group long, rows binary, parts binary")
-        .unionByName(_common_sums(texts, common, groups))
-        .groupBy("group").applyInArrow(summed, "row long, score double")
-    )
-    return heads.join(scores, "row").select(
-        "doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known",
-        F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
+        return pa.table({
+            "doc_id": pa.array(row["doc_id"], pa.string()),
+            "held_out": pa.array([not t for t in row["train"]], pa.bool_()),
+            "n_tokens": pa.array(row["lengths"], pa.int64()), "n_known": pa.array(row["n_known"], pa.int64()),
+            "train_tokens": pa.array([total] * len(scores), pa.int64()),
+            "base_score": pa.array(row["base_score"], pa.float64()), "score": scores})
+
+    return texts.groupBy("batch").cogroup(answers.groupBy("batch")).applyInArrow(scored, kind)

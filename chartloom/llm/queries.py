@@ -11,6 +11,8 @@ from chartloom.llm import (
     tokenfile, toxicity, warc)
 from chartloom.queries.inputs import table
 
+#: The longest n-grams of the language model.
+ORDER = 3
 VOCABULARY, WORD_VOCABULARY = "byte_bpe_50k.tiktoken", "word_bpe_49k.json"
 
 
@@ -170,7 +172,7 @@ WINDOW same AS (PARTITION BY coalesce(text, ''))
 
 
 def op5_katz_lm(spark: SparkSession, sf: str) -> DataFrame:
-    rows = katz.katz_scores(table(spark, sf, "documents"))
+    rows = katz.katz_scores(table(spark, sf, "documents"), order=ORDER)
     return rows.withColumn("doc_id", F.col("doc_id").cast("long"))
 
 

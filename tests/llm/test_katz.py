@@ -105,3 +105,85 @@ def test_frequent_pairs_and_contexts(spark, monkeypatch, share):
     rows = texts()[:60] + [(1000 + i, "the same " * 40) for i in range(30)]
     rows += [(held[i], "only here " * 25 + f"w{i}") for i in range(20)]
     assert got(spark, rows) == brute(rows)
+
+
+def recursive(rows, order):
+    """Scores of the model of an order, token by token."""
+    tokens = [[*WORDS.findall(lowered(t)), None] for _, t in rows]
+    train = [zlib.crc32(b"" if d is None else str(d).encode()) % 7 != 2 for d, _ in rows]
+    grams = {k: Counter() for k in range(1, order + 1)}
+    for ws, t in zip(tokens, train):
+        for i in range(len(ws) if t else 0):
+            for k in range(1, min(order, max(2, i + 2)) + 1):
+                grams[k][tuple(["<s>", *ws][max(0, i + 2 - k):i + 2])] += 1
+    kept = {}
+    for k, counter in grams.items():
+        types = Counter(counter.values())
+        kept[k] = katz.discounts([types[r] for r in range(7)])
+    cut = lambda k, c: kept[k][c] if c <= 5 else 1.0
+    n = sum(grams[1].values())
+    mass = sum(cut(1, c) * c for c in grams[1].values()) / max(n, 1)
+    scale1 = n / (n + 1) if mass > 1 - 1e-9 else 1.0
+    after = {k: {} for k in grams}
+    for k in grams:
+        for gram, c in grams[k].items():
+            after[k].setdefault(gram[:-1], {})[gram[-1]] = c
+
+    def p(context, w):
+        k = len(context) + 1
+        if k == 1:
+            c = grams[1][w,]
+            return scale1 * cut(1, c) * c / n if c else 1 - scale1 * mass
+        if context not in after[k]:
+            return p(context[1:], w)
+        seen = after[k][context]
+        total = sum(seen.values())
+        lost = sum((1 - cut(k, c)) * c for c in seen.values())
+        scale, left = (1.0, lost / total) if lost > 1e-9 * total else (total / (total + 1), 1 / (total + 1))
+        if w in seen:
+            return scale * cut(k, seen[w]) * seen[w] / total
+        return left / (1 - sum(p(context[1:], x) for x in seen)) * p(context[1:], w)
+
+    for context in list(after[order])[:20]:  # exactly normalised
+        assert sum(p(context, w) for w, in grams[1]) + p(context, "no such word") == pytest.approx(1)
+    scores = [sum(math.log10(p(tuple(["<s>", *ws][max(0, i + 2 - order):i + 1]), w)) for i, w in enumerate(ws))
+              for ws in tokens]
+    return sorted(((d, round(s, 6)) for (d, _), s in zip(rows, scores)), key=repr)
+
+
+@pytest.mark.parametrize("order, share, bucket, group", [
+    (2, 1 / 2000, 10**6, 5000), (3, 1 / 2000, 10**6, 5000), (3, 0.4, 300, 7), (3, 0.01, 500, 3), (4, 0.05, 200, 9)])
+def test_orders(spark, monkeypatch, order, share, bucket, group):
+    """Every order is evaluated recursively, whatever is hot, in any buckets and batches."""
+    monkeypatch.setattr(katz, "SHARE", share)
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", bucket)
+    monkeypatch.setattr(katz, "GROUP_TEXTS", group)
+    held = [i for i in range(400) if zlib.crc32(str(i).encode()) % 7 == 2]
+    rows = texts() + [(1000 + i, "the same " * 20 + f"w{i}") for i in range(30)]
+    rows += [(held[i], "only here " * 15 + f"w{i} w1 the same w2") for i in range(20)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = katz.katz_scores(frame, order=order).collect()
+    assert sorted(((None if r.doc_id is None else int(r.doc_id), round(r.score, 6)) for r in found),
+                  key=repr) == recursive(rows, order)
+
+
+def test_counts_are_stored_by_context(spark, monkeypatch):
+    """Each order has a table of its counts, and a context that is not hot lies in one bucket."""
+    written = {}
+    plain = katz.materialise
+    monkeypatch.setattr(katz, "materialise", lambda df, name: written.setdefault(name, plain(df, name)))
+    monkeypatch.setattr(katz, "BUCKET_TOKENS", 300)
+    monkeypatch.setattr(katz, "SHARE", 0.9)
+    rows = [(i, t) for i, t in texts() if i is None or zlib.crc32(str(i).encode()) % 7 != 2]
+    katz.katz_scores(spark.createDataFrame(rows, "doc_id long, text string"), order=3).count()
+    for k in (2, 3):
+        tables = written[f"counts{k}"].collect()
+        places = [(tuple(c), row.bucket) for row in tables for c in katz._grams(row.grams, k)[:-1].T.tolist()]
+        owners = {}
+        for context, bucket in places:
+            owners.setdefault(context, set()).add(bucket)
+        assert len({b for _, b in places}) > 1
+        assert all(len(own) == 1 for context, own in owners.items() if context != (int(katz.START),))
+        total = sum(int(katz._columns(row["counts"], 2)[0].sum()) for row in tables)
+        sizes = [len(WORDS.findall(lowered(t))) + 1 for _, t in rows]
+        assert total == sum(sizes) - (k - 2) * len(rows)
