@@ -27,6 +27,7 @@ import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -43,6 +44,7 @@ FILE_TOKENS, PART_BYTES = 4_000_000, 32_000_000
 WORDS, PIECES, HELD_BYTES = 300_000, 1_000_000, 24_000_000
 ASCII_LETTERS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"
 LARGEST_VOCABULARY = 64_000_000
+FIRST = itemgetter(0)
 MAGIC, HEAD, RANKED = b"DAC1", struct.Struct("<4sIQQ"), 512
 
 
@@ -84,29 +86,60 @@ class Encoder:
     def _forget_words(self) -> None:
         self.words, self.known, self.bytes = Numbered(), 0, 0
         self.flat, self.starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
+        self.uses = np.empty(0, np.uint32)  # in how many slices of texts a word stood
+
+    def _forget_rare_words(self) -> None:
+        """All but the words of several slices, the most frequent ones, of at most a third of the
+        room: most words come once, and the others would be learnt again at once."""
+        often = np.flatnonzero(self.uses > 1)
+        if len(often) > WORDS // 3:
+            often = np.sort(often[np.argsort(-self.uses[often].astype(np.int64), kind="stable")[:WORDS // 3]])
+        words = list(self.words)
+        held = [words[i] for i in often.tolist()]
+        sizes = np.cumsum([len(w) for w in held])
+        fit = int(np.searchsorted(sizes, HELD_BYTES // 3, "right"))
+        held, often = held[:fit], often[:fit]
+        flat, lengths = _gathered(self.flat, self.starts, often)
+        self._forget_words()
+        for word in held:
+            self.words[word]
+        self.known, self.bytes = len(held), sum(map(len, held))
+        self.flat, self.starts = flat, np.append(0, np.cumsum(lengths))
+        self.uses = np.ones(len(held), np.uint32)
 
     def _forget_pieces(self) -> None:
         self.pieces, self.encoded, self.piece_bytes = Numbered(), 0, 0
         self.piece_ids, self.piece_starts = np.empty(0, np.uint32), np.zeros(1, np.int64)
 
-    def _parts(self, word: bytes) -> tuple[bytes, ...]:
-        lower = word.lower()
-        if len(word) >= self.shortest and any(t in lower for t in self.added):
-            return (word,)
-        own = lower if self.lowers and word.isascii() else word
-        if word[-1] in self.marks and word[-2:-1].isalpha():
-            return own[:-1], own[-1:]
-        return (own,)
+    def _parts(self, words: list[bytes]) -> tuple[list[int], list[int]]:
+        """Numbers of the words' pieces, and where each word's begin."""
+        whole = b" ".join(words).lower()
+        special = [t for t in self.added if t in whole]
+        numbers, first = [], []
+        pieces, marks, lowers = self.pieces, self.marks, self.lowers
+        for word, lower in zip(words, whole.split(b" ")):
+            first.append(len(numbers))
+            if special and len(word) >= self.shortest and any(t in lower for t in special):
+                numbers.append(pieces[word])
+                continue
+            own = lower if lowers and word.isascii() else word
+            if word[-1] in marks and word[-2:-1].isalpha():
+                numbers.append(pieces[own[:-1]])
+                numbers.append(pieces[own[-1:]])
+            else:
+                numbers.append(pieces[own])
+        return numbers, first
 
     def _learn_pieces(self) -> None:
         new = list(self.pieces)[self.encoded:]
         ids, lengths = [], []
         for at in range(0, len(new), 5_000):
             words = [w.decode("utf-8", "replace") for w in new[at:at + 5_000]]
-            ends = np.cumsum([len(w) + 1 for w in words])
+            ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
             found = self.tokenizer.encode(" ".join(words), add_special_tokens=False)
-            places = np.fromiter((start for start, _ in found.offsets), np.int64, len(found.ids))
-            ids.append(np.array(found.ids, np.uint32))
+            own = np.array(found.ids, np.uint32)
+            places = np.fromiter(map(FIRST, found.offsets), np.int64, len(own))
+            ids.append(own)
             lengths.append(np.diff(np.searchsorted(places, ends), prepend=0))
         if new:
             self.piece_ids = np.concatenate([self.piece_ids, *ids])
@@ -120,11 +153,9 @@ class Encoder:
         new = list(self.words)[self.known:]
         if not new:
             return
-        parts = [self._parts(w) for w in new]
-        numbers = np.fromiter((self.pieces[p] for own in parts for p in own), np.int64)
+        numbers, first = self._parts(new)
         self._learn_pieces()
-        ids, lengths = _gathered(self.piece_ids, self.piece_starts, numbers)
-        first = np.cumsum([0, *map(len, parts[:-1])])
+        ids, lengths = _gathered(self.piece_ids, self.piece_starts, np.array(numbers))
         self.flat = np.concatenate([self.flat, ids])
         self.starts = np.concatenate(
             [self.starts, self.starts[-1] + np.cumsum(np.add.reduceat(lengths, first))])
@@ -133,12 +164,15 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         if self.known > WORDS or self.bytes > HELD_BYTES:
-            self._forget_words()
+            self._forget_rare_words()
         if self.encoded > PIECES or self.piece_bytes > HELD_BYTES:
             self._forget_pieces()
         words, numbers, ends = numbered_words(texts)
         known = np.fromiter(map(self.words.__getitem__, words), np.int64, len(words))
         self.learn()
+        if len(self.uses) < self.known:
+            self.uses = np.append(self.uses, np.zeros(self.known - len(self.uses), np.uint32))
+        self.uses[known] += 1
         ids, lengths = _gathered(self.flat, self.starts, known[numbers])
         return np.split(ids, np.append(0, np.cumsum(lengths))[ends[:-1]])
 

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -92,3 +93,21 @@ def test_query(spark):
         assert (row.doc_id, row.start, row.n_tokens) == (doc.doc_id, start, len(own))
         assert row.ids_crc32 == zlib.crc32(np.array(own, "<u4").tobytes())
         start += len(own)
+
+
+def test_frequent_words_stay_known(monkeypatch):
+    """What comes again and again is learnt once, however many words come once; ids stay the same."""
+    vocabulary = tokenfile._read_vocabulary(public_tokenizers.path("word_bpe_49k.json"))
+    often = ["The", "patient,", "d\u00c9j\u00e0", "[UNK]x", "a.b"]
+    slices = [pa.array([" ".join([*often, *(f"r{n}q{i}" for i in range(30))]), None]) for n in range(40)]
+    plain = tokenfile.Encoder(vocabulary)
+    want = [[ids.tolist() for ids in plain.encode(s)] for s in slices]
+    monkeypatch.setattr(tokenfile, "WORDS", 60)
+    monkeypatch.setattr(tokenfile, "PIECES", 80)
+    small = tokenfile.Encoder(vocabulary)
+    learnt = []
+    parts = small._parts
+    monkeypatch.setattr(small, "_parts", lambda words: learnt.extend(words) or parts(words))
+    assert [[ids.tolist() for ids in small.encode(s)] for s in slices] == want
+    assert [learnt.count(w.encode()) for w in often] == [1] * len(often)
+    assert small.known <= 60 + 35
