@@ -1,7 +1,7 @@
 """Byte-level BPE by corpus-level merge replay.
 
 Each task cuts its texts into segments (white space with what follows), numbers the distinct ones,
-cuts the new ones into pieces by the pattern and encodes every new piece of the batch at once: an
+cuts the new ones into pieces by the pattern and encodes the new pieces, many at once: an
 inverted index from the rank of a mergeable token pair to the positions where the pair stands is
 emptied in rank order, and a merge updates only the two pairs it touches.  Segments and pieces that
 are remembered from earlier batches are looked up.  The pieces of a text never leave their task, so
@@ -16,6 +16,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -29,8 +30,8 @@ from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK = np.array([b in b"\t\n\x0b\x0c\r " for b in range(256)])
 #: Remembered segments and pieces, and the bytes of each, per Python worker.
-SEGMENTS, PIECES, HELD_BYTES = 200_000, 400_000, 16_000_000
-LARGEST_VOCABULARY, DECODED = 64_000_000, 1_000_000
+SEGMENTS, PIECES, HELD_BYTES = 120_000, 200_000, 8_000_000
+LARGEST_VOCABULARY, DECODED, REPLAYED = 64_000_000, 1_000_000, 60_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -148,6 +149,19 @@ def replay(pieces: list[bytes], ranks: dict[bytes, int]) -> list[list[int]]:
     return out
 
 
+def replayed(pieces: list[bytes], ranks: dict[bytes, int]) -> Iterator[list[int]]:
+    """The ids of each piece, replayed in runs of ``REPLAYED`` bytes, each of which takes about a
+    hundred bytes of memory meanwhile; a piece may be longer."""
+    held, size = [], 0
+    for piece in pieces:
+        if held and size + len(piece) > REPLAYED:
+            yield from replay(held, ranks)
+            held, size = [], 0
+        held.append(piece)
+        size += len(piece)
+    yield from replay(held, ranks)
+
+
 class Numbers(dict):
     """piece -> its number, in order of appearance."""
 
@@ -199,8 +213,9 @@ def segments(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
     whole = b"".join(raw)
     data = np.frombuffer(whole, np.uint8)
     blank = BLANK[data]
-    before = np.append(0, data[:-1]) if len(data) else data
-    further = np.concatenate([[0, 0], data[:-2]])[:len(data)]
+    none = np.zeros(2, np.uint8)  # of the type of the bytes, which a wider one would hold eight times over
+    before = np.concatenate([none[:1], data[:-1]])[:len(data)]
+    further = np.concatenate([none, data[:-2]])[:len(data)]
     word = (before < 128) & ~BLANK[before] | (before >= 128) & (further >= 0xC3) & (further <= 0xDF)
     inner = np.flatnonzero(blank & word)
     cuts = np.unique(np.concatenate([[0], inner, ends]))
@@ -221,7 +236,7 @@ class Encoder:
     def _learn_pieces(self) -> None:
         new = [text_bytes(p) for p in self.pieces.new()]
         ranks = [self.ranks.get(p) for p in new]
-        merged = iter(replay([p for p, r in zip(new, ranks) if r is None], self.ranks))
+        merged = replayed([p for p, r in zip(new, ranks) if r is None], self.ranks)
         ids = [next(merged) if r is None else [r] for r in ranks]
         lengths = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for one in ids for i in one), np.uint32, int(lengths.sum()))

@@ -69,3 +69,34 @@ def test_size_of_vocabulary_is_checked(monkeypatch):
 def test_empty_table(spark):
     encoded = bpe.encode(table(spark, []), PATH, public_tokenizers.PATTERN)
     assert bpe.decode(encoded, PATH).count() == 0
+
+
+def test_segments_take_little_memory():
+    """Cutting takes a few bytes for each byte of text, not a wide number for several of them."""
+    import tracemalloc
+    text = "a few words of a note, " * 100_000
+    tracemalloc.start()
+    array, counts = bpe.segments([text, None])
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert b"".join(array.to_pylist()) == text.encode() and counts.tolist()[1] == 0
+    assert peak < 20 * len(text)
+
+
+def test_new_pieces_take_little_memory(monkeypatch):
+    """Many new pieces are replayed in runs, with the same ids."""
+    import tracemalloc
+    ranks = bpe.parse_ranks(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    pieces = [f"piece{i * 7919}x".encode() for i in range(30_000)]
+    whole = bpe.replay(pieces[:3000], ranks)
+    tracemalloc.start()
+    encoder = bpe.Encoder(ranks, public_tokenizers.PATTERN)
+    for piece in pieces:
+        encoder.pieces.numbers[piece.decode()]
+    encoder._learn_pieces()
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert encoder.pieces.of(np.arange(3000))[0].tolist() == [i for ids in whole for i in ids]
+    assert peak < 60 * sum(map(len, pieces))
+    monkeypatch.setattr(bpe, "REPLAYED", 10)
+    assert list(bpe.replayed(pieces[:50] + [b"z" * 40, b""], ranks)) == bpe.replay(pieces[:50] + [b"z" * 40, b""], ranks)
