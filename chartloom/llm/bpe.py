@@ -1,11 +1,12 @@
 """Byte-level BPE by corpus-level merge replay.
 
 Each task cuts its texts into segments (white space with what follows), numbers the distinct ones,
-cuts the new ones into pieces by the pattern and encodes the new pieces, many at once: an
-inverted index from the rank of a mergeable token pair to the positions where the pair stands is
-emptied in rank order, and a merge updates only the two pairs it touches.  Segments and pieces that
-are remembered from earlier batches are looked up.  The pieces of a text never leave their task, so
-nothing is shuffled.  Decoding gathers bytes by flat arrays.
+cuts those into pieces by the pattern and encodes the new pieces, many at once.  Short pieces stand
+side by side as columns of an index that holds the rank of the pair at each position: wave by wave
+the lowest entry of every column is taken out, and a merge updates only the two pairs it touches.
+Long pieces go through an index from the rank of a pair to the positions where it stands, emptied in
+rank order.  Pieces that are remembered from earlier batches are looked up.  The pieces of a text
+never leave their task, so nothing is shuffled.  Decoding gathers bytes by flat arrays.
 
 Rows and cases: a null text counts as empty and gives no ids; repeated rows give repeated
 results; texts of any length are read whole; other columns play no part.
@@ -16,6 +17,7 @@ from __future__ import annotations
 import base64
 import functools
 import heapq
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,9 +31,14 @@ from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 #: White space as Unicode names it, which is what the pattern's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK = np.array([b in b"\t\n\x0b\x0c\r " for b in range(256)])
-#: Remembered segments and pieces, and the bytes of each, per Python worker.
-SEGMENTS, PIECES, HELD_BYTES = 120_000, 200_000, 8_000_000
+#: Remembered pieces, and their bytes, per Python worker.
+PIECES, HELD_BYTES = 200_000, 8_000_000
 LARGEST_VOCABULARY, DECODED, REPLAYED = 64_000_000, 1_000_000, 60_000
+#: Positions of a wave's columns, by the length of their pieces, and the cells of a wave at most.
+WIDTHS, CELLS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 44, 62), 200_000
+PLACE_BITS, NO_PAIR = 6, np.iinfo(np.int32).max
+#: Characters of segments that are cut by one call of the pattern.
+CUT_AT_ONCE = 100_000
 
 
 def read_ranks(path: str) -> bytes:
@@ -162,6 +169,115 @@ def replayed(pieces: list[bytes], ranks: dict[bytes, int]) -> Iterator[list[int]
     yield from replay(held, ranks)
 
 
+class Merges:
+    """The mergeable pairs of tokens as sorted arrays.  Tokens are numbered by rank, bytes that the
+    ranks leave out come behind them, and the last number, ``none``, stands beside a piece's ends."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        tokens = sorted(ranks, key=ranks.__getitem__)
+        tokens += [b for b in map(bytes, zip(range(256))) if b not in ranks]
+        number = {token: n for n, token in enumerate(tokens)}
+        self.none, self.ids = len(tokens), np.array([ranks.get(t, -1) for t in tokens], np.int64)
+        if self.none >= NO_PAIR >> PLACE_BITS:
+            raise ValueError(f"{self.none} tokens are too many")
+        keys, made = array("q"), array("i")
+        get, factor = number.get, self.none + 1
+        for n, token in enumerate(tokens[:len(ranks)]):
+            for at in range(1, len(token)):
+                left, right = get(token[:at]), get(token[at:])
+                if left is not None and right is not None:
+                    keys.append(left * factor + right)
+                    made.append(n)
+        order = np.argsort(np.frombuffer(keys, np.int64) if keys else np.empty(0, np.int64))
+        self.keys = np.append(np.frombuffer(keys, np.int64)[order] if keys else order, np.iinfo(np.int64).max)
+        self.made = np.append(np.frombuffer(made, np.int32)[order] if made else order, 0).astype(np.int32)
+        self.single = np.array([number[bytes([b])] for b in range(256)], np.int32)
+        pair = np.arange(256)
+        self.double = self.find(self.single[np.repeat(pair, 256)], self.single[np.tile(pair, 256)])
+
+    def find(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        """The numbers that pairs merge into, shifted by a place's bits; ``NO_PAIR`` where they do not."""
+        wanted = left.astype(np.int64) * (self.none + 1) + right
+        at = np.searchsorted(self.keys, wanted)
+        return np.where(self.keys[at] == wanted, self.made[at] << PLACE_BITS, NO_PAIR).astype(np.int32)
+
+    def waves(self, raw: np.ndarray, starts: np.ndarray, lengths: np.ndarray, width: int) -> tuple[
+            np.ndarray, np.ndarray]:
+        """The ids of pieces of ``width`` bytes at most, one after the other, and how many each has.
+
+        Row p of the index holds, for each piece, the number that the pair at place p merges into,
+        and p itself, so that a column's least entry is its lowest pair, leftmost first.
+        """
+        many, place = len(starts), np.arange(width)[:, None]
+        inside = place < lengths
+        read = raw[np.minimum(starts + place, len(raw) - 1)].astype(np.int32)
+        tokens = np.full((width + 2, many), self.none, np.int32)
+        tokens[1:-1] = np.where(inside, self.single[read], self.none)
+        index = np.full((width + 2, many), NO_PAIR, np.int32)
+        pairs = self.double[read[:-1] * 256 + read[1:]]
+        index[1:-2] = np.where(inside[1:] & (pairs != NO_PAIR), pairs | place[:-1] + 1, NO_PAIR)
+        whole, columns = tokens, np.arange(many)
+        after = np.repeat(np.arange(1, width + 3, dtype=np.int16)[:, None], many, 1)
+        before = after - np.int16(2)
+        while True:
+            lowest = index.min(0)
+            live = np.flatnonzero(lowest != NO_PAIR)
+            if 2 * len(live) < len(lowest):  # finished columns leave
+                if tokens is not whole:
+                    whole[:, columns] = tokens
+                if not len(live):
+                    break
+                columns, lowest = columns[live], lowest[live]
+                tokens, index, after, before = (np.ascontiguousarray(t[:, live]) for t in (
+                    tokens, index, after, before))
+                live = np.arange(len(live))
+            size, flat = len(lowest), [t.reshape(-1) for t in (tokens, index, after, before)]
+            token, entry, right_of, left_of = flat
+            least = lowest[live]
+            merged, i = least >> PLACE_BITS, (least & (1 << PLACE_BITS) - 1).astype(np.int64)
+            at = i * size + live
+            gone = right_of[at].astype(np.int64) * size + live
+            k = right_of[gone]
+            right, h = k.astype(np.int64) * size + live, left_of[at].astype(np.int64)
+            left = h * size + live
+            token[at], token[gone], right_of[at], left_of[right] = merged, -1, k, i
+            found = self.find(np.concatenate([token[left], merged]), np.concatenate([merged, token[right]]))
+            places = np.concatenate([h, i]).astype(np.int32)
+            entry[gone] = NO_PAIR
+            entry[np.concatenate([left, at])] = np.where(found == NO_PAIR, NO_PAIR, found | places)
+        kept = whole[1:-1].T
+        held = (kept >= 0) & (kept < self.none)
+        ids = self.ids[kept[held]]
+        if len(ids) and ids.min() < 0:
+            raise KeyError("a byte that the ranks leave out")
+        return ids, held.sum(1)
+
+    def encode(self, pieces: list[bytes], ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of pieces, one after the other, and how many each has."""
+        lengths = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        counts, parts = np.zeros(len(pieces), np.int64), []
+        raw = np.frombuffer(b"".join(pieces), np.uint8)
+        starts = np.cumsum(lengths) - lengths
+        kinds = np.searchsorted(WIDTHS, lengths)
+        kinds[lengths == 0] = -1
+        for kind, width in enumerate(WIDTHS):
+            own = np.flatnonzero(kinds == kind)
+            for n in range(0, len(own), CELLS // width):
+                some = own[n:n + CELLS // width]
+                ids, counts[some] = self.waves(raw, starts[some], lengths[some], width)
+                parts.append((some, ids))
+        long = np.flatnonzero(kinds == len(WIDTHS))
+        for n, ids in zip(long, replayed([pieces[n] for n in long], ranks)):
+            counts[n] = len(ids)
+            parts.append((np.array([n]), np.array(ids)))
+        begin = np.cumsum(counts) - counts
+        flat = np.empty(int(counts.sum()), np.uint32)
+        for some, ids in parts:
+            own = counts[some]
+            flat[np.repeat(begin[some] - (np.cumsum(own) - own), own) + np.arange(len(ids))] = ids
+        return flat, counts
+
+
 class Numbers(dict):
     """piece -> its number, in order of appearance."""
 
@@ -201,6 +317,11 @@ def gathered(flat: np.ndarray, starts: np.ndarray, numbers: np.ndarray) -> tuple
     return flat[np.repeat(first - (ends - lengths), lengths) + np.arange(lengths.sum())], lengths
 
 
+def ends_word(last: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Whether the character that ends with the byte ``last``, after ``second``, is surely no white space."""
+    return (last < 128) & ~BLANK[last] | (last >= 128) & (second >= 0xC3) & (second <= 0xDF)
+
+
 def segments(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
     """Runs of white space with what follows, of all texts, and how many each text has.
 
@@ -216,61 +337,94 @@ def segments(texts: list[str | None]) -> tuple[pa.Array, np.ndarray]:
     none = np.zeros(2, np.uint8)  # of the type of the bytes, which a wider one would hold eight times over
     before = np.concatenate([none[:1], data[:-1]])[:len(data)]
     further = np.concatenate([none, data[:-2]])[:len(data)]
-    word = (before < 128) & ~BLANK[before] | (before >= 128) & (further >= 0xC3) & (further <= 0xDF)
-    inner = np.flatnonzero(blank & word)
-    cuts = np.unique(np.concatenate([[0], inner, ends]))
-    cuts = cuts[cuts <= len(data)]
+    cut = np.append(blank & ends_word(before, further), False)
+    cut[0] = True
+    cut[ends] = True
+    cuts = np.flatnonzero(cut)
     array = pa.BinaryArray.from_buffers(
         pa.binary(), len(cuts) - 1, [None, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(whole)])
     return array, np.diff(np.searchsorted(cuts, ends, "left"), prepend=0)
 
 
 class Encoder:
-    """Segments and pieces seen by this worker, with their ids."""
+    """Pieces seen by this worker, with their ids."""
 
     def __init__(self, ranks: dict[bytes, int], pattern: str):
-        self.ranks = ranks
+        self.ranks, self.merges = ranks, Merges(ranks)
         self.cut = regex.compile(unicode_spaces(pattern))
-        self.whole, self.pieces = Spans(), Spans()
+        self.pieces = Spans()
 
     def _learn_pieces(self) -> None:
         new = [text_bytes(p) for p in self.pieces.new()]
-        ranks = [self.ranks.get(p) for p in new]
-        merged = replayed([p for p, r in zip(new, ranks) if r is None], self.ranks)
-        ids = [next(merged) if r is None else [r] for r in ranks]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for one in ids for i in one), np.uint32, int(lengths.sum()))
-        self.pieces.add(flat, lengths, sum(map(len, new)))
-
-    def learn(self) -> None:
-        """Ids of all segments that were numbered since the last call."""
-        new = self.whole.new()
         if not new:
             return
-        number, numbers, counts = self.pieces.numbers.__getitem__, [], []
-        for segment in new:
-            text = segment.decode("utf-8", "surrogatepass")
-            own = np.fromiter((number(m.group()) for m in self.cut.finditer(text)), np.int64) if (
-                len(text) > 1_000_000) else [number(p) for p in self.cut.findall(text)]
-            numbers.append(own)
-            counts.append(len(own))
-        self._learn_pieces()
-        every = np.fromiter((n for own in numbers for n in own), np.int64, sum(counts))
-        ids, lengths = self.pieces.of(every)
-        ends = np.append(0, np.cumsum(lengths))[np.cumsum(counts)]
-        self.whole.add(ids, np.diff(ends, prepend=0), sum(map(len, new)))
+        ranks = np.fromiter((self.ranks.get(p, -1) for p in new), np.int64, len(new))
+        apart = np.flatnonzero(ranks < 0)
+        ids, counts = self.merges.encode([new[n] for n in apart], self.ranks)
+        lengths = np.ones(len(new), np.int64)
+        lengths[apart] = counts
+        flat = np.repeat(ranks, lengths).astype(np.uint32)
+        flat[np.repeat(ranks < 0, lengths)] = ids
+        self.pieces.add(flat, lengths, sum(map(len, new)))
+
+    def _numbers(self, text: str) -> np.ndarray:
+        """The numbers of a text's pieces."""
+        number = self.pieces.numbers.__getitem__
+        if len(text) > 1_000_000:
+            return np.fromiter((number(m.group()) for m in self.cut.finditer(text)), np.int64)
+        return np.array([number(p) for p in self.cut.findall(text)], np.int64)
+
+    def _parts(self, found: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The numbers of all segments' pieces, and how many each segment has.
+
+        Segments that stand between others in their text are cut many at once: one may follow any
+        other of them, as each begins with white space and ends with what is none.
+        """
+        ends = np.frombuffer(found.buffers()[1], np.int32)[found.offset:found.offset + len(found) + 1]
+        data = found.buffers()[2]
+        data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+        sizes = np.diff(ends)
+        inner = sizes > 1
+        last, second = data[ends[1:][inner] - 1], data[ends[1:][inner] - 2]
+        inner[inner] = BLANK[data[ends[:-1][inner]]] & ends_word(last, second)
+        numbers, counts = [], np.zeros(len(found), np.int64)
+        first = np.cumsum(np.append(0, (data[ends[0]:ends[-1]] & 0xC0) != 0x80))[ends - ends[0]]
+        at = 0
+        while at < len(found):
+            stop = at + 1
+            if inner[at]:
+                stop = max(stop, int(np.searchsorted(first, first[at] + CUT_AT_ONCE, "right")) - 1)
+                others = np.flatnonzero(~inner[at:stop])
+                stop = at + int(others[0]) if len(others) else stop
+            whole = data[ends[at]:ends[stop]].tobytes().decode("utf-8", "surrogatepass")
+            if stop > at + 1:
+                pieces = self.cut.findall(whole)
+                past = np.cumsum(np.fromiter(map(len, pieces), np.int64, len(pieces)))
+                wanted = first[at + 1:stop + 1] - first[at]
+                upto = np.searchsorted(past, wanted)
+                if len(past) and past[-1] == wanted[-1] and (past[upto] == wanted).all():
+                    numbers.append(np.array(list(map(self.pieces.numbers.__getitem__, pieces)), np.int64))
+                    counts[at:stop] = np.diff(upto, prepend=-1)
+                    at = stop
+                    continue
+                stop = at + 1  # a pattern that leaves text out, or that looks beyond segments
+                inner[at] = False
+                whole = data[ends[at]:ends[stop]].tobytes().decode("utf-8", "surrogatepass")
+            numbers.append(self._numbers(whole))
+            counts[at] = len(numbers[-1])
+            at = stop
+        return np.concatenate(numbers) if numbers else np.empty(0, np.int64), counts
 
     def encode(self, texts: list[str | None]) -> list[np.ndarray]:
-        if self.whole.full(SEGMENTS):
-            self.whole = Spans()
         if self.pieces.full(PIECES):
             self.pieces = Spans()
         found, counts = segments(texts)
         coded = found.dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
-        known = np.fromiter(map(self.whole.numbers.__getitem__, distinct), np.int64, len(distinct))
-        self.learn()
-        ids, lengths = self.whole.of(known[coded.indices.to_numpy()])
+        numbers, parts = self._parts(coded.dictionary)
+        self._learn_pieces()
+        ids, lengths = self.pieces.of(numbers)
+        starts = np.append(0, np.cumsum(lengths))[np.append(0, np.cumsum(parts))]
+        ids, lengths = gathered(ids, starts, coded.indices.to_numpy())
         return np.split(ids, np.append(0, np.cumsum(lengths))[np.cumsum(counts)[:-1]])
 
 

@@ -100,3 +100,48 @@ def test_new_pieces_take_little_memory(monkeypatch):
     assert peak < 60 * sum(map(len, pieces))
     monkeypatch.setattr(bpe, "REPLAYED", 10)
     assert list(bpe.replayed(pieces[:50] + [b"z" * 40, b""], ranks)) == bpe.replay(pieces[:50] + [b"z" * 40, b""], ranks)
+
+
+def test_waves_are_the_merges_of_each_piece():
+    """Pieces of all lengths side by side, also where a merge makes a lower pair possible, against the library."""
+    tokens = [bytes([i]) for i in range(256)] + [b"abc", b"ab", b"cab", b"bc", b"aa", b"aaaa", b"bcab"]
+    own = {t: i for i, t in enumerate(tokens)}
+    library = tiktoken.Encoding("t", pat_str=r"[\s\S]+", mergeable_ranks=own, special_tokens={})
+    rng = random.Random(6)
+    pieces = ["".join(rng.choice("aabc") for _ in range(n)) for n in list(range(1, 80)) * 8 + [2000]]
+    flat, counts = bpe.Merges(own).encode([p.encode() for p in pieces], own)
+    ids = np.split(flat, np.cumsum(counts)[:-1])
+    assert [i.tolist() for i in ids] == [library.encode_ordinary(p) for p in pieces]
+
+
+def test_segments_are_cut_together(monkeypatch):
+    """Cutting many segments at once changes no id, whatever stands at their ends, nor does a pattern that
+    leaves text out."""
+    monkeypatch.setattr(bpe, "CUT_AT_ONCE", 9)
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("ab1 \n\t\x85　'sé!日🙂") for _ in range(rng.randint(0, 60))) for _ in range(400)]
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    assert [i.tolist() for i in encoder.encode(texts)] == [LIBRARY.encode_ordinary(t) for t in texts]
+    words = tiktoken.Encoding("w", pat_str=r"[a-z]+", mergeable_ranks=RANKS, special_tokens={})
+    encoder = bpe.Encoder(RANKS, r"[a-z]+")
+    assert [i.tolist() for i in encoder.encode(texts)] == [words.encode_ordinary(t) for t in texts]
+
+
+def test_new_pieces_are_encoded_by_columns():
+    """30,000 new pieces take no Python step for each of their merges."""
+    import sys
+    encoder = bpe.Encoder(RANKS, public_tokenizers.PATTERN)
+    text = " ".join(f"w{i * 7919:x}q" for i in range(30_000))
+    lines = 0
+
+    def count(frame, event, arg):
+        nonlocal lines
+        lines += event == "line"
+        return count
+
+    sys.settrace(count)
+    try:
+        ids = encoder.encode([text])[0]
+    finally:
+        sys.settrace(None)
+    assert ids.tolist() == LIBRARY.encode_ordinary(text) and lines < 10 * 30_000
