@@ -31,8 +31,8 @@ from chartloom.llm.common import arrow_pass, arrow_type, text_bytes
 #: White space as Unicode names it, which is what the pattern's \s stands for.
 SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 BLANK = np.array([b in b"\t\n\x0b\x0c\r " for b in range(256)])
-#: Remembered pieces, and their bytes, per Python worker.
-PIECES, HELD_BYTES = 200_000, 8_000_000
+#: Remembered pieces, and their bytes, per Python worker, and the bytes of texts that are encoded at once.
+PIECES, HELD_BYTES, AT_ONCE = 60_000, 8_000_000, 1_000_000
 LARGEST_VOCABULARY, DECODED, REPLAYED = 64_000_000, 1_000_000, 60_000
 #: Positions of a wave's columns, by the length of their pieces, and the cells of a wave at most.
 WIDTHS, CELLS = (4, 6, 8, 10, 12, 16, 20, 24, 32, 44, 62), 200_000
@@ -467,7 +467,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     return arrow_pass(
         docs.select(F.col(id_col), F.col(text_col).cast("string")), make,
         f"doc_id {key}, n_tokens long, ids binary",
-        pa.schema([("doc_id", arrow_type(key)), ("n_tokens", pa.int64()), ("ids", pa.binary())]))
+        pa.schema([("doc_id", arrow_type(key)), ("n_tokens", pa.int64()), ("ids", pa.binary())]), AT_ONCE)
 
 
 def _decoded(raw: bytes, flat: np.ndarray, starts: np.ndarray) -> bytes:
@@ -496,7 +496,7 @@ def there_and_back(docs: DataFrame, ranks_path: str, pattern: str, id_col: str =
         docs.select(F.col(id_col), F.col(text_col).cast("string")), make,
         f"doc_id {key}, n_tokens long, ids binary, decoded binary",
         pa.schema([("doc_id", arrow_type(key)), ("n_tokens", pa.int64()), ("ids", pa.binary()),
-                   ("decoded", pa.binary())]))
+                   ("decoded", pa.binary())]), AT_ONCE)
 
 
 def decode(encoded: DataFrame, ranks_path: str) -> DataFrame:

@@ -116,16 +116,16 @@ def numbered_words(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray
 
 def arrow_pass(
     df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], list | None]], schema: str,
-    types: pa.Schema,
+    types: pa.Schema, most: int = BATCH_BYTES,
 ) -> DataFrame:
-    """``mapInArrow`` by a function from rows of a few MB to columns of ``types``.
+    """``mapInArrow`` by a function from rows of ``most`` bytes, a few MB, to columns of ``types``.
 
     ``make`` runs once in each task and returns that function.
     """
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         work = make()
         for batch in batches:
-            for part in slices(batch):
+            for part in slices(batch, most):
                 columns = work(part)
                 if columns is not None:
                     arrays = [c if isinstance(c, pa.Array) else pa.array(c, t.type)

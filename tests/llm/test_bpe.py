@@ -145,3 +145,23 @@ def test_new_pieces_are_encoded_by_columns():
     finally:
         sys.settrace(None)
     assert ids.tolist() == LIBRARY.encode_ordinary(text) and lines < 10 * 30_000
+
+
+def test_a_task_encodes_little_at_once(spark, monkeypatch):
+    """A batch of 4 MB of texts full of new words takes the memory of a part of it, with the same ids."""
+    import tracemalloc
+
+    import pyarrow as pa
+    rng = random.Random(3)
+    texts = [" ".join(f"{rng.getrandbits(40):x}" for _ in range(2_000)) for _ in range(180)]
+    docs, runs = table(spark, []), []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, run, schema: runs.append(run))
+    bpe.there_and_back(docs, PATH, public_tokenizers.PATTERN)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], ["doc_id", "text"])
+    list(runs[0](iter([batch.slice(0, 1)])))
+    tracemalloc.start()
+    sizes = [n for out in runs[0](iter([batch])) for n in out.column(1).to_pylist()]
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert sizes == [len(LIBRARY.encode_ordinary(t)) for t in texts]
+    assert peak < 20 * sum(map(len, texts)), peak / sum(map(len, texts))
