@@ -29,6 +29,8 @@ STR, INT, LONG, DBL, FLT, TS = (
 )
 
 BINARY_FILE = _struct(path=STR, modificationTime=TS, length=LONG, content=BinaryType())
+# A file of a folder, and when it changed, in milliseconds.
+LISTED_FILE = _struct(path=STR, modified=LONG)
 
 # One typed block of a document, in reading order.
 ELEMENT = _struct(type=STR, text=STR, page_number=INT, html=STR)

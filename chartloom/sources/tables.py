@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import tempfile
+import threading
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -34,6 +36,10 @@ def shared_dir(spark: SparkSession) -> str:
     return _OWN_DIRS[app]
 
 
+#: For folders of whole texts that come several times over, as parsed documents do.
+COMPACT = {"compression": "zstd", "parquet.compression.codec.zstd.level": "6"}
+
+
 def fresh_dir(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
@@ -119,18 +125,37 @@ def run_stream(
     table: str | None = None,
     settings: StreamSettings = StreamSettings(),
     output_mode: str = "append",
+    **options: str,
 ) -> StreamingQuery:
     """Append a stream to a parquet folder or table, until the input is used up or,
     with ``continuous`` settings, at a fixed cadence."""
     writer = _started(
         df.writeStream.format("parquet")
         .outputMode(output_mode)
+        .options(**options)
         .option("checkpointLocation", checkpoint),
         settings,
     )
     return writer.toTable(table) if table is not None else writer.start(path)
 
 
+def beside_stream(
+    spark: SparkSession, query: StreamingQuery, step: Callable[[], object], settings: StreamSettings
+) -> None:
+    """Take a step at the stream's cadence as long as it runs; a step that fails ends the stream."""
+    trigger = spark.sparkContext._jvm.org.apache.spark.sql.streaming.Trigger
+    seconds = trigger.ProcessingTime(settings.processing_time).intervalMs() / 1000
+
+    def run() -> None:
+        try:
+            while not query.awaitTermination(max(seconds, 1)):
+                step()
+        finally:
+            query.stop()
+
+    threading.Thread(target=run, daemon=True).start()
+
+
 def run_batches(
     df: DataFrame,
     checkpoint: str,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -12,8 +14,8 @@ from chartloom.operators.measures import monitor
 from chartloom.operators.parse import parse_documents
 from chartloom.plans.silver import Extract, extracted_entities, with_quarantine
 from chartloom.schemas import PARSED_DOCUMENTS
-from chartloom.sources.files import stream_documents, stream_table
-from chartloom.sources.tables import run_batches, run_stream
+from chartloom.sources.files import list_documents, listing_for, stream_documents, stream_table
+from chartloom.sources.tables import COMPACT, beside_stream, run_batches, run_stream
 
 
 def ingest(
@@ -25,9 +27,22 @@ def ingest(
     parser="html",
     settings: StreamSettings = StreamSettings(),
 ) -> StreamingQuery:
-    """New files to parsed documents, appended to the bronze folder."""
-    files = stream_documents(spark, source, glob, settings.max_files_per_trigger)
-    return run_stream(parse_documents(files, parser), checkpoint, path=bronze, settings=settings)
+    """New files to parsed documents, appended to the bronze folder.
+
+    Executors list the folder and open its files where they can; the driver then holds parts of the
+    listing, which lies with the checkpoint, and no files.
+    """
+    most = settings.max_files_per_trigger
+    listing = listing_for(spark, source, checkpoint)
+    look = partial(list_documents, spark, source, glob, listing, most)
+    if listing is not None:
+        look()
+    files = stream_documents(spark, source, glob, most, listing)
+    query = run_stream(
+        parse_documents(files, parser), checkpoint, path=bronze, settings=settings, **COMPACT)
+    if listing is not None and settings.continuous:
+        beside_stream(spark, query, look, settings)
+    return query
 
 
 def first_arrivals(
