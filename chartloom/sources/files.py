@@ -179,6 +179,8 @@ def _found(spark: SparkSession, place: str, glob: str) -> DataFrame:
 
 def _opened(listed: DataFrame) -> DataFrame:
     """Listed files as ``path, modificationTime, length, content``, as they are when they are opened."""
+    ignored = listed.sparkSession.conf.get("spark.sql.files.ignoreMissingFiles") == "true"
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(rows: list[tuple]) -> pa.RecordBatch:
             kinds = (pa.string(), pa.int64(), pa.int64(), pa.binary())
@@ -188,8 +190,13 @@ def _opened(listed: DataFrame) -> DataFrame:
         for paths in batches:
             rows, size = [], 0
             for path in paths.column(0).to_pylist():
-                with open(path.removeprefix("file:"), "rb") as file:
-                    raw, time = file.read(), os.fstat(file.fileno()).st_mtime_ns // 1_000_000
+                try:
+                    with open(path.removeprefix("file:"), "rb") as file:
+                        raw, time = file.read(), os.fstat(file.fileno()).st_mtime_ns // 1_000_000
+                except FileNotFoundError:
+                    if ignored:
+                        continue
+                    raise
                 if raw:  # Spark's scans pass empty files over
                     rows.append((path, time, len(raw), raw))
                     size += len(raw)

@@ -6,6 +6,7 @@ import time
 from pathlib import Path
 
 import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import functions as F
 
 from chartloom.config import StreamSettings
@@ -93,6 +94,21 @@ def test_rows_are_those_of_sparks_own_source(spark, tmp_path, glob):
     assert got[0] == got[1] != []
 
 
+def test_a_file_that_has_gone_fails_the_stream_unless_the_session_ignores_it(spark, tmp_path):
+    for name in ("a.html", "b.html"):
+        put(tmp_path / "in", name, 1_700_000_000)
+    files.list_documents(spark, str(tmp_path / "in"), "*.html", f"{tmp_path}/state/listed", 5)
+    (tmp_path / "in/a.html").unlink()
+    with pytest.raises(StreamingQueryException):
+        ingest(spark, tmp_path / "in", tmp_path).awaitTermination()
+    spark.conf.set("spark.sql.files.ignoreMissingFiles", "true")
+    try:
+        ingest(spark, tmp_path / "in", tmp_path).awaitTermination()
+    finally:
+        spark.conf.unset("spark.sql.files.ignoreMissingFiles")
+    assert ingested(spark, tmp_path) == ["b.html"]
+
+
 def test_other_folders_and_checkpoints_keep_sparks_own_source(spark, tmp_path):
     put(tmp_path / "in", "a.html", 1_700_000_000)
     folder, state = str(tmp_path / "in"), f"{tmp_path}/state"
