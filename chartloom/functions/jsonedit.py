@@ -36,7 +36,8 @@ _MEMBER = rf"\G[\[{{,](?:{_STRING}:)?+{_VALUE}"
 _KEY = rf"^[{{,]({_STRING}):"
 _HEAD = rf"^[\[{{,](?:{_STRING}:)?+"
 _SPACE = rf"({_STRING})|\s++"
-_MARKED = rf'((?:{_STRING}|[^",:]++)*+)([,:])'
+#: Text up to a comma or colon, from where the last one ended, so that none is found inside a string.
+_MARKED = rf'\G((?:{_STRING}|[^",:]++)*+)([,:])'
 
 _STATE = ("struct<head:string,node:string,tail:string,fits:boolean>")
 

@@ -104,6 +104,11 @@ def test_any_document_and_path(spark, made):
                   for doc, indent, patches in made])
 
 
+def test_old_values_keep_marks_inside_strings(spark):
+    docs = ({"a": ["x", "b,c:d"]}, {"a": {"k:1": "e, f: \"g\",h"}}, {"a": ["i:j"]}, {"a": ["k,l", 1, {"m": ":,"}]})
+    check(spark, [(json.dumps(doc), [("a", "v")]) for doc in docs])
+
+
 def test_spelling_stays(spark):
     text = '{ "n": 1.50, "e" : [1e400, -0.0, "\\u00e9"], "z": {"k": 12345678901234567890.10} }'
     rows = [(text, [("z.new", "v"), ("e[1]", "w")])]
